@@ -1 +1,192 @@
-"""Queries (filled in below)."""
+"""SCD2 snapshot queries (H1-H9): customer version 1 at T1, version 2 at T2.
+
+Version 2: nation-3 balances raised by 100, MACHINERY customers deleted,
+nation-7 customers re-added under new keys (custkey + 100000).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewater.operators.snapshot import SnapshotConfig, snapshot, snapshot_initial
+from tidewater.plans.registry import query
+from tidewater.sources.tables import Tables
+
+T1 = dt.datetime(2024, 1, 1)
+T2 = dt.datetime(2024, 2, 1)
+T1_SQL = "timestamp '2024-01-01 00:00:00'"
+T2_SQL = "timestamp '2024-02-01 00:00:00'"
+COLS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+def v1(t: Tables) -> DataFrame:
+    return t.customer.select(*COLS)
+
+
+def v2(t: Tables) -> DataFrame:
+    c = t.customer
+    changed = c.filter(F.col("c_mktsegment") != "MACHINERY").select(
+        "c_custkey", "c_name", "c_nationkey",
+        F.when(F.col("c_nationkey") == 3, F.col("c_acctbal") + F.lit(100.0)).otherwise(F.col("c_acctbal"))
+        .alias("c_acctbal"), "c_mktsegment")
+    added = c.filter(F.col("c_nationkey") == 7).select(
+        (F.col("c_custkey") + 100000).alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return changed.unionByName(added)
+
+
+def with_updated_at(df: DataFrame, when_changed: bool) -> DataFrame:
+    """Timestamp-strategy source: rows touched in version 2 carry T2."""
+    ts = F.lit(T1).cast("timestamp_ntz")
+    if when_changed:
+        ts = F.when((F.col("c_nationkey") == 3) | (F.col("c_custkey") >= 100000), F.lit(T2).cast("timestamp_ntz")) \
+            .otherwise(ts)
+    return df.withColumn("updated_at", ts)
+
+
+_V_SQL = """
+v1 as (select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer),
+v2 as (
+    select c_custkey, c_name, c_nationkey,
+           case when c_nationkey = 3 then c_acctbal + cast(100 as double) else c_acctbal end as c_acctbal, c_mktsegment
+    from customer where c_mktsegment <> 'MACHINERY'
+    union all
+    select c_custkey + 100000, c_name, c_nationkey, c_acctbal, c_mktsegment from customer where c_nationkey = 7
+)"""
+
+
+def _md5(*parts: str) -> str:
+    return "md5(" + " || '|' || ".join(f"coalesce(cast({p} as varchar), '')" for p in parts) + ")"
+
+
+def snapshot_sql(strategy: str, hard_deletes: str, check_cols=("c_acctbal", "c_mktsegment")) -> str:
+    """The oracle: the staging-table formulation (insertions / updates /
+    deletes, then close by scd id and insert), two runs."""
+    nr = hard_deletes == "new_record"
+    src_cols = list(COLS) + (["updated_at"] if strategy == "timestamp" else [])
+    if strategy == "timestamp":
+        src1 = f"(select *, {T1_SQL} as updated_at from v1)"
+        src2 = (f"(select *, case when c_nationkey = 3 or c_custkey >= 100000 then {T2_SQL} else {T1_SQL} end "
+                f"as updated_at from v2)")
+        upd1, upd2 = "updated_at", "s.updated_at"
+        changed = "(snap.dbt_valid_from < s.updated_at)"
+    else:
+        src1, src2 = "v1", "v2"
+        upd1, upd2 = T1_SQL, T2_SQL
+        changed = "(" + " or ".join(
+            f"snap.{c} != s.{c} or ((snap.{c} is null) and not (s.{c} is null)) "
+            f"or ((not snap.{c} is null) and (s.{c} is null))" for c in check_cols) + ")"
+    if nr:
+        changed = f"({changed} or snap.dbt_is_deleted = 'True')"
+    cols = ", ".join(src_cols)
+    s_cols = ", ".join(f"s.{c}" for c in src_cols)
+    h_cols = ", ".join(f"h.{c}" for c in src_cols)
+    isdel_init = ", 'False' as dbt_is_deleted" if nr else ""
+    isdel_ins = ", 'False' as dbt_is_deleted" if nr else ""
+    sql = f"""
+with {_V_SQL},
+src1 as (select * from {src1}),
+src2 as (select * from {src2}),
+h as (
+    select {cols}, {_md5('c_custkey', upd1)} as dbt_scd_id, {upd1} as dbt_updated_at, {upd1} as dbt_valid_from,
+           cast(null as timestamp) as dbt_valid_to{isdel_init}
+    from src1
+),
+snap as (select * from h where dbt_valid_to is null),
+ins as (
+    select {s_cols}, {_md5('s.c_custkey', upd2)} as dbt_scd_id, {upd2} as dbt_updated_at,
+           {upd2} as dbt_valid_from, cast(null as timestamp) as dbt_valid_to{isdel_ins}
+    from src2 s left join snap on snap.c_custkey = s.c_custkey
+    where snap.c_custkey is null or (snap.c_custkey is not null and {changed})
+),
+upd as (
+    select snap.dbt_scd_id, {upd2} as dbt_valid_to
+    from src2 s join snap on snap.c_custkey = s.c_custkey where {changed}
+)"""
+    closers = "select * from upd"
+    if hard_deletes in ("invalidate", "new_record"):
+        not_deleted = " and not (snap.dbt_is_deleted = 'True' and snap.dbt_valid_to is null)" if nr else ""
+        sql += f""",
+del as (
+    select snap.dbt_scd_id, {T2_SQL} as dbt_valid_to
+    from snap left join src2 s on snap.c_custkey = s.c_custkey where s.c_custkey is null{not_deleted}
+)"""
+        closers += " union all select * from del"
+    if nr:
+        sql += f""",
+delrec as (
+    select {', '.join(f'snap.{c}' for c in src_cols)}, {_md5('snap.dbt_scd_id', T2_SQL)} as dbt_scd_id,
+           {T2_SQL} as dbt_updated_at, {T2_SQL} as dbt_valid_from, snap.dbt_valid_to, 'True' as dbt_is_deleted
+    from snap left join src2 s on snap.c_custkey = s.c_custkey
+    where s.c_custkey is null and not (snap.dbt_is_deleted = 'True' and snap.dbt_valid_to is null)
+)"""
+    isdel_sel = ", h.dbt_is_deleted" if nr else ""
+    isdel_i = ", dbt_is_deleted" if nr else ""
+    sql += f"""
+select {h_cols}, h.dbt_scd_id, h.dbt_updated_at, h.dbt_valid_from,
+       case when c.dbt_scd_id is not null and h.dbt_valid_to is null then c.dbt_valid_to else h.dbt_valid_to end
+       as dbt_valid_to{isdel_sel}
+from h left join ({closers}) c on c.dbt_scd_id = h.dbt_scd_id
+union all
+select {cols}, dbt_scd_id, dbt_updated_at, dbt_valid_from, dbt_valid_to{isdel_i} from ins
+"""
+    if nr:
+        sql += f"union all select {cols}, dbt_scd_id, dbt_updated_at, dbt_valid_from, dbt_valid_to, dbt_is_deleted " \
+               "from delrec\n"
+    return sql
+
+
+INITIAL_SQL = f"""
+with {_V_SQL}
+select *, {_md5('c_custkey', T1_SQL)} as dbt_scd_id, {T1_SQL} as dbt_updated_at, {T1_SQL} as dbt_valid_from,
+       cast(null as timestamp) as dbt_valid_to
+from v1
+"""
+
+
+@query("snapshot_initial", INITIAL_SQL)
+def q_snapshot_initial(t: Tables) -> DataFrame:
+    """H1: the first snapshot opens one version per row."""
+    return snapshot_initial(v1(t), SnapshotConfig("c_custkey", "check", check_cols=["c_acctbal"]), T1)
+
+
+def _run(t: Tables, cfg: SnapshotConfig, timestamp: bool = False) -> DataFrame:
+    s1, s2 = v1(t), v2(t)
+    if timestamp:
+        s1, s2 = with_updated_at(s1, False), with_updated_at(s2, True)
+    h = snapshot(None, s1, cfg, T1)
+    return snapshot(h, s2, cfg, T2)
+
+
+@query("snapshot_check", snapshot_sql("check", "ignore"))
+def q_snapshot_check(t: Tables) -> DataFrame:
+    """H5: check strategy over listed columns; deleted keys ignored."""
+    return _run(t, SnapshotConfig("c_custkey", "check", check_cols=["c_acctbal", "c_mktsegment"]))
+
+
+@query("snapshot_timestamp", snapshot_sql("timestamp", "ignore"))
+def q_snapshot_timestamp(t: Tables) -> DataFrame:
+    """H4: timestamp strategy (changed when the open version started before updated_at)."""
+    return _run(t, SnapshotConfig("c_custkey", "timestamp", updated_at="updated_at"), timestamp=True)
+
+
+@query("snapshot_invalidate", snapshot_sql("check", "invalidate"))
+def q_snapshot_invalidate(t: Tables) -> DataFrame:
+    """H6 invalidate: versions of keys missing from the source are closed at snapshot time."""
+    return _run(t, SnapshotConfig("c_custkey", "check", check_cols=["c_acctbal", "c_mktsegment"],
+                                  hard_deletes="invalidate"))
+
+
+@query("snapshot_new_record", snapshot_sql("check", "new_record"))
+def q_snapshot_new_record(t: Tables) -> DataFrame:
+    """H6 new_record: a deleted key is closed and gets a deletion-flag version."""
+    return _run(t, SnapshotConfig("c_custkey", "check", check_cols=["c_acctbal", "c_mktsegment"],
+                                  hard_deletes="new_record"))
+
+
+@query("snapshot_check_all", snapshot_sql("check", "invalidate", check_cols=COLS))
+def q_snapshot_check_all(t: Tables) -> DataFrame:
+    """H5 with ``check_cols='all'`` (every shared column compared, null-aware)."""
+    return _run(t, SnapshotConfig("c_custkey", "check", check_cols="all", hard_deletes="invalidate"))
