@@ -1 +1,159 @@
-"""Queries (filled in below)."""
+"""Ingest queries: JSON result sets (S2-S4, S22) and HTML pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewater.plans.registry import query
+from tidewater.sources import pages as P
+from tidewater.sources import resultsets as R
+from tidewater.sources.tables import Tables
+
+# --------------------------------------------------------------------------
+# JSON result sets: events re-encoded as API responses, then decoded again
+# --------------------------------------------------------------------------
+
+EVENT_HEADERS = ("EVENT_ID", "TS", "USER_ID", "EVENT_TYPE", "VALUE", "PROPS")
+EVENT_TYPES = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string",
+               "value": "double", "props": "string"}
+BATCH = 50
+
+
+def event_payloads(t: Tables) -> DataFrame:
+    """One response per batch of 50 consecutive event ids, cycling through
+    the three payload shapes; batches whose first event is an error also get
+    a truncated (malformed) copy.  Cells are mixed JSON numbers and strings."""
+    ev = t.events
+    props_json = F.expr("substr(to_json(array(props)), 2, length(to_json(array(props))) - 2)")
+    row = F.concat(F.lit("["), F.col("event_id").cast("string"), F.lit(',"'),
+                   F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit('",'), F.col("user_id").cast("string"),
+                   F.lit(',"'), F.col("event_type"), F.lit('",'), F.col("value").cast("string"), F.lit(","),
+                   props_json, F.lit("]"))
+    batches = (ev.select(F.floor(F.col("event_id") / BATCH).alias("batch"), "event_id", "event_type",
+                         row.alias("row"))
+               .groupBy("batch")
+               .agg(F.array_join(F.collect_list("row"), ",").alias("rows"),
+                    F.min_by("event_type", "event_id").alias("first_type")))
+    headers = "[" + ",".join(f'"{h}"' for h in EVENT_HEADERS) + "]"
+    body = F.concat(F.lit(f'"headers":{headers},"rowSet":['), F.col("rows"), F.lit("]"))
+    shape = F.col("batch") % 3
+    payload = (F.when(shape == 0, F.concat(F.lit('{"resultSets":[{"name":"Other","headers":["X"],"rowSet":[[1]]},'
+                                                 '{"name":"Events",'), body, F.lit("}]}")))
+               .when(shape == 1, F.concat(F.lit('{"resultSets":{'), body, F.lit("}}")))
+               .otherwise(F.concat(F.lit('{"resultSet":{'), body, F.lit("}}"))))
+    good = batches.select(F.col("batch").alias("payload_id"), payload.alias("payload"))
+    bad = batches.filter(F.col("first_type") == "error").select(
+        (-1 - F.col("batch")).alias("payload_id"), F.lit('{"resultSets": [{"name": "Events", "head').alias("payload"))
+    return good.unionByName(bad)
+
+
+@query("resultset_rows", "select event_id, ts, user_id, event_type, value, props from events")
+def q_resultset_rows(t: Tables) -> DataFrame:
+    """S2 + S3: decode every payload shape (named set with fallback), normalise
+    header names, cast text cells; the result equals the source table."""
+    rows, _ = R.decode_payloads(event_payloads(t), name="Events")
+    return R.rows_to_table(rows, columns=list(EVENT_TYPES), types=EVENT_TYPES)
+
+
+@query("resultset_quarantine", f"""
+with b as (select floor(event_id / {BATCH}) as batch, arg_min(event_type, event_id) as first_type
+           from events group by 1)
+select cast(-1 - batch as bigint) as payload_id, 'malformed json' as error from b where first_type = 'error'
+""")
+def q_resultset_quarantine(t: Tables) -> DataFrame:
+    """Malformed responses are set aside, the rest load."""
+    _, bad = R.decode_payloads(event_payloads(t), name="Events")
+    return bad.select(F.col("payload_id").cast("bigint").alias("payload_id"), "error")
+
+
+@query("resultset_lineage", f"""
+select event_id, event_type, '2024' as season, '2023-24' as season_label, 'Regular Season' as season_type
+from events
+""")
+def q_resultset_lineage(t: Tables) -> DataFrame:
+    """Decoded rows tagged with season, season label and season type."""
+    rows, _ = R.decode_payloads(event_payloads(t), name="Events")
+    df = R.rows_to_table(rows, columns=["event_id", "event_type"], types=EVENT_TYPES)
+    return R.tag_lineage(df, "2024", "Regular Season")
+
+
+# --------------------------------------------------------------------------
+# HTML pages
+# --------------------------------------------------------------------------
+
+_LINKS_SQL = r"""
+with l as (
+    select page_id,
+           regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1) as hrefs,
+           regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 2) as texts
+    from pages
+),
+u as (
+    select page_id, unnest(range(1, len(hrefs) + 1)) as link_no, unnest(hrefs) as href, unnest(texts) as raw_text
+    from l
+)
+select page_id, cast(link_no as integer) as link_no, href,
+       trim(replace(replace(replace(replace(replace(regexp_replace(raw_text, '<[^>]*>', '', 'g'),
+            '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')) as text
+from u
+"""
+
+
+@query("page_links", _LINKS_SQL)
+def q_page_links(t: Tables) -> DataFrame:
+    """Every anchor's href and text, numbered in document order."""
+    return P.page_links(t.pages)
+
+
+@query("page_first_ids", r"""
+with links as (""" + _LINKS_SQL + r"""),
+ids as (select page_id, link_no, regexp_extract(href, '^/([A-Z][^/.,]*)', 1) as id from links)
+select page_id, id, cast(min(link_no) as integer) as first_seen from ids where id <> '' group by page_id, id
+""")
+def q_page_first_ids(t: Tables) -> DataFrame:
+    """Unique ids from link targets per page with first-seen position."""
+    return P.first_seen_ids(P.page_links(t.pages), r"^/([A-Z][^/.,]*)")
+
+
+@query("page_url_ids", r"""
+select page_id, coalesce(nullif(regexp_extract(url, 'page=(\d+)', 1), ''),
+                         nullif(regexp_extract(url, '/(\d+)', 1), '')) as url_id
+from pages
+""")
+def q_page_url_ids(t: Tables) -> DataFrame:
+    """Id from the URL by a primary pattern, else a fallback pattern."""
+    p = t.pages
+    return p.select("page_id", P.id_from_url(F.col("url"), r"page=(\d+)", r"/(\d+)").alias("url_id"))
+
+
+@query("page_list_rows", r"""
+with l as (
+    select page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) as items from pages
+)
+select page_id, 0 as block_no, cast(i - 1 as integer) as row_no,
+       trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(items[i], '<[^>]*>', '', 'g'),
+            '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) as item
+from l, range(1, len(items) + 1) r(i)
+""")
+def q_page_list_rows(t: Tables) -> DataFrame:
+    """S5 (list form): every list item of every page, parsed once per page in
+    ``mapInPandas``; the pages carry lists, not tables."""
+    b = P.page_blocks(t.pages)
+    return b.filter(F.col("kind") == "list").select(
+        "page_id", "block_no", "row_no", F.get(F.col("cells"), 0).alias("item"))
+
+
+@query("page_teams", r"""
+with links as (""" + _LINKS_SQL + r""")
+select page_id, text as college,
+       coalesce(nullif(regexp_extract(href, '^/([A-Z][a-z]+)$', 1), ''),
+                nullif(regexp_extract(href, '^/([a-z]+)', 1), '')) as team_id,
+       href as link
+from links
+""")
+def q_page_teams(t: Tables) -> DataFrame:
+    """Team rows from each page's first table, or from its links when
+    the page has no table rows (the case for every driver page)."""
+    blocks = P.page_blocks(t.pages)
+    return P.teams_from_pages(t.pages, blocks, r"^/([A-Z][a-z]+)$", r"^/([a-z]+)")
