@@ -1 +1,157 @@
-"""Queries (filled in below)."""
+"""Write-path, streaming and SQL-function queries (S15-S18, I1/I4/I5 writers, X1, Y1-Y4).
+
+Queries that persist data write below the shared checkpoint folder
+(``spark.checkpoint.dir``) into a fresh sub-folder per run, then return the
+table read back, so the check covers the round trip.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewater.functions import sqlfuncs as Y
+from tidewater.operators import writers as W
+from tidewater.plans.registry import query
+from tidewater.session import scratch_path
+from tidewater.sources import files as S
+from tidewater.sources.tables import Tables
+from tidewater.streaming.upsert_stream import stream_upsert
+
+
+def _scratch(t: Tables, name: str) -> str:
+    return scratch_path(t.spark, f"tidewater-q/{name}-{uuid.uuid4().hex[:10]}")
+
+
+@query("stream_upsert", "select event_id, ts, user_id, event_type, value, props from events")
+def q_stream_upsert(t: Tables) -> DataFrame:
+    """A target holding stale copies of the first 19 days is brought up to
+    date by streaming ``events`` through ``foreachBatch`` delete+insert on
+    ``event_id``, partition by partition (day); the result equals the source."""
+    spark = t.spark
+    base = _scratch(t, "stream_upsert")
+    target = f"{base}/target"
+    ev = t.events
+    stale = (ev.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
+             .withColumn("value", F.col("value") - F.lit(1.0)).withColumn("day", F.to_date("ts").cast("string")))
+    stale.write.mode("overwrite").partitionBy("day").parquet(target)
+    stream_upsert(spark, t.base, ev.schema, target, f"{base}/checkpoint", unique_key="event_id",
+                  partition_by=["day"], derive={"day": F.to_date("ts").cast("string")}, path_glob="events.parquet")
+    return spark.read.parquet(target).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+@query("upsert_partition_write", """
+select o_orderkey, o_custkey, o_orderstatus,
+       case when year(o_orderdate) in (1997, 1998) then o_totalprice + cast(1 as double) else o_totalprice end
+       as o_totalprice, cast(year(o_orderdate) as varchar) as season, 'Regular Season' as season_type
+from orders
+""")
+def q_upsert_partition_write(t: Tables) -> DataFrame:
+    """I1 + I4 on disk: load every season, then reload two seasons with new
+    values (plus an unexpected extra column, dropped) and an empty frame."""
+    spark = t.spark
+    base = _scratch(t, "upsert")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                        F.year("o_orderdate").cast("string").alias("season"),
+                        F.lit("Regular Season").alias("season_type"))
+    W.write_table_set(spark, {"orders": o}, base)
+    again = (o.filter(F.col("season").isin("1997", "1998"))
+             .withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0)).withColumn("extra", F.lit(1)))
+    W.write_table_set(spark, {"orders": again, "empty": o.limit(0)}, base)
+    back = spark.read.parquet(f"{base}/orders")
+    return back.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "season", "season_type")
+
+
+@query("seed_roundtrip", "select n_nationkey, n_name, cast(n_regionkey as bigint) as n_regionkey from nation")
+def q_seed_roundtrip(t: Tables) -> DataFrame:
+    """S15 + S18: a table written as a header CSV seed (``|`` delimited) and
+    loaded back with a type override."""
+    path = _scratch(t, "seed") + "/nation.csv"
+    S.write_seed(t.nation, path, delimiter="|")
+    return S.load_seed(t.spark, path, {"n_nationkey": "int", "n_regionkey": "bigint"}, delimiter="|")
+
+
+@query("export_roundtrip", """
+select 'customer' as tbl, cast(count(*) as bigint) as n from customer
+union all select 'supplier', cast(count(*) as bigint) from supplier
+""")
+def q_export_roundtrip(t: Tables) -> DataFrame:
+    """Each table exported as its own parquet file set, read back."""
+    spark = t.spark
+    paths = S.export_tables({"customer": t.customer, "supplier": t.supplier}, _scratch(t, "export"))
+    parts = [spark.read.parquet(p).select(F.lit(p.rsplit("/", 1)[1].split(".")[0]).alias("tbl"))
+             for p in paths]
+    u = parts[0].unionByName(parts[1])
+    return u.groupBy("tbl").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("external_roundtrip", """
+select o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders
+""")
+def q_external_roundtrip(t: Tables) -> DataFrame:
+    """An external parquet location partitioned by a column, read back
+    with schema merging (the partition column returns as a column)."""
+    loc = _scratch(t, "external") + "/orders.parquet"
+    S.write_external(t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"), loc,
+                     partition_by=["o_orderstatus"])
+    back = S.read_external(t.spark, loc)
+    return back.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+
+
+@query("materialize_view", """
+select c_mktsegment, cast(count(*) as bigint) as n from customer group by 1
+""")
+def q_materialize_view(t: Tables) -> DataFrame:
+    """A model registered as a lazy view and queried by name."""
+    name = f"tw_segments_{uuid.uuid4().hex[:8]}"
+    W.materialize_as(t.customer.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")), name, "view")
+    return t.spark.table(name)
+
+
+def _lineitem_view(t: Tables) -> str:
+    name = f"tw_lineitem_{uuid.uuid4().hex[:8]}"
+    t.lineitem.createOrReplaceTempView(name)
+    return name
+
+
+@query("table_function", """
+select l_linenumber, cast(count(*) as bigint) as n, cast(sum(l_quantity) as bigint) as qty
+from lineitem where l_quantity >= 45 group by 1
+""")
+def q_table_function(t: Tables) -> DataFrame:
+    """A parameterised view (SQL table function); the call is inlined, so
+    the parameter's filter reaches the scan."""
+    view = _lineitem_view(t)
+    fn = f"tw_big_lines_{uuid.uuid4().hex[:8]}"
+    Y.create_table_function(t.spark, fn, [("min_qty", "DOUBLE")],
+                            [("l_orderkey", "BIGINT"), ("l_linenumber", "INT"), ("l_quantity", "DOUBLE")],
+                            f"SELECT l_orderkey, l_linenumber, l_quantity FROM {view} WHERE l_quantity >= min_qty")
+    return t.spark.sql(f"SELECT l_linenumber, count(*) AS n, cast(sum(l_quantity) AS BIGINT) AS qty "
+                       f"FROM {fn}(45) GROUP BY l_linenumber")
+
+
+@query("scalar_sql_function", """
+select l_returnflag,
+       cast(sum(cast(round(l_extendedprice * (1 - l_discount) * 100) as bigint)) as bigint) as net_cents
+from lineitem group by 1
+""")
+def q_scalar_sql_function(t: Tables) -> DataFrame:
+    """Y2: a deterministic SQL scalar function used inside an aggregate."""
+    view = _lineitem_view(t)
+    fn = f"tw_net_price_{uuid.uuid4().hex[:8]}"
+    Y.create_scalar_function(t.spark, fn, [("p", "DOUBLE"), ("d", "DOUBLE")], "DOUBLE", "p * (1 - d)")
+    return t.spark.sql(f"SELECT l_returnflag, sum(cast(round({fn}(l_extendedprice, l_discount) * 100) AS BIGINT)) "
+                       f"AS net_cents FROM {view} GROUP BY l_returnflag")
+
+
+@query("agg_function", """
+select l_returnflag, sum(l_quantity * l_linenumber) / nullif(cast(sum(l_linenumber) as double), 0) as wavg_qty
+from lineitem group by 1
+""")
+def q_agg_function(t: Tables) -> DataFrame:
+    """A user aggregate as a macro of built-in aggregates (partial
+    aggregation intact); integer-valued products keep the sums exact."""
+    li = t.lineitem
+    return li.groupBy("l_returnflag").agg(Y.weighted_average("l_quantity", "l_linenumber").alias("wavg_qty"))

@@ -22,6 +22,8 @@ REQUIRED_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # partition values are text keys ('2026' stays a string season)
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
