@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.exprs import ratio, round_half_away
+from tidewater.functions.exprs import ratio, round_half_away, to_cents
 from tidewater.operators.joins import join_small_literal, merge_prefer
 
 # --------------------------------------------------------------------------
@@ -280,8 +280,7 @@ def fact_player_per_game(totals: DataFrame, keys: Sequence[str] = ("player_id",
     sums = []
     for m in measures:
         if m in cents:
-            sums.append(F.sum(F.coalesce(F.round(F.col(m).cast("double") * 100.0).cast("bigint"), F.lit(0)))
-                        .alias(f"_{m}_tot"))
+            sums.append(F.sum(F.coalesce(to_cents(m), F.lit(0))).alias(f"_{m}_tot"))
         else:
             sums.append(F.sum(F.coalesce(F.col(m), F.lit(0))).alias(f"_{m}_tot"))
     agg = totals.groupBy(*keys).agg(F.count_distinct(F.col(game)).cast("bigint").alias("g"), *sums)

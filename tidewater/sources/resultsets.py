@@ -117,14 +117,19 @@ def rows_to_table(rows: DataFrame, columns: Sequence[str] | None = None,
                 if n not in names:
                     names.append(n)
         columns = names
-    norm = normalize_names_col(F.col("headers"))
-    # values aligned to the header positions (short rows padded with NULL)
-    vals = F.transform(norm, lambda _, i: F.get(F.col("cells"), i))
-    keyed = rows.select("payload_id", "row_no", F.map_from_arrays(norm, vals).alias("_m"))
+    # Header positions are resolved once per distinct header list (a tiny
+    # aggregate, broadcast back), not once per row: a cell is then a plain
+    # array access.  A column missing from a payload's headers is NULL.
     types = dict(types or {})
+    norm = normalize_names_col(F.col("headers"))
+    pos = (rows.select("headers").distinct()
+           .select("headers", *[F.array_position(norm, F.lit(c)).cast("int").alias(f"_p{i}")
+                                for i, c in enumerate(columns)]))
+    keyed = rows.join(F.broadcast(pos), "headers")
     out = []
-    for c in columns:
-        v = F.try_element_at(F.col("_m"), F.lit(c))
+    for i, c in enumerate(columns):
+        p = F.col(f"_p{i}")
+        v = F.when(p > 0, F.get(F.col("cells"), p - 1))
         out.append((v.try_cast(types[c]) if c in types else v).alias(c))
     ids = ["payload_id", "row_no"] if keep_ids else []
     return keyed.select(*ids, *out)
