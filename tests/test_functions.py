@@ -84,7 +84,18 @@ def test_keep_one_and_top_n_against_python(spark):
     latest = {r["k"]: (r["ts"], r["id"]) for r in reshape.keep_one_per_key(df, ["k"], ["ts", "id"]).collect()}
     for k in {d[0] for d in data}:
         assert latest[k] == max((t, i) for kk, t, i in data if kk == k)
-    top = reshape.top_n_per_group(df, ["k"], [F.col("ts").desc(), F.col("id").asc()], 5, salt_buckets=8).collect()
-    for k in {d[0] for d in data}:
-        want = sorted([(t, i) for kk, t, i in data if kk == k], key=lambda x: (-x[0], x[1]))[:5]
-        assert sorted([(r["ts"], r["id"]) for r in top if r["k"] == k], key=lambda x: (-x[0], x[1])) == want
+    order = [F.col("ts").desc(), F.col("id").asc()]
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    old = spark.conf.get(key)
+    try:
+        for threshold in (old, "2"):                      # "2": forces the salted two-stage path
+            spark.conf.set(key, threshold)
+            top = reshape.top_n_per_group(df, ["k"], order, 5, salt_buckets=8).collect()
+            for k in {d[0] for d in data}:
+                want = sorted([(t, i) for kk, t, i in data if kk == k], key=lambda x: (-x[0], x[1]))[:5]
+                assert sorted([(r["ts"], r["id"]) for r in top if r["k"] == k], key=lambda x: (-x[0], x[1])) == want
+    finally:
+        spark.conf.set(key, old)
+    whole = reshape.top_n_per_group(df, [], order, 3, rank_col="r").collect()
+    assert [(r["ts"], r["id"], r["r"]) for r in whole] == \
+        [(t, i, n) for n, (_, t, i) in enumerate(sorted(data, key=lambda x: (-x[1], x[2]))[:3], 1)]

@@ -36,21 +36,37 @@ def keep_one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
 # --------------------------------------------------------------------------
 
 
+def _group_limit_threshold(spark) -> int:
+    try:
+        return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    except Exception:  # noqa: BLE001
+        return 1000
+
+
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
                     salt_buckets: int = 64, rank_col: str | None = None) -> DataFrame:
     """The first ``n`` rows of each group under a total ``order``.
 
-    Two stages so that no task sorts a whole hot group: rows are spread over
-    ``salt_buckets`` sub-groups by a hash of the row, each sub-group keeps
-    its own first ``n``; then at most ``salt_buckets * n`` candidates per
-    group are ranked again.  Exact: a group's top ``n`` is always within the
-    union of its sub-groups' top ``n``.
+    No task ever sorts a whole hot group.  For ``n`` up to the optimizer's
+    window-group-limit threshold, ``row_number() <= n`` is planned with a
+    map-side ``WindowGroupLimit``: every input task keeps only its first
+    ``n`` per group before the shuffle.  Above the threshold the same bound
+    is built by hand in two stages: rows are spread over ``salt_buckets``
+    sub-groups by a hash of the row, each keeps its first ``n``, then at most
+    ``salt_buckets * n`` candidates per group are ranked again.  Both are
+    exact: a group's top ``n`` lies within the union of partial top ``n``s.
     """
     group = list(group)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets)))
-    w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
-    cand = salted.withColumn("_rn", F.row_number().over(w1)).filter(F.col("_rn") <= n).drop("_rn", "_salt")
-    w2 = Window.partitionBy(*group).orderBy(*order) if group else Window.orderBy(*order)
+    if not group:
+        # one group: a distributed top-k (k rows kept per task), ranked after the cut
+        ranked = top_k(df, order, n).withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
+        return ranked.withColumnRenamed("_rn", rank_col) if rank_col else ranked.drop("_rn")
+    cand = df
+    if n > _group_limit_threshold(df.sparkSession):
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets)))
+        w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
+        cand = salted.withColumn("_rn", F.row_number().over(w1)).filter(F.col("_rn") <= n).drop("_rn", "_salt")
+    w2 = Window.partitionBy(*group).orderBy(*order)
     ranked = cand.withColumn("_rn", F.row_number().over(w2)).filter(F.col("_rn") <= n)
     if rank_col:
         return ranked.withColumnRenamed("_rn", rank_col)

@@ -91,14 +91,21 @@ def decode_payloads(payloads: DataFrame, payload_col: str = "payload", id_col: s
         chosen_list = F.get(sets, index)
     chosen = F.coalesce(chosen_list, F.col("_o.resultSets"), F.col("_o.resultSet"))
     good = p.filter(F.col("_valid")).select("payload_id", chosen.alias("rs"))
-    rows = good.select("payload_id", F.col("rs.headers").alias("headers"),
-                       F.posexplode(F.coalesce(F.col("rs.rowSet"), F.array().cast("array<array<string>>")))
+    # names are normalised once per payload, before the rows are exploded
+    good = good.select("payload_id", F.col("rs.headers").alias("headers"), F.col("rs.rowSet").alias("_rowset"))
+    good = good.withColumn("names", normalize_names_col(F.col("headers")))
+    rows = good.select("payload_id", "headers", "names",
+                       F.posexplode(F.coalesce(F.col("_rowset"), F.array().cast("array<array<string>>")))
                        .alias("row_no", "cells"))
     return rows, quarantine
 
 
 def header_sets(rows: DataFrame) -> list[list[str]]:
-    """Distinct header lists (bounded by the number of endpoint variants)."""
+    """Distinct header lists, used only when the caller gives no columns.
+
+    The distinct is an aggregate (map-side combined) and what reaches the
+    driver is one short list per endpoint variant, never row data.
+    """
     return [list(r["headers"] or []) for r in rows.select("headers").distinct().collect()]
 
 
@@ -117,22 +124,18 @@ def rows_to_table(rows: DataFrame, columns: Sequence[str] | None = None,
                 if n not in names:
                     names.append(n)
         columns = names
-    # Header positions are resolved once per distinct header list (a tiny
-    # aggregate, broadcast back), not once per row: a cell is then a plain
-    # array access.  A column missing from a payload's headers is NULL.
+    # A cell is found by the position of its normalised header name (names
+    # were normalised once per payload); a column missing from a payload's
+    # headers, or a short row, gives NULL.
     types = dict(types or {})
-    norm = normalize_names_col(F.col("headers"))
-    pos = (rows.select("headers").distinct()
-           .select("headers", *[F.array_position(norm, F.lit(c)).cast("int").alias(f"_p{i}")
-                                for i, c in enumerate(columns)]))
-    keyed = rows.join(F.broadcast(pos), "headers")
+    names = F.col("names") if "names" in rows.columns else normalize_names_col(F.col("headers"))
     out = []
-    for i, c in enumerate(columns):
-        p = F.col(f"_p{i}")
+    for c in columns:
+        p = F.array_position(names, F.lit(c)).cast("int")
         v = F.when(p > 0, F.get(F.col("cells"), p - 1))
         out.append((v.try_cast(types[c]) if c in types else v).alias(c))
     ids = ["payload_id", "row_no"] if keep_ids else []
-    return keyed.select(*ids, *out)
+    return rows.select(*ids, *out)
 
 
 def tag_lineage(df: DataFrame, season: str, season_type: str | None = None) -> DataFrame:
