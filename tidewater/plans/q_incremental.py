@@ -289,3 +289,28 @@ def q_widen_types(t: Tables) -> DataFrame:
     source = o.filter(F.year("o_orderdate") >= 1996).select("o_orderkey", F.col("o_totalprice").alias("o_custkey"))
     tw, sw = I.widen_target(target, source)
     return I.delete_insert(tw, sw, "o_orderkey")
+
+
+@query("inc_merge_predicates", _CTE + """
+select t.event_id, s.ts, s.user_id, s.event_type, s.value, s.props
+from target t join source s
+  on t.event_id = s.event_id and t.user_id = s.user_id and t.ts >= timestamp '2024-01-17'
+union all
+select * from target t where not exists (
+    select 1 from source s where t.event_id = s.event_id and t.user_id = s.user_id and t.ts >= timestamp '2024-01-17')
+union all
+select * from source s where not exists (
+    select 1 from target t where t.event_id = s.event_id and t.user_id = s.user_id and t.ts >= timestamp '2024-01-17')
+""")
+def q_inc_merge_predicates(t: Tables) -> DataFrame:
+    """J9 + I9: composite-key merge whose ON clause carries an extra predicate
+    (target rows outside it do not match: they stay, and the source row is
+    inserted beside them)."""
+    return I.merge(target_events(t), source_events(t), ["event_id", "user_id"],
+                   predicates=["t.ts >= timestamp'2024-01-17 00:00:00'"])
+
+
+@query("incremental_first_run", _CTE + "select * from source")
+def q_incremental_first_run(t: Tables) -> DataFrame:
+    """With no target yet (or a full refresh) the model is built from the source."""
+    return I.incremental(None, source_events(t), "merge", unique_key="event_id")

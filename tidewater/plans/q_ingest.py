@@ -157,3 +157,38 @@ def q_page_teams(t: Tables) -> DataFrame:
     the page has no table rows (the case for every driver page)."""
     blocks = P.page_blocks(t.pages)
     return P.teams_from_pages(t.pages, blocks, r"^/([A-Z][a-z]+)$", r"^/([a-z]+)")
+
+
+@query("page_rows_with_ids", r"""
+with l as (select page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) as items from pages),
+items as (
+    select page_id, cast(i - 1 as integer) as row_no,
+           nullif(regexp_extract(items[i], 'href="/([A-Z][a-z]+)"', 1), '') as id
+    from l, range(1, len(items) + 1) r(i)
+)
+select page_id, row_no, id from items
+""")
+def q_page_rows_with_ids(t: Tables) -> DataFrame:
+    """Each parsed row gets the id found in its link, matched on (page, position)."""
+    blocks = P.page_blocks(t.pages).filter(F.col("kind") == "list").select("page_id", "row_no")
+    links = P.page_links(t.pages).withColumn("link_no", F.col("link_no") - 1)
+    return P.attach_ids(blocks, links, r"^/([A-Z][a-z]+)$").select("page_id", "row_no", "id")
+
+
+@query("page_headings", r"""
+with h as (select page_id, trim(regexp_extract(html, '<h1>(.*?)</h1>', 1)) as heading from pages),
+r as (select page_id, heading,
+             case when instr(heading, '-') > 0 then trim(substr(heading, instr(heading, '-') + 1)) else trim(heading) end
+             as rest from h)
+select page_id, heading,
+       case when instr(heading, '-') > 0 then trim(split_part(heading, '-', 1)) end as game_date,
+       nullif(trim(regexp_extract(rest, '([\w\s.''&-]+?)\s+(\d+)\s*,\s*([\w\s.''&-]+?)\s+(\d+)', 1)), '') as away_team,
+       try_cast(nullif(trim(regexp_extract(rest, '([\w\s.''&-]+?)\s+(\d+)\s*,\s*([\w\s.''&-]+?)\s+(\d+)', 2)), '') as integer) as away_score,
+       nullif(trim(regexp_extract(rest, '([\w\s.''&-]+?)\s+(\d+)\s*,\s*([\w\s.''&-]+?)\s+(\d+)', 3)), '') as home_team,
+       try_cast(nullif(trim(regexp_extract(rest, '([\w\s.''&-]+?)\s+(\d+)\s*,\s*([\w\s.''&-]+?)\s+(\d+)', 4)), '') as integer) as home_score
+from r
+""")
+def q_page_headings(t: Tables) -> DataFrame:
+    """Date, teams and scores parsed from each page's heading text."""
+    h = t.pages.select("page_id", F.trim(F.regexp_extract("html", r"<h1>(.*?)</h1>", 1)).alias("heading"))
+    return P.parse_score_headings(h, "heading")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators import quality as Q
 from tidewater.plans.registry import query
+from tidewater.session import scratch_path
 from tidewater.sources.tables import Tables
 
 
@@ -171,3 +173,34 @@ COLUMN_PROFILE_SQL = "\nunion all\n".join(
 def q_column_profile(t: Tables) -> DataFrame:
     """Per-column type, rows, nulls, distinct, min, max in one pass."""
     return Q.column_profile(t.customer, "customer")
+
+
+@query("schema_probe", """
+select o_orderkey, o_custkey, o_orderstatus from orders where false limit 0
+""")
+def q_schema_probe(t: Tables) -> DataFrame:
+    """A schema-only query (no rows; ``df.schema`` itself needs no job)."""
+    return t.orders.select("o_orderkey", "o_custkey", "o_orderstatus").limit(0)
+
+
+@query("dq_where", """
+select cast(count(*) as bigint) as failures, count(*) <> 0 as should_warn, count(*) <> 0 as should_error
+from (select * from lineitem where l_linestatus = 'F') x
+where nullif(l_returnflag, 'N') is null
+""")
+def q_dq_where(t: Tables) -> DataFrame:
+    """P13 + T1 + T7: a not-null test over a filtered sub-relation (the test's ``where``)."""
+    scoped = _lineitem_with_nulls(t).filter("linestatus = 'F'")
+    return Q.verdict(Q.not_null(scoped, "returnflag"))
+
+
+@query("dq_store_failures", """
+select cast(count(*) as bigint) as failures, count(*) > 100 as should_warn, count(*) > 20000 as should_error
+from (select l_orderkey, l_linenumber from lineitem group by 1, 2 having count(*) > 1)
+""")
+def q_dq_store_failures(t: Tables) -> DataFrame:
+    """Failing rows are written to the audit folder, the verdict is read from them."""
+    li = t.lineitem
+    key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    stored = Q.store_failures(Q.unique(li, key), scratch_path(t.spark, f"tidewater-q/audit-{uuid.uuid4().hex[:10]}"))
+    return Q.verdict(stored, warn_if="> 100", error_if="> 20000")

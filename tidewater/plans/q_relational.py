@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -350,3 +352,14 @@ def q_collect_set_per_year(t: Tables) -> DataFrame:
     o = t.orders
     return o.groupBy(F.year("o_orderdate").cast("string").alias("season")).agg(
         F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ",").alias("priorities"))
+
+
+@query("dates_in_range", """
+with b as (select cast(min(o_orderdate) as date) as s from orders where year(o_orderdate) = 1998)
+select strftime(d, '%Y%m%d') as date_str
+from b, generate_series(b.s, b.s + interval 40 day, interval 1 day) g(d)
+""")
+def q_dates_in_range(t: Tables) -> DataFrame:
+    """U8: inclusive formatted dates from the first 1998 order date, 40 days on."""
+    first = t.orders.filter(F.year("o_orderdate") == 1998).agg(F.to_date(F.min("o_orderdate")).alias("s")).first()["s"]
+    return reshape.dates_in_range(t.spark, first, first + dt.timedelta(days=40))
