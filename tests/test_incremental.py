@@ -138,3 +138,18 @@ def test_apply_incremental_rewrites_in_place(spark):
     W.apply_incremental(spark, ppath, spark.createDataFrame([(2, "B", "d2")], "id bigint, v string, day string"),
                         "delete+insert", "id", partition_by=["day"])
     assert rows(spark.read.parquet(ppath).select("id", "v", "day")) == [(1, "a", "d1"), (2, "B", "d2")]
+
+
+def test_contract_check_and_first_run(spark):
+    from pyspark.sql import types as T
+
+    from tidewater.operators import quality as Q
+    df = spark.createDataFrame([(1, "a")], "id bigint, v string")
+    ok = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
+    assert Q.check_contract(df, ok) == []
+    bad = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("w", T.StringType())])
+    errs = Q.check_contract(df, bad)
+    assert any("missing column w" in e for e in errs) and any("unexpected column v" in e for e in errs) \
+        and any("column id is bigint" in e for e in errs)
+    assert rows(I.incremental(None, df, "merge", unique_key="id")) == [(1, "a")]
+    assert rows(I.incremental(df, _t(spark, [(9, "z", 1)]).select("id", "v"), "append", full_refresh=True)) == [(9, "z")]

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from tidewater.plans import marts
 
@@ -103,3 +105,26 @@ def test_dim_teams_any_non_null(spark):
     df = spark.createDataFrame([(1, None, "Boston"), (1, "BOS", None), (2, None, None), (None, "X", "Y")],
                                "team_id bigint, team_abbreviation string, team_name string")
     assert rows(marts.dim_teams(df)) == [(1, "BOS", "Boston"), (2, "", "")]
+
+
+def test_staging_renames_and_filters(spark):
+    logs = spark.createDataFrame(
+        [("g1", "2026", "BOS", "W"), (None, "2026", "NYK", "L")],
+        "game_id string, season string, team_abbreviation string, wl string")
+    for c in ("game_date", "season_label", "season_type", "team_id", "team_name", "matchup", "min", "pts", "reb",
+              "ast", "stl", "blk", "tov", "plus_minus"):
+        logs = logs.withColumn(c, F.lit(None).cast("string"))
+    staged = marts.stg_games(logs)
+    assert "team" in staged.columns and rows(staged.select("game_id", "team")) == [("g1", "BOS")]
+    roster = spark.createDataFrame([("3", "Ann", "G", "BOS", "2026"), ("4", None, "F", "BOS", "2026")],
+                                   "num string, player string, position string, team_abbreviation string, season string")
+    for c in ("height", "weight", "birth_date", "exp", "school", "team_id", "season_label"):
+        roster = roster.withColumn(c, F.lit(None).cast("string"))
+    r = marts.stg_roster(roster).collect()
+    assert [(x["jersey_no"], x["player"], x["pos"], x["team_abbrev"]) for x in r] == [("3", "Ann", "G", "BOS")]
+    players = spark.createDataFrame([(1, None, None)], "person_id bigint, team_id bigint, team_abbreviation string")
+    for c in ("display_first_last", "display_last_comma_first", "team_city", "team_name", "from_year", "to_year",
+              "rosterstatus", "season", "season_label"):
+        players = players.withColumn(c, F.lit(None).cast("string"))
+    p = marts.stg_players(players).collect()[0]
+    assert (p["team_id"], p["team_abbrev"]) == ("", "")

@@ -86,3 +86,11 @@ def test_teams_from_pages_rows_else_links(spark):
     pages = _pages(spark, [(1, "u", with_table), (2, "u", '<a href="/team/9">Baylor</a>')])
     got = rows(P.teams_from_pages(pages, P.page_blocks(pages)))
     assert got == [(1, "Gonzaga", None, None), (2, "Baylor", "9", "/team/9")]
+
+
+def test_game_ids_with_fallback(spark):
+    primary = spark.createDataFrame([("2026", "a"), ("2026", "b")], "season string, id string")
+    fallback = spark.createDataFrame([("2026", "z"), ("2025", "c"), ("2025", "c"), ("2025", "d")],
+                                     "season string, id string")
+    got = rows(P.game_ids_with_fallback(primary, fallback, ["season"]))
+    assert got == [("2025", "c"), ("2025", "d"), ("2026", "a"), ("2026", "b")]

@@ -13,11 +13,11 @@ from tidewater.sources.tables import Tables
 @query("string_funcs", """
 select p_partkey, p_name || '|' || p_brand as joined, length(p_name) as name_len,
        position('e' in p_name) as e_pos, replace(p_name, ' ', '_') as snake, right(p_brand, 2) as brand_tail,
-       upper(p_type) as type_upper
+       upper(p_type) as type_upper, trim(cast(p_partkey as varchar)) as id_text
 from part
 """)
 def q_string_funcs(t: Tables) -> DataFrame:
-    """Concat, length, position, replace, right, upper."""
+    """F1-F7 + F21: concat, length, position, replace, right, upper, id text clean."""
     p = t.part
     return p.select(
         "p_partkey",
@@ -27,6 +27,7 @@ def q_string_funcs(t: Tables) -> DataFrame:
         F.replace(F.col("p_name"), F.lit(" "), F.lit("_")).alias("snake"),
         X.right("p_brand", 2).alias("brand_tail"),
         F.upper("p_type").alias("type_upper"),
+        F.trim(F.col("p_partkey").cast("string")).alias("id_text"),
     )
 
 
