@@ -179,6 +179,9 @@ CONFERENCE_MAP = {
 }
 
 
+_NULL_KEY = "\u0000"  # stands for a NULL group value inside the rank joins
+
+
 def win_loss_counts(games: DataFrame, team: str = "team", result: str = "wl",
                     partition_keys: Sequence[str] = ()) -> DataFrame:
     """Wins and losses per team (partial aggregation: hot teams combine map-side)."""
@@ -220,22 +223,33 @@ def fact_standings(games: DataFrame, conference: DataFrame | Mapping[str, str] |
     else:
         ranked_in = wl.join(conference.select(team, "conference"), on=team, how=how)
 
+    # Ranking keys: string group columns have NULL replaced by a sentinel so
+    # that every join below is a plain equi-join on (group, wins, losses); the
+    # tie-rank window then reuses that join's hash partitioning.
     group = [*partition_keys, "conference"]
-    hist = ranked_in.groupBy(*group, "wins", "losses").agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.partitionBy(*group).orderBy(F.col("wins").desc(), F.col("losses").asc())
-    hkeys = [*group, "wins", "losses"]
+    types = dict(ranked_in.dtypes)
+    kcols = [f"_k_{c}" for c in group]
+    keyed = ranked_in.select(*ranked_in.columns, *[
+        (F.coalesce(F.col(c), F.lit(_NULL_KEY)) if types[c] == "string" else F.col(c)).alias(k)
+        for c, k in zip(group, kcols)])
+    null_safe = [k for c, k in zip(group, kcols) if types[c] != "string"]
+    hist = keyed.groupBy(*kcols, "wins", "losses").agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy(*kcols).orderBy(F.col("wins").desc(), F.col("losses").asc())
     hist = hist.select(
-        *[F.col(c).alias(f"_h_{c}") for c in hkeys],
+        *kcols, "wins", "losses",
         F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("_better"),
         F.first("wins").over(order).alias("_leader_wins"),
         F.first("losses").over(order).alias("_leader_losses"),
     )
-    # null-safe keys: an unmapped team (left join) has a null conference
-    cond = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in hkeys]
-    joined = ranked_in.join(hist, on=cond, how="inner").select(
-        *ranked_in.columns, "_better", "_leader_wins", "_leader_losses")
-    tie = Window.partitionBy(*group, "wins", "losses").orderBy(F.col(team).asc())
+    hkeys = [*kcols, "wins", "losses"]
+    if null_safe:
+        h = hist.select(*[F.col(c).alias(f"_h{c}") for c in hkeys], "_better", "_leader_wins", "_leader_losses")
+        cond = [F.col(c).eqNullSafe(F.col(f"_h{c}")) for c in hkeys]
+        joined = keyed.join(h, on=cond, how="inner").drop(*[f"_h{c}" for c in hkeys])
+    else:
+        joined = keyed.join(hist, on=hkeys, how="inner")
+    tie = Window.partitionBy(*kcols, "wins", "losses").orderBy(F.col(team).asc())
     gb = (F.col("_leader_wins") - F.col("wins") + F.col("losses") - F.col("_leader_losses")).cast("double") / F.lit(2.0)
     return joined.select(
         *partition_keys,

@@ -55,8 +55,9 @@ def apply_required_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at a shared file system and is only read.
-    When it is unset (local tests) a scratch folder is created and registered.
+    On a cluster this setting points at a shared file system and is only read
+    (unset is an error there).  When it is unset in local mode (tests) a
+    scratch folder is created and registered.
     """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf:
@@ -65,6 +66,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             conf = None
     if not conf:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS...): "
+                               "a machine-local folder would not survive the loss of an executor")
         conf = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     spark.sparkContext.setCheckpointDir(conf)
