@@ -153,3 +153,16 @@ def test_contract_check_and_first_run(spark):
         and any("column id is bigint" in e for e in errs)
     assert rows(I.incremental(None, df, "merge", unique_key="id")) == [(1, "a")]
     assert rows(I.incremental(df, _t(spark, [(9, "z", 1)]).select("id", "v"), "append", full_refresh=True)) == [(9, "z")]
+
+
+def test_merge_using_columns_and_explicit_insert(spark):
+    target = _t(spark, [(1, "a", 1), (2, "b", 2)])
+    source = _t(spark, [(2, "B", 20), (3, "C", 30)])
+    clauses = [Clause("matched", "update", mode="explicit", include=("v",)),
+               Clause("not_matched", "insert", mode="explicit", insert_columns=("id", "v", "n"),
+                      insert_values=("s.id", "concat('new-', s.v)", "0"))]
+    got = rows(I.merge(target, source, using=["id"], clauses=clauses))
+    assert got == [(1, "a", 1), (2, "B", 2), (3, "new-C", 0)]
+    # an ON predicate beside USING keys: target rows outside it do not match
+    got2 = rows(I.merge(target, source, using=["id"], predicates=["t.n > 5"]))
+    assert got2 == [(1, "a", 1), (2, "B", 20), (2, "b", 2), (3, "C", 30)]

@@ -82,3 +82,14 @@ def test_valid_to_current_marker(spark):
     h = snapshot(h, _src(spark, [(1, "b")]), cfg, T[1])
     got = sorted((r["v"], r["dbt_valid_to"]) for r in h.collect())
     assert got == [("a", T[1]), ("b", dt.datetime(9999, 12, 31))]
+
+
+def test_renamed_meta_columns(spark):
+    names = {"dbt_valid_from": "valid_from", "dbt_valid_to": "valid_to", "dbt_scd_id": "scd_id",
+             "dbt_updated_at": "updated_at"}
+    cfg = SnapshotConfig("id", "check", check_cols=["v"], hard_deletes="invalidate", column_names=names)
+    h = snapshot(None, _src(spark, [(1, "a"), (2, "b")]), cfg, T[0])
+    assert h.columns == ["id", "v", "scd_id", "updated_at", "valid_from", "valid_to"]
+    h = snapshot(h, _src(spark, [(1, "a2")]), cfg, T[1])
+    got = sorted((r["id"], r["v"], r["valid_from"], r["valid_to"]) for r in h.collect())
+    assert got == [(1, "a", T[0], T[1]), (1, "a2", T[1], None), (2, "b", T[0], T[1])]
