@@ -39,8 +39,3 @@ def weighted_average(value: Column | str, weight: Column | str) -> Column:
     w = F.col(weight) if isinstance(weight, str) else weight
     return F.sum(v * w) / F.nullif(F.sum(w).cast("double"), F.lit(0.0))
 
-
-def geometric_mean(value: Column | str) -> Column:
-    """``exp(avg(ln(v)))`` over positive values."""
-    v = F.col(value) if isinstance(value, str) else value
-    return F.exp(F.avg(F.ln(F.when(v > 0, v))))

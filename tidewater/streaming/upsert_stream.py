@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.operators.writers import apply_incremental
@@ -37,8 +36,3 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
-
-def windowed_counts(stream: DataFrame, ts: str, window: str, watermark: str, by: Sequence[str] = ()) -> DataFrame:
-    """Watermarked tumbling-window counts (event time must be a zoned timestamp)."""
-    s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
-    return s.groupBy(F.window(ts, window), *by).agg(F.count(F.lit(1)).alias("n"))
