@@ -94,3 +94,11 @@ def test_game_ids_with_fallback(spark):
                                      "season string, id string")
     got = rows(P.game_ids_with_fallback(primary, fallback, ["season"]))
     assert got == [("2025", "c"), ("2025", "d"), ("2026", "a"), ("2026", "b")]
+
+
+def test_header_wider_than_rows_is_truncated(spark):
+    page = "<table><tr><th>A</th><th>B</th><th>C</th><th>D</th></tr><tr><td>1</td><td>2</td></tr>" \
+           "<tr><td>3</td></tr></table>"
+    b = P.page_blocks(_pages(spark, [(1, "u", page)]))
+    got = sorted((r["row_no"], r["header"], r["cells"]) for r in P.table_rows(b).collect())
+    assert got == [(1, ["A", "B"], ["1", "2"]), (2, ["A", "B"], ["3", ""])]
