@@ -100,13 +100,21 @@ def decode_payloads(payloads: DataFrame, payload_col: str = "payload", id_col: s
     return rows, quarantine
 
 
-def header_sets(rows: DataFrame) -> list[list[str]]:
+MAX_HEADER_VARIANTS = 10_000
+
+
+def header_sets(rows: DataFrame, max_variants: int = MAX_HEADER_VARIANTS) -> list[list[str]]:
     """Distinct header lists, used only when the caller gives no columns.
 
     The distinct is an aggregate (map-side combined) and what reaches the
-    driver is one short list per endpoint variant, never row data.
+    driver is one short list per endpoint variant, never row data.  More
+    variants than ``max_variants`` is an error (pass ``columns`` instead):
+    the driver never receives an unbounded set.
     """
-    return [list(r["headers"] or []) for r in rows.select("headers").distinct().collect()]
+    found = rows.select("headers").distinct().limit(max_variants + 1).collect()
+    if len(found) > max_variants:
+        raise ValueError(f"more than {max_variants} distinct header lists; pass the output columns explicitly")
+    return [list(r["headers"] or []) for r in found]
 
 
 def rows_to_table(rows: DataFrame, columns: Sequence[str] | None = None,
