@@ -134,6 +134,26 @@ def _keys(unique_key: str | Sequence[str] | None) -> list[str]:
     return [unique_key] if isinstance(unique_key, str) else list(unique_key)
 
 
+def key_range_split(target: DataFrame, source: DataFrame, key: str) -> tuple[DataFrame, DataFrame] | None:
+    """Split the target by the source's ``[min, max]`` on ``key``.
+
+    Target rows outside the range (or with a NULL key) cannot match any
+    source row, so they bypass the join; the range predicates are pushed into
+    the target's scan, so with an increment of recent keys only a thin slice
+    of the target is shuffled.  Returns ``(outside, inside)``, or ``None``
+    when the key type has no order.  One small aggregate of the source is
+    run to fetch the two bounds.
+    """
+    dtype = source.schema[key].dataType
+    if isinstance(dtype, (T.MapType, T.ArrayType, T.StructType, T.BinaryType)):
+        return None
+    lo, hi = source.agg(F.min(key), F.max(key)).first()
+    if lo is None:
+        return target, target.limit(0)
+    inside = F.col(key).between(F.lit(lo).cast(dtype), F.lit(hi).cast(dtype))
+    return target.filter(~F.coalesce(inside, F.lit(False))), target.filter(inside)
+
+
 # --------------------------------------------------------------------------
 # I6 append, I7 delete+insert, I12 insert overwrite, I13 microbatch, I1 partition upsert
 # --------------------------------------------------------------------------
@@ -145,19 +165,25 @@ def append(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def delete_insert(target: DataFrame, source: DataFrame, unique_key: str | Sequence[str] | None,
-                  predicates: Sequence[Column | str] = ()) -> DataFrame:
+                  predicates: Sequence[Column | str] = (), prune_by_key_range: bool = True) -> DataFrame:
     """Delete target rows whose key occurs in the source (and that satisfy all
     ``predicates``, written over target columns), then insert the source.
 
     Without a key it is an append.  The source's distinct keys are a partial
-    aggregate; the delete is a left join on the key, so a large target is
-    shuffled once on the key (or the increment is broadcast if small).
+    aggregate; the delete is a left join on the key (skewed partitions are
+    split by AQE), and with ``prune_by_key_range`` only target rows inside
+    the source's key range take part in it.
     """
     keys = _keys(unique_key)
     src = align_to(source, target.schema)
     if not keys:
         return target.unionByName(src)
-    hit = source.select(*keys).filter(F.lit(True)).groupBy(*keys).agg(F.lit(True).alias("_hit"))
+    if prune_by_key_range:
+        split = key_range_split(target, source, keys[0])
+        if split is not None:
+            outside, inside = split
+            return outside.unionByName(delete_insert(inside, source, keys, predicates, prune_by_key_range=False))
+    hit = source.select(*keys).groupBy(*keys).agg(F.lit(True).alias("_hit"))
     marked = target.join(hit, on=keys, how="left")
     delete = F.coalesce(F.col("_hit"), F.lit(False))
     for p in predicates:
@@ -324,7 +350,8 @@ def merge(target: DataFrame, source: DataFrame, unique_key: str | Sequence[str]
           clauses: Sequence[Clause] | None = None, update_columns: Sequence[str] = (),
           exclude_columns: Sequence[str] = (), set_expressions: Mapping[str, str] | None = None,
           update_condition: str | None = None, insert_condition: str | None = None,
-          using: Sequence[str] = (), predicates: Sequence[str | Column] = (), returning: bool = False) -> DataFrame:
+          using: Sequence[str] = (), predicates: Sequence[str | Column] = (), returning: bool = False,
+          prune_by_key_range: bool = True) -> DataFrame:
     """MERGE as a DataFrame: new target state (or, with ``returning``, the affected rows).
 
     Matching is ``keys equal AND predicates``.  Clauses are tried in order
@@ -338,6 +365,15 @@ def merge(target: DataFrame, source: DataFrame, unique_key: str | Sequence[str]
         update_columns, exclude_columns, set_expressions, update_condition, insert_condition)
     tcols = list(target.columns)
     validate_merge(clauses, unique_key, update_columns, exclude_columns, tcols)
+    # Target rows outside the source's key range can only be "not matched by
+    # source": with no clause for those they are unchanged and skip the join.
+    if prune_by_key_range and keys and not any(c.kind == "not_matched_by_source" for c in clauses):
+        split = key_range_split(target, source, keys[0])
+        if split is not None:
+            outside, inside = split
+            merged = merge(inside, source, unique_key, clauses, using=using, predicates=predicates,
+                           returning=returning, prune_by_key_range=False)
+            return merged if returning else outside.unionByName(merged)
 
     if keys:
         counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_src_n"))
