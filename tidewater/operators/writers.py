@@ -17,7 +17,6 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidewater.operators import incremental as I
 from tidewater.session import checkpoint_dir
