@@ -23,8 +23,9 @@ _SET = T.StructType([
     T.StructField("headers", T.ArrayType(T.StringType())),
     T.StructField("rowSet", T.ArrayType(T.ArrayType(T.StringType()))),
 ])
-PAYLOAD_LIST = T.StructType([T.StructField("resultSets", T.ArrayType(_SET))])
-PAYLOAD_OBJECT = T.StructType([T.StructField("resultSets", _SET), T.StructField("resultSet", _SET)])
+# Outer parse: the two possible members as raw JSON text, plus malformed input.
+_OUTER = T.StructType([T.StructField("resultSets", T.StringType()), T.StructField("resultSet", T.StringType()),
+                       T.StructField("_corrupt", T.StringType())])
 
 
 def to_snake_case(s: str) -> str:
@@ -75,22 +76,24 @@ def decode_payloads(payloads: DataFrame, payload_col: str = "payload", id_col: s
     payloads that are not valid JSON objects, with the raw text.
     """
     raw = F.col(payload_col)
-    as_list = F.from_json(raw, PAYLOAD_LIST, {"mode": "PERMISSIVE"})
-    as_obj = F.from_json(raw, PAYLOAD_OBJECT, {"mode": "PERMISSIVE"})
-    valid = F.from_json(raw, "map<string,string>", {"mode": "PERMISSIVE"}).isNotNull()
-    p = payloads.select(F.col(id_col).alias("payload_id"), raw.alias("_raw"), as_list.alias("_l"),
-                        as_obj.alias("_o"), valid.alias("_valid"))
-    quarantine = p.filter(~F.col("_valid")).select("payload_id", F.col("_raw").alias("payload"),
-                                                   F.lit("malformed json").alias("error"))
-    sets = F.col("_l.resultSets")
+    outer = F.from_json(raw, _OUTER, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    p = payloads.select(F.col(id_col).alias("payload_id"), raw.alias("_raw"), outer.alias("_o"))
+    valid = F.col("_o._corrupt").isNull() & F.col("_raw").isNotNull()
+    quarantine = p.filter(~valid).select("payload_id", F.col("_raw").alias("payload"),
+                                         F.lit("malformed json").alias("error"))
+    # Inner parse: only the member that is present, with the schema of its shape.
+    text = F.ltrim(F.col("_o.resultSets"))
+    is_list = text.startswith("[")
+    sets = F.from_json(F.when(is_list, text), T.ArrayType(_SET))
+    single = F.from_json(F.coalesce(F.when(~is_list, text), F.col("_o.resultSet")), _SET)
     if name is not None:
         named = F.filter(sets, lambda s: s["name"] == F.lit(name))
         by_name = F.get(named, 0)
         chosen_list = by_name if strict else F.coalesce(by_name, F.get(sets, index))
     else:
         chosen_list = F.get(sets, index)
-    chosen = F.coalesce(chosen_list, F.col("_o.resultSets"), F.col("_o.resultSet"))
-    good = p.filter(F.col("_valid")).select("payload_id", chosen.alias("rs"))
+    chosen = F.coalesce(chosen_list, single)
+    good = p.filter(valid).select("payload_id", chosen.alias("rs"))
     # names are normalised once per payload, before the rows are exploded
     good = good.select("payload_id", F.col("rs.headers").alias("headers"), F.col("rs.rowSet").alias("_rowset"))
     good = good.withColumn("names", normalize_names_col(F.col("headers")))
