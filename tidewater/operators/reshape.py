@@ -73,6 +73,18 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     return ranked.drop("_rn")
 
 
+def order_nulls_last(spec: Sequence[str | tuple[str, str]]) -> list[Column]:
+    """Sort keys with NULLs last in both directions (the warehouse's default;
+    Spark's own ascending default puts NULLs first).  ``spec`` items are a
+    column name (ascending) or ``(name, 'asc' | 'desc')``."""
+    out = []
+    for item in spec:
+        name, direction = (item, "asc") if isinstance(item, str) else item
+        c = F.col(name)
+        out.append(c.desc_nulls_last() if direction.lower() == "desc" else c.asc_nulls_last())
+    return out
+
+
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """Global top-k (distributed TakeOrderedAndProject: k rows kept per task)."""
     return df.orderBy(*order).limit(k)

@@ -363,3 +363,23 @@ def q_dates_in_range(t: Tables) -> DataFrame:
     """U8: inclusive formatted dates from the first 1998 order date, 40 days on."""
     first = t.orders.filter(F.year("o_orderdate") == 1998).agg(F.to_date(F.min("o_orderdate")).alias("s")).first()["s"]
     return reshape.dates_in_range(t.spark, first, first + dt.timedelta(days=40))
+
+
+@query("sort_nulls_last", """
+select o_orderkey, nullif(o_orderpriority, '1-URGENT') as priority from orders
+order by priority desc, o_orderkey asc limit 20
+""")
+def q_sort_nulls_last(t: Tables) -> DataFrame:
+    """Multi-key sort with NULLs last in both directions, as a top-k report."""
+    o = t.orders.select("o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("1-URGENT")).alias("priority"))
+    return reshape.top_k(o, reshape.order_nulls_last([("priority", "desc"), "o_orderkey"]), 20)
+
+
+@query("sort_nulls_last_asc", """
+select o_orderkey, nullif(o_orderpriority, '5-LOW') as priority from orders
+order by priority asc, o_orderkey desc limit 20
+""")
+def q_sort_nulls_last_asc(t: Tables) -> DataFrame:
+    """W4 ascending: Spark would put the NULLs first; the warehouse puts them last."""
+    o = t.orders.select("o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("priority"))
+    return reshape.top_k(o, reshape.order_nulls_last(["priority", ("o_orderkey", "desc")]), 20)
