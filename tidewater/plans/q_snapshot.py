@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.snapshot import SnapshotConfig, snapshot, snapshot_initial
+from tidewater.operators.snapshot import SnapshotConfig, snapshot, snapshot_changes, snapshot_initial
 from tidewater.plans.registry import query
 from tidewater.sources.tables import Tables
 
@@ -190,3 +190,17 @@ def q_snapshot_new_record(t: Tables) -> DataFrame:
 def q_snapshot_check_all(t: Tables) -> DataFrame:
     """H5 with ``check_cols='all'`` (every shared column compared, null-aware)."""
     return _run(t, SnapshotConfig("c_custkey", "check", check_cols="all", hard_deletes="invalidate"))
+
+
+@query("snapshot_changes", f"""
+with new_h as ({snapshot_sql("check", "invalidate")}),
+old_h as ({INITIAL_SQL})
+select n.*, case when o.dbt_scd_id is null then 'insert' else 'update' end as dbt_change_type
+from new_h n left join old_h o on n.dbt_scd_id = o.dbt_scd_id
+where o.dbt_scd_id is null or n.dbt_valid_to is distinct from o.dbt_valid_to
+""")
+def q_snapshot_changes(t: Tables) -> DataFrame:
+    """H2: the staged change set of a snapshot run (new versions as inserts,
+    closed versions as updates)."""
+    cfg = SnapshotConfig("c_custkey", "check", check_cols=["c_acctbal", "c_mktsegment"], hard_deletes="invalidate")
+    return snapshot_changes(snapshot(None, v1(t), cfg, T1), v2(t), cfg, T2)
