@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.exprs import ratio, round_half_away, to_cents
-from tidewater.operators.joins import join_small_literal, merge_prefer
+from tidewater.operators.joins import join_small_literal, literal_frame, merge_prefer
 
 # --------------------------------------------------------------------------
 # staging (P1-P7): renames, null-key filters, text defaults
@@ -310,3 +310,18 @@ def fact_player_per_game(totals: DataFrame, keys: Sequence[str] = ("player_id",
         outs[name] = round_half_away(total(n) / F.nullif(total(d), F.lit(0.0)), ratio_digits)
     order = list(output_order) if output_order else list(outs)
     return agg.filter(F.col("g") > 0).select(*keys, *[outs[c].alias(c) for c in order if c in outs])
+
+
+def unmapped_teams(games: DataFrame, conference: DataFrame | Mapping[str, str] | None = None,
+                   team: str = "team", spark: SparkSession | None = None) -> DataFrame:
+    """Teams with results but no conference (they drop out of the standings'
+    inner join): ``(team, games)``."""
+    if conference is None:
+        conference = CONFERENCE_MAP
+    if isinstance(conference, Mapping):
+        spark = spark or games.sparkSession
+        conference = F.broadcast(literal_frame(spark, conference, team, "conference",
+                                               key_type=dict(games.dtypes)[team]))
+    played = games.filter(F.col("wl").isin("W", "L")) if "wl" in games.columns else games
+    counts = played.groupBy(team).agg(F.count(F.lit(1)).alias("games"))
+    return counts.join(conference.select(team), team, "left_anti")
