@@ -68,6 +68,8 @@ def test_surrogate_key_matches_python_md5(spark):
 def test_date_spine_end_exclusive_and_ranges(spark):
     days = [r[0] for r in reshape.date_spine(spark, "day", dt.date(2024, 1, 1), dt.date(2024, 1, 4)).collect()]
     assert days == [dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
+    assert reshape.date_spine(spark, "day", dt.date(2024, 1, 4), dt.date(2024, 1, 1)).count() == 0
+    assert reshape.date_spine(spark, "day", dt.date(2024, 1, 4), dt.date(2024, 1, 4)).count() == 0
     months = reshape.date_spine(spark, "month", dt.date(2024, 1, 1), dt.date(2024, 4, 1)).count()
     assert months == 3
     assert [r[0] for r in reshape.dates_in_range(spark, dt.date(2024, 2, 28), dt.date(2024, 3, 1)).collect()] == \

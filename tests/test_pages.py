@@ -102,3 +102,11 @@ def test_header_wider_than_rows_is_truncated(spark):
     b = P.page_blocks(_pages(spark, [(1, "u", page)]))
     got = sorted((r["row_no"], r["header"], r["cells"]) for r in P.table_rows(b).collect())
     assert got == [(1, ["A", "B"], ["1", "2"]), (2, ["A", "B"], ["3", ""])]
+
+
+def test_empty_rows_and_null_page_id(spark):
+    pages = _pages(spark, [(1, "u", "<table><tr><th>A</th></tr><tr></tr></table>"), (None, "u", "<ul><li>x</li></ul>")])
+    b = P.page_blocks(pages)
+    assert [r["page_id"] for r in b.collect()] == [1, 1]
+    got = P.table_rows(b).collect()
+    assert [(r["header"], r["cells"]) for r in got] == [([], [])]

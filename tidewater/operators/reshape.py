@@ -144,7 +144,9 @@ def date_spine_from(bounds: DataFrame, part: str, start: str = "start", end: str
     part = part.lower()
     name = name or f"date_{part}"
     n = _datediff(F.col(start), F.col(end), part)
-    seq = F.sequence(F.to_date(start), F.to_date(end), F.expr(_STEP[part]))
+    # end before start: no periods (a sequence with a positive step would raise)
+    seq = F.when(F.to_date(end) >= F.to_date(start),
+                 F.sequence(F.to_date(start), F.to_date(end), F.expr(_STEP[part]))).otherwise(F.array().cast("array<date>"))
     spine = bounds.select(F.to_date(start).alias("_s"), F.to_date(end).alias("_e"), n.alias("_n"),
                           F.posexplode(seq).alias("_k", name))
     return spine.filter((F.col("_k") < F.col("_n")) & (F.col(name) <= F.col("_e"))) \

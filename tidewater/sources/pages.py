@@ -177,6 +177,8 @@ def _blocks_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
         for pid, markup in zip(pdf["page_id"], pdf["html"]):
+            if pd.isna(pid):
+                continue
             for kind, no, heading, card, row_no, cells in parse_blocks(markup):
                 out.append((int(pid), kind, int(no), heading or None, card, int(row_no), list(cells)))
         yield pd.DataFrame(out, columns=cols)
@@ -200,10 +202,10 @@ def table_rows(blocks: DataFrame, first_table_only: bool = False) -> DataFrame:
     body = t.filter(F.col("row_no") > 0)
     width = body.groupBy(*key).agg(F.max(F.size("cells")).alias("ncols"))
     j = body.join(hdr, key, "left").join(width, key)
-    padded = F.transform(F.sequence(F.lit(0), F.col("ncols") - 1),
-                         lambda i: F.coalesce(F.get(F.col("cells"), i), F.lit("")))
-    names = F.transform(F.sequence(F.lit(0), F.col("ncols") - 1),
-                        lambda i: F.coalesce(F.get(F.col("header"), i), F.concat(F.lit("col_"), i.cast("string"))))
+    # positions 0..ncols-1 (empty when no row has a cell: sequence(0, -1) would count down)
+    idx = F.when(F.col("ncols") > 0, F.sequence(F.lit(0), F.col("ncols") - 1)).otherwise(F.array().cast("array<int>"))
+    padded = F.transform(idx, lambda i: F.coalesce(F.get(F.col("cells"), i), F.lit("")))
+    names = F.transform(idx, lambda i: F.coalesce(F.get(F.col("header"), i), F.concat(F.lit("col_"), i.cast("string"))))
     return j.select(*key, "heading", "card", "row_no", names.alias("header"), padded.alias("cells"))
 
 
