@@ -192,3 +192,81 @@ def q_page_headings(t: Tables) -> DataFrame:
     """Date, teams and scores parsed from each page's heading text."""
     h = t.pages.select("page_id", F.trim(F.regexp_extract("html", r"<h1>(.*?)</h1>", 1)).alias("heading"))
     return P.parse_score_headings(h, "heading")
+
+
+# --------------------------------------------------------------------------
+# Box-score pages: lineitem encoded as HTML tables, then parsed back
+# --------------------------------------------------------------------------
+
+ORDERS_PER_PAGE = 20
+
+
+def box_score_pages(t: Tables) -> DataFrame:
+    """One page per 20 consecutive orders.  Per order: a ``div.card`` with an
+    h3 heading and a stat table (header Player/MIN/PTS, one row per line, a
+    TOTALS row, a one-cell row), then a four-cell event table per line."""
+    li = t.lineitem
+    qty = F.col("l_quantity").cast("bigint").cast("string")
+    stat_row = F.concat(F.lit("<tr><td>S"), F.col("l_suppkey").cast("string"), F.lit("</td><td>"),
+                        F.col("l_linenumber").cast("string"), F.lit("</td><td>"), qty, F.lit("</td></tr>"))
+    event_row = F.concat(F.lit("<tr><td>"), F.col("l_returnflag"), F.lit("</td><td>"), F.col("l_linestatus"),
+                         F.lit("</td><td>"), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("</td><td>line "),
+                         F.col("l_linenumber").cast("string"), F.lit(" &amp; more</td></tr>"))
+    per_order = li.groupBy("l_orderkey").agg(
+        F.array_join(F.collect_list(stat_row), "").alias("stats"),
+        F.array_join(F.collect_list(event_row), "").alias("events"),
+        F.sum(F.col("l_quantity").cast("bigint")).alias("total"))
+    block = F.concat(
+        F.lit('<div class="card"><h3>Order '), F.col("l_orderkey").cast("string"),
+        F.lit("</h3><table><tr><th>Player</th><th>MIN</th><th>PTS</th></tr>"), F.col("stats"),
+        F.lit("<tr><td>TOTALS</td><td></td><td>"), F.col("total").cast("string"), F.lit("</td></tr>"),
+        F.lit("<tr><td>x</td></tr></table></div><table>"), F.col("events"), F.lit("</table>"))
+    pages = (per_order.select(F.floor(F.col("l_orderkey") / ORDERS_PER_PAGE).alias("page_id"), "l_orderkey",
+                              block.alias("block"))
+             .groupBy("page_id")
+             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", "block"))),
+                                           lambda x: x["block"]), "").alias("body")))
+    return pages.select("page_id", F.lit("").alias("url"),
+                        F.concat(F.lit("<html><body>"), F.col("body"), F.lit("</body></html>")).alias("html"))
+
+
+@query("page_box_scores", f"""
+select cast(floor(l_orderkey / {ORDERS_PER_PAGE}) as bigint) as page_id, 'Order ' || cast(l_orderkey as varchar) as team_name,
+       'S' || cast(l_suppkey as varchar) as player, cast(l_linenumber as varchar) as min,
+       cast(cast(l_quantity as bigint) as varchar) as pts
+from lineitem
+""")
+def q_page_box_scores(t: Tables) -> DataFrame:
+    """S5 + S6: stat tables found by their header markers, total and short rows
+    skipped, the team from the nearest heading, cells keyed by header name."""
+    rows = P.box_score_rows(P.page_blocks(box_score_pages(t)))
+    return P.stat_columns(rows, ["player", "min", "pts"]).select("page_id", "team_name", "player", "min", "pts")
+
+
+@query("page_stat_cards", f"""
+with o as (select l_orderkey, cast(sum(cast(l_quantity as bigint)) as varchar) as total from lineitem group by 1)
+select cast(floor(l_orderkey / {ORDERS_PER_PAGE}) as bigint) as page_id, 'Order ' || cast(l_orderkey as varchar) as team,
+       ['S' || cast(l_suppkey as varchar), cast(l_linenumber as varchar), cast(cast(l_quantity as bigint) as varchar)]
+       as cells
+from lineitem
+union all
+select cast(floor(l_orderkey / {ORDERS_PER_PAGE}) as bigint), 'Order ' || cast(l_orderkey as varchar), ['TOTALS', '', total] from o
+union all
+select cast(floor(l_orderkey / {ORDERS_PER_PAGE}) as bigint), 'Order ' || cast(l_orderkey as varchar), ['x', '', ''] from o
+""")
+def q_page_stat_cards(t: Tables) -> DataFrame:
+    """Every row of tables inside ``div.card`` blocks, keyed by the card's
+    title, ragged rows padded to the table's width."""
+    rows = P.stat_card_rows(P.page_blocks(box_score_pages(t)))
+    return rows.select("page_id", "team", "cells")
+
+
+@query("page_play_by_play", f"""
+select cast(floor(l_orderkey / {ORDERS_PER_PAGE}) as bigint) as page_id, l_returnflag as home, l_linestatus as away,
+       strftime(l_shipdate, '%Y-%m-%d') as time, 'line ' || cast(l_linenumber as varchar) || ' & more' as description
+from lineitem
+""")
+def q_page_play_by_play(t: Tables) -> DataFrame:
+    """Four-cell rows of every table (all tables, not only the first)."""
+    pbp = P.play_by_play_rows(P.page_blocks(box_score_pages(t)))
+    return pbp.select("page_id", "home", "away", "time", "description")
