@@ -270,3 +270,24 @@ def q_page_play_by_play(t: Tables) -> DataFrame:
     """Four-cell rows of every table (all tables, not only the first)."""
     pbp = P.play_by_play_rows(P.page_blocks(box_score_pages(t)))
     return pbp.select("page_id", "home", "away", "time", "description")
+
+
+@query("page_quarantine", f"""
+with firsts as (
+    select floor(o_orderkey / {ORDERS_PER_PAGE}) as page_id, arg_min(o_orderstatus, o_orderkey) as first_status
+    from orders where o_orderkey in (select l_orderkey from lineitem) group by 1
+)
+select cast(page_id as bigint) as page_id, 'empty page' as error from firsts where first_status = 'P'
+""")
+def q_page_quarantine(t: Tables) -> DataFrame:
+    """A page batch where some fetches came back empty (pages whose first
+    order is still pending): those go to a quarantine, the rest are parsed."""
+    pages = box_score_pages(t)
+    first = (t.orders.join(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct(), "o_orderkey")
+             .groupBy(F.floor(F.col("o_orderkey") / ORDERS_PER_PAGE).alias("page_id"))
+             .agg(F.min_by("o_orderstatus", "o_orderkey").alias("first_status")))
+    blanked = (pages.join(first, "page_id", "left")
+               .select("page_id", "url", F.when(F.col("first_status") == "P", F.lit("")).otherwise(F.col("html"))
+                       .alias("html")))
+    _, bad = P.parse_with_quarantine(blanked)
+    return bad.select(F.col("page_id").cast("bigint").alias("page_id"), "error")
