@@ -291,3 +291,29 @@ def q_page_quarantine(t: Tables) -> DataFrame:
                        .alias("html")))
     _, bad = P.parse_with_quarantine(blanked)
     return bad.select(F.col("page_id").cast("bigint").alias("page_id"), "error")
+
+
+@query("game_ids_fallback", """
+with primary_ids as (
+    select distinct cast(year(o_orderdate) as varchar) as season, cast(o_orderkey as varchar) as id from orders
+    where o_orderstatus = 'F' and o_orderpriority = '1-URGENT' and year(o_orderdate) < 1998
+),
+fallback_ids as (
+    select distinct cast(year(o.o_orderdate) as varchar) as season, cast(l.l_orderkey as varchar) as id
+    from lineitem l join orders o on l.l_orderkey = o.o_orderkey
+)
+select * from primary_ids
+union all
+select * from fallback_ids f where f.season not in (select season from primary_ids)
+""")
+def q_game_ids_fallback(t: Tables) -> DataFrame:
+    """Per season, the scoreboard's game ids when it has any, else the
+    unique ids gathered from all team pages."""
+    o = t.orders
+    primary = (o.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
+                        & (F.year("o_orderdate") < 1998))
+               .select(F.year("o_orderdate").cast("string").alias("season"), F.col("o_orderkey").cast("string").alias("id"))
+               .distinct())
+    fallback = (t.lineitem.select("l_orderkey").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+                .select(F.year("o_orderdate").cast("string").alias("season"), F.col("l_orderkey").cast("string").alias("id")))
+    return P.game_ids_with_fallback(primary, fallback, ["season"]).select("season", "id")
