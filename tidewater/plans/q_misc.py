@@ -155,3 +155,17 @@ def q_agg_function(t: Tables) -> DataFrame:
     aggregation intact); integer-valued products keep the sums exact."""
     li = t.lineitem
     return li.groupBy("l_returnflag").agg(Y.weighted_average("l_quantity", "l_linenumber").alias("wavg_qty"))
+
+
+@query("full_replace", """
+select c_custkey, c_name, c_mktsegment from customer where c_mktsegment <> 'MACHINERY'
+""")
+def q_full_replace(t: Tables) -> DataFrame:
+    """A table rebuilt from a frame that reads the table itself (written to a
+    staging path, then swapped in; the old files go only after the swap)."""
+    spark = t.spark
+    path = _scratch(t, "replace") + "/customers"
+    W.replace_table(t.customer.select("c_custkey", "c_name", "c_mktsegment"), path)
+    current = spark.read.parquet(path)
+    W.replace_table(current.filter(F.col("c_mktsegment") != "MACHINERY"), path)
+    return spark.read.parquet(path)

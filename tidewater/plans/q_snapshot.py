@@ -204,3 +204,55 @@ def q_snapshot_changes(t: Tables) -> DataFrame:
     closed versions as updates)."""
     cfg = SnapshotConfig("c_custkey", "check", check_cols=["c_acctbal", "c_mktsegment"], hard_deletes="invalidate")
     return snapshot_changes(snapshot(None, v1(t), cfg, T1), v2(t), cfg, T2)
+
+
+CURRENT_SQL = "timestamp '9999-12-31 00:00:00'"
+RENAMED = {"dbt_scd_id": "scd_id", "dbt_updated_at": "row_updated_at", "dbt_valid_from": "valid_from",
+           "dbt_valid_to": "valid_to"}
+
+
+def _h9_sql() -> str:
+    """Oracle for a composite key (nation, customer), renamed meta columns and an
+    open-row marker literal instead of NULL (check strategy, invalidate)."""
+    cols = ", ".join(COLS)
+    s_cols = ", ".join(f"s.{c}" for c in COLS)
+    on = "snap.c_nationkey = s.c_nationkey and snap.c_custkey = s.c_custkey"
+    changed = "(" + " or ".join(
+        f"snap.{c} != s.{c} or ((snap.{c} is null) and not (s.{c} is null)) "
+        f"or ((not snap.{c} is null) and (s.{c} is null))" for c in ("c_acctbal", "c_mktsegment")) + ")"
+    return f"""
+with {_V_SQL},
+h as (
+    select {cols}, {_md5('c_nationkey', 'c_custkey', T1_SQL)} as scd_id, {T1_SQL} as row_updated_at,
+           {T1_SQL} as valid_from, {CURRENT_SQL} as valid_to
+    from v1
+),
+snap as (select * from h where valid_to = {CURRENT_SQL} or valid_to is null),
+ins as (
+    select {s_cols}, {_md5('s.c_nationkey', 's.c_custkey', T2_SQL)} as scd_id, {T2_SQL} as row_updated_at,
+           {T2_SQL} as valid_from, {CURRENT_SQL} as valid_to
+    from v2 s left join snap on {on}
+    where snap.c_custkey is null or (snap.c_custkey is not null and {changed})
+),
+closers as (
+    select snap.scd_id, {T2_SQL} as new_to from v2 s join snap on {on} where {changed}
+    union all
+    select snap.scd_id, {T2_SQL} from snap left join v2 s on {on} where s.c_custkey is null
+)
+select h.c_custkey, h.c_name, h.c_nationkey, h.c_acctbal, h.c_mktsegment, h.scd_id, h.row_updated_at, h.valid_from,
+       case when c.scd_id is not null and (h.valid_to = {CURRENT_SQL} or h.valid_to is null) then c.new_to
+            else h.valid_to end as valid_to
+from h left join closers c on c.scd_id = h.scd_id
+union all
+select {cols}, scd_id, row_updated_at, valid_from, valid_to from ins
+"""
+
+
+@query("snapshot_composite_key", _h9_sql())
+def q_snapshot_composite_key(t: Tables) -> DataFrame:
+    """H8 + H9: composite unique key, renamed meta columns, and open rows marked
+    by a far-future literal instead of NULL."""
+    cfg = SnapshotConfig(["c_nationkey", "c_custkey"], "check", check_cols=["c_acctbal", "c_mktsegment"],
+                         hard_deletes="invalidate", valid_to_current="timestamp'9999-12-31 00:00:00'",
+                         column_names=RENAMED)
+    return _run(t, cfg)
