@@ -11,8 +11,9 @@ Link and id extraction never needs the parser: it is JVM-side regex.
 
 from __future__ import annotations
 
+import html as _html
+import re
 from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,11 +38,21 @@ def _clean(text: str) -> str:
     return " ".join(text.split()) if text else ""
 
 
-class _BlockParser(HTMLParser):
-    """Collects table rows and list items with their heading context."""
+# One pass over the markup: comments, declarations, tags (name + raw attributes), text.
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*)>|([^<]+)|<", re.S)
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style")}
+_CLASS_ATTR = re.compile(r"""class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+
+
+class _BlockParser:
+    """Collects table rows and list items with their heading context.
+
+    A small tokenizer (one regular expression) drives the state machine:
+    only the tags that shape blocks matter, text is entity-decoded only when
+    it contains ``&``, and script/style bodies are skipped to their end tag.
+    """
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.blocks: list[tuple] = []
         self.counters = {"table": 0, "list": 0}
         self.tables: list[dict] = []          # open tables (innermost last)
@@ -76,6 +87,36 @@ class _BlockParser(HTMLParser):
             t["rows"].append(t["row"])
             t["row"] = None
 
+    # -- tokenizer -------------------------------------------------------
+    def feed(self, markup: str) -> None:
+        pos, n = 0, len(markup)
+        find = _TOKEN.match
+        while pos < n:
+            m = find(markup, pos)
+            end = m.end()
+            name = m.group(2)
+            if name is not None:
+                tag = name.lower()
+                if m.group(1):
+                    self.handle_endtag(tag)
+                elif tag in ("script", "style"):
+                    close = _RAW_END[tag].search(markup, end)
+                    end = n if close is None else close.end()
+                else:
+                    attrs = m.group(3)
+                    cls = _CLASS_ATTR.search(attrs) if tag == "div" and attrs else None
+                    self.handle_starttag(tag, [("class", next(g for g in cls.groups() if g is not None))]
+                                         if cls else [])
+            elif m.group(4) is not None:
+                text = m.group(4)
+                self.handle_data(_html.unescape(text) if "&" in text else text)
+            elif m.group(0) == "<":
+                self.handle_data("<")
+            pos = end
+
+    def close(self) -> None:
+        pass
+
     # -- events ----------------------------------------------------------
     def handle_starttag(self, tag, attrs):
         if tag in ("script", "style"):
