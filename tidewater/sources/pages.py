@@ -1,8 +1,9 @@
 """Landed HTML pages -> tables.
 
 Input is a DataFrame ``pages(page_id, url, html)``.  Parsing markup needs
-Python (stdlib ``html.parser``; no third-party parser), so ``page_blocks``
-runs once per page inside ``mapInPandas`` with small Arrow batches and emits
+Python (a small tokenizer of our own over one regular expression; no
+third-party parser), so ``page_blocks`` runs once per page inside
+``mapInPandas`` with small Arrow batches and emits
 narrow rows ``(page_id, kind, block_no, heading, card, row_no, cells)``; the
 ``html`` column is dropped right there.  Everything after that (filters,
 header matching, ids, joins, first-seen dedupe) is plain DataFrame work.
