@@ -183,12 +183,16 @@ def _any_distinct(cols: Sequence[str]) -> Column:
 
 def snapshot_changes(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now: dt.datetime) -> DataFrame:
     """The staged change set (H2): rows of the new history that differ from
-    the old, tagged ``insert`` (new version) or ``update`` (closed version)."""
+    the old, tagged ``insert`` (a new version, deletion records included),
+    ``update`` (a version closed by a change) or ``delete`` (a version closed
+    because its key left the source)."""
     new = snapshot(history, source, cfg, now)
     n_scd, n_to = cfg.name("dbt_scd_id"), cfg.name("dbt_valid_to")
     old = history.select(F.col(n_scd).alias("_old_scd"), F.col(n_to).alias("_old_to"))
-    j = new.join(old, F.col(n_scd) == F.col("_old_scd"), "left")
-    tag = F.when(F.col("_old_scd").isNull(), F.lit("insert")) \
-        .when(is_distinct_from(F.col(n_to), F.col("_old_to")), F.lit("update"))
-    return j.withColumn("dbt_change_type", tag).filter(F.col("dbt_change_type").isNotNull()) \
-        .drop("_old_scd", "_old_to")
+    present = source.select(*cfg.keys).groupBy(*cfg.keys).agg(F.lit(True).alias("_in_source"))
+    j = new.join(old, F.col(n_scd) == F.col("_old_scd"), "left").join(present, cfg.keys, "left")
+    tag = (F.when(F.col("_old_scd").isNull(), F.lit("insert"))
+           .when(is_distinct_from(F.col(n_to), F.col("_old_to")),
+                 F.when(F.col("_in_source").isNull(), F.lit("delete")).otherwise(F.lit("update"))))
+    return (j.withColumn("dbt_change_type", tag).filter(F.col("dbt_change_type").isNotNull())
+            .select(*new.columns, "dbt_change_type"))

@@ -194,14 +194,20 @@ def q_snapshot_check_all(t: Tables) -> DataFrame:
 
 @query("snapshot_changes", f"""
 with new_h as ({snapshot_sql("check", "invalidate")}),
-old_h as ({INITIAL_SQL})
-select n.*, case when o.dbt_scd_id is null then 'insert' else 'update' end as dbt_change_type
+old_h as ({INITIAL_SQL}),
+src_keys as (
+    select c_custkey from customer where c_mktsegment <> 'MACHINERY'
+    union all select c_custkey + 100000 from customer where c_nationkey = 7
+)
+select n.*, case when o.dbt_scd_id is null then 'insert'
+                 when n.c_custkey not in (select c_custkey from src_keys) then 'delete'
+                 else 'update' end as dbt_change_type
 from new_h n left join old_h o on n.dbt_scd_id = o.dbt_scd_id
 where o.dbt_scd_id is null or n.dbt_valid_to is distinct from o.dbt_valid_to
 """)
 def q_snapshot_changes(t: Tables) -> DataFrame:
     """H2: the staged change set of a snapshot run (new versions as inserts,
-    closed versions as updates)."""
+    versions closed by a change as updates, by a hard delete as deletes)."""
     cfg = SnapshotConfig("c_custkey", "check", check_cols=["c_acctbal", "c_mktsegment"], hard_deletes="invalidate")
     return snapshot_changes(snapshot(None, v1(t), cfg, T1), v2(t), cfg, T2)
 
