@@ -2,15 +2,38 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Schemas of local table files, keyed by (path, size, mtime): a later read of
+# the same file version passes the schema and skips the inference job.
+_SCHEMAS: dict[tuple, object] = {}
+
+
+def _version(path: str):
+    try:
+        st = os.stat(path)
+    except OSError:
+        return None                      # not a local file (or missing): no caching
+    return (path, st.st_size, st.st_mtime_ns) if os.path.isfile(path) else None
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Lazy parquet scan; column pruning and filters reach the reader."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    key = _version(path)
+    schema = _SCHEMAS.get(key) if key else None
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    if key:
+        _SCHEMAS[key] = df.schema
+    return df
 
 
 class Tables:
