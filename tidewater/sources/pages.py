@@ -14,13 +14,19 @@ from __future__ import annotations
 
 import html as _html
 import re
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The parser runs in Python workers: ship this module's code with the task
+# (pickled by value), so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
     T.StructField("kind", T.StringType()),        # 'table' | 'list'
