@@ -101,3 +101,33 @@ def test_keep_one_and_top_n_against_python(spark):
     whole = reshape.top_n_per_group(df, [], order, 3, rank_col="r").collect()
     assert [(r["ts"], r["id"], r["r"]) for r in whole] == \
         [(t, i, n) for n, (_, t, i) in enumerate(sorted(data, key=lambda x: (-x[1], x[2]))[:3], 1)]
+
+
+def test_date_functions_against_duckdb_on_random_timestamps(spark):
+    import duckdb
+    rnd = random.Random(11)
+    base = dt.datetime(1999, 12, 25)
+    pairs = [(base + dt.timedelta(seconds=rnd.randint(-10**8, 10**8)),
+              base + dt.timedelta(seconds=rnd.randint(-10**8, 10**8))) for _ in range(600)]
+    pairs += [(dt.datetime(2024, 1, 31, 23, 59), dt.datetime(2024, 2, 29, 0, 1)),
+              (dt.datetime(2023, 3, 31), dt.datetime(2023, 3, 31))]
+    ns = [rnd.randint(-30, 30) for _ in pairs]
+    df = spark.createDataFrame([(a, b, n) for (a, b), n in zip(pairs, ns)], "a timestamp_ntz, b timestamp_ntz, n int")
+    parts = ("year", "quarter", "month", "week", "day", "hour", "minute")
+    got = df.select(*[X.datediff("a", "b", p).alias(p) for p in parts],
+                    *[X.dateadd(p, F.col("n"), "a").alias(f"add_{p}")
+                      for p in ("year", "quarter", "month", "week", "day", "hour")],
+                    *[X.last_day("a", p).alias(f"ld_{p}") for p in ("month", "quarter", "year", "week")]).collect()
+    con = duckdb.connect()
+    con.execute("create table p (a timestamp, b timestamp, n bigint)")
+    con.executemany("insert into p values (?, ?, ?)", [(a, b, n) for (a, b), n in zip(pairs, ns)])
+    week = ("(date_diff('day', a, b) // 7 + case when date_part('dow', a) <= date_part('dow', b) "
+            "then case when a <= b then 0 else -1 end else case when a <= b then 1 else 0 end end)")
+    diffs = ", ".join(week if p == "week" else f"date_diff('{p}', a, b)" for p in parts)
+    adds = ", ".join([f"a + n * interval 1 {u}" for u in ("year",)] + ["a + (n * 3) * interval 1 month",
+                     "a + n * interval 1 month", "a + (n * 7) * interval 1 day", "a + n * interval 1 day",
+                     "a + n * interval 1 hour"])
+    lds = ", ".join(f"cast(date_trunc('{u}', a) + interval {k} - interval 1 day as date)"
+                    for u, k in (("month", "1 month"), ("quarter", "3 month"), ("year", "1 year"), ("week", "7 day")))
+    want = con.execute(f"select {diffs}, {adds}, {lds} from p").fetchall()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
