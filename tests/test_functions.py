@@ -131,3 +131,24 @@ def test_date_functions_against_duckdb_on_random_timestamps(spark):
                     for u, k in (("month", "1 month"), ("quarter", "3 month"), ("year", "1 year"), ("week", "7 day")))
     want = con.execute(f"select {diffs}, {adds}, {lds} from p").fetchall()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_rounding_split_part_and_md5_against_duckdb(spark):
+    import duckdb
+    rnd = random.Random(12)
+    vals = [rnd.uniform(-1e5, 1e5) for _ in range(3000)] + [rnd.randint(-10**5, 10**5) / 1000 + 0.0005
+                                                            for _ in range(2000)] + [0.285, 1.005, -2.675, 0.125]
+    texts = ["a.b.c", "", "x", "a..b", ".lead", "trail.", "no-dots-here", "1.2.3.4.5"]
+    rows = [(v, texts[i % len(texts)], i if i % 7 else None) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "x double, s string, k int")
+    got = df.select(*[X.round_half_away("x", d) for d in (0, 1, 2, 3)],
+                    *[X.split_part("s", ".", p) for p in (1, 2, -1, -2, 5)],
+                    X.surrogate_key(["k", "s"])).collect()
+    con = duckdb.connect()
+    con.execute("create table t (x double, s varchar, k integer)")
+    con.executemany("insert into t values (?, ?, ?)", rows)
+    sql = ("select round(x, 0), round(x, 1), round(x, 2), round(x, 3), "
+           + ", ".join(f"string_split(s, '.')[{p}]" for p in (1, 2, -1, -2, 5))
+           + ", md5(coalesce(cast(k as varchar), '') || '|' || coalesce(cast(s as varchar), '')) from t")
+    want = con.execute(sql).fetchall()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
