@@ -25,9 +25,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tidewater.plans.registry import runner  # noqa: E402
 from tidewater.session import local_session  # noqa: E402
 
-COLLECT = ("fact_standings", "fact_per_game")
+COLLECT = ("fact_standings", "fact_per_game", "per_game_core")
 HEADLINE = (
-    "fact_standings", "fact_per_game", "fact_standings_by_season", "dim_games", "dim_players",
+    "fact_standings", "fact_per_game", "per_game_core", "fact_standings_by_season", "dim_games", "dim_players",
     "dedupe_latest", "top_n_per_group", "listagg_limited", "inc_merge_clauses", "inc_delete_insert",
     "snapshot_new_record", "dq_aggregated_unique", "column_profile", "date_diff_parts",
     "resultset_rows", "page_list_rows", "page_links",
