@@ -166,3 +166,11 @@ def test_merge_using_columns_and_explicit_insert(spark):
     # an ON predicate beside USING keys: target rows outside it do not match
     got2 = rows(I.merge(target, source, using=["id"], predicates=["t.n > 5"]))
     assert got2 == [(1, "a", 1), (2, "B", 20), (2, "b", 2), (3, "C", 30)]
+
+
+def test_fixture_frame_missing_and_unknown_columns(spark):
+    from tidewater.operators import quality as Q
+    df = Q.fixture_frame(spark, [{"id": 1, "v": "a"}, {"id": 2}], "id bigint, v string, n bigint")
+    assert rows(df) == [(1, "a", None), (2, None, None)]
+    with pytest.raises(ValueError, match="nope"):
+        Q.fixture_frame(spark, [{"id": 1, "nope": 2}], "id bigint")

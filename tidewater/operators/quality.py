@@ -214,3 +214,17 @@ def column_profile(df: DataFrame, table_name: str = "table", exact_distinct: boo
     return one.select(F.lit(table_name).alias("table_name"), F.col("__rows").cast("bigint").alias("n_rows"),
                       rows.alias("r")).select("table_name", "r.column_name", "r.data_type", "n_rows",
                                               "r.n_nulls", "r.n_distinct", "r.min_value", "r.max_value")
+
+
+def fixture_frame(spark, rows: Sequence[dict], schema: T.StructType | str) -> DataFrame:
+    """Unit-test fixture rows (dicts) as a typed frame.
+
+    Columns a row leaves out are NULL; a key that is not a column of the
+    schema is an error (reported for all rows at once).
+    """
+    st = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
+    names = [f.name for f in st.fields]
+    unknown = sorted({k for r in rows for k in r} - set(names))
+    if unknown:
+        raise ValueError(f"fixture columns not in the schema: {', '.join(unknown)}")
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], st)
