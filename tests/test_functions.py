@@ -152,3 +152,11 @@ def test_rounding_split_part_and_md5_against_duckdb(spark):
            + ", md5(coalesce(cast(k as varchar), '') || '|' || coalesce(cast(s as varchar), '')) from t")
     want = con.execute(sql).fetchall()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_keep_one_with_map_payload(spark):
+    df = spark.createDataFrame([(1, 5, {"a": 1}), (1, 7, {"b": 2}), (2, 1, None)], "k int, ts int, m map<string,int>")
+    got = {r["k"]: (r["ts"], r["m"]) for r in reshape.keep_one_per_key(df, ["k"], ["ts"]).collect()}
+    assert got == {1: (7, {"b": 2}), 2: (1, None)}
+    first = {r["k"]: r["ts"] for r in reshape.keep_one_per_key(df, ["k"], ["ts"], latest=False).collect()}
+    assert first == {1: 5, 2: 1}

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.functions.exprs import datediff as _datediff
 
@@ -17,16 +18,21 @@ from tidewater.functions.exprs import datediff as _datediff
 
 def keep_one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], latest: bool = True) -> DataFrame:
     """Keep one row per key: the one with the greatest (``latest``) or least
-    ``order_by`` tuple, remaining columns breaking ties (deterministic).
+    ``order_by`` tuple, the remaining orderable columns breaking ties
+    (deterministic).
 
-    Expressed as ``max``/``min`` of a struct, i.e. an aggregate with a
-    map-side partial step: a key holding a third of all rows is reduced
+    Expressed as ``max_by``/``min_by`` over a struct, i.e. an aggregate with
+    a map-side partial step: a key holding a third of all rows is reduced
     inside each input task before the shuffle, never sorted in one task.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    packed = F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in rest])
-    agg = F.max(packed) if latest else F.min(packed)
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    unordered = (T.MapType, T.BinaryType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType, T.BinaryType)
+    tie_break = [c for c in rest if not isinstance(types[c], unordered)]
+    row = F.struct(*[F.col(c) for c in [*order_by, *rest]])
+    rank = F.struct(*[F.col(c) for c in [*order_by, *tie_break]])
+    agg = F.max_by(row, rank) if latest else F.min_by(row, rank)
     out = df.groupBy(*keys).agg(agg.alias("_keep"))
     return out.select(*keys, *[F.col(f"_keep.{c}").alias(c) for c in [*order_by, *rest]]).select(*df.columns)
 
