@@ -128,3 +128,17 @@ def test_staging_renames_and_filters(spark):
         players = players.withColumn(c, F.lit(None).cast("string"))
     p = marts.stg_players(players).collect()[0]
     assert (p["team_id"], p["team_abbrev"]) == ("", "")
+
+
+def test_standings_rank_strategies_agree(spark):
+    rnd = random.Random(21)
+    teams = list(marts.CONFERENCE_MAP) + ["XXX"]
+    data = [(rnd.choice(teams), rnd.choice(["W", "L"])) for _ in range(2000)]
+    for how in ("inner", "left"):
+        a = rows(marts.fact_standings(_games(spark, data), how=how))
+        b = rows(marts.fact_standings(_games(spark, data), how=how, rank="range"))
+        assert a == b
+    df = spark.createDataFrame([(t, w, s) for (t, w), s in zip(data, [rnd.choice(["2025", "2026"]) for _ in data])],
+                               "team string, wl string, season string")
+    assert rows(marts.fact_standings(df, partition_keys=("season",))) == \
+        rows(marts.fact_standings(df, partition_keys=("season",), rank="range"))

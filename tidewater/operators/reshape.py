@@ -91,6 +91,36 @@ def order_nulls_last(spec: Sequence[str | tuple[str, str]]) -> list[Column]:
     return out
 
 
+def row_number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str = "rn",
+                      partitions: int | None = None) -> DataFrame:
+    """Exact ``row_number() over (partition by group order by order)`` for any
+    group size, with no task holding a whole group.
+
+    Rows are range-partitioned and sorted on (group, order): the sampled
+    range bounds split even a group holding a third of all rows over many
+    tasks.  Each row's position inside its partition is fixed by a reliable
+    checkpoint (so every consumer sees the same positions); per (group,
+    partition) counts, summed over earlier partitions in a small window,
+    give each partition's offset inside the group.  ``order`` must be a
+    total order (end it with a unique key).
+    """
+    from tidewater.operators.writers import materialize
+
+    group = list(group)
+    keys = [*[F.col(g).asc() for g in group], *order]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    pid = F.spark_partition_id()
+    tagged = materialize(ranged.withColumn("_pid", pid)
+                         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)))
+    parts = tagged.groupBy(*group, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
+    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+    joined = tagged.join(parts.drop("_cnt"), on=[*group, "_pid"], how="inner")
+    rank = (F.col("_before") + F.col("_pos") - F.col("_first") + F.lit(1)).cast("bigint")
+    return joined.withColumn(name, rank).drop("_pid", "_pos", "_first", "_before")
+
+
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """Global top-k (distributed TakeOrderedAndProject: k rows kept per task)."""
     return df.orderBy(*order).limit(k)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.exprs import ratio, round_half_away, to_cents
+from tidewater.operators import reshape
 from tidewater.operators.joins import join_small_literal, literal_frame, merge_prefer
 
 # --------------------------------------------------------------------------
@@ -195,7 +196,7 @@ def win_loss_counts(games: DataFrame, team: str = "team", result: str = "wl",
 
 def fact_standings(games: DataFrame, conference: DataFrame | Mapping[str, str] | None = None,
                    team: str = "team", result: str = "wl", partition_keys: Sequence[str] = (),
-                   spark: SparkSession | None = None, how: str = "inner") -> DataFrame:
+                   spark: SparkSession | None = None, how: str = "inner", rank: str = "histogram") -> DataFrame:
     """Standings: wins, losses, pct, rank within conference and games behind.
 
     Rank order is wins desc, losses asc, then the team key (a total order,
@@ -207,6 +208,11 @@ def fact_standings(games: DataFrame, conference: DataFrame | Mapping[str, str] |
        count of teams with a strictly better record and the leader's record;
     2. teams sharing a record are numbered by team key inside that record.
 
+    ``rank='range'`` instead numbers all teams of a group with
+    ``reshape.row_number_within`` (range-partitioned, checkpointed): no task
+    holds even a tie shared by a third of all teams, at the price of a
+    sampling job and a checkpoint.
+
     ``conference`` is a dict (a literal map, broadcast) or a DataFrame
     ``(team, conference)`` joined by key (Catalyst/AQE choose the strategy
     from its measured size).  ``how='left'`` keeps unmapped teams with a
@@ -233,6 +239,19 @@ def fact_standings(games: DataFrame, conference: DataFrame | Mapping[str, str] |
         (F.coalesce(F.col(c), F.lit(_NULL_KEY)) if types[c] == "string" else F.col(c)).alias(k)
         for c, k in zip(group, kcols)])
     null_safe = [k for c, k in zip(group, kcols) if types[c] != "string"]
+    gb = (F.col("_leader_wins") - F.col("wins") + F.col("losses") - F.col("_leader_losses")).cast("double") / F.lit(2.0)
+    out_cols = [*partition_keys, F.col(team), F.col("conference"), F.col("conf_rank").cast("bigint").alias("conf_rank"),
+                "wins", "losses", "w_l_pct", round_half_away(gb, 1).alias("gb")]
+    if rank == "range":
+        order = [F.col("wins").desc(), F.col("losses").asc(), F.col(team).asc()]
+        ranked = reshape.row_number_within(keyed, kcols, order, "conf_rank")
+        leaders = ranked.filter(F.col("conf_rank") == 1).select(
+            *[F.col(k).alias(f"_l{k}") for k in kcols], F.col("wins").alias("_leader_wins"),
+            F.col("losses").alias("_leader_losses"))
+        cond = [F.col(k).eqNullSafe(F.col(f"_l{k}")) if k in null_safe else F.col(k) == F.col(f"_l{k}") for k in kcols]
+        return ranked.join(leaders, on=cond, how="inner").select(*out_cols)
+    if rank != "histogram":
+        raise ValueError(f"unknown rank strategy {rank!r}")
     hist = keyed.groupBy(*kcols, "wins", "losses").agg(F.count(F.lit(1)).alias("_n"))
     order = Window.partitionBy(*kcols).orderBy(F.col("wins").desc(), F.col("losses").asc())
     hist = hist.select(
@@ -250,15 +269,7 @@ def fact_standings(games: DataFrame, conference: DataFrame | Mapping[str, str] |
     else:
         joined = keyed.join(hist, on=hkeys, how="inner")
     tie = Window.partitionBy(*kcols, "wins", "losses").orderBy(F.col(team).asc())
-    gb = (F.col("_leader_wins") - F.col("wins") + F.col("losses") - F.col("_leader_losses")).cast("double") / F.lit(2.0)
-    return joined.select(
-        *partition_keys,
-        F.col(team),
-        F.col("conference"),
-        (F.col("_better") + F.row_number().over(tie)).cast("bigint").alias("conf_rank"),
-        "wins", "losses", "w_l_pct",
-        round_half_away(gb, 1).alias("gb"),
-    )
+    return joined.withColumn("conf_rank", F.col("_better") + F.row_number().over(tie)).select(*out_cols)
 
 
 # --------------------------------------------------------------------------
