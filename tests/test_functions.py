@@ -160,3 +160,16 @@ def test_keep_one_with_map_payload(spark):
     assert got == {1: (7, {"b": 2}), 2: (1, None)}
     first = {r["k"]: r["ts"] for r in reshape.keep_one_per_key(df, ["k"], ["ts"], latest=False).collect()}
     assert first == {1: 5, 2: 1}
+
+
+def test_row_number_within_matches_window_on_a_hot_group(spark):
+    from pyspark.sql import Window
+    rnd = random.Random(3)
+    data = [(rnd.choice(["hot"] * 6 + ["a", "b", None]), rnd.randint(0, 50), i) for i in range(6000)]
+    df = spark.createDataFrame(data, "g string, v int, id int")
+    order = [F.col("v").desc(), F.col("id").asc()]
+    got = reshape.row_number_within(df, ["g"], order, "rn", partitions=12)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("bigint"))
+    key = lambda r: (r[0] or "", r[1], r[2], r[3])
+    assert sorted(map(tuple, got.select("g", "v", "id", "rn").collect()), key=key) == \
+        sorted(map(tuple, want.collect()), key=key)

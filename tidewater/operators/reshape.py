@@ -116,9 +116,14 @@ def row_number_within(df: DataFrame, group: Sequence[str], order: Sequence[Colum
     parts = tagged.groupBy(*group, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    joined = tagged.join(parts.drop("_cnt"), on=[*group, "_pid"], how="inner")
+    parts = parts.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_pid").alias("_g_pid"),
+                         "_first", "_before")
+    # null-safe on the group columns: a NULL group is a group too
+    cond = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group] + [F.col("_pid") == F.col("_g_pid")]
+    joined = tagged.join(parts, on=cond, how="inner")
     rank = (F.col("_before") + F.col("_pos") - F.col("_first") + F.lit(1)).cast("bigint")
-    return joined.withColumn(name, rank).drop("_pid", "_pos", "_first", "_before")
+    return (joined.withColumn(name, rank)
+            .drop("_pid", "_pos", "_first", "_before", "_g_pid", *[f"_g_{g}" for g in group]))
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
