@@ -1,5 +1,7 @@
 """Incremental strategies: properties, errors and writers."""
 
+import uuid
+
 import datetime as dt
 
 import pytest
@@ -115,7 +117,7 @@ def test_schema_change_modes(spark):
 
 
 def test_partition_upsert_rerun_extra_missing_and_empty(spark):
-    path = scratch_path(spark, "tests/upsert_orders")
+    path = scratch_path(spark, f"tests/upsert_orders-{uuid.uuid4().hex[:8]}")
     first = spark.createDataFrame([(1, "x", "2025", "RS"), (2, "y", "2026", "RS")],
                                   "id bigint, v string, season string, season_type string")
     W.upsert_partitions(spark, first, path)
@@ -128,11 +130,11 @@ def test_partition_upsert_rerun_extra_missing_and_empty(spark):
 
 
 def test_apply_incremental_rewrites_in_place(spark):
-    path = scratch_path(spark, "tests/apply_inc")
+    path = scratch_path(spark, f"tests/apply_inc-{uuid.uuid4().hex[:8]}")
     W.apply_incremental(spark, path, _t(spark, [(1, "a", 1), (2, "b", 2)]), "delete+insert", "id")
     W.apply_incremental(spark, path, _t(spark, [(2, "B", 20)]), "merge", "id")
     assert rows(spark.read.parquet(path)) == [(1, "a", 1), (2, "B", 20)]
-    ppath = scratch_path(spark, "tests/apply_inc_part")
+    ppath = scratch_path(spark, f"tests/apply_inc_part-{uuid.uuid4().hex[:8]}")
     src = spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2")], "id bigint, v string, day string")
     W.apply_incremental(spark, ppath, src, "delete+insert", "id", partition_by=["day"])
     W.apply_incremental(spark, ppath, spark.createDataFrame([(2, "B", "d2")], "id bigint, v string, day string"),

@@ -1,5 +1,7 @@
 """Stream-fed upsert: equals the batch result, and replays are harmless."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -11,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_stream_upsert_is_idempotent_under_replay(spark):
     events = spark.read.parquet(f"{SF}/events.parquet")
-    base = scratch_path(spark, "tests/stream_replay")
+    base = scratch_path(spark, f"tests/stream_replay-{uuid.uuid4().hex[:8]}")
     target = f"{base}/target"
     stale = events.filter(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz")) \
         .withColumn("value", F.col("value") * 2).withColumn("day", F.to_date("ts").cast("string"))

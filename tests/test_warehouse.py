@@ -1,5 +1,7 @@
 """The whole model graph from raw fixture tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -48,7 +50,7 @@ def test_build_wires_all_available_models(spark):
 
 def test_materialize_marts(spark):
     m = warehouse.build(_raw(spark))
-    base = scratch_path(spark, "tests/warehouse")
+    base = scratch_path(spark, f"tests/warehouse-{uuid.uuid4().hex[:8]}")
     done = warehouse.materialize(m, base)
     assert set(done) == {"dim_teams", "dim_games", "fact_standings", "fact_player_per_game"}
     assert spark.read.parquet(f"{base}/fact_standings").count() == 3
