@@ -86,11 +86,24 @@ def snapshot_initial(source: DataFrame, cfg: SnapshotConfig, now: dt.datetime) -
     return source.select(*cols)
 
 
-def snapshot(history: DataFrame | None, source: DataFrame, cfg: SnapshotConfig, now: dt.datetime) -> DataFrame:
-    """New history after taking a snapshot of ``source`` at ``now`` (H2-H9)."""
+def snapshot(history: DataFrame | None, source: DataFrame, cfg: SnapshotConfig, now: dt.datetime,
+             prune_by_key_range: bool = True) -> DataFrame:
+    """New history after taking a snapshot of ``source`` at ``now`` (H2-H9).
+
+    With ``hard_deletes='ignore'`` a version whose key lies outside the
+    source's key range cannot change, so (when no new source column forces a
+    rewrite) such rows bypass the join like closed rows do.
+    """
     cfg.validate()
     if history is None:
         return snapshot_initial(source, cfg, now)
+    if (prune_by_key_range and cfg.hard_deletes == "ignore"
+            and not [c for c in source.columns if c not in history.columns]):
+        from tidewater.operators.incremental import key_range_split
+        split = key_range_split(history, source, cfg.keys[0])
+        if split is not None:
+            outside, inside = split
+            return outside.unionByName(snapshot(inside, source, cfg, now, prune_by_key_range=False))
     keys = cfg.keys
     n_scd, n_upd, n_from, n_to = (cfg.name(m) for m in META)
     n_del = cfg.name("dbt_is_deleted")
