@@ -293,13 +293,18 @@ def fact_player_per_game(totals: DataFrame, keys: Sequence[str] = ("player_id",
                          averages: Sequence[tuple[str, str]] = PER_GAME_AVERAGES,
                          ratios: Sequence[tuple[str, tuple[str, str]]] = PER_GAME_RATIOS,
                          cents: Sequence[str] = (), avg_digits: int = 1, ratio_digits: int = 3,
-                         output_order: Sequence[str] | None = PER_GAME_ORDER) -> DataFrame:
+                         output_order: Sequence[str] | None = PER_GAME_ORDER, distinct: str = "split") -> DataFrame:
     """Per-game averages and shooting ratios per ``keys``.
 
-    One aggregate pass: ``count(distinct game)`` beside null-as-zero sums
-    (Catalyst plans the distinct as a two-phase aggregate, so a hot key is
-    split across tasks on ``(keys, game)`` first).  Measures named in
-    ``cents`` are two-decimal values summed exactly as integer cents.
+    ``distinct='split'`` (default): the null-as-zero sums are aggregated
+    straight to ``keys`` (map-side combine shrinks them to one row per key
+    and task), and the games are counted from a narrow ``(keys, game)``
+    projection (distinct, then count: a hot key is split across tasks by
+    game); the two key-level results are joined.  Only that narrow
+    projection is shuffled row by row.  ``distinct='inline'`` is the single
+    ``count(distinct) + sums`` aggregate, where every sum rides along the
+    ``(keys, game)`` shuffle.  Measures named in ``cents`` are two-decimal
+    values summed exactly as integer cents.
     """
     measures = list(dict.fromkeys([m for _, m in averages] + [x for _, (n, d) in ratios for x in (n, d)]))
     sums = []
@@ -308,7 +313,19 @@ def fact_player_per_game(totals: DataFrame, keys: Sequence[str] = ("player_id",
             sums.append(F.sum(F.coalesce(to_cents(m), F.lit(0))).alias(f"_{m}_tot"))
         else:
             sums.append(F.sum(F.coalesce(F.col(m), F.lit(0))).alias(f"_{m}_tot"))
-    agg = totals.groupBy(*keys).agg(F.count_distinct(F.col(game)).cast("bigint").alias("g"), *sums)
+    if distinct == "inline":
+        agg = totals.groupBy(*keys).agg(F.count_distinct(F.col(game)).cast("bigint").alias("g"), *sums)
+    elif distinct == "split":
+        summed = totals.groupBy(*keys).agg(*sums)
+        games = (totals.select(*keys, game).filter(F.col(game).isNotNull()).distinct()
+                 .groupBy(*keys).agg(F.count(F.lit(1)).alias("_g")))
+        games = games.select(*[F.col(k).alias(f"_gk_{k}") for k in keys], "_g")
+        cond = [F.col(k).eqNullSafe(F.col(f"_gk_{k}")) for k in keys]
+        agg = (summed.join(games, on=cond, how="left")
+               .select(*keys, F.coalesce(F.col("_g"), F.lit(0)).cast("bigint").alias("g"),
+                       *[F.col(f"_{m}_tot") for m in measures]))
+    else:
+        raise ValueError(f"unknown distinct strategy {distinct!r}")
 
     def total(m: str) -> Column:
         t = F.col(f"_{m}_tot").cast("double")
