@@ -322,11 +322,12 @@ def unescape_entities(c: Column) -> Column:
 def page_links(pages: DataFrame, href_pattern: str | None = None) -> DataFrame:
     """``(page_id, link_no, href, text)`` for every anchor (1-based
     ``link_no`` in document order), optionally only hrefs matching a regex."""
-    hrefs = F.regexp_extract_all(F.col("html"), F.lit(LINK_PATTERN), 1)
-    texts = F.regexp_extract_all(F.col("html"), F.lit(LINK_PATTERN), 2)
-    z = pages.select("page_id", F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text"))).alias("i", "z"))
-    text = F.trim(unescape_entities(F.regexp_replace(F.col("z.text"), "<[^>]*>", "")))
-    out = z.select("page_id", (F.col("i") + 1).alias("link_no"), F.col("z.href").alias("href"), text.alias("text"))
+    # one pass of the pattern over the page; groups are then taken from each short match
+    matches = F.regexp_extract_all(F.col("html"), F.lit(LINK_PATTERN), 0)
+    z = pages.select("page_id", F.posexplode(matches).alias("i", "m"))
+    href = F.regexp_extract(F.col("m"), LINK_PATTERN, 1)
+    text = F.trim(unescape_entities(F.regexp_replace(F.regexp_extract(F.col("m"), LINK_PATTERN, 2), "<[^>]*>", "")))
+    out = z.select("page_id", (F.col("i") + 1).alias("link_no"), href.alias("href"), text.alias("text"))
     return out.filter(F.col("href").rlike(href_pattern)) if href_pattern else out
 
 
