@@ -37,6 +37,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "16g"))
         .config("spark.sql.ansi.enabled", "true")
+        # materialised states (reliable checkpoints) are removed once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
