@@ -74,7 +74,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
                                "a machine-local folder would not survive the loss of an executor")
         conf = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
-    spark.sparkContext.setCheckpointDir(conf)
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():          # each call would otherwise open a new sub-folder
+        sc.setCheckpointDir(conf)
     return conf
 
 
