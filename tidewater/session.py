@@ -59,24 +59,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this setting points at a shared file system and is only read
     (unset is an error there).  When it is unset in local mode (tests) a
-    scratch folder is created and registered.
+    scratch folder is registered on the context (the core setting itself is
+    never written: Spark rejects that at runtime).
     """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        try:
-            conf = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            conf = None
+        conf = sc.getCheckpointDir()        # registered earlier in this context
     if not conf:
-        master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not (sc.master or "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS...): "
                                "a machine-local folder would not survive the loss of an executor")
         conf = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    sc = spark.sparkContext
     if not sc.getCheckpointDir():          # each call would otherwise open a new sub-folder
         sc.setCheckpointDir(conf)
+        if not sc.getConf().get("spark.checkpoint.dir", None):
+            conf = sc.getCheckpointDir()
     return conf
 
 
