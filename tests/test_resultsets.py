@@ -1,5 +1,7 @@
 """JSON result-set payloads: all shapes, name fallback, duplicate headers, malformed text."""
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from tidewater.sources import resultsets as R
 
@@ -39,7 +41,10 @@ def test_duplicate_headers_are_suffixed(spark):
     rs, _ = R.decode_payloads(p)
     t = R.rows_to_table(rs)
     assert t.columns == ["pts", "pts_1", "pts_2"] and rows(t) == [("1", "2", "3")]
-    assert R.normalize_names(["W/L%", "Team Name", "", "Team-Name"]) == ["w_l", "team_name", "unknown", "team_name_1"]
+    df = spark.createDataFrame([(["W/L%", "Team Name", "", "Team-Name"],)], "h array<string>")
+    assert df.select(R.normalize_names_col(F.col("h"))).first()[0] == ["w_l", "team_name", "unknown", "team_name_1"]
+    auto = R.rows_to_table(rs)                      # columns from the distinct header lists
+    assert auto.columns == ["pts", "pts_1", "pts_2"]
 
 
 def test_lineage_tags(spark):

@@ -182,10 +182,10 @@ r as (select page_id, heading,
              as rest from h)
 select page_id, heading,
        case when instr(heading, '-') > 0 then trim(split_part(heading, '-', 1)) end as game_date,
-       nullif(trim(regexp_extract(rest, '([\w\s.''&-]+?)\s+(\d+)\s*,\s*([\w\s.''&-]+?)\s+(\d+)', 1)), '') as away_team,
-       try_cast(nullif(trim(regexp_extract(rest, '([\w\s.''&-]+?)\s+(\d+)\s*,\s*([\w\s.''&-]+?)\s+(\d+)', 2)), '') as integer) as away_score,
-       nullif(trim(regexp_extract(rest, '([\w\s.''&-]+?)\s+(\d+)\s*,\s*([\w\s.''&-]+?)\s+(\d+)', 3)), '') as home_team,
-       try_cast(nullif(trim(regexp_extract(rest, '([\w\s.''&-]+?)\s+(\d+)\s*,\s*([\w\s.''&-]+?)\s+(\d+)', 4)), '') as integer) as home_score
+       nullif(trim(regexp_extract(rest, '([\w\s\.\''\-\&]+)\s+(\d+)\s*,\s*([\w\s\.\''\-\&]+)\s+(\d+)', 1)), '') as away_team,
+       try_cast(nullif(trim(regexp_extract(rest, '([\w\s\.\''\-\&]+)\s+(\d+)\s*,\s*([\w\s\.\''\-\&]+)\s+(\d+)', 2)), '') as integer) as away_score,
+       nullif(trim(regexp_extract(rest, '([\w\s\.\''\-\&]+)\s+(\d+)\s*,\s*([\w\s\.\''\-\&]+)\s+(\d+)', 3)), '') as home_team,
+       try_cast(nullif(trim(regexp_extract(rest, '([\w\s\.\''\-\&]+)\s+(\d+)\s*,\s*([\w\s\.\''\-\&]+)\s+(\d+)', 4)), '') as integer) as home_score
 from r
 """)
 def q_page_headings(t: Tables) -> DataFrame:

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.sources.resultsets import snake_case_col
+
 # The parser runs in Python workers: ship this module's code with the task
 # (pickled by value), so executors need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -298,7 +300,7 @@ def play_by_play_rows(blocks: DataFrame) -> DataFrame:
 def stat_columns(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """Header-keyed cells as typed-by-text columns (S6/S7 output shape):
     one column per normalised header name, value taken by header position."""
-    norm = F.transform("header", lambda h: snake_case(h))
+    norm = F.transform("header", lambda h: snake_case_col(h))
     pos = {n: F.array_position(norm, F.lit(n)) for n in names}
     cols = [F.when(pos[n] > 0, F.get(F.col("cells"), (pos[n] - 1).cast("int"))).alias(n) for n in names]
     return rows.select(*[c for c in rows.columns if c not in ("header", "cells")], *cols)
@@ -346,8 +348,11 @@ def id_from_url(url: Column, primary: str, fallback: str) -> Column:
     return F.coalesce(a, b)
 
 
-# Fixed pattern: "date - Away 70, Home 65" headings.
-SCORE_PATTERN = r"([\w\s.'&-]+?)\s+(\d+)\s*,\s*([\w\s.'&-]+?)\s+(\d+)"
+# Fixed pattern: "Away 70, Home 65" after the date in "date - Away 70, Home 65" headings.
+SCORE_PATTERN = r"([\w\s\.\'\-\&]+)\s+(\d+)\s*,\s*([\w\s\.\'\-\&]+)\s+(\d+)"
+# Fixed patterns: a team id in a URL, and its fallback.
+TEAM_ID_PATTERN = r"org_id=(\d+)"
+TEAM_ID_FALLBACK = r"/team/(\d+)"
 
 
 def parse_score_headings(df: DataFrame, col: str = "heading") -> DataFrame:
@@ -375,8 +380,8 @@ def attach_ids(rows: DataFrame, links: DataFrame, pattern: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def teams_from_pages(pages: DataFrame, blocks: DataFrame, id_pattern: str = r"org_id=(\d+)",
-                     id_fallback: str = r"/team/(\d+)") -> DataFrame:
+def teams_from_pages(pages: DataFrame, blocks: DataFrame, id_pattern: str = TEAM_ID_PATTERN,
+                     id_fallback: str = TEAM_ID_FALLBACK) -> DataFrame:
     """``(page_id, college, team_id, link)`` from the first table's rows;
     pages without table rows fall back to their links."""
     rows = table_rows(blocks, first_table_only=True)
@@ -406,14 +411,6 @@ def game_ids_with_fallback(primary: DataFrame, fallback: DataFrame, key: Sequenc
     return primary.unionByName(fb, allowMissingColumns=True).dropDuplicates([*key, "id"])
 
 
-def snake_case(c: Column) -> Column:
-    """S3 name rule: non-word characters to spaces, whitespace runs to '_',
-    lower case, empty -> 'unknown'."""
-    s = F.regexp_replace(c, r"(?U)[^\w\s]", " ")
-    s = F.lower(F.regexp_replace(F.trim(s), r"(?U)\s+", "_"))
-    return F.when(s == "", F.lit("unknown")).otherwise(s)
-
-
 def html_text(c: Column) -> Column:
     """Tag-stripped, entity-decoded, whitespace-collapsed text."""
     return F.trim(F.regexp_replace(unescape_entities(F.regexp_replace(c, "<[^>]*>", " ")), r"\s+", " "))

@@ -11,7 +11,6 @@ at on the driver to fix the output columns.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,30 +27,17 @@ _OUTER = T.StructType([T.StructField("resultSets", T.StringType()), T.StructFiel
                        T.StructField("_corrupt", T.StringType())])
 
 
-def to_snake_case(s: str) -> str:
-    """Driver-side name rule (non-word -> space, whitespace runs -> '_', lower)."""
-    s = re.sub(r"[^\w\s]", " ", s)
-    s = re.sub(r"\s+", "_", s.strip()).lower()
-    return s or "unknown"
-
-
-def normalize_names(names: Sequence[str]) -> list[str]:
-    """S3: snake_case names, repeats suffixed ``_1``, ``_2`` in order."""
-    seen: dict[str, int] = {}
-    out = []
-    for base in (to_snake_case(str(n)) for n in names):
-        if base in seen:
-            seen[base] += 1
-            out.append(f"{base}_{seen[base]}")
-        else:
-            seen[base] = 0
-            out.append(base)
-    return out
+# Fixed patterns of the name rule: non-word characters, runs of whitespace
+# (``(?U)``: Unicode classes, as in the loader's own rule).
+NON_WORD = r"(?U)[^\w\s]"
+WHITESPACE_RUN = r"(?U)\s+"
 
 
 def snake_case_col(c: Column) -> Column:
-    s = F.regexp_replace(c, r"(?U)[^\w\s]", " ")
-    s = F.lower(F.regexp_replace(F.trim(s), r"(?U)\s+", "_"))
+    """S3 name rule: non-word characters become spaces, whitespace runs
+    become ``_``, lower case; an empty result is ``'unknown'``."""
+    s = F.regexp_replace(c, NON_WORD, " ")
+    s = F.lower(F.regexp_replace(F.trim(s), WHITESPACE_RUN, "_"))
     return F.when(s == "", F.lit("unknown")).otherwise(s)
 
 
@@ -107,17 +93,18 @@ MAX_HEADER_VARIANTS = 10_000
 
 
 def header_sets(rows: DataFrame, max_variants: int = MAX_HEADER_VARIANTS) -> list[list[str]]:
-    """Distinct header lists, used only when the caller gives no columns.
+    """Distinct normalised header lists, used only when the caller gives no columns.
 
     The distinct is an aggregate (map-side combined) and what reaches the
     driver is one short list per endpoint variant, never row data.  More
     variants than ``max_variants`` is an error (pass ``columns`` instead):
     the driver never receives an unbounded set.
     """
-    found = rows.select("headers").distinct().limit(max_variants + 1).collect()
+    names = F.col("names") if "names" in rows.columns else normalize_names_col(F.col("headers"))
+    found = rows.select(names.alias("names")).distinct().limit(max_variants + 1).collect()
     if len(found) > max_variants:
         raise ValueError(f"more than {max_variants} distinct header lists; pass the output columns explicitly")
-    return [list(r["headers"] or []) for r in found]
+    return [list(r["names"] or []) for r in found]
 
 
 def rows_to_table(rows: DataFrame, columns: Sequence[str] | None = None,
@@ -131,7 +118,7 @@ def rows_to_table(rows: DataFrame, columns: Sequence[str] | None = None,
     if columns is None:
         names: list[str] = []
         for hs in header_sets(rows):
-            for n in normalize_names(hs):
+            for n in hs:
                 if n not in names:
                     names.append(n)
         columns = names
