@@ -33,7 +33,7 @@ def align_to(df: DataFrame, schema: T.StructType, warn=None) -> DataFrame:
     have = set(df.columns)
     extra = [c for c in df.columns if c not in {f.name for f in schema.fields}]
     if extra and warn is not None:
-        warn(f"Dropping {len(extra)} new/unexpected columns: {', '.join(extra)}")
+        warn(f"columns not in the target are left out ({len(extra)}): {', '.join(extra)}")
     cols = [(F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields]
     return df.select(*cols)
@@ -107,7 +107,7 @@ def on_schema_change(target: DataFrame, source: DataFrame, mode: str = "ignore")
         return target, align_to(source, target.schema)
     if mode == "fail":
         raise ValueError(
-            "The source and target schemas are out of sync: "
+            "on_schema_change='fail' and the schemas differ: "
             f"added={[f.name for f in d.added]} removed={[f.name for f in d.removed]} "
             f"retyped={[n for n, _, _ in d.retyped]}")
     if mode == "append_new_columns":
@@ -220,11 +220,11 @@ def microbatch(target: DataFrame, source: DataFrame, event_time: str | None, sta
     rows in the slice (and matching ``predicates``), insert the source's rows
     in the slice.  A key is rejected: batches are replaced, not upserted."""
     if not event_time:
-        raise ValueError("microbatch incremental strategy requires an 'event_time' model config")
+        raise ValueError("microbatch needs the event-time column that defines the batches")
     if _keys(unique_key):
-        raise ValueError("microbatch incremental strategy does not support 'unique_key'")
+        raise ValueError("microbatch replaces whole time slices; a unique key has no meaning here")
     if start is None or end is None:
-        raise ValueError("microbatch incremental strategy requires batch start and end")
+        raise ValueError("microbatch needs both batch bounds (start inclusive, end exclusive)")
     ts = F.col(event_time)
     s, e = F.lit(start), F.lit(end)
     if isinstance(start, dt.datetime):

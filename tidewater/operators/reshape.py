@@ -202,7 +202,7 @@ def date_spine(spark: SparkSession, part: str, start: dt.date, end: dt.date) ->
 def dates_in_range(spark: SparkSession, start: dt.date, end: dt.date, fmt: str = "yyyyMMdd") -> DataFrame:
     """Inclusive list of dates, formatted; start after end is an error."""
     if start > end:
-        raise ValueError(f"start date {start} is after end date {end}")
+        raise ValueError(f"date range {start}..{end} is empty: the first date comes after the last")
     bounds = spark.createDataFrame([(start, end)], "start date, end date")
     d = bounds.select(F.explode(F.sequence("start", "end", F.expr("INTERVAL 1 DAY"))).alias("d"))
     return d.select(F.date_format("d", fmt).alias("date_str"))
@@ -211,7 +211,7 @@ def dates_in_range(spark: SparkSession, start: dt.date, end: dt.date, fmt: str =
 def season_range(spark: SparkSession, start: int, end: int) -> DataFrame:
     """Inclusive season years ``start..end`` as strings; start > end is an error."""
     if start > end:
-        raise ValueError(f"start-season ({start}) must be <= end-season ({end})")
+        raise ValueError(f"season range {start}..{end} is empty: the first season comes after the last")
     return spark.range(start, end + 1).select(F.col("id").cast("string").alias("season"))
 
 

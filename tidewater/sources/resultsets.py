@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions.exprs import season_label
+
 _SET = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("headers", T.ArrayType(T.StringType())),
@@ -138,8 +140,7 @@ def rows_to_table(rows: DataFrame, columns: Sequence[str] | None = None,
 
 def tag_lineage(df: DataFrame, season: str, season_type: str | None = None) -> DataFrame:
     """Add ``season``, ``season_label`` ('2025-26' for 2026) and ``season_type``."""
-    y = int(season)
-    cols = {"season": F.lit(str(y)), "season_label": F.lit(f"{y - 1}-{str(y)[-2:]}")}
+    cols = {"season": F.lit(str(int(season))), "season_label": season_label(F.lit(str(int(season))))}
     if season_type is not None:
         cols["season_type"] = F.lit(season_type)
     return df.withColumns(cols)
