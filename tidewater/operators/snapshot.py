@@ -46,6 +46,8 @@ class SnapshotConfig:
             raise ValueError(f"invalid hard_deletes {self.hard_deletes!r}")
 
 
+# The history's meta column names (renamable through ``column_names``),
+# plus ``dbt_is_deleted`` ('True' / 'False') for hard_deletes='new_record'.
 META = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 
 

@@ -41,6 +41,7 @@ def stg_games(team_game_logs: DataFrame) -> DataFrame:
     return _project(team_game_logs.filter(F.col("game_id").isNotNull()), m)
 
 
+# The player game log's measure columns.
 PLAYER_MEASURES = ("min", "pts", "reb", "ast", "stl", "blk", "tov", "fgm", "fga", "fg_pct",
                    "fg3m", "fg3a", "fg3_pct", "ftm", "fta", "ft_pct", "oreb", "dreb", "pf")
 
@@ -81,6 +82,7 @@ def stg_roster(team_rosters: DataFrame) -> DataFrame:
     return _project(team_rosters.filter(F.col("player").isNotNull()), m)
 
 
+# The game dimension's columns.
 _GAME_COLS = ("game_id", "game_date", "game_status_id", "game_status_text", "home_team_id",
               "visitor_team_id", "arena_name", "season", "season_type")
 
@@ -122,6 +124,7 @@ def dim_teams(team_game_logs: DataFrame, key: str = "team_id",
 # D2 players
 # --------------------------------------------------------------------------
 
+# The player dimension's columns, and those taken from the bio.
 PLAYER_DIM_COLUMNS = ("player_id", "player_name", "player_name_sort", "team", "team_city", "team_name",
                       "from_year", "to_year", "rosterstatus", "season", "season_label", "first_name",
                       "last_name", "birthdate", "college", "country", "height", "weight", "position",
@@ -276,13 +279,13 @@ def fact_standings(games: DataFrame, conference: DataFrame | Mapping[str, str] |
 # D5 per-game averages
 # --------------------------------------------------------------------------
 
-# output name -> source measure (per-game average, 1 digit)
+# Per-game output name -> source measure (averages per game, 1 digit),
+# output name -> (made, attempted) (ratios of totals, 3 digits), and the column order.
 PER_GAME_AVERAGES = (
     ("mp", "min"), ("pts", "pts"), ("trb", "reb"), ("ast", "ast"), ("stl", "stl"), ("blk", "blk"),
     ("tov", "tov"), ("fg", "fgm"), ("fga", "fga"), ("3p", "fg3m"), ("3pa", "fg3a"), ("ft", "ftm"),
     ("fta", "fta"), ("orb", "oreb"), ("drb", "dreb"), ("pf", "pf"),
 )
-# output name -> (numerator, denominator) (ratio of totals, 3 digits)
 PER_GAME_RATIOS = (("fg_pct", ("fgm", "fga")), ("3p_pct", ("fg3m", "fg3a")), ("ft_pct", ("ftm", "fta")))
 PER_GAME_ORDER = ("g", "mp", "pts", "trb", "ast", "stl", "blk", "tov", "fg", "fga", "fg_pct", "3p", "3pa",
                   "3p_pct", "ft", "fta", "ft_pct", "orb", "drb", "pf")
