@@ -173,3 +173,15 @@ def test_row_number_within_matches_window_on_a_hot_group(spark):
     key = lambda r: (r[0] or "", r[1], r[2], r[3])
     assert sorted(map(tuple, got.select("g", "v", "id", "rn").collect()), key=key) == \
         sorted(map(tuple, want.collect()), key=key)
+
+
+def test_literal_helpers_and_failure_rollup(spark):
+    from tidewater.operators import quality as Q
+    from tidewater.operators import writers as W
+    assert X.escape_single_quotes("it's") == "it''s"
+    df = spark.createDataFrame([("a",), ("b",), ("a",)], "column_name string")
+    assert spark.range(1).select(X.string_literal("x'y")).first()[0] == "x'y"
+    got = sorted(tuple(r) for r in Q.aggregated_failures(df).collect())
+    assert got == [("a", 2, True, True), ("b", 1, True, True)]
+    model = W.python_model(lambda s, src: src.filter("column_name = 'a'"))
+    assert model(spark, df).count() == 2

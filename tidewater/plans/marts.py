@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.exprs import ratio, round_half_away, to_cents
+from tidewater.functions.exprs import null_as_zero, ratio, round_half_away, to_cents
 from tidewater.operators import reshape
 from tidewater.operators.joins import join_small_literal, literal_frame, merge_prefer
 
@@ -315,7 +315,7 @@ def fact_player_per_game(totals: DataFrame, keys: Sequence[str] = ("player_id",
         if m in cents:
             sums.append(F.sum(F.coalesce(to_cents(m), F.lit(0))).alias(f"_{m}_tot"))
         else:
-            sums.append(F.sum(F.coalesce(F.col(m), F.lit(0))).alias(f"_{m}_tot"))
+            sums.append(F.sum(null_as_zero(m)).alias(f"_{m}_tot"))
     if distinct == "inline":
         agg = totals.groupBy(*keys).agg(F.count_distinct(F.col(game)).cast("bigint").alias("g"), *sums)
     elif distinct == "split":

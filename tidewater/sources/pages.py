@@ -409,8 +409,3 @@ def game_ids_with_fallback(primary: DataFrame, fallback: DataFrame, key: Sequenc
     have = primary.select(*key).distinct()
     fb = fallback.join(have, list(key), "left_anti")
     return primary.unionByName(fb, allowMissingColumns=True).dropDuplicates([*key, "id"])
-
-
-def html_text(c: Column) -> Column:
-    """Tag-stripped, entity-decoded, whitespace-collapsed text."""
-    return F.trim(F.regexp_replace(unescape_entities(F.regexp_replace(c, "<[^>]*>", " ")), r"\s+", " "))
