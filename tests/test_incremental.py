@@ -176,3 +176,18 @@ def test_fixture_frame_missing_and_unknown_columns(spark):
     assert rows(df) == [(1, "a", None), (2, None, None)]
     with pytest.raises(ValueError, match="nope"):
         Q.fixture_frame(spark, [{"id": 1, "nope": 2}], "id bigint")
+
+
+def test_failed_rewrite_leaves_the_table_intact(spark):
+    path = scratch_path(spark, f"tests/replace_fail-{uuid.uuid4().hex[:8]}")
+    W.replace_table(_t(spark, [(1, "a", 1), (2, "b", 2)]), path)
+    current = spark.read.parquet(path)
+    broken = current.withColumn("n", F.when(F.col("id") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("n")))
+    with pytest.raises(Exception):
+        W.replace_table(broken, path)
+    assert rows(spark.read.parquet(path)) == [(1, "a", 1), (2, "b", 2)]
+    # a failing incremental run leaves it intact as well
+    bad_src = _t(spark, [(3, "c", 3)]).withColumn("n", F.raise_error(F.lit("boom")).cast("bigint"))
+    with pytest.raises(Exception):
+        W.apply_incremental(spark, path, bad_src, "delete+insert", "id")
+    assert rows(spark.read.parquet(path)) == [(1, "a", 1), (2, "b", 2)]
