@@ -351,7 +351,7 @@ def merge(target: DataFrame, source: DataFrame, unique_key: str | Sequence[str]
           exclude_columns: Sequence[str] = (), set_expressions: Mapping[str, str] | None = None,
           update_condition: str | None = None, insert_condition: str | None = None,
           using: Sequence[str] = (), predicates: Sequence[str | Column] = (), returning: bool = False,
-          prune_by_key_range: bool = True) -> DataFrame:
+          prune_by_key_range: bool = True, small_source_rows: int | None = 200_000) -> DataFrame:
     """MERGE as a DataFrame: new target state (or, with ``returning``, the affected rows).
 
     Matching is ``keys equal AND predicates``.  Clauses are tried in order
@@ -359,6 +359,11 @@ def merge(target: DataFrame, source: DataFrame, unique_key: str | Sequence[str]
     target row that matches two source rows raises (like MERGE does); the
     check uses per-key source counts from an aggregate.  Without a key and
     without ``using`` nothing matches (insert only).
+
+    Plans: target rows outside the increment's key range skip the join (see
+    ``key_range_split``); an increment of at most ``small_source_rows`` rows
+    (a bounded count proves it) is broadcast and left-joined to the target,
+    so the target is not shuffled; otherwise one full outer join on the key.
     """
     keys = list(using) or _keys(unique_key)
     clauses = list(clauses) if clauses is not None else default_clauses(
@@ -372,7 +377,7 @@ def merge(target: DataFrame, source: DataFrame, unique_key: str | Sequence[str]
         if split is not None:
             outside, inside = split
             merged = merge(inside, source, unique_key, clauses, using=using, predicates=predicates,
-                           returning=returning, prune_by_key_range=False)
+                           returning=returning, prune_by_key_range=False, small_source_rows=small_source_rows)
             return merged if returning else outside.unionByName(merged)
 
     if keys:
@@ -392,9 +397,30 @@ def merge(target: DataFrame, source: DataFrame, unique_key: str | Sequence[str]
             cond = cond & _expr(p)
     else:
         cond = F.lit(False)
+    scols = set(source.columns)
+    if keys and small_source_rows and source.limit(small_source_rows + 1).count() <= small_source_rows:
+        # A small increment (row count proven): the target is joined to a broadcast
+        # copy of it and is never shuffled.  Increment rows that matched nothing are
+        # found against the (small) set of matched keys.
+        left = t.join(F.broadcast(s), on=cond, how="left")
+        matched_keys = (left.filter(F.col("s._s_here").isNotNull())
+                        .select(*[F.col(f"s.{k}").alias(f"_mk_{k}") for k in keys]).distinct())
+        unmatched = s.join(matched_keys, on=[F.col(f"s.{k}").eqNullSafe(F.col(f"_mk_{k}")) for k in keys],
+                           how="left_anti")
+        part_t = _merge_rows(left, clauses, tcols, scols, target.schema, returning, has_target=True)
+        part_s = _merge_rows(unmatched, clauses, tcols, scols, target.schema, returning, has_target=False)
+        return part_t.unionByName(part_s)
     j = t.join(s, on=cond, how="full")
-    t_here = F.coalesce(F.col("t._t_here"), F.lit(False))
+    return _merge_rows(j, clauses, tcols, scols, target.schema, returning, has_target=True)
+
+
+def _merge_rows(j: DataFrame, clauses: Sequence[Clause], tcols: Sequence[str], scols: set[str],
+                schema: T.StructType, returning: bool, has_target: bool) -> DataFrame:
+    """Clause evaluation over joined rows (``t`` / ``s`` aliases): the new target
+    rows, or with ``returning`` the affected rows and their action.  Without a
+    target side every row is a source row that matched nothing."""
     s_here = F.coalesce(F.col("s._s_here"), F.lit(False))
+    t_here = F.coalesce(F.col("t._t_here"), F.lit(False)) if has_target else F.lit(False)
     matched, only_s, only_t = t_here & s_here, s_here & ~t_here, t_here & ~s_here
     kinds = {"matched": matched, "not_matched": only_s, "not_matched_by_source": only_t}
 
@@ -402,21 +428,24 @@ def merge(target: DataFrame, source: DataFrame, unique_key: str | Sequence[str]
     cid = F.lit(-1)
     for i in reversed(range(len(clauses))):
         c = clauses[i]
+        if not has_target and c.kind != "not_matched":
+            continue
         applies = kinds[c.kind]
         if c.condition is not None:
             applies = applies & F.coalesce(_expr(c.condition), F.lit(False))
         cid = F.when(applies, F.lit(i)).otherwise(cid)
     j = j.withColumn("_cid", cid)
 
-    scols = set(source.columns)
     values: dict[str, Column] = {}
     for col in tcols:
-        v = F.col(f"t.{col}")
+        v = F.col(f"t.{col}") if has_target else F.lit(None)
         for i, c in enumerate(clauses):
+            if not has_target and c.kind != "not_matched":
+                continue
             nv = _clause_value(c, col, scols, tcols)
             if nv is not None:
                 v = F.when(F.col("_cid") == i, nv).otherwise(v)
-        values[col] = v.cast(target.schema[col].dataType)
+        values[col] = v.cast(schema[col].dataType)
 
     action = F.lit("keep")
     for i, c in enumerate(clauses):
