@@ -52,3 +52,21 @@ def test_scans_read_only_needed_columns(spark):
     p = plan(spark, "fact_standings")
     lineitem_scans = [line for line in p.splitlines() if "FileScan parquet" in line and "l_" in line]
     assert lineitem_scans and all("l_quantity" not in s and "l_extendedprice" not in s for s in lineitem_scans)
+
+
+def test_partition_scoped_read_prunes_partitions(spark):
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from tidewater.operators import writers as W
+    from tidewater.session import scratch_path
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("day", F.to_date("ts").cast("string"))
+    path = scratch_path(spark, f"tests/dpp-{uuid.uuid4().hex[:8]}")
+    ev.write.partitionBy("day").parquet(path)
+    scoped = W.touched_partitions(spark.read.parquet(path), ev.filter(F.col("user_id") == 3), ["day"])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        scoped.explain()
+    assert "dynamicpruning" in buf.getvalue()
+    assert scoped.count() == ev.join(ev.filter(F.col("user_id") == 3).select("day").distinct(), "day", "left_semi").count()

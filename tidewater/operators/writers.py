@@ -130,10 +130,7 @@ def apply_incremental(spark: SparkSession, path: str, source: DataFrame, strateg
         return
     target = spark.read.parquet(path)
     if partition_by:
-        touched = source.select(*partition_by).distinct()
-        # the increment's partition values: few rows, AQE broadcasts them
-        scoped = target.join(touched, list(partition_by), "left_semi")
-        scoped = scoped.select(*target.columns)
+        scoped = touched_partitions(target, source, partition_by)
         new = I.incremental(scoped, source, strategy, unique_key, **opts)
         overwrite_partitions(materialize(new), path, partition_by)
     else:
@@ -141,6 +138,17 @@ def apply_incremental(spark: SparkSession, path: str, source: DataFrame, strateg
         replace_table(materialize(new), path)
 
 
+def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The target's rows in the partitions the source touches.
+
+    A semi join with the source's distinct partition values (few rows,
+    broadcast): Spark turns it into dynamic partition pruning, so only those
+    partitions' files are read.
+    """
+    touched = source.select(*partition_by).distinct()
+    return target.join(touched, list(partition_by), "left_semi").select(*target.columns)
+
+
 def materialize_as(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
     """A model as a lazy temp view, or a table rebuilt then swapped in."""
     if kind == "view":
