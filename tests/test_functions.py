@@ -185,3 +185,15 @@ def test_literal_helpers_and_failure_rollup(spark):
     assert got == [("a", 2, True, True), ("b", 1, True, True)]
     model = W.python_model(lambda s, src: src.filter("column_name = 'a'"))
     assert model(spark, df).count() == 2
+
+
+def test_partition_range_text(spark):
+    import pytest
+    got = [r[0] for r in reshape.partition_range(spark, "20240228,20240301").collect()]
+    assert got == ["20240228", "20240229", "20240301"]
+    assert [r[0] for r in reshape.partition_range(spark, " 20240105 ").collect()] == ["20240105"]
+    assert [r[0] for r in reshape.dates_in_range(spark, "2024-01-01", "2024-01-02", fmt="yyyy-MM-dd",
+                                                  in_fmt="%Y-%m-%d").collect()] == ["2024-01-01", "2024-01-02"]
+    for bad in ("20240105,20240101", "2024-01-05", "1,2,3"):
+        with pytest.raises(ValueError):
+            reshape.partition_range(spark, bad)

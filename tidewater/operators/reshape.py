@@ -199,8 +199,25 @@ def date_spine(spark: SparkSession, part: str, start: dt.date, end: dt.date) ->
     return date_spine_from(bounds, part)
 
 
-def dates_in_range(spark: SparkSession, start: dt.date, end: dt.date, fmt: str = "yyyyMMdd") -> DataFrame:
-    """Inclusive list of dates, formatted; start after end is an error."""
+def _as_date(value, in_fmt: str) -> dt.date:
+    if isinstance(value, dt.datetime):
+        return value.date()
+    if isinstance(value, dt.date):
+        return value
+    try:
+        return dt.datetime.strptime(str(value).strip(), in_fmt).date()
+    except ValueError as e:
+        raise ValueError(f"partition date {value!r} does not follow the format {in_fmt!r}") from e
+
+
+def dates_in_range(spark: SparkSession, start, end=None, fmt: str = "yyyyMMdd",
+                   in_fmt: str = "%Y%m%d") -> DataFrame:
+    """Inclusive list of dates as text in ``fmt`` (a Spark pattern).
+
+    ``start`` / ``end`` are dates or text in ``in_fmt``; ``end`` defaults to
+    ``start``; start after end is an error."""
+    start = _as_date(start, in_fmt)
+    end = start if end is None else _as_date(end, in_fmt)
     if start > end:
         raise ValueError(f"date range {start}..{end} is empty: the first date comes after the last")
     bounds = spark.createDataFrame([(start, end)], "start date, end date")
@@ -208,6 +225,14 @@ def dates_in_range(spark: SparkSession, start: dt.date, end: dt.date, fmt: str =
     return d.select(F.date_format("d", fmt).alias("date_str"))
 
 
+def partition_range(spark: SparkSession, spec: str, in_fmt: str = "%Y%m%d", fmt: str = "yyyyMMdd") -> DataFrame:
+    """``"start[,end]"`` partition text -> the inclusive dates between."""
+    parts = str(spec).split(",")
+    if len(parts) not in (1, 2):
+        raise ValueError(f"partition range must be 'start' or 'start,end', got {spec!r}")
+    return dates_in_range(spark, parts[0], parts[1] if len(parts) == 2 else None, fmt=fmt, in_fmt=in_fmt)
+
+
 def season_range(spark: SparkSession, start: int, end: int) -> DataFrame:
     """Inclusive season years ``start..end`` as strings; start > end is an error."""
     if start > end:
