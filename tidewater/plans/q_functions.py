@@ -13,7 +13,8 @@ from tidewater.sources.tables import Tables
 @query("string_funcs", """
 select p_partkey, p_name || '|' || p_brand as joined, length(p_name) as name_len,
        position('e' in p_name) as e_pos, replace(p_name, ' ', '_') as snake, right(p_brand, 2) as brand_tail,
-       upper(p_type) as type_upper, trim(cast(p_partkey as varchar)) as id_text
+       upper(p_type) as type_upper, trim(cast(p_partkey as varchar)) as id_text,
+       right(p_name, -2) as name_tail
 from part
 """)
 def q_string_funcs(t: Tables) -> DataFrame:
@@ -28,6 +29,7 @@ def q_string_funcs(t: Tables) -> DataFrame:
         X.right("p_brand", 2).alias("brand_tail"),
         F.upper("p_type").alias("type_upper"),
         F.trim(F.col("p_partkey").cast("string")).alias("id_text"),
+        X.right("p_name", -2).alias("name_tail"),
     )
 
 
