@@ -117,7 +117,8 @@ def test_date_functions_against_duckdb_on_random_timestamps(spark):
     got = df.select(*[X.datediff("a", "b", p).alias(p) for p in parts],
                     *[X.dateadd(p, F.col("n"), "a").alias(f"add_{p}")
                       for p in ("year", "quarter", "month", "week", "day", "hour")],
-                    *[X.last_day("a", p).alias(f"ld_{p}") for p in ("month", "quarter", "year", "week")]).collect()
+                    *[X.last_day("a", p).alias(f"ld_{p}") for p in ("month", "quarter", "year", "week")],
+                    X.day_of_week("a").alias("dow")).collect()
     con = duckdb.connect()
     con.execute("create table p (a timestamp, b timestamp, n bigint)")
     con.executemany("insert into p values (?, ?, ?)", [(a, b, n) for (a, b), n in zip(pairs, ns)])
@@ -129,7 +130,7 @@ def test_date_functions_against_duckdb_on_random_timestamps(spark):
                      "a + n * interval 1 hour"])
     lds = ", ".join(f"cast(date_trunc('{u}', a) + interval {k} - interval 1 day as date)"
                     for u, k in (("month", "1 month"), ("quarter", "3 month"), ("year", "1 year"), ("week", "7 day")))
-    want = con.execute(f"select {diffs}, {adds}, {lds} from p").fetchall()
+    want = con.execute(f"select {diffs}, {adds}, {lds}, date_part('dow', a) from p").fetchall()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
 
 
