@@ -45,3 +45,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(_read(spark, sf_dir, "documents"), results=(
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_lines", "n_removed_lines", "lost_chars"))
+
+
+@_query("op9_ngram_jaccard")
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity class of every document by 5-word shingles, Jaccard >= 0.75."""
+    from tidewater.llm.ngram_join import similarity_classes
+
+    return similarity_classes(_read(spark, sf_dir, "documents"))
+
+
+@_query("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    from tidewater.llm.packing import pack
+
+    return pack(_read(spark, sf_dir, "documents"))
+
+
+@_query("op8_sharding")
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes."""
+    from tidewater.llm.sharding import shard
+
+    return shard(_read(spark, sf_dir, "documents"))
