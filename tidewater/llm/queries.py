@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.llm import queries_sql as sql
 
@@ -69,3 +70,37 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.sharding import shard
 
     return shard(_read(spark, sf_dir, "documents"))
+
+
+@_query("op6_embedding_near_dedup")
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of equal label with cosine >= 0.93."""
+    from tidewater.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
+@_query("op2_secret_scan")
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret candidate of all documents with the forest's verdict."""
+    from tidewater.llm.secret_scan import findings
+
+    found = findings(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("word").cast("long").alias("word"), F.length("value").cast("long").alias("length"),
+                        F.crc32(F.encode("value", "UTF-8")).alias("value_crc32"), "probability", "is_secret")
+
+
+@_query("op3_mixing", sql.MIXING)
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked weight, sampling probability and draw of every document."""
+    from tidewater.llm.mixing import mix
+
+    return mix(_read(spark, sf_dir, "documents"))
+
+
+@_query("op7_html_extraction")
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from tidewater.llm.html_text import extract
+
+    return extract(_read(spark, sf_dir, "pages"))

@@ -49,3 +49,41 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_lines, n_removed_lines, lost_chars
 from measures
 """
+
+
+def _mixing() -> str:
+    """Raking unrolled: one CTE per dimension and round, then the scale's steps."""
+    from tidewater.llm import mixing as m
+
+    topic = " ".join(f"when regexp_matches(t, '{p}') then '{name}'" for name, p in m.TOPICS)
+    ctes = [f"""d as (
+  select doc_id, coalesce(source, '') as source, coalesce(lang, '') as lang,
+    case {topic} else '{m.OTHER_TOPIC}' end as topic,
+    len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) as tokens
+  from (select doc_id, source, lang, coalesce(text, '') as t from documents))""",
+            "c0 as (select source, lang, topic, sum(tokens)::double as tokens, sum(tokens)::double as w from d group by all)"]
+    for dim in m.DIMENSIONS:
+        ctes.append(f"g_{dim} as (select {dim} as name, u / sum(u) over () as target from "
+                    f"(select {dim}, pow(sum(tokens), {m.ALPHA[dim]}) as u from c0 group by 1))")
+    k = 0
+    for _ in range(m.ROUNDS):
+        for dim in m.DIMENSIONS:
+            k += 1
+            ctes.append(f"c{k} as materialized (select c.source, c.lang, c.topic, c.tokens, case when c.s > 0 then c.w * "
+                        f"(g.target / c.s) else 0 end as w from (select *, sum(w) over (partition by {dim}) as s "
+                        f"from c{k - 1}) c join g_{dim} g on g.name = c.{dim})")
+    ctes.append(f"r as materialized (select *, case when tokens > 0 then w * (select sum(tokens) from c0) / tokens else 1 end as weight from c{k})")
+    ctes.append(f"s0 as materialized (select {m.FRACTION}::double as s)")
+    for j in range(1, m.SCALE_STEPS + 1):
+        ctes.append(f"""s{j} as materialized (select greatest(s, coalesce(({m.FRACTION} * (select sum(tokens) from c0)
+  - (select coalesce(sum(tokens), 0) from r where weight * s >= 1))
+  / nullif((select sum(tokens * weight) from r where weight * s < 1), 0), s)) as s from s{j - 1})""")
+    return "with " + ",\n".join(ctes) + f"""
+select doc_id, source, lang, topic, d.tokens::bigint as tokens, round(weight, 6) as weight,
+  round(least(1.0, weight * s), 6) as probability,
+  ('0x' || substr(md5(coalesce(doc_id::varchar, 'null')), 1, 8))::bigint / 4294967296.0 < round(least(1.0, weight * s), 6) as sampled
+from d join r using (source, lang, topic), s{m.SCALE_STEPS}
+"""
+
+
+MIXING = _mixing()
