@@ -5,15 +5,17 @@ columns; the product of the incidence matrix with its transpose holds the
 overlap counts.  Only pairs that can reach the similarity are multiplied:
 
 1. Texts with the same set of n-grams form a class; the smallest id stands for it.
-2. Columns get one global order, rare ones first, from a frequency sketch of
-   fixed size (``SLOTS`` counters over n-gram hashes; each task counts n-grams
-   that it sees at least twice in a chunk, so common passages stand out).
-   Any order is exact; a good one keeps common columns out of step 3.
-3. Two sets with Jaccard >= t must share one of their first ``n - ceil(t n) + 1``
-   columns (n: the set's size).  Documents that share such a column are connected
-   through the column's smallest id, first within a task's chunk and then over
-   all chunks (stars, never all pairs; a hot column has one row per chunk in the
-   shuffle); components of these stars are families, and every link lies within one.
+2. Two sets with Jaccard >= t must share one of their first ``n - ceil(t n) + 1``
+   columns (n: the set's size) in any one global order of all columns.  The order
+   used here puts rare columns first: columns whose hash lies in the lowest
+   ``SHARE`` of all hashes come first, by their exact document frequency; all other
+   columns follow by hash; columns that a frequency sketch of fixed size calls hot
+   (common passages) come last.  Only the first part is counted, in one shuffle; a
+   document whose first columns are all its own leaves here.
+3. Documents that share such a column are connected through the column's smallest
+   id (stars, never all pairs; a hot column is reduced to one row per task's chunk
+   before the shuffle); components of the stars are families, and every link lies
+   within one.
 4. A family is cut into blocks by size band and hash.  Each pair of blocks whose
    bands allow the similarity is one small matrix product in one task: overlap
    counts accumulate over column blocks, and the block is given up as soon as
@@ -47,11 +49,16 @@ from tidewater.llm.common import components, lower_ascii, materialize, paired_bl
 
 N = 5                      # words in an n-gram
 T_NUM, T_DEN = 75, 100     # Jaccard threshold as a fraction
+SHARE = 0.33               # of the hash range: columns that are ordered by exact frequency
 SLOTS = 1 << 20            # counters of the frequency sketch
+HOT = 7                    # bits of a count in the sketch from which on a column is hot
 CHUNK = 1 << 21            # n-grams that a task holds while it counts
 BLOCK = 384                # documents in a block of a family
 COLUMNS = 8192             # columns multiplied at a time
-BROADCAST_BYTES = 64 << 20  # ids are broadcast up to this size, beyond it joined by a shuffle
+BROADCAST_BYTES = 32 << 20  # rows of integers are broadcast up to this size, beyond it joined by a shuffle
+
+_BOUND = np.int64(-(1 << 63) + int(SHARE * (1 << 64)))
+_ALWAYS, _EDGE = (1 << 31) - 1, -(1 << 31)     # marks in the column ``slack`` (see _index)
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                  0x85EBCA77C2B2AE63], dtype=np.uint64)
@@ -66,7 +73,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def gram_set(words: np.ndarray) -> np.ndarray:
     """Sorted distinct n-gram hashes (int64) of one text's word hashes."""
-    w = words.astype(np.int64, copy=False).view(np.uint64)
+    w = words.astype(np.int64).view(np.uint64)
     if not len(w):
         return np.empty(0, np.int64)
     k = min(N, len(w))
@@ -76,10 +83,13 @@ def gram_set(words: np.ndarray) -> np.ndarray:
     return np.unique(_mix(total).view(np.int64))
 
 
-def _word_hashes(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+def _word_hashes(docs: DataFrame, id_col: str, text: str, narrow: bool = False) -> DataFrame:
+    """(id, h): the hashes of a text's words; ``narrow`` ones have 31 bits, still 155 for five words."""
     words = words_of(lower_ascii(docs[text]))
-    return (docs.select(docs[id_col].cast("long").alias("id"), words.alias("w"))
-            .select("id", F.transform("w", lambda x: F.xxhash64(x)).alias("h")))
+    own = lambda x: F.xxhash64(x)
+    if narrow:
+        own = lambda x: F.xxhash64(x).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    return docs.select(docs[id_col].cast("long").alias("id"), words.alias("w")).select("id", F.transform("w", own).alias("h"))
 
 
 def _sets(batch: pa.RecordBatch):
@@ -109,8 +119,9 @@ def _scan(batches):
         for _, s in _sets(batch):
             key = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
             n.append(len(s)), k1.append(int(key[0])), k2.append(int(key[1]))
-            held.append(s)
-            size += len(s)
+            first = s[:np.searchsorted(s, _BOUND)]
+            held.append(first)
+            size += len(first)
             if size >= CHUNK:
                 count()
                 held, size = [], 0
@@ -144,44 +155,60 @@ def prefix_length(n: int) -> int:
     return n - -(-T_NUM * n // T_DEN) + 1
 
 
-_STARS = "k long, edge boolean, a long, b long"
+_INDEX = "gram long, id long, slack int"
 
 
-def _local_stars(grams: np.ndarray, who: np.ndarray) -> pa.RecordBatch:
-    """Star edges among one chunk's documents, and one row (column, smallest id) per column for the shuffle.
+def _rows(gram, who, slack) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(gram, pa.int64()), pa.array(who, pa.int64()), pa.array(slack, pa.int32())],
+                                      names=["gram", "id", "slack"])
 
-    A column that many documents of the chunk share leaves one row, so no
-    column has more rows in the shuffle than there are chunks.
-    """
+
+def _local_stars(grams: np.ndarray, who: np.ndarray) -> pa.RecordBatch:
+    """One row (column, smallest id) per column of a chunk, and star edges (b as column, a as id) within the chunk."""
     at = np.lexsort((who, grams))
     grams, who = grams[at], who[at]
     new = np.r_[True, grams[1:] != grams[:-1]]
     low = who[new][np.cumsum(new) - 1]
     far = who != low
     pairs = np.unique(np.stack([low[far], who[far]], axis=1), axis=0)
-    keys, lows = grams[new], who[new]
-    k = np.concatenate([keys, pairs[:, 1]])
-    edge = np.r_[np.zeros(len(keys), bool), np.ones(len(pairs), bool)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(k), pa.array(edge), pa.array(np.concatenate([lows, pairs[:, 0]])),
-         pa.array(np.concatenate([lows, pairs[:, 1]]))], names=["k", "edge", "a", "b"])
+    return _rows(np.r_[grams[new], pairs[:, 1]], np.r_[who[new], pairs[:, 0]],
+                 np.r_[np.full(int(new.sum()), _ALWAYS), np.full(len(pairs), _EDGE)])
+
 
+def _index(levels):
+    """Columns of each document for the shuffle.
 
-def _prefixes(levels):
+    ``slack`` of a column of the first part: how many columns the document needs
+    beyond its first part (negative: how many it can do without).  A document that
+    needs more adds its next columns; those are certain to be needed (_ALWAYS) and
+    leave the chunk as stars.
+    """
     def run(batches):
-        order, grams, who, size = levels.value, [], [], 0
+        level, grams, who, size = levels.value, [], [], 0
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
+            out: list[tuple] = []
             for i, s in _sets(batch):
-                if len(s):
-                    p = prefix_length(len(s))
-                    pick = np.argsort(order[s & (SLOTS - 1)], kind="stable")[:p]
-                    grams.append(s[pick])
-                    who.append(np.full(p, ids[i], np.int64))
-                    size += p
-                if size >= CHUNK:
-                    yield _local_stars(np.concatenate(grams), np.concatenate(who))
-                    grams, who, size = [], [], 0
+                if not len(s):
+                    continue
+                cut = np.searchsorted(s, _BOUND)
+                first, heat = s[:cut], level[s[:cut] & (SLOTS - 1)]
+                hot = heat >= HOT
+                first, late = first[~hot], first[hot][np.argsort(heat[hot], kind="stable")]
+                slack = prefix_length(len(s)) - len(first)
+                out.append((first, ids[i], slack))
+                if slack > 0:
+                    more = np.r_[s[cut:], late][:slack]
+                    grams.append(more)
+                    who.append(np.full(len(more), ids[i], np.int64))
+                    size += len(more)
+            if out:
+                n = [len(g) for g, _, _ in out]
+                yield _rows(np.concatenate([g for g, _, _ in out]), np.repeat([w for _, w, _ in out], n),
+                            np.repeat([k for _, _, k in out], n))
+            if size >= CHUNK:
+                yield _local_stars(np.concatenate(grams), np.concatenate(who))
+                grams, who, size = [], [], 0
         if size:
             yield _local_stars(np.concatenate(grams), np.concatenate(who))
     return run
@@ -255,10 +282,21 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     others = (facts.join(copies, ["k1", "k2"]).where("id <> rep").select("id", "rep"))
 
     # candidate families through shared prefix columns
-    met = (hashes.where("id is not null").mapInArrow(_prefixes(levels), _STARS).repartition("k")
-           .withColumn("low", F.when(F.col("edge"), F.col("a"))
-                       .otherwise(F.min("a").over(Window.partitionBy("k", "edge")))))
-    stars = (met.where("low <> b").groupBy(F.col("low").alias("a"), "b").agg(F.lit(1).alias("one")).select("a", "b"))
+    edge = F.col("slack") == _EDGE
+    same = Window.partitionBy("gram", "edge")
+    met = materialize(
+        hashes.where("id is not null").mapInArrow(_index(levels), _INDEX).repartition("gram").withColumn("edge", edge)
+        .withColumn("df", F.count("*").over(same)).withColumn("low", F.min("id").over(same))
+        .where("edge or df > 1"), "ngram-met")
+    counted = met.where(F.col("slack") < _ALWAYS).where("not edge")
+    mine = Window.partitionBy("id")
+    first = (counted.withColumn("shared", F.count("*").over(mine))
+             .withColumn("rank", F.row_number().over(mine.orderBy("df", "gram")))
+             .where("rank <= slack + shared").select("gram", "id"))
+    column = Window.partitionBy("gram")
+    stars = (first.withColumn("low", F.min("id").over(column)).where("low <> id").select(F.col("low").alias("a"), F.col("id").alias("b"))
+             .unionByName(met.where(F.col("slack") == _ALWAYS).where("low <> id").select(F.col("low").alias("a"), F.col("id").alias("b")))
+             .unionByName(met.where("edge").select(F.col("id").alias("a"), F.col("gram").alias("b"))).distinct())
     stars = materialize(stars, "ngram-stars")
     # copies of one text meet in every column: only their class goes on
     alias = others.select(F.col("id").alias("x"), F.col("rep").alias("r"))
@@ -292,15 +330,15 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
                     F.explode(F.sequence(F.lit(0), F.col("there") - 1)).alias("bi"), F.col("band").alias("cj"),
                     F.col("block").alias("bj")))
     cells = within.unionByName(up).unionByName(down)
-    wanted = placed.select("id").distinct()
-    if placed.count() * 16 <= BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
-    # one row per id, also if the input repeats ids
-    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text].alias("t")).join(wanted, "id", "left_semi")
-    kept = (_word_hashes(texts, "id", "t").groupBy("id").agg(F.first("h").alias("h")))
     keys = ["family", "ci", "bi", "cj", "bj"]
-    links = (cells.join(kept, "id").repartition(*keys).sortWithinPartitions(*keys)
-             .select("id", *keys, "h").mapInPandas(_products, "a long, b long"))
+    cells = materialize(cells, "ngram-cells")
+    ids = placed.select("id").distinct()
+    if cells.count() * 64 <= BROADCAST_BYTES:          # six integers a row
+        cells, ids = F.broadcast(cells), F.broadcast(ids)
+    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text].alias("t")).join(ids, "id", "left_semi")
+    sets = _word_hashes(texts, "id", "t", narrow=True)
+    links = (sets.join(cells, "id").select("id", *keys, "h").repartition(*keys).sortWithinPartitions(*keys)
+             .mapInPandas(_products, "a long, b long"))
     joined = components(links, "ngram-links")
 
     # one row per document
