@@ -125,12 +125,15 @@ def judge(text: str | None) -> tuple:
 
 
 def clean_lines(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",),
-                results: tuple[str, ...] | None = None) -> DataFrame:
-    """``carry`` columns of ``docs`` plus the result columns (all of RESULT, or those named), one row per document."""
-    wanted = [f for f in RESULT.fields if results is None or f.name in results]
+                results: tuple[str, ...] | None = None, prefix: str = "") -> DataFrame:
+    """``carry`` columns of ``docs`` plus the result columns (all of RESULT, or those named), one row per document.
+
+    ``prefix`` goes before the result columns' names.
+    """
+    wanted = [T.StructField(prefix + f.name, f.dataType) for f in RESULT.fields if results is None or f.name in results]
     names = {f.name for f in wanted}
     kept_cols = [c for c in carry if c not in names]
-    place = [RESULT.fieldNames().index(f.name) for f in wanted]
+    place = [RESULT.fieldNames().index(f.name.removeprefix(prefix)) for f in wanted]
     read = docs.select(*[docs[c] for c in kept_cols], docs[text].alias("_judged"))
     schema = T.StructType([read.schema[c] for c in kept_cols] + wanted)
 

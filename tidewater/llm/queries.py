@@ -104,3 +104,19 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.html_text import extract
 
     return extract(_read(spark, sf_dir, "pages"))
+
+
+@_query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity probabilities of every document from a chain fitted on ``labels``."""
+    from tidewater.llm.toxicity import predict
+
+    return predict(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+@_query("op1_lm_scoring")
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and attention-model log10 scores of every document."""
+    from tidewater.llm.lm_scoring import score
+
+    return score(_read(spark, sf_dir, "documents"))
