@@ -39,6 +39,7 @@ PREFIXES = (4, 5, 6)     # first letters of words that are features beside the w
 MIN_SHARE = 0.006        # of the toxic sample must hold a feature of the vocabulary (and MIN_DOCS documents)
 MIN_DOCS = 3
 MIN_Z = 4.0              # standard deviations of the log odds
+MIN_ODDS = 2.0           # log odds
 RIDGE, STEPS = 0.3, 200
 CUT = 0.5
 # fixed word lists that name the kinds of abuse
@@ -60,17 +61,19 @@ def words(text: str | None) -> set[str]:
 def choose_vocabulary(bags: list[set[str]], toxic: np.ndarray) -> list[str]:
     """Words whose log odds between toxic and other documents stand out, strongest first."""
     count: dict[str, list[int]] = {}
-    for bag, t in zip(bags, toxic):
+    unlike = {(frozenset(bag), int(t)) for bag, t in zip(bags, toxic)}     # copies of a text count once
+    for bag, t in unlike:
         for w in bag:
             count.setdefault(w, [0, 0])[int(t)] += 1
-    n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
+    n1 = sum(t for _, t in unlike)
+    n0 = len(unlike) - n1
     least = max(MIN_DOCS, math.ceil(MIN_SHARE * n1))
     found = []
     for w, (c0, c1) in count.items():
         if c1 >= least:
             odds = math.log((c1 + 0.5) / (n1 - c1 + 0.5)) - math.log((c0 + 0.5) / (n0 - c0 + 0.5))
             z = odds / math.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
-            if z >= MIN_Z or w in {x for _, ws in KINDS for x in ws}:
+            if (z >= MIN_Z and odds >= MIN_ODDS) or w in {x for _, ws in KINDS for x in ws}:
                 found.append((-z, w))
     return [w for _, w in sorted(found)[:VOCABULARY]]
 
