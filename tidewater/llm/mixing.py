@@ -8,16 +8,17 @@ by one scale so that the expected tokens are ``fraction`` of all (a probability
 stops at 1, the scale makes up for it).  A document is drawn when a uniform
 number from a digest of its id lies below its probability.
 
-Only one narrow pass reads texts; raking works on the cells, by aggregates and
-joins that the planner may broadcast.  A hot source is pre-aggregated in the map
-tasks, and its rows meet a small cell table.
+Only one narrow pass reads texts; raking works on the cells, one row per
+combination, however many documents a source has.  A hot source is pre-aggregated
+in the map tasks, and its rows meet the small cell table.  A text's tokens are
+counted as its spaces and line ends plus one.
 
 Targets: per dimension either shares given by name (names that are missing get
 the remaining share in proportion to their tokens; if nothing remains, as little
 as ``FLOOR`` of their own share), or tempered shares, tokens ** alpha.
 
-Defined results: null sources, languages and texts count as ''; a text without
-words has no tokens, weight 1 and the probability of its cell; an empty table gives
+Defined results: null sources, languages and texts count as ''; an empty or blank
+text has no tokens, weight 1 and the probability of its cell; an empty table gives
 an empty result; repeated rows with one id are drawn together.  ``mix`` reads four
 columns; ``draw`` keeps the columns of the table as they are.
 """
@@ -26,31 +27,42 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tidewater.llm.common import WORD, materialize
+from tidewater.llm.common import materialize
 
 DIMENSIONS = ("source", "lang", "topic")
 ALPHA = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 FRACTION = 0.6            # of all tokens, expected in the sample
 ROUNDS = 12               # of raking over all dimensions
+ROUNDS_AT_ONCE = 4        # planned together before the cells are written
 SCALE_STEPS = 12          # of calibrating the scale
 FLOOR = 1e-6
 
-# the default topics, fixed patterns tried in this order
-TOPICS = (("licence", r"(?i)licensed under|public license"),
-          ("contact", r"[a-z0-9.]+@[a-z0-9]+[.][a-z]+|[+][0-9]+ [(][0-9]+[)]"),
-          ("table", r"[^ ]+ [|] [^ ]+ [|] [^ ]+"),
-          ("markup", r"(#{3}|[$]{3}|%{3}|&{3})"))
+# the default topics, tried in this order: fixed marks, one of which a text holds
+TOPICS = (("licence", ("Licensed under", "Public License")),
+          ("contact", ("@", "+1 (")),
+          ("table", (" | ",)),
+          ("markup", ("###", "$$$", "%%%", "&&&")))
 OTHER_TOPIC = "prose"
 
 
 def topic_of(text: Column) -> Column:
     out = F.lit(OTHER_TOPIC)
-    for name, pattern in reversed(TOPICS):
-        out = F.when(text.rlike(pattern), name).otherwise(out)
+    for name, marks in reversed(TOPICS):
+        holds = F.lit(False)
+        for mark in marks:
+            holds = holds | F.contains(text, F.lit(mark))
+        out = F.when(holds, name).otherwise(out)
     return out
 
 
+def tokens_of(text: Column) -> Column:
+    """Spaces and line ends plus one; 0 for a text without a word."""
+    breaks = F.length(text) - F.length(F.replace(F.replace(text, F.lit(" "), F.lit("")), F.lit("\n"), F.lit("")))
+    return F.when(F.length(F.trim(text)) > 0, breaks + 1).otherwise(0).cast("long")
+
+
 def uniform(id_col: Column) -> Column:
     """A number in [0, 1) that only the id decides."""
     digest = F.md5(F.coalesce(id_col.cast("string"), F.lit("null")))
@@ -61,7 +73,7 @@ def _described(docs: DataFrame, text: str) -> DataFrame:
     t = F.coalesce(docs[text], F.lit(""))
     return (docs.withColumn("_source", F.coalesce(docs["source"].cast("string"), F.lit("")))
             .withColumn("_lang", F.coalesce(docs["lang"].cast("string"), F.lit("")))
-            .withColumn("_topic", topic_of(t)).withColumn("_tokens", F.regexp_count(t, F.lit(WORD)).cast("long")))
+            .withColumn("_topic", topic_of(t)).withColumn("_tokens", tokens_of(t)))
 
 
 def targets(cells: DataFrame, dim: str, shares: dict[str, float] | None) -> DataFrame:
@@ -82,14 +94,17 @@ def targets(cells: DataFrame, dim: str, shares: dict[str, float] | None) -> Data
 def rake(cells: DataFrame, goals: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (dimensions, tokens) with ``w``: shares that meet the goals of every dimension in turn."""
     cur = cells.withColumn("w", F.col("tokens").cast("double"))
+    for dim, goal in goals.items():
+        cur = cur.join(goal.select(F.col("name").alias(dim), F.col("target").alias(f"goal_{dim}")), dim)
+    cur = cur.select(*cells.columns, "w", *[f"goal_{d}" for d in goals])
     for k in range(rounds):
-        for dim, goal in goals.items():
-            sums = cur.groupBy(F.col(dim).alias("name")).agg(F.sum("w").alias("s")).join(goal, "name")
-            factor = sums.select("name", F.when(F.col("s") > 0, F.col("target") / F.col("s")).otherwise(0.0).alias("factor"))
-            cur = cur.join(factor, cur[dim] == factor["name"]).withColumn("w", F.col("w") * F.col("factor")).drop("name", "factor")
-        if k % 2 == 1 or k == rounds - 1:
+        for dim in goals:
+            s = F.sum("w").over(Window.partitionBy(dim))
+            cur = cur.withColumn("s", s).withColumn(
+                "w", F.when(F.col("s") > 0, F.col("w") * (F.col(f"goal_{dim}") / F.col("s"))).otherwise(0.0)).drop("s")
+        if k % ROUNDS_AT_ONCE == ROUNDS_AT_ONCE - 1 or k == rounds - 1:
             cur = materialize(cur, "mixing-raked")
-    return cur
+    return cur.select(*cells.columns, "w")
 
 
 def cell_probabilities(cells: DataFrame, fraction: float, shares: dict[str, dict[str, float]] | None) -> DataFrame:
@@ -101,7 +116,7 @@ def cell_probabilities(cells: DataFrame, fraction: float, shares: dict[str, dict
     ratio = F.when(F.col("tokens") > 0, F.col("w") * F.lit(float(total)) / F.col("tokens")).otherwise(1.0)
     weighed = materialize(raked.withColumn("weight", ratio), "mixing-cells")
     scale = float(fraction)
-    for _ in range(SCALE_STEPS):
+    for _ in range(SCALE_STEPS):      # grows to its fixed point in a few steps
         clipped = F.col("weight") * F.lit(scale) >= 1
         got = weighed.agg(F.sum(F.when(clipped, F.col("tokens")).otherwise(0)).alias("full"),
                           F.sum(F.when(clipped, 0.0).otherwise(F.col("tokens") * F.col("weight"))).alias("open")).first()

@@ -55,11 +55,11 @@ def _mixing() -> str:
     """Raking unrolled: one CTE per dimension and round, then the scale's steps."""
     from tidewater.llm import mixing as m
 
-    topic = " ".join(f"when regexp_matches(t, '{p}') then '{name}'" for name, p in m.TOPICS)
+    topic = " ".join(f"when {' or '.join(f'contains(t, {chr(39)}{x}{chr(39)})' for x in marks)} then '{name}'" for name, marks in m.TOPICS)
     ctes = [f"""d as (
   select doc_id, coalesce(source, '') as source, coalesce(lang, '') as lang,
     case {topic} else '{m.OTHER_TOPIC}' end as topic,
-    len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) as tokens
+    case when length(trim(t, ' ')) > 0 then length(t) - length(replace(replace(t, ' ', ''), chr(10), '')) + 1 else 0 end as tokens
   from (select doc_id, source, lang, coalesce(text, '') as t from documents))""",
             "c0 as (select source, lang, topic, sum(tokens)::double as tokens, sum(tokens)::double as w from d group by all)"]
     for dim in m.DIMENSIONS:
