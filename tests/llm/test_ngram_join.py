@@ -78,7 +78,7 @@ def test_matches_brute_force(spark, monkeypatch, block, hot):
 
 def test_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(7, "a b c d e f"), (7, "a b c d e f"), (9, "a b c d e f")], "doc_id long, text string")
-    assert [tuple(r) for r in j.similarity_classes(docs).collect()] == [(7, 2, 7), (7, 2, 7), (9, 2, 7)]
+    assert sorted(tuple(r) for r in j.similarity_classes(docs).collect()) == [(7, 2, 7), (7, 2, 7), (9, 2, 7)]
     assert j.similarity_classes(docs.limit(0)).count() == 0
 
 

@@ -34,10 +34,11 @@ def test_held_out_accuracy(spark):
     assert np.mean([r.p_insult > 0.5 for r in name]) > 0.9
 
 
-def test_later_models_see_earlier_probabilities():
+def test_later_models_see_earlier_probabilities(spark):
     rows = texts(400, seed=2)
-    bags = [x.words(t) for _, t, _ in rows]
-    vocabulary, chain = x.fit_chain([i for i, _, _ in rows], bags, np.array([y for *_, y in rows]))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    vocabulary, chain = x.train(docs, labels)
     assert [len(v) for _, v, _ in chain] == [0, 1, 2] and "idiot" in vocabulary and "zorb-" in vocabulary
 
 

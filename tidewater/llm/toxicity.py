@@ -10,8 +10,9 @@ id), so a later model learns how far to trust an earlier one on unseen texts.
   last category is the label itself, in every language.
 * Models are fitted on a bounded, documented sample: at most ``SAMPLE`` toxic and
   ``SAMPLE`` other labelled documents, those with the smallest hashes of the id.
-  Their whole texts are reduced to distinct words in tasks; the vocabulary keeps
-  words that stand out between the two sides.
+  Their whole texts are reduced to distinct words in tasks; Spark counts on how
+  many texts of either side each word occurs (copies of a text count once), and
+  the words that stand out are the vocabulary.  Only hits on it reach the driver.
 * Scoring reads all documents in one narrow pass without a shuffle.
 
 Defined results: null, empty and word-free texts get the models' base rates and
@@ -32,6 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import materialize
+
 SAMPLE = 3000            # labelled documents of either side, at most
 FOLDS = 5
 VOCABULARY = 1500        # features, at most
@@ -58,24 +61,23 @@ def words(text: str | None) -> set[str]:
     return found
 
 
-def choose_vocabulary(bags: list[set[str]], toxic: np.ndarray) -> list[str]:
-    """Words whose log odds between toxic and other documents stand out, strongest first."""
-    count: dict[str, list[int]] = {}
-    unlike = {(frozenset(bag), int(t)) for bag, t in zip(bags, toxic)}     # copies of a text count once
-    for bag, t in unlike:
-        for w in bag:
-            count.setdefault(w, [0, 0])[int(t)] += 1
-    n1 = sum(t for _, t in unlike)
-    n0 = len(unlike) - n1
-    least = max(MIN_DOCS, math.ceil(MIN_SHARE * n1))
-    found = []
-    for w, (c0, c1) in count.items():
-        if c1 >= least:
-            odds = math.log((c1 + 0.5) / (n1 - c1 + 0.5)) - math.log((c0 + 0.5) / (n0 - c0 + 0.5))
-            z = odds / math.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
-            if (z >= MIN_Z and odds >= MIN_ODDS) or w in {x for _, ws in KINDS for x in ws}:
-                found.append((-z, w))
-    return [w for _, w in sorted(found)[:VOCABULARY]]
+def choose_vocabulary(bags: DataFrame) -> list[str]:
+    """Words whose log odds between toxic and other texts stand out, strongest first.  ``bags``: id, toxic, bag."""
+    unlike = bags.groupBy(F.xxhash64("bag"), F.size("bag"), "toxic").agg(F.first("bag").alias("bag"))
+    sides = unlike.agg(F.sum("toxic").alias("n1"), F.count("*").alias("n")).first()
+    n1, n0 = float(sides.n1 or 0), float(sides.n - (sides.n1 or 0))
+    if not n1 or not n0:
+        return []
+    counts = (unlike.select("toxic", F.explode("bag").alias("word")).groupBy("word")
+              .agg(F.sum("toxic").cast("double").alias("c1"), F.sum(1 - F.col("toxic")).cast("double").alias("c0")))
+    odds = F.log((F.col("c1") + 0.5) / (n1 + 0.5 - F.col("c1"))) - F.log((F.col("c0") + 0.5) / (n0 + 0.5 - F.col("c0")))
+    z = F.col("odds") / F.sqrt(1 / (F.col("c1") + 0.5) + 1 / (F.col("c0") + 0.5))
+    seeds = [x for _, ws in KINDS for x in ws]
+    found = (counts.where(F.col("c1") >= max(MIN_DOCS, math.ceil(MIN_SHARE * n1)))
+             .withColumn("odds", odds).withColumn("z", z)
+             .where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS) | F.col("word").isin(seeds))
+             .orderBy(F.desc("z"), "word").limit(VOCABULARY).collect())
+    return [r.word for r in found]
 
 
 def logistic(rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, y: np.ndarray, width: int):
@@ -104,9 +106,8 @@ def logistic(rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, y: np.ndarra
     return w, v, b
 
 
-def fit_chain(ids: list, bags: list[set[str]], toxic: np.ndarray):
-    """(vocabulary, [(word weights, chain weights, bias)] per category)."""
-    vocabulary = choose_vocabulary(bags, toxic) if len(bags) else []
+def fit_chain(ids: list, bags: list[set[str]], toxic: np.ndarray, vocabulary: list[str]):
+    """(word weights, chain weights, bias) per category, from the texts' words (at least those of the vocabulary)."""
     place = {w: k for k, w in enumerate(vocabulary)}
     rows = np.array([i for i, bag in enumerate(bags) for w in bag if w in place], np.int64)
     cols = np.array([place[w] for bag in bags for w in bag if w in place], np.int64)
@@ -125,7 +126,7 @@ def fit_chain(ids: list, bags: list[set[str]], toxic: np.ndarray):
             raw = np.bincount(rows, weights=w[cols], minlength=len(bags)) + earlier @ v + b if len(rows) else earlier @ v + b
             out[~use] = 1 / (1 + np.exp(-np.clip(raw, -40, 40)))[~use]
         earlier = np.column_stack([earlier, out])
-    return vocabulary, chain
+    return chain
 
 
 def score(bag: set[str], place: dict[str, int], chain) -> list[float]:
@@ -139,7 +140,7 @@ def score(bag: set[str], place: dict[str, int], chain) -> list[float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text"):
-    """Fit the chain on the bounded sample; at most 2 * SAMPLE bags of words reach the driver."""
+    """(vocabulary, chain) fitted on the bounded sample; hits of 2 * SAMPLE texts at most reach the driver."""
     per_doc = (labels.where(labels[id_col].isNotNull() & labels["toxic"].isNotNull())
                .groupBy(labels[id_col].cast("long").alias("id")).agg(F.max("toxic").alias("toxic")))
     sides = [per_doc.where(F.col("toxic") > 0), per_doc.where(F.col("toxic") <= 0)]
@@ -152,10 +153,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
                                 "bag": [sorted(words(t)) for t in frame["t"]]})
 
     read = docs.select(docs[id_col].cast("long").alias("id"), docs[text].alias("t"))
-    got = (read.join(F.broadcast(chosen), "id")            # at most 2 * SAMPLE ids
-           .mapInPandas(run, "id long, toxic long, bag array<string>").toPandas())
-    got = got.drop_duplicates("id").sort_values("id")
-    return fit_chain(got["id"].to_list(), [set(b) for b in got["bag"]], (got["toxic"].to_numpy() > 0).astype(np.int64))
+    bags = materialize(read.join(F.broadcast(chosen), "id")            # at most 2 * SAMPLE ids
+                       .mapInPandas(run, "id long, toxic long, bag array<string>").dropDuplicates(["id"]), "toxicity-bags")
+    vocabulary = choose_vocabulary(bags)
+    known = F.array(*[F.lit(w) for w in [*vocabulary, *[x for _, ws in KINDS for x in ws]]])
+    got = bags.select("id", "toxic", F.array_intersect("bag", known).alias("hits")).orderBy("id").toPandas()
+    return vocabulary, fit_chain(got["id"].to_list(), [set(b) for b in got["hits"]],
+                                 (got["toxic"].to_numpy() > 0).astype(np.int64), vocabulary)
 
 
 def predict(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
