@@ -125,7 +125,7 @@ def test_partition_upsert_rerun_extra_missing_and_empty(spark):
     W.upsert_partitions(spark, again, path)
     W.upsert_partitions(spark, again, path)                      # rerun: same result
     W.upsert_partitions(spark, again.limit(0), path)             # empty: no-op
-    got = rows(spark.read.parquet(path).select("id", "v", "season", "season_type"))
+    got = rows(W.read_table(spark, path).select("id", "v", "season", "season_type"))
     assert got == [(1, "x", "2025", "RS"), (3, None, "2026", "RS")]
 
 
@@ -139,7 +139,58 @@ def test_apply_incremental_rewrites_in_place(spark):
     W.apply_incremental(spark, ppath, src, "delete+insert", "id", partition_by=["day"])
     W.apply_incremental(spark, ppath, spark.createDataFrame([(2, "B", "d2")], "id bigint, v string, day string"),
                         "delete+insert", "id", partition_by=["day"])
-    assert rows(spark.read.parquet(ppath).select("id", "v", "day")) == [(1, "a", "d1"), (2, "B", "d2")]
+    assert rows(W.read_table(spark, ppath)) == [(1, "a", "d1"), (2, "B", "d2")]
+    moved = spark.createDataFrame([(1, "A", "d2")], "id bigint, v string, day string")
+    for strategy in ("delete+insert", "merge"):
+        W.apply_incremental(spark, ppath, moved, strategy, "id", partition_by=["day"])
+        assert rows(W.read_table(spark, ppath)) == [(1, "A", "d2"), (2, "B", "d2")]
+    assert W.read_table(spark, ppath).filter("day = 'd1'").count() == 0
+
+
+def test_partitioned_runs_with_odd_partition_values(spark):
+    path = scratch_path(spark, f"tests/apply_odd-{uuid.uuid4().hex[:8]}")
+    sch = "id bigint, v string, p string, n int"
+    data = [(1, "a", None, 1), (2, "b", "x/y z=%", 2), (3, "c", "", 2), (4, "d", "2026", None), (5, "e", "keep", 7)]
+    W.apply_incremental(spark, path, spark.createDataFrame(data, sch), partition_by=["p", "n"])
+    src = spark.createDataFrame([(1, "A", "x/y z=%", 2), (2, "B", None, 1), (4, "D", "2026", 5)], sch)
+    W.apply_incremental(spark, path, src, "merge", "id", partition_by=["p", "n"])
+    got = rows(W.read_table(spark, path).select("id", "v", F.coalesce("p", F.lit("")).alias("p"), "n"))
+    assert got == [(1, "A", "x/y z=%", 2), (2, "B", "", 1), (3, "c", "", 2), (4, "D", "2026", 5), (5, "e", "keep", 7)]
+
+
+def test_widening_keeps_values(spark):
+    from pyspark.sql import types as T
+    w = lambda a, b: I.wider_type(T._parse_datatype_string(a), T._parse_datatype_string(b)).simpleString()
+    assert w("bigint", "decimal(10,2)") == "decimal(21,2)" and w("int", "decimal(12,4)") == "decimal(14,4)"
+    assert w("bigint", "float") == "double" and w("smallint", "float") == "float" and w("int", "bigint") == "bigint"
+    assert w("decimal(38,10)", "bigint") == "decimal(38,10)" and w("decimal(38,30)", "bigint") == "double"
+    assert w("float", "decimal(5,2)") == "double" and w("date", "timestamp_ntz") == "timestamp_ntz" and w("int", "string") == "string"
+    path = scratch_path(spark, f"tests/widen-{uuid.uuid4().hex[:8]}")
+    W.apply_incremental(spark, path, spark.createDataFrame([(1, 1, "x")], "id bigint, n int, p string"), partition_by=["p"])
+    W.apply_incremental(spark, path, spark.createDataFrame([(2, 1.75, "y")], "id bigint, n double, p string"),
+                        "delete+insert", "id", partition_by=["p"])
+    assert rows(W.read_table(spark, path)) == [(1, 1.0, "x"), (2, 1.75, "y")]
+
+
+def test_merge_options_conflict_and_position(spark):
+    target = _t(spark, [(1, "a", 1)])
+    with pytest.raises(ValueError, match="remove update_condition"):
+        I.merge(target, target, "id", clauses=[Clause("matched", "delete")], update_condition="true")
+    with pytest.raises(ValueError, match="at least one clause"):
+        I.merge(target, target, "id", clauses=[])
+    swapped = spark.createDataFrame([(1, "X", "Y")], "id bigint, w string, v string")
+    t2 = spark.createDataFrame([(1, "v", "w")], "id bigint, v string, w string")
+    got = rows(I.merge(t2, swapped, "id", clauses=[Clause("matched", "update", mode="by_position")]))
+    assert got == [(1, "X", "Y")]
+
+
+def test_merge_predicate_decides_between_repeated_keys(spark):
+    target = _t(spark, [(1, "a", 1), (2, "b", 2)])
+    source = _t(spark, [(1, "x", 5), (1, "y", -5), (2, "z", 7)])
+    got = rows(I.merge(target, source, "id", predicates=["s.n > 0"]))
+    assert got == [(1, "x", 5), (1, "y", -5), (2, "z", 7)]
+    with pytest.raises(PySparkException, match="more than one source row"):
+        I.merge(target, source, "id", predicates=["s.n <> 0"]).collect()
 
 
 def test_contract_check_and_first_run(spark):

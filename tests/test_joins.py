@@ -1,32 +1,9 @@
-"""Join helpers: bounded broadcast, literal maps, prefer-merge."""
-
-import contextlib
-import io
+"""Join helpers: literal maps, prefer-merge."""
 
 from conftest import rows
 from tidewater.operators import joins
 
 
-def _plan(df) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
-
-
-def test_broadcast_only_with_a_proven_bound(spark):
-    big = spark.range(0, 5000).withColumnRenamed("id", "k")
-    small = spark.range(0, 10).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hinted = big.join(joins.broadcast_if_small(small, max_rows=100), "k")
-        assert "BroadcastHashJoin" in _plan(hinted) and hinted.count() == 10
-        not_hinted = big.join(joins.broadcast_if_small(big.select("k"), max_rows=100), "k")
-        assert "BroadcastHashJoin" not in _plan(not_hinted) and not_hinted.count() == 5000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_literal_map_and_prefer_merge(spark):
     m = joins.literal_frame(spark, {"BOS": "East", "LAL": "West"}, "team", "conference")
     assert rows(m) == [("BOS", "East"), ("LAL", "West")]

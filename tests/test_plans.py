@@ -30,13 +30,29 @@ def test_top_n_limits_groups_before_the_shuffle(spark):
     assert any("WindowGroupLimit" in line for line in lines[first_exchange + 1:])
 
 
-def test_merge_pushes_key_range_into_target_scan(spark):
-    p = plan(spark, "inc_delete_insert")
-    scans = [line for line in p.splitlines() if "FileScan parquet" in line and "props" in line]
-    assert any("event_id >=" in s for s in scans)
+def test_key_range_split_reaches_the_target_scan(spark):
+    from tidewater.operators import incremental as I
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        I.delete_insert(ev, ev.filter("event_id > 100"), "event_id", prune_by_key_range=True).explain()
+    scans = [line for line in buf.getvalue().splitlines() if "FileScan parquet" in line and "props" in line]
+    assert any("event_id#" in s and ">= 101" in s for s in scans)
+
+
+@pytest.mark.parametrize("name", ["inc_merge", "inc_merge_clauses", "inc_merge_no_key", "inc_merge_predicates",
+                                  "inc_merge_by_position", "inc_delete_insert", "snapshot_changes"])
+def test_no_nested_loops(spark, name):
+    assert "NestedLoop" not in plan(spark, name) and "Cartesian" not in plan(spark, name)
+
+
+@pytest.mark.parametrize("name", ["page_box_scores", "page_stat_cards", "page_play_by_play", "page_teams", "page_rows_with_ids",
+                                  "page_headings", "page_list_rows", "page_links"])
+def test_pages_are_parsed_once(spark, name):
+    assert plan(spark, name).count("MapInPandas") == 1
 
 
-@pytest.mark.parametrize("name", ["resultset_rows", "page_links", "fact_per_game", "inc_merge_clauses"])
+@pytest.mark.parametrize("name", ["resultset_rows", "fact_per_game", "inc_merge_clauses"])
 def test_no_python_in_jvm_only_queries(spark, name):
     p = plan(spark, name)
     assert "Python" not in p and "ArrowEvalPython" not in p and "MapInPandas" not in p

@@ -7,9 +7,9 @@ DataFrame keeps each strategy checkable against a SQL oracle and lets the
 same code run per micro-batch from ``foreachBatch``.
 
 Scale notes: every strategy joins on the unique key only (one shuffle of each
-side on the key, or a broadcast of the increment when the planner measures it
-small); the source's key multiplicity is computed with an aggregate (map-side
-combine), never a window.
+side on the key, or a broadcast of the increment when the planner measures its
+bytes as small); no side is forced into a broadcast.  The source's key
+multiplicity is computed with an aggregate (map-side combine).
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 # --------------------------------------------------------------------------
 # schema alignment and evolution
@@ -61,17 +62,36 @@ def schema_diff(target: T.StructType, source: T.StructType) -> SchemaDiff:
     return d
 
 
-_NUMERIC_RANK = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType]
+# Decimal digits that hold every value of an integer type.
+_INTEGER_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+_EXACT_IN_FLOAT = (T.ByteType, T.ShortType)
+
+
+def _as_decimal(t: T.DataType) -> T.DecimalType | None:
+    if isinstance(t, T.DecimalType):
+        return t
+    digits = _INTEGER_DIGITS.get(type(t))
+    return T.DecimalType(digits, 0) if digits else None
 
 
 def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
-    """The type both values fit in (numeric widening, else string)."""
+    """The type both values fit in: integers by size, decimals by digits before and
+    after the point, binary fractions as double (float only where it is exact),
+    dates as timestamps, everything else as text."""
     if a == b:
         return a
-    ra = next((i for i, k in enumerate(_NUMERIC_RANK) if isinstance(a, k)), None)
-    rb = next((i for i, k in enumerate(_NUMERIC_RANK) if isinstance(b, k)), None)
-    if ra is not None and rb is not None:
-        return a if ra >= rb else b
+    da, db = _as_decimal(a), _as_decimal(b)
+    if da and db:
+        if isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType):
+            scale = max(da.scale, db.scale)
+            whole = max(da.precision - da.scale, db.precision - db.scale)
+            return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.DoubleType()
+        return a if da.precision >= db.precision else b
+    fractions = (T.FloatType, T.DoubleType)
+    if isinstance(a, fractions + (T.NumericType,)) and isinstance(b, fractions + (T.NumericType,)):
+        if {type(a), type(b)} <= {T.FloatType, *_EXACT_IN_FLOAT}:
+            return T.FloatType()
+        return T.DoubleType()
     if isinstance(a, T.DateType) and isinstance(b, (T.TimestampType, T.TimestampNTZType)):
         return b
     if isinstance(b, T.DateType) and isinstance(a, (T.TimestampType, T.TimestampNTZType)):
@@ -79,13 +99,14 @@ def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
     return T.StringType()
 
 
-def widen_target(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Cast both sides of shared columns to their wider type."""
+def widen_target(target: DataFrame, source: DataFrame, to_text: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Cast both sides of shared columns to their wider type (I18); with
+    ``to_text=False`` only where that is a number or a time."""
     smap = {f.name: f.dataType for f in source.schema.fields}
     tcols, scasts = [], {}
     for f in target.schema.fields:
-        if f.name in smap and smap[f.name] != f.dataType:
-            w = wider_type(f.dataType, smap[f.name])
+        w = wider_type(f.dataType, smap[f.name]) if f.name in smap else f.dataType
+        if f.name in smap and smap[f.name] != f.dataType and (to_text or not isinstance(w, T.StringType)):
             tcols.append(F.col(f.name).cast(w).alias(f.name))
             scasts[f.name] = w
         else:
@@ -94,6 +115,15 @@ def widen_target(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataF
     return target.select(*tcols), s
 
 
+def reconcile(target: DataFrame, source: DataFrame, mode: str = "ignore") -> tuple[DataFrame, DataFrame]:
+    """Types, then columns: shared columns are widened so that no value of the source is
+    cut (not for ``sync_all_columns``, which takes the source's types, nor for ``fail``),
+    then ``on_schema_change`` settles the column sets."""
+    if mode in ("ignore", "append_new_columns"):
+        target, source = widen_target(target, source, to_text=False)
+    return on_schema_change(target, source, mode)
+
+
 def on_schema_change(target: DataFrame, source: DataFrame, mode: str = "ignore") -> tuple[DataFrame, DataFrame]:
     """Reconcile target and source schemas before a strategy runs (I16).
 
@@ -128,12 +158,32 @@ def restrict_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(c).cast(types[c]).alias(c) for c in df.columns if c in types])
 
 
-def _keys(unique_key: str | Sequence[str] | None) -> list[str]:
+def key_list(unique_key: str | Sequence[str] | None) -> list[str]:
     if unique_key is None:
         return []
     return [unique_key] if isinstance(unique_key, str) else list(unique_key)
 
 
+def all_of(conditions: str | Column | Sequence[str | Column] | None) -> Column:
+    """All of one or several conditions hold (an unknown one does not)."""
+    if conditions is None:
+        return F.lit(True)
+    if isinstance(conditions, (str, Column)):
+        conditions = [conditions]
+    out = F.lit(True)
+    for c in conditions:
+        out = out & F.coalesce(_expr(c), F.lit(False))
+    return out
+
+
+def in_slice(event_time: str, start, end) -> Column:
+    """``[start, end)`` of event time."""
+    s, e = F.lit(start), F.lit(end)
+    if isinstance(start, dt.datetime):
+        s, e = s.cast("timestamp_ntz"), e.cast("timestamp_ntz")
+    return (F.col(event_time) >= s) & (F.col(event_time) < e)
+
+
 def key_range_split(target: DataFrame, source: DataFrame, key: str) -> tuple[DataFrame, DataFrame] | None:
     """Split the target by the source's ``[min, max]`` on ``key``.
 
@@ -142,7 +192,9 @@ def key_range_split(target: DataFrame, source: DataFrame, key: str) -> tuple[Dat
     the target's scan, so with an increment of recent keys only a thin slice
     of the target is shuffled.  Returns ``(outside, inside)``, or ``None``
     when the key type has no order.  One small aggregate of the source is
-    run to fetch the two bounds.
+    run to fetch the two bounds, so this is for callers who know that keys grow
+    with time: with random keys the range spans the table and the outside
+    branch is a second scan for nothing.
     """
     dtype = source.schema[key].dataType
     if isinstance(dtype, (T.MapType, T.ArrayType, T.StructType, T.BinaryType)):
@@ -165,7 +217,7 @@ def append(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def delete_insert(target: DataFrame, source: DataFrame, unique_key: str | Sequence[str] | None,
-                  predicates: Sequence[Column | str] = (), prune_by_key_range: bool = True) -> DataFrame:
+                  predicates: Sequence[Column | str] = (), prune_by_key_range: bool = False) -> DataFrame:
     """Delete target rows whose key occurs in the source (and that satisfy all
     ``predicates``, written over target columns), then insert the source.
 
@@ -174,7 +226,7 @@ def delete_insert(target: DataFrame, source: DataFrame, unique_key: str | Sequen
     split by AQE), and with ``prune_by_key_range`` only target rows inside
     the source's key range take part in it.
     """
-    keys = _keys(unique_key)
+    keys = key_list(unique_key)
     src = align_to(source, target.schema)
     if not keys:
         return target.unionByName(src)
@@ -185,9 +237,7 @@ def delete_insert(target: DataFrame, source: DataFrame, unique_key: str | Sequen
             return outside.unionByName(delete_insert(inside, source, keys, predicates, prune_by_key_range=False))
     hit = source.select(*keys).groupBy(*keys).agg(F.lit(True).alias("_hit"))
     marked = target.join(hit, on=keys, how="left")
-    delete = F.coalesce(F.col("_hit"), F.lit(False))
-    for p in predicates:
-        delete = delete & F.coalesce(F.expr(p) if isinstance(p, str) else p, F.lit(False))
+    delete = F.coalesce(F.col("_hit"), F.lit(False)) & all_of(predicates)
     kept = marked.filter(~delete).select(*target.columns)
     return kept.unionByName(src)
 
@@ -206,10 +256,7 @@ def insert_overwrite(target: DataFrame, source: DataFrame, partition_by: Sequenc
         kept = target.join(parts, on=list(partition_by), how="left_anti").select(*target.columns)
         return kept.unionByName(src)
     if predicates:
-        delete = F.lit(True)
-        for p in predicates:
-            delete = delete & F.coalesce(F.expr(p) if isinstance(p, str) else p, F.lit(False))
-        return target.filter(~delete).unionByName(src)
+        return target.filter(~all_of(predicates)).unionByName(src)
     return src
 
 
@@ -221,31 +268,21 @@ def microbatch(target: DataFrame, source: DataFrame, event_time: str | None, sta
     in the slice.  A key is rejected: batches are replaced, not upserted."""
     if not event_time:
         raise ValueError("microbatch needs the event-time column that defines the batches")
-    if _keys(unique_key):
+    if key_list(unique_key):
         raise ValueError("microbatch replaces whole time slices; a unique key has no meaning here")
     if start is None or end is None:
         raise ValueError("microbatch needs both batch bounds (start inclusive, end exclusive)")
-    ts = F.col(event_time)
-    s, e = F.lit(start), F.lit(end)
-    if isinstance(start, dt.datetime):
-        s, e = s.cast("timestamp_ntz"), e.cast("timestamp_ntz")
-    in_batch = (ts >= s) & (ts < e)
-    delete = in_batch
-    for p in predicates:
-        delete = delete & F.coalesce(F.expr(p) if isinstance(p, str) else p, F.lit(False))
+    in_batch = in_slice(event_time, start, end)
+    delete = in_batch & all_of(predicates)
     kept = target.filter(~F.coalesce(delete, F.lit(False)))
     return kept.unionByName(align_to(source.filter(in_batch), target.schema))
 
 
 def microbatches(target: DataFrame, source: DataFrame, event_time: str, bounds: Sequence[tuple]) -> DataFrame:
     """Many ``[start, end)`` batches in one plan (one job, not one per batch)."""
-    ts = F.col(event_time)
     cond = F.lit(False)
     for s, e in bounds:
-        s_, e_ = F.lit(s), F.lit(e)
-        if isinstance(s, dt.datetime):
-            s_, e_ = s_.cast("timestamp_ntz"), e_.cast("timestamp_ntz")
-        cond = cond | ((ts >= s_) & (ts < e_))
+        cond = cond | in_slice(event_time, s, e)
     kept = target.filter(~F.coalesce(cond, F.lit(False)))
     return kept.unionByName(align_to(source.filter(cond), target.schema))
 
@@ -285,16 +322,18 @@ class Clause:
     """One ``WHEN`` clause.
 
     ``kind``: ``matched`` | ``not_matched`` (by target) | ``not_matched_by_source``.
-    ``condition``: SQL over aliases ``s`` (source) and ``t`` (target) or a Column.
+    ``condition``: SQL over aliases ``s`` (source) and ``t`` (target) or a Column, or a
+    list of them that must all hold.
     ``action``: update / insert / delete / do_nothing / error.
-    ``mode`` for update/insert: ``by_name`` (all shared columns) or ``explicit``.
+    ``mode`` for update/insert: ``by_name`` (all shared columns), ``by_position`` (the
+    target's columns take the source's in order) or ``explicit``.
     ``include`` / ``exclude``: update column lists; ``set``: column -> SQL expression.
     ``insert_columns`` / ``insert_values``: explicit insert.
     """
 
     kind: str
     action: str
-    condition: str | Column | None = None
+    condition: str | Column | Sequence[str | Column] | None = None
     mode: str = "by_name"
     include: Sequence[str] = ()
     exclude: Sequence[str] = ()
@@ -304,13 +343,21 @@ class Clause:
     error_message: str = ""
 
 
-def validate_merge(clauses: Sequence[Clause], unique_key, update_columns, exclude_columns,
-                   target_columns: Sequence[str]) -> None:
-    """All option problems at once."""
+def validate_merge(clauses: Sequence[Clause] | None, target_columns: Sequence[str], source_columns: Sequence[str],
+                   basic: Mapping[str, object]) -> None:
+    """All option problems at once (I11).  ``basic``: the options of the short form by name."""
     errs = []
-    if update_columns and exclude_columns:
-        errs.append("merge_update_columns and merge_exclude_columns cannot both be set")
-    for i, c in enumerate(clauses):
+    given = [name for name, value in basic.items() if value]
+    if basic.get("update_columns") and basic.get("exclude_columns"):
+        errs.append("update_columns and exclude_columns cannot both be set")
+    for name in ("update_columns", "exclude_columns", "set_expressions"):
+        errs += [f"{name}: column {c!r} not in target" for c in basic.get(name) or () if c not in target_columns]
+    if clauses is not None:
+        if not clauses:
+            errs.append("clauses must hold at least one clause")
+        if given:
+            errs.append(f"clauses replace the basic options; remove {', '.join(given)}")
+    for i, c in enumerate(clauses or ()):
         allowed = {"matched": _MATCHED_ACTIONS, "not_matched": _NOT_MATCHED_ACTIONS,
                    "not_matched_by_source": _BY_SOURCE_ACTIONS}.get(c.kind)
         if allowed is None:
@@ -320,7 +367,15 @@ def validate_merge(clauses: Sequence[Clause], unique_key, update_columns, exclud
             errs.append(f"clause {i}: action {c.action!r} not allowed for {c.kind}")
         if c.mode not in ("by_name", "explicit", "star", "by_position"):
             errs.append(f"clause {i}: unknown mode {c.mode!r}")
-        for col in [*c.include, *c.exclude, *c.set]:
+        if c.mode == "by_position" and len(source_columns) != len(target_columns):
+            errs.append(f"clause {i}: by_position needs {len(target_columns)} source columns, found {len(source_columns)}")
+        if c.action == "update" and c.mode == "explicit" and not (c.include or c.exclude or c.set):
+            errs.append(f"clause {i}: an explicit update names columns or expressions")
+        if c.action == "insert" and c.mode == "explicit" and not c.insert_columns:
+            errs.append(f"clause {i}: an explicit insert names its columns")
+        if not isinstance(c.condition, (str, Column, type(None))) and not list(c.condition):
+            errs.append(f"clause {i}: an empty list of conditions")
+        for col in [*c.include, *c.exclude, *c.set, *c.insert_columns]:
             if col not in target_columns:
                 errs.append(f"clause {i}: column {col!r} not in target")
         if c.insert_columns and len(c.insert_columns) != len(c.insert_values):
@@ -349,77 +404,79 @@ def default_clauses(update_columns: Sequence[str] = (), exclude_columns: Sequenc
 def merge(target: DataFrame, source: DataFrame, unique_key: str | Sequence[str] | None = None,
           clauses: Sequence[Clause] | None = None, update_columns: Sequence[str] = (),
           exclude_columns: Sequence[str] = (), set_expressions: Mapping[str, str] | None = None,
-          update_condition: str | None = None, insert_condition: str | None = None,
-          using: Sequence[str] = (), predicates: Sequence[str | Column] = (), returning: bool = False,
-          prune_by_key_range: bool = True, small_source_rows: int | None = 200_000) -> DataFrame:
-    """MERGE as a DataFrame: new target state (or, with ``returning``, the affected rows).
+          update_condition: str | Sequence[str] | None = None, insert_condition: str | Sequence[str] | None = None,
+          using: Sequence[str] = (), predicates: Sequence[str | Column] = (),
+          returning: bool | Sequence[str] = False, prune_by_key_range: bool = False) -> DataFrame:
+    """MERGE as a DataFrame: new target state (or, with ``returning``, the affected rows,
+    all columns or those named).
 
     Matching is ``keys equal AND predicates``.  Clauses are tried in order
     per row; the first whose condition holds decides the row's action.  A
-    target row that matches two source rows raises (like MERGE does); the
-    check uses per-key source counts from an aggregate.  Without a key and
-    without ``using`` nothing matches (insert only).
-
-    Plans: target rows outside the increment's key range skip the join (see
-    ``key_range_split``); an increment of at most ``small_source_rows`` rows
-    (a bounded count proves it) is broadcast and left-joined to the target,
-    so the target is not shuffled; otherwise one full outer join on the key.
+    target row that matches two source rows raises, like MERGE does.  Without a
+    key and without ``using`` nothing matches.
+
+    Plan: the target's rows are left-joined to the source (AQE splits skewed keys,
+    and broadcasts a side whose measured bytes allow it), and the source's rows
+    that match nothing are found by an anti join against the target's key columns
+    alone.  Without a key there is no join at all.  ``prune_by_key_range`` lets
+    target rows outside the source's key range skip the join (see
+    ``key_range_split``).
     """
-    keys = list(using) or _keys(unique_key)
+    keys = list(using) or key_list(unique_key)
+    tcols, scols = list(target.columns), list(source.columns)
+    validate_merge(clauses, tcols, scols, {
+        "update_columns": update_columns, "exclude_columns": exclude_columns, "set_expressions": set_expressions,
+        "update_condition": update_condition, "insert_condition": insert_condition})
     clauses = list(clauses) if clauses is not None else default_clauses(
         update_columns, exclude_columns, set_expressions, update_condition, insert_condition)
-    tcols = list(target.columns)
-    validate_merge(clauses, unique_key, update_columns, exclude_columns, tcols)
     # Target rows outside the source's key range can only be "not matched by
     # source": with no clause for those they are unchanged and skip the join.
     if prune_by_key_range and keys and not any(c.kind == "not_matched_by_source" for c in clauses):
         split = key_range_split(target, source, keys[0])
         if split is not None:
             outside, inside = split
-            merged = merge(inside, source, unique_key, clauses, using=using, predicates=predicates,
-                           returning=returning, prune_by_key_range=False, small_source_rows=small_source_rows)
+            merged = merge(inside, source, unique_key, clauses, using=using, predicates=predicates, returning=returning)
             return merged if returning else outside.unionByName(merged)
 
-    if keys:
-        counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_src_n"))
-        # left: source rows with a null key never match but are still inserted
-        src = source.join(counts, on=keys, how="left")
-    else:
-        src = source.withColumn("_src_n", F.lit(1).cast("bigint"))
-    s = src.withColumn("_s_here", F.lit(True)).alias("s")
-    t = target.withColumn("_t_here", F.lit(True)).alias("t")
-    if keys:
-        cond = None
-        for k in keys:
-            c = F.col(f"t.{k}") == F.col(f"s.{k}")
-            cond = c if cond is None else cond & c
-        for p in predicates:
-            cond = cond & _expr(p)
+    rows = lambda j, **sides: _merge_rows(j, clauses, tcols, scols, target.schema, returning, **sides)
+    t = target.withColumn("_t_here", F.lit(True))
+    if not keys:
+        by_source = rows(t.alias("t"), has_source=False)
+        return by_source.unionByName(rows(source.withColumn("_s_here", F.lit(True)).alias("s"), has_target=False))
+    counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_src_n"))
+    # left: source rows with a null key never match but are still inserted
+    s = source.join(counts, on=keys, how="left").select(*scols, "_src_n").withColumn("_s_here", F.lit(True)).alias("s")
+    if predicates:
+        # keys repeat in the source: only a predicate can still leave one match per target row
+        t = t.withColumn("_t_id", F.monotonically_increasing_id())
+    t = t.alias("t")
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
+    for p in predicates:
+        cond = cond & _expr(p)
+    left = t.join(s, on=cond, how="left")
+    if predicates:
+        # counted only where a key repeats; other rows are alone in their window
+        own = F.when(F.col("s._src_n") > 1, F.col("t._t_id"))
+        matches = F.count("*").over(Window.partitionBy("t._t_id", own))
+        left = left.withColumn("_twice", (F.col("s._src_n") > 1) & (matches > 1))
     else:
-        cond = F.lit(False)
-    scols = set(source.columns)
-    if keys and small_source_rows and source.limit(small_source_rows + 1).count() <= small_source_rows:
-        # A small increment (row count proven): the target is joined to a broadcast
-        # copy of it and is never shuffled.  Increment rows that matched nothing are
-        # found against the (small) set of matched keys.
-        left = t.join(F.broadcast(s), on=cond, how="left")
-        matched_keys = (left.filter(F.col("s._s_here").isNotNull())
-                        .select(*[F.col(f"s.{k}").alias(f"_mk_{k}") for k in keys]).distinct())
-        unmatched = s.join(matched_keys, on=[F.col(f"s.{k}").eqNullSafe(F.col(f"_mk_{k}")) for k in keys],
-                           how="left_anti")
-        part_t = _merge_rows(left, clauses, tcols, scols, target.schema, returning, has_target=True)
-        part_s = _merge_rows(unmatched, clauses, tcols, scols, target.schema, returning, has_target=False)
-        return part_t.unionByName(part_s)
-    j = t.join(s, on=cond, how="full")
-    return _merge_rows(j, clauses, tcols, scols, target.schema, returning, has_target=True)
-
-
-def _merge_rows(j: DataFrame, clauses: Sequence[Clause], tcols: Sequence[str], scols: set[str],
-                schema: T.StructType, returning: bool, has_target: bool) -> DataFrame:
+        left = left.withColumn("_twice", F.col("s._src_n") > 1)
+    unmatched = s.join(target.alias("t"), on=cond, how="left_anti")
+    return rows(left).unionByName(rows(unmatched, has_target=False))
+
+
+def _merge_rows(j: DataFrame, clauses: Sequence[Clause], tcols: Sequence[str], scols: Sequence[str],
+                schema: T.StructType, returning: bool | Sequence[str], has_target: bool = True,
+                has_source: bool = True) -> DataFrame:
     """Clause evaluation over joined rows (``t`` / ``s`` aliases): the new target
     rows, or with ``returning`` the affected rows and their action.  Without a
-    target side every row is a source row that matched nothing."""
-    s_here = F.coalesce(F.col("s._s_here"), F.lit(False))
+    target side every row is a source row that matched nothing, without a source
+    side every row is a target row that matched nothing."""
+    clauses = [c if (has_target or c.kind == "not_matched") and (has_source or c.kind == "not_matched_by_source") else None
+               for c in clauses]
+    s_here = F.coalesce(F.col("s._s_here"), F.lit(False)) if has_source else F.lit(False)
     t_here = F.coalesce(F.col("t._t_here"), F.lit(False)) if has_target else F.lit(False)
     matched, only_s, only_t = t_here & s_here, s_here & ~t_here, t_here & ~s_here
     kinds = {"matched": matched, "not_matched": only_s, "not_matched_by_source": only_t}
@@ -428,11 +485,9 @@ def _merge_rows(j: DataFrame, clauses: Sequence[Clause], tcols: Sequence[str], s
     cid = F.lit(-1)
     for i in reversed(range(len(clauses))):
         c = clauses[i]
-        if not has_target and c.kind != "not_matched":
+        if c is None:
             continue
-        applies = kinds[c.kind]
-        if c.condition is not None:
-            applies = applies & F.coalesce(_expr(c.condition), F.lit(False))
+        applies = kinds[c.kind] & all_of(c.condition)
         cid = F.when(applies, F.lit(i)).otherwise(cid)
     j = j.withColumn("_cid", cid)
 
@@ -440,7 +495,7 @@ def _merge_rows(j: DataFrame, clauses: Sequence[Clause], tcols: Sequence[str], s
     for col in tcols:
         v = F.col(f"t.{col}") if has_target else F.lit(None)
         for i, c in enumerate(clauses):
-            if not has_target and c.kind != "not_matched":
+            if c is None:
                 continue
             nv = _clause_value(c, col, scols, tcols)
             if nv is not None:
@@ -449,39 +504,48 @@ def _merge_rows(j: DataFrame, clauses: Sequence[Clause], tcols: Sequence[str], s
 
     action = F.lit("keep")
     for i, c in enumerate(clauses):
-        action = F.when(F.col("_cid") == i, F.lit(c.action)).otherwise(action)
+        if c is not None:
+            action = F.when(F.col("_cid") == i, F.lit(c.action)).otherwise(action)
     action = F.when((F.col("_cid") == -1) & only_s, F.lit("skip")).otherwise(action)
     j = j.withColumn("_action", action)
 
-    errors = [(i, c) for i, c in enumerate(clauses) if c.action == "error"]
-    check = F.when(matched & (F.col("s._src_n") > 1),
-                   F.raise_error(F.lit("MERGE: a target row matches more than one source row")))
-    for i, c in errors:
-        msg = c.error_message or f"MERGE: error clause {i} fired"
-        check = check.when(F.col("_cid") == i, F.raise_error(F.lit(msg)))
-    j = j.filter(F.coalesce(check.cast("boolean"), F.lit(True)))
+    check = F.lit(None).cast("boolean")
+    if has_target and has_source:
+        check = F.when(matched & F.coalesce(F.col("_twice"), F.lit(False)),
+                       F.raise_error(F.lit("MERGE: a target row matches more than one source row")).cast("boolean"))
+    for i, c in enumerate(clauses):
+        if c is not None and c.action == "error":
+            msg = c.error_message or f"MERGE: error clause {i} fired"
+            check = F.when(F.col("_cid") == i, F.raise_error(F.lit(msg)).cast("boolean")).otherwise(check)
+    j = j.filter(F.coalesce(check, F.lit(True)))
 
     if returning:
+        shown = tcols if returning is True else list(returning)
         return (j.filter(~F.col("_action").isin("keep", "skip", "do_nothing"))
-                .select(*[values[c].alias(c) for c in tcols], F.col("_action").alias("merge_action")))
+                .select(*[values[c].alias(c) for c in shown], F.col("_action").alias("merge_action")))
     out = j.filter(~F.col("_action").isin("delete", "skip") &
                    ~((F.col("_action") == "do_nothing") & only_s))
     return out.select(*[values[c].alias(c) for c in tcols])
 
 
-def _clause_value(c: Clause, col: str, scols: set[str], tcols: Sequence[str]) -> Column | None:
+def _clause_value(c: Clause, col: str, scols: Sequence[str], tcols: Sequence[str]) -> Column | None:
     """New value of target column ``col`` under clause ``c`` (None = unchanged)."""
+    by_place = F.col(f"s.{scols[list(tcols).index(col)]}") if c.mode == "by_position" else None
     if c.action == "update":
         if col in c.set:
             return _expr(c.set[col])
         if c.kind == "not_matched_by_source":
             return None
+        if by_place is not None:
+            return by_place
         if c.mode == "explicit":
             chosen = list(c.include) if c.include else [x for x in tcols if x not in c.exclude]
             if col not in chosen:
                 return None
         return F.col(f"s.{col}") if col in scols else None
     if c.action == "insert":
+        if by_place is not None:
+            return by_place
         if c.mode == "explicit" and c.insert_columns:
             if col in c.insert_columns:
                 return _expr(c.insert_values[list(c.insert_columns).index(col)])
@@ -503,13 +567,14 @@ def incremental(target: DataFrame | None, source: DataFrame, strategy: str = "de
     if target is None or full_refresh:
         return source
     raw_source = source
-    target, source = on_schema_change(target, source, on_schema_change_mode)
+    target, source = reconcile(target, source, on_schema_change_mode)
     if strategy == "append":
         return append(target, source)
     if strategy in ("delete+insert", "delete_insert"):
         return delete_insert(target, source, unique_key, opts.get("predicates", ()))
     if strategy == "merge":
-        return merge(target, restrict_to(raw_source, target.schema), unique_key, **opts)
+        by_place = any(c.mode == "by_position" for c in opts.get("clauses") or ())
+        return merge(target, raw_source if by_place else restrict_to(raw_source, target.schema), unique_key, **opts)
     if strategy == "insert_overwrite":
         return insert_overwrite(target, source, opts.get("partition_by", ()), opts.get("predicates", ()))
     if strategy == "microbatch":

@@ -1,4 +1,4 @@
-"""Join helpers: prefer-merge of two sources, literal maps, bounded broadcast."""
+"""Join helpers: prefer-merge of two sources, literal maps."""
 
 from __future__ import annotations
 
@@ -7,22 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is only hinted for broadcast when it is proven to hold at most this
-# many rows; beyond that the planner's own size check (and AQE) decides.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``broadcast`` only after proving the side has ``<= max_rows`` rows.
-
-    The proof is a bounded action (``limit(max_rows + 1).count()``) that stops
-    reading once the bound is exceeded.  Otherwise the frame is returned
-    unhinted and Catalyst/AQE pick a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def literal_frame(spark: SparkSession, mapping: Mapping, key: str, value: str,
                   key_type: str = "string", value_type: str = "string") -> DataFrame:
     """A small literal map (like ``VALUES (...)``) as a DataFrame."""

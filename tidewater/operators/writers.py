@@ -1,22 +1,28 @@
-"""Safe writers for the pure strategies (I1, I2, I4, I5, I6-I13 persistence).
+"""Safe writers for the pure strategies (I1, I2, I4-I14 persistence, I16).
 
-Parquet paths cannot be rewritten while they are read, so a new state is
-first materialised (``DataFrame.checkpoint`` into the shared folder named by
-``spark.checkpoint.dir`` - never a machine-local folder on a cluster, never
-a local checkpoint, so a lost executor can recompute nothing it needs), then
-written:
+Parquet paths cannot be rewritten while they are read, so a new state is written
+to a staging path next to the table and then swapped in:
 
-* ``replace_table``: write to a staging path, then swap it in.
-* ``overwrite_partitions``: dynamic partition overwrite, only the
-  partitions present in the data are replaced (one job for many partitions).
+* ``replace_table``: the whole table.
+* ``replace_partitions``: an explicit list of partitions; one that has no rows in
+  the new state is removed, all others keep their files.
+
+A table's schema is stored beside its files (``_table_schema.json``, which Spark's
+readers skip), so partition columns keep their types and a table without rows
+can be read.  An increment is fixed once in the shared folder named by
+``spark.checkpoint.dir`` before a strategy uses it, so every step of a run sees
+the same rows, also after the loss of an executor.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.operators import incremental as I
 from tidewater.session import checkpoint_dir
@@ -52,6 +58,43 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SCHEMA_FILE = "_table_schema.json"
+
+
+def _store_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(schema.json(), "utf-8"))
+    finally:
+        out.close()
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema a table was written with (None for files of other writers)."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if not fs.exists(p):
+        return None
+    content = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.java.util.Scanner(content, "UTF-8").useDelimiter("\\A").next()
+    finally:
+        content.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table written here, with the column types and order it was written with."""
+    schema = stored_schema(spark, path)
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*[f"`{f.name}`" for f in schema.fields])
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
                   options: Mapping[str, str] | None = None) -> None:
     """Write ``df`` as the new content of ``path`` via a staging path and a swap.
@@ -65,6 +108,7 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(staging)
+    _store_schema(spark, staging, _nullable(df.schema))
     backup = f"{path.rstrip('/')}.__old_{uuid.uuid4().hex[:12]}"
     had_old = path_exists(spark, path)
     if had_old:
@@ -75,11 +119,55 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
-    """Replace only the partitions present in ``df`` (dynamic overwrite)."""
+    """Replace only the partitions present in ``df`` (dynamic overwrite, said for this write alone)."""
     (df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).save(path))
 
 
+def _data_dirs(spark: SparkSession, path: str) -> set[str]:
+    """Folders below ``path`` that hold data files, relative to it."""
+    fs, root = _fs(spark, path)
+    base = fs.makeQualified(root).toString().rstrip("/")
+    found, files = set(), fs.listFiles(root, True)
+    while files.hasNext():
+        f = files.next().getPath()
+        if not f.getName().startswith(("_", ".")):
+            found.add(f.getParent().toString()[len(base):].lstrip("/"))
+    return found
+
+
+def replace_partitions(new: DataFrame, path: str, partition_by: Sequence[str], old: DataFrame) -> None:
+    """Swap the partitions that hold the rows ``old`` (read from ``path``) for the rows ``new``.
+
+    ``new`` is fully written before a file moves; a partition of ``old`` that has no
+    row in ``new`` is removed, partitions outside both keep their files.  Each
+    partition is swapped by renaming its folder; the old ones are deleted last.
+    """
+    spark = new.sparkSession
+    path = path.rstrip("/")
+    fs, root = _fs(spark, path)
+    base = fs.makeQualified(root).toString().rstrip("/")
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    uri = spark.sparkContext._jvm.java.net.URI
+    folders = old.select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("d")).distinct().collect()
+    gone = {fs.makeQualified(to_path(uri(r.d))).toString()[len(base):].lstrip("/") for r in folders}
+    staging, backup = (f"{path}.__{kind}_{uuid.uuid4().hex[:12]}" for kind in ("staging", "old"))
+    new.write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
+    come = _data_dirs(spark, staging)
+    for d in sorted(gone):
+        _rename_into(spark, f"{path}/{d}", f"{backup}/{d}")
+    for d in sorted(come):
+        _rename_into(spark, f"{staging}/{d}", f"{path}/{d}")
+    _delete(spark, staging)
+    _delete(spark, backup)
+
+
+def _rename_into(spark: SparkSession, src: str, dst: str) -> None:
+    fs, d = _fs(spark, dst)
+    fs.mkdirs(d.getParent())
+    _rename(spark, src, dst)
+
+
 def upsert_partitions(spark: SparkSession, source: DataFrame, path: str,
                       keys: Sequence[str] = ("season", "season_type"), mode: str = "upsert",
                       full_replace: bool = False, warn=None) -> None:
@@ -95,7 +183,7 @@ def upsert_partitions(spark: SparkSession, source: DataFrame, path: str,
     if full_replace or not path_exists(spark, path):
         replace_table(source, path, partition_by=present)
         return
-    target = spark.read.parquet(path)
+    target = read_table(spark, path)
     aligned = I.align_to(source, target.schema, warn=warn)
     part_keys = [k for k in keys if k in target.columns]
     if not part_keys:
@@ -117,34 +205,85 @@ def write_table_set(spark: SparkSession, tables: Mapping[str, DataFrame], base:
 
 
 def apply_incremental(spark: SparkSession, path: str, source: DataFrame, strategy: str = "delete+insert",
-                      unique_key=None, partition_by: Sequence[str] = (), **opts) -> None:
+                      unique_key=None, partition_by: Sequence[str] = (), full_refresh: bool = False,
+                      on_schema_change_mode: str = "ignore", **opts) -> None:
     """Run a strategy against the table at ``path`` and persist the new state.
 
-    With ``partition_by`` only the partitions touched by the source are read
-    (partition pruning), recomputed, materialised, and overwritten in place;
-    otherwise the whole table is rewritten through a staging swap.
+    The source is fixed first.  With ``partition_by`` only the partitions that
+    the run can change are read, recomputed and swapped: the source's own, those
+    that hold the source's keys (a key that moves leaves its old partition), and
+    those of a microbatch's slice or of delete predicates.  Runs that can change
+    any partition (by-source clauses, a full refresh, a changed schema) rewrite
+    the table.
     """
-    if not path_exists(spark, path):
-        w = source.write.mode("overwrite")
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    source = materialize(source)
+    parts = list(partition_by)
+    if full_refresh or not path_exists(spark, path):
+        replace_table(source, path, partition_by=parts)
         return
-    target = spark.read.parquet(path)
-    if partition_by:
-        scoped = touched_partitions(target, source, partition_by)
-        new = I.incremental(scoped, source, strategy, unique_key, **opts)
-        overwrite_partitions(materialize(new), path, partition_by)
-    else:
-        new = I.incremental(target, source, strategy, unique_key, **opts)
-        replace_table(materialize(new), path)
+    target = read_table(spark, path)
+    if strategy == "insert_overwrite" and not opts.get("predicates"):
+        opts.setdefault("partition_by", parts)
+    schema = I.reconcile(target, source, on_schema_change_mode)[0].schema
+    kept = _nullable(schema) == _nullable(target.schema)
+    if strategy == "append" and kept:
+        w = I.align_to(source, target.schema).write.mode("append")
+        (w.partitionBy(*parts) if parts else w).parquet(path)
+        return
+    touched = touched_values(target, source, parts, strategy, unique_key, opts) if parts and kept else None
+    if touched is None:
+        replace_table(I.incremental(target, source, strategy, unique_key, on_schema_change_mode, **opts), path,
+                      partition_by=parts)
+        return
+    scoped = target.filter(in_partitions(parts, touched))
+    new = I.incremental(scoped, source, strategy, unique_key, on_schema_change_mode, **opts)
+    replace_partitions(new, path, parts, scoped)
 
 
-def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """The target's rows in the partitions the source touches.
+def touched_values(target: DataFrame, source: DataFrame, partition_by: Sequence[str], strategy: str,
+                   unique_key=None, opts: Mapping | None = None) -> list[tuple] | None:
+    """Values of the partitions a run can change, or None when it can change any.
 
-    A semi join with the source's distinct partition values (few rows,
-    broadcast): Spark turns it into dynamic partition pruning, so only those
-    partitions' files are read.
+    The target is read for its key, event-time or predicate columns and its
+    partition columns only.  What reaches the driver is one row per partition.
     """
+    opts, parts = dict(opts or {}), list(partition_by)
+    keys = list(opts.get("using") or ()) or I.key_list(unique_key)
+    if any(c.kind == "not_matched_by_source" for c in opts.get("clauses") or ()):
+        return None
+    if strategy == "insert_overwrite" and not opts.get("partition_by") and not opts.get("predicates"):
+        return None
+    found = source.select(*parts)
+    if strategy == "microbatch":
+        found = found.limit(0)       # the slice alone decides
+        slice_of = I.in_slice(opts.get("event_time"), opts.get("start"), opts.get("end"))
+        found = found.unionByName(source.filter(slice_of).select(*parts)).unionByName(target.filter(slice_of).select(*parts))
+    elif strategy == "insert_overwrite" and opts.get("predicates"):
+        found = found.unionByName(target.filter(I.all_of(opts["predicates"])).select(*parts))
+    elif strategy != "insert_overwrite" and keys:
+        held = target.join(source.select(*keys).distinct(), keys, "left_semi")
+        found = found.unionByName(held.select(*parts))
+    return [tuple(r) for r in found.distinct().collect()]
+
+
+def in_partitions(partition_by: Sequence[str], values: Sequence[tuple]) -> Column:
+    """Predicate on partition columns for a list of partitions; the scan prunes by it."""
+    if len(partition_by) == 1:
+        c = F.col(partition_by[0])
+        out = c.isin(*[v for (v,) in values if v is not None]) if any(v is not None for (v,) in values) else F.lit(False)
+        return out | c.isNull() if any(v is None for (v,) in values) else out
+    out = F.lit(False)
+    for value in values:
+        one = F.lit(True)
+        for c, v in zip(partition_by, value):
+            one = one & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
+        out = out | one
+    return out
+
+
+def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The target's rows in the source's partitions, by a semi join that Spark turns
+    into dynamic partition pruning (only those partitions' files are read)."""
     touched = source.select(*partition_by).distinct()
     return target.join(touched, list(partition_by), "left_semi").select(*target.columns)
 
@@ -160,6 +299,22 @@ def materialize_as(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
     raise ValueError(f"unknown materialization {kind!r}")
 
 
-def python_model(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """A model written in Python is just ``(spark, **refs) -> DataFrame``."""
-    return fn
+def python_model(spark: SparkSession, fn: Callable[..., DataFrame], refs: Mapping[str, str | DataFrame],
+                 path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Run a model written in Python and persist it like any other table.
+
+    ``fn(ref, spark)`` gets a function that reads an upstream model by name (a table
+    path or a DataFrame in ``refs``; unknown names are an error) and returns the
+    model's DataFrame, which replaces the table at ``path``.
+    """
+    def ref(name: str) -> DataFrame:
+        if name not in refs:
+            raise KeyError(f"model refers to an unknown table {name!r}")
+        found = refs[name]
+        return found if isinstance(found, DataFrame) else read_table(spark, found)
+
+    out = fn(ref, spark)
+    if not isinstance(out, DataFrame):
+        raise TypeError("a Python model returns a DataFrame")
+    replace_table(out, path, partition_by=partition_by)
+    return read_table(spark, path)

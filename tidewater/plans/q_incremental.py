@@ -215,7 +215,7 @@ with target as (select *, cast(cast(ts as date) as varchar) as season from event
 source as (
     select event_id, ts, user_id, event_type, value + cast(1 as double) as value, props,
            cast(cast(ts as date) as varchar) as season
-    from events where ts >= timestamp '2024-01-18' and ts < timestamp '2024-01-23'
+    from events where ts >= timestamp '2024-01-18'
 )
 select * from target where season not in (select distinct season from source)
 union all select * from source
@@ -224,8 +224,7 @@ def q_upsert_partition(t: Tables) -> DataFrame:
     """The source's seasons (here: days) replace the target's; others kept."""
     ev = t.events.withColumn("season", F.to_date("ts").cast("string"))
     target = ev.filter(F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz"))
-    source = (ev.filter((F.col("ts") >= F.lit("2024-01-18").cast("timestamp_ntz"))
-                        & (F.col("ts") < F.lit("2024-01-23").cast("timestamp_ntz")))
+    source = (ev.filter(F.col("ts") >= F.lit("2024-01-18").cast("timestamp_ntz"))
               .withColumn("value", F.col("value") + F.lit(1.0)))
     return I.partition_upsert(target, source, keys=("season", "season_type"))
 
@@ -283,12 +282,75 @@ where not exists (select 1 from source s where s.o_orderkey = t.o_orderkey)
 union all select * from source
 """)
 def q_widen_types(t: Tables) -> DataFrame:
-    """An int target column meets double source values; both widen to double."""
+    """An int target column meets double source values; the load widens the
+    target, so no value is cut."""
     o = t.orders
     target = o.filter(F.year("o_orderdate") <= 1996).select("o_orderkey", F.col("o_custkey").cast("int"))
     source = o.filter(F.year("o_orderdate") >= 1996).select("o_orderkey", F.col("o_totalprice").alias("o_custkey"))
-    tw, sw = I.widen_target(target, source)
-    return I.delete_insert(tw, sw, "o_orderkey")
+    return I.incremental(target, source, "delete+insert", "o_orderkey")
+
+
+@query("schema_retype", """
+select o_orderkey, cast(o_custkey as varchar) as o_custkey from orders
+""")
+def q_schema_retype(t: Tables) -> DataFrame:
+    """``sync_all_columns`` retypes a column of the target to the source's type."""
+    o = t.orders
+    target = o.filter(F.year("o_orderdate") <= 1996).select("o_orderkey", "o_custkey")
+    source = o.filter(F.year("o_orderdate") >= 1996).select("o_orderkey", F.col("o_custkey").cast("string").alias("o_custkey"))
+    return I.incremental(target, source, "delete+insert", "o_orderkey", on_schema_change_mode="sync_all_columns")
+
+
+@query("inc_merge_by_position", _CTE + """
+select s.event_id, s.ts, s.user_id, s.props as event_type, s.value, s.event_type as props from source s
+union all
+select * from target t where not exists (select 1 from source s where s.event_id = t.event_id)
+""")
+def q_inc_merge_by_position(t: Tables) -> DataFrame:
+    """I9 ``by_position``: the target's columns take the source's in order, whatever their names."""
+    s = source_events(t).select("event_id", "ts", "user_id", F.col("props").alias("x"), "value", F.col("event_type").alias("y"))
+    return I.merge(target_events(t), s, "event_id",
+                   clauses=[Clause("matched", "update", mode="by_position"), Clause("not_matched", "insert", mode="by_position")])
+
+
+@query("inc_merge_no_key", _CTE + """
+select * from target where not (event_type = 'error')
+union all
+select * from source where event_type <> 'signup' and user_id % 2 = 0
+""")
+def q_inc_merge_no_key(t: Tables) -> DataFrame:
+    """I9 without a key: nothing matches, so the plan has no join; two conditions must
+    both hold for an insert, and by-source clauses see every target row."""
+    return I.merge(target_events(t), source_events(t), None,
+                   clauses=[Clause("not_matched", "insert", ["s.event_type <> 'signup'", "s.user_id % 2 = 0"]),
+                            Clause("not_matched_by_source", "delete", "t.event_type = 'error'")])
+
+
+@query("inc_merge_returning_columns", _CTE + """
+select s.event_id, s.value, case when t.event_id is null then 'insert' else 'update' end as merge_action
+from source s left join target t on s.event_id = t.event_id
+""")
+def q_inc_merge_returning_columns(t: Tables) -> DataFrame:
+    """I10 with a column list."""
+    return I.merge(target_events(t), source_events(t), "event_id", returning=["event_id", "value"])
+
+
+@query("inc_merge_repeated_key", _CTE + """
+select t.event_id, s.ts, s.user_id, s.event_type, s.value, s.props
+from target t join source s on t.event_id = s.event_id
+union all
+select * from target t where not exists (select 1 from source s where s.event_id = t.event_id)
+union all
+select * from source s where not exists (select 1 from target t where s.event_id = t.event_id)
+union all
+select event_id, ts, -1 - user_id, event_type, value, props from source
+""")
+def q_inc_merge_repeated_key(t: Tables) -> DataFrame:
+    """The source repeats every key, a predicate leaves one match per target row (no
+    error); rows that the predicate keeps from matching are inserted."""
+    s = source_events(t)
+    twice = s.unionByName(s.withColumn("user_id", -1 - F.col("user_id")))
+    return I.merge(target_events(t), twice, "event_id", predicates=["s.user_id >= 0"])
 
 
 @query("inc_merge_predicates", _CTE + """

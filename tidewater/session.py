@@ -1,8 +1,9 @@
 """Session helpers.
 
 Library code never hard-codes cluster sizing; it only asks for settings that
-change *results* (UTC session zone, dynamic partition overwrite) or that every
-plan benefits from (AQE with skew-join and partition coalescing).  Sizing such
+change *results* (UTC session zone) or that every plan benefits from (AQE with
+skew-join and partition coalescing).  How a write treats existing partitions is
+said per write, never by a setting of the session.  Sizing such
 as ``spark.sql.shuffle.partitions`` is left to whoever builds the session.
 """
 
@@ -19,11 +20,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    # partition values are text keys ('2026' stays a string season)
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

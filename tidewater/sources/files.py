@@ -20,9 +20,13 @@ def format_from_location(location: str, default: str = "parquet") -> str:
 
 
 def load_seed(spark: SparkSession, path: str, column_types: Mapping[str, str] | None = None,
-              delimiter: str = ",", infer: bool = True) -> DataFrame:
-    """A header CSV as a table; ``column_types`` overrides inferred types."""
-    df = spark.read.option("header", True).option("sep", delimiter).option("inferSchema", infer).csv(path)
+              delimiter: str = ",", infer: bool = True, schema: str | None = None) -> DataFrame:
+    """A header CSV as a table; ``column_types`` overrides inferred types.
+
+    With ``schema`` (DDL) the file is read once, with those types; inference reads it twice.
+    """
+    reader = spark.read.option("header", True).option("sep", delimiter)
+    df = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", infer).csv(path)
     types = dict(column_types or {})
     return df.select(*[(F.col(c).cast(types[c]) if c in types else F.col(c)).alias(c) for c in df.columns])
 
@@ -44,9 +48,14 @@ def export_tables(tables: Mapping[str, DataFrame], base: str, schema: str = "mai
 
 def write_external(df: DataFrame, location: str, fmt: str | None = None, partition_by: Sequence[str] = (),
                    options: Mapping[str, str] | None = None) -> None:
-    """Write a model's result as files (format from the location's suffix)."""
+    """Write a model's result as files (format from the location's suffix).
+
+    The location holds exactly this result afterwards: partitions of an earlier
+    run that have no rows any more are removed (static overwrite, said per write).
+    """
     fmt = fmt or format_from_location(location)
-    w = df.write.mode("overwrite").format(fmt).options(**dict(options or {}))
+    w = (df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static")
+         .options(**dict(options or {})))
     if fmt == "csv":
         w = w.option("header", True)
     if partition_by:

@@ -1,10 +1,10 @@
 """A stream feeding the incremental strategies through ``foreachBatch``.
 
-Each micro-batch is applied with the same pure strategy as a batch load, only
-to the partitions it touches, and persisted with a dynamic partition
-overwrite.  The stream's checkpoint makes reruns resume after the last
-committed batch; a repeated batch is harmless because delete+insert and merge
-on a unique key are idempotent.
+Each micro-batch is applied with the same pure strategy as a batch load, to the
+partitions it can change (its own, and those that hold its keys).  The stream's
+checkpoint makes reruns resume after the last committed batch; a repeated batch
+is harmless because delete+insert and merge on a unique key leave the same rows,
+also for keys that moved to another partition.
 """
 
 from __future__ import annotations
