@@ -184,8 +184,12 @@ def test_literal_helpers_and_failure_rollup(spark):
     assert spark.range(1).select(X.string_literal("x'y")).first()[0] == "x'y"
     got = sorted(tuple(r) for r in Q.aggregated_failures(df).collect())
     assert got == [("a", 2, True, True), ("b", 1, True, True)]
-    model = W.python_model(lambda s, src: src.filter("column_name = 'a'"))
-    assert model(spark, df).count() == 2
+    import uuid
+
+    from tidewater.session import scratch_path
+    path = scratch_path(spark, f"tests/model-{uuid.uuid4().hex[:8]}")
+    model = lambda ref, s: ref("src").filter("column_name = 'a'")
+    assert W.python_model(spark, model, {"src": df}, path).count() == 2
 
 
 def test_partition_range_text(spark):

@@ -25,7 +25,7 @@ def test_blocks_tables_lists_headings(spark):
     assert {r["block_no"] for r in tables} == {0, 1, 2, 3}
     first = sorted((r["row_no"], r["cells"]) for r in tables if r["block_no"] == 0)
     assert first[0][1] == ["Player", "MIN", "PTS"] and first[2][1] == ["Jones", "12"]
-    assert {r["heading"] for r in tables if r["block_no"] == 0} == {"Gonzaga"}
+    assert {r["headings"][0] for r in tables if r["block_no"] == 0} == {"Gonzaga"}
     lists = rows(b.filter(F.col("kind") == "list").select("row_no", F.col("cells")[0]))
     assert lists == [(0, "Team & Co"), (1, "Plain")]
 
@@ -47,22 +47,74 @@ def test_box_score_rows_skip_totals_and_short_rows(spark):
     assert sorted((r["player"], r["min"], r["pts"]) for r in wide) == [("Jones", "12", None), ("Smith", "30", "21")]
 
 
-def test_stat_cards_and_play_by_play(spark):
-    b = P.page_blocks(_pages(spark, [(1, "u", BOX)]))
-    cards = P.stat_card_rows(b).collect()
-    assert [r["team"] for r in cards] == ["Baylor"]
-    pbp = P.play_by_play_rows(b).collect()
-    assert [(r["home"], r["time"], r["description"]) for r in pbp] == [("H", "10:00", "Jump ball & tip")]
+def test_stat_cards(spark):
+    page = BOX.replace("<h3>Baylor</h3>", "") + '<div class="card x"><table><tr><th>A b%</th><th>%</th><th></th></tr><tr><td>Team</td></tr>' \
+        "<tr><td>q</td><td>2</td><td>3</td></tr></table><table><tr><th>second</th></tr><tr><td>no</td></tr></table><h3>Late title</h3></div>"
+    cards = sorted((r["team"], r["header"], r["cells"]) for r in P.stat_card_rows(P.page_blocks(_pages(spark, [(1, "u", page)]))).collect())
+    assert cards == [("", ["name", "fg"], ["Lee", ".500"]), ("Late title", ["a_b", "col_1", "col_2"], ["q", "2", "3"])]
+
+
+def test_play_by_play_takes_the_first_table(spark):
+    page = """<table><thead><tr><th><span> Duke </span></th><th><span>Baylor</span></th></tr></thead>
+    <tr><td>10:00</td><td>Jump ball &amp; tip</td><td>0</td><td>0</td></tr><tr><th>a</th><th>b</th><th>c</th><th>d</th></tr>
+    <tr><td>9:00</td><td>short</td></tr></table><table><tr><td>1</td><td>2</td><td>3</td><td>4</td></tr></table>"""
+    got = P.play_by_play_rows(P.page_blocks(_pages(spark, [(1, "u", page)]))).collect()
+    assert [tuple(r)[2:] for r in got] == [("Duke", "Baylor", "10:00", "Jump ball & tip")]
+
+
+def test_long_headings_are_no_team_names(spark):
+    long = "x" * 90
+    page = f"<h2>Duke</h2><div><h3>{long}</h3><table><tr><th>MIN</th><th>b</th></tr><tr><td>1</td><td>2</td></tr></table></div>"
+    b = P.page_blocks(_pages(spark, [(1, "u", page)]))
+    assert [r["team_name"] for r in P.box_score_rows(b).collect()] == ["Duke"]
+    assert b.filter("kind = 'table'").first()["headings"] == [long, "Duke"]
+
+
+def test_numbers_are_coerced(spark):
+    page = "<table><tr><th>Player</th><th>MIN</th><th>FG</th></tr><tr><td>a</td><td> 7.5</td><td>5-12</td></tr></table>"
+    rows_ = P.box_score_rows(P.page_blocks(_pages(spark, [(1, "u", page)])))
+    got = P.stat_columns(rows_, ["player", "min", "fg"], numbers=["min", "fg"]).first()
+    assert (got["player"], got["min"], got["fg"]) == ("a", 7.5, None)
 
 
 def test_no_table_empty_and_malformed_pages(spark):
     pages = _pages(spark, [(1, "u", "<p>no tables</p>"), (2, "u", "<table></table>"), (3, "u", None),
                            (4, "u", "<table><tr><td>a<td>b<tr><td>c"), (5, "u", "")])
     b = P.page_blocks(pages)
-    got = rows(b.select("page_id", "row_no", "cells"))
+    got = rows(b.filter("kind = 'table'").select("page_id", "row_no", "cells"))
     assert got == [(4, 0, ["a", "b"]), (4, 1, ["c"])]
-    _, bad = P.parse_with_quarantine(pages)
-    assert sorted(r["page_id"] for r in bad.collect()) == [3, 5]
+    broken = pages.unionByName(_pages(spark, [(6, "u", "<table><tr><td>x</td></tr></table><!-- broken off"), (7, "u", BOX)]))
+    out = P.load_box_scores(broken, "2026")
+    assert sorted(tuple(r) for r in out["quarantine"].collect()) == [(3, "empty page"), (5, "empty page"), (6, "page ends inside a comment")]
+    assert {r["page_id"] for r in out["players"].collect()} == {7}
+    games = {r["page_id"]: r["away_team"] for r in out["games"].collect()}
+    assert games == {1: None, 2: None, 4: None, 7: "Gonzaga"}
+
+
+ANCHORS = """<a href="/a">plain</a><A class=b HREF='/b?x=1&amp;y=2'>single <b>quoted</b></A><a
+  href=/c>over
+two lines &eacute;&nbsp;!</a><a name="no">no address</a><a title="a > b" href="/d"></a>"""
+
+
+def test_all_ordinary_anchors_are_links(spark):
+    links = P.page_links(_pages(spark, [(1, "u", ANCHORS)])).collect()
+    assert [(r["link_no"], r["href"], r["text"]) for r in links] == [
+        (1, "/a", "plain"), (2, "/b?x=1&y=2", "single quoted"), (3, "/c", "over two lines \u00e9 !"), (4, "/d", "")]
+    assert P.page_links(_pages(spark, [(1, "u", ANCHORS)]), r"^/[bd]").count() == 2
+
+
+def test_ids_come_from_links_inside_the_row(spark):
+    page = """<a href="/contests/9">nav</a><table><tr><th>g</th></tr><tr><td><a href="/x">x</a><a href="/contests/11/box">y</a>
+    <a href="/contests/12">z</a></td></tr><tr><td>no link</td></tr></table>"""
+    rows_ = P.table_rows(P.page_blocks(_pages(spark, [(1, "u", page)])))
+    assert [r["id"] for r in P.attach_ids(rows_, P.CONTEST_ID_PATTERN).orderBy("row_no").collect()] == ["11", None]
+
+
+def test_game_info_walks_the_headings(spark):
+    pages = _pages(spark, [(1, "u", "<h2>Nov 3 - Preview</h2><h2>Duke 70, Baylor 65</h2><h2>Later - A 1, B 2</h2>"),
+                           (2, "u", "<h2>Dec 1 - no score</h2>"), (3, "u", "<h1>x</h1>")])
+    got = [tuple(r) for r in P.game_info(P.page_blocks(pages)).orderBy("page_id").collect()]
+    assert got == [(1, "Nov 3", "Duke", 70, "Baylor", 65), (2, "Dec 1", None, None, None, None), (3, None, None, None, None, None)]
 
 
 def test_links_ids_and_headings(spark):
@@ -82,10 +134,12 @@ def test_links_ids_and_headings(spark):
 
 
 def test_teams_from_pages_rows_else_links(spark):
-    with_table = "<table><tr><th>College</th></tr><tr><td>Gonzaga</td></tr></table><a href='/x'>ignored</a>"
-    pages = _pages(spark, [(1, "u", with_table), (2, "u", '<a href="/team/9">Baylor</a>')])
-    got = rows(P.teams_from_pages(pages, P.page_blocks(pages)))
-    assert got == [(1, "Gonzaga", None, None), (2, "Baylor", "9", "/team/9")]
+    with_table = "<table><tr><th>College</th><th>Link</th></tr><tr><td>Gonzaga</td><td>/team/3</td></tr>" \
+        "<tr><td><a href='/team/7'>Duke</a></td></tr></table><a href='/team/1'>ignored</a>"
+    named = "<table><tr><th>x</th><th>team_href</th><th>team_name</th></tr><tr><td>1</td><td>?org_id=5</td><td>UCLA</td></tr></table>"
+    pages = _pages(spark, [(1, "u", with_table), (2, "u", '<a href="/team/9">Baylor</a><a href="/about">About</a>'), (3, "u", named)])
+    got = rows(P.teams_from_pages(P.page_blocks(pages)))
+    assert got == [(1, "Duke", "7", "/team/7"), (1, "Gonzaga", "3", "/team/3"), (2, "Baylor", "9", "/team/9"), (3, "UCLA", "5", "?org_id=5")]
 
 
 def test_game_ids_with_fallback(spark):
@@ -107,6 +161,6 @@ def test_header_wider_than_rows_is_truncated(spark):
 def test_empty_rows_and_null_page_id(spark):
     pages = _pages(spark, [(1, "u", "<table><tr><th>A</th></tr><tr></tr></table>"), (None, "u", "<ul><li>x</li></ul>")])
     b = P.page_blocks(pages)
-    assert [r["page_id"] for r in b.collect()] == [1, 1]
+    assert rows(b.filter("kind in ('table', 'list')").select("kind", "page_id")) == [("list", None), ("table", 1), ("table", 1)]
     got = P.table_rows(b).collect()
     assert [(r["header"], r["cells"]) for r in got] == [([], [])]

@@ -93,3 +93,34 @@ def test_renamed_meta_columns(spark):
     h = snapshot(h, _src(spark, [(1, "a2")]), cfg, T[1])
     got = sorted((r["id"], r["v"], r["valid_from"], r["valid_to"]) for r in h.collect())
     assert got == [(1, "a", T[0], T[1]), (1, "a2", T[1], None), (2, "b", T[0], T[1])]
+
+
+def test_listed_new_column_marks_all_and_own_time(spark):
+    cfg = SnapshotConfig("id", "check", check_cols=["v", "extra"], updated_at="u")
+    h = snapshot(None, _src(spark, [(1, "a", T[0])], "id bigint, v string, u timestamp_ntz"), cfg, T[1])
+    assert [r["dbt_valid_from"] for r in h.collect()] == [T[0]]
+    h = snapshot(h, _src(spark, [(1, "a", T[2], None)], "id bigint, v string, u timestamp_ntz, extra string"), cfg, T[3])
+    got = sorted((r["dbt_valid_from"], r["dbt_valid_to"]) for r in h.collect())
+    assert got == [(T[0], T[2]), (T[2], None)]
+
+
+def test_apply_snapshot_never_rewrites_closed_versions(spark):
+    import glob
+    import os
+    import uuid
+
+    from tidewater.operators.snapshot import apply_snapshot, read_snapshot
+    from tidewater.session import scratch_path
+    cfg = SnapshotConfig("id", "check", check_cols="all", hard_deletes="new_record")
+    path = scratch_path(spark, f"tests/snap-{uuid.uuid4().hex[:8]}")
+    runs = [[(1, "a"), (2, "b")], [(1, "a2"), (2, "b")], [(1, "a2")], [(1, "a3"), (2, "c")]]
+    pure, seen = None, {}
+    for now, data in zip(T, runs):
+        apply_snapshot(spark, path, _src(spark, data), cfg, now)
+        pure = snapshot(pure, _src(spark, data), cfg, now)
+        files = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path.removeprefix('file:')}/closed/run=*/part-*")}
+        assert all(files.get(f) == m for f, m in seen.items())
+        seen = files
+    assert seen
+    order = lambda d: sorted(map(str, d.select(*pure.columns).collect()))
+    assert order(read_snapshot(spark, path)) == order(pure)

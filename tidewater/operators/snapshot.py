@@ -6,6 +6,9 @@ are full-outer-joined with the source once on the unique key; every joined
 row then yields at most two output rows (the old version, possibly closed,
 and a new version) through ``inline``.  Closed history rows pass through
 untouched.  There is one shuffle on the key and no window.
+
+``apply_snapshot`` keeps open and closed versions of a table apart on disk, so a
+run reads and rewrites the open ones only and adds the versions it closes.
 """
 
 from __future__ import annotations
@@ -14,17 +17,18 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.exprs import is_distinct_from, surrogate_key
+from tidewater.operators import writers as W
 
 
 @dataclass
 class SnapshotConfig:
     unique_key: str | Sequence[str]
     strategy: str = "check"                 # "check" | "timestamp"
-    updated_at: str | None = None           # timestamp strategy: source column
+    updated_at: str | None = None           # source column with the row's own time (timestamp strategy: required)
     check_cols: str | Sequence[str] = "all"  # check strategy: "all" or column list
     hard_deletes: str = "ignore"            # "ignore" | "invalidate" | "new_record"
     valid_to_current: str | None = None     # SQL literal marking open rows (default NULL)
@@ -56,7 +60,7 @@ def _now(now: dt.datetime) -> Column:
 
 
 def _updated_at(cfg: SnapshotConfig, now: dt.datetime, prefix: str = "") -> Column:
-    if cfg.strategy == "timestamp":
+    if cfg.updated_at:
         return F.col(f"{prefix}{cfg.updated_at}").cast("timestamp_ntz")
     return _now(now)
 
@@ -88,13 +92,16 @@ def snapshot_initial(source: DataFrame, cfg: SnapshotConfig, now: dt.datetime) -
     return source.select(*cols)
 
 
+CHANGE = "dbt_change_type"     # fixed value: the tag of the staged change set
+
+
 def snapshot(history: DataFrame | None, source: DataFrame, cfg: SnapshotConfig, now: dt.datetime,
-             prune_by_key_range: bool = True) -> DataFrame:
+             prune_by_key_range: bool = False) -> DataFrame:
     """New history after taking a snapshot of ``source`` at ``now`` (H2-H9).
 
-    With ``hard_deletes='ignore'`` a version whose key lies outside the
-    source's key range cannot change, so (when no new source column forces a
-    rewrite) such rows bypass the join like closed rows do.
+    With ``prune_by_key_range`` (for keys that grow with time) and
+    ``hard_deletes='ignore'``, versions whose key lies outside the source's key
+    range, which cannot change, bypass the join like closed rows do.
     """
     cfg.validate()
     if history is None:
@@ -105,7 +112,18 @@ def snapshot(history: DataFrame | None, source: DataFrame, cfg: SnapshotConfig,
         split = key_range_split(history, source, cfg.keys[0])
         if split is not None:
             outside, inside = split
-            return outside.unionByName(snapshot(inside, source, cfg, now, prune_by_key_range=False))
+            return outside.unionByName(snapshot(inside, source, cfg, now))
+    closed, versions = _versions(history, source, cfg, now)
+    return closed.unionByName(versions.drop(CHANGE))
+
+
+def _versions(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now: dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """(closed rows of the history, all other rows after the run tagged with their change).
+
+    The tag is null for an open version that stays as it is, ``insert`` for a new
+    version (deletion records included), ``update`` for a version closed by a
+    change and ``delete`` for one closed because its key left the source.
+    """
     keys = cfg.keys
     n_scd, n_upd, n_from, n_to = (cfg.name(m) for m in META)
     n_del = cfg.name("dbt_is_deleted")
@@ -143,6 +161,8 @@ def snapshot(history: DataFrame | None, source: DataFrame, cfg: SnapshotConfig,
             else:
                 cols = [c for c in source.columns if c in data_cols]
                 changed = _any_distinct(cols)
+        elif any(c not in data_cols for c in cfg.check_cols):
+            changed = F.lit(True)                       # a listed column that the history lacks: every row changed
         else:
             changed = _any_distinct(list(cfg.check_cols))
     changed = F.coalesce(changed, F.lit(False))
@@ -161,7 +181,10 @@ def snapshot(history: DataFrame | None, source: DataFrame, cfg: SnapshotConfig,
         close_at = close_at.when(deleting, now_c)
     old_vals = {c: F.col(f"h_{c}") for c in out_cols}
     old_vals[n_to] = F.coalesce(close_at, F.col(f"h_{n_to}"))
-    old_row = F.struct(h_here.alias("_emit"), *[old_vals[c].alias(c) for c in out_cols])
+    closed_by = F.when(matched_changed, F.lit("update"))
+    if cfg.hard_deletes in ("invalidate", "new_record"):
+        closed_by = closed_by.when(deleting, F.lit("delete"))
+    old_row = F.struct(h_here.alias("_emit"), closed_by.alias(CHANGE), *[old_vals[c].alias(c) for c in out_cols])
 
     # row 2: a new version from the source (new key, or changed)
     new_vals = {c: (F.col(f"s_{c}") if c in source.columns else F.lit(None)).cast(history.schema[c].dataType
@@ -183,10 +206,9 @@ def snapshot(history: DataFrame | None, source: DataFrame, cfg: SnapshotConfig,
         del_vals[n_del] = F.lit("True")
         new_vals = {c: F.when(deleting, del_vals[c]).otherwise(new_vals[c]) for c in out_cols}
         emit_new = emit_new | deleting
-    new_row = F.struct(emit_new.alias("_emit"), *[new_vals[c].alias(c) for c in out_cols])
+    new_row = F.struct(emit_new.alias("_emit"), F.lit("insert").alias(CHANGE), *[new_vals[c].alias(c) for c in out_cols])
 
-    rows = j.select(F.inline(F.array(old_row, new_row))).filter(F.col("_emit")).select(*out_cols)
-    return closed.unionByName(rows)
+    return closed, j.select(F.inline(F.array(old_row, new_row))).filter(F.col("_emit")).select(*out_cols, CHANGE)
 
 
 def _any_distinct(cols: Sequence[str]) -> Column:
@@ -197,17 +219,42 @@ def _any_distinct(cols: Sequence[str]) -> Column:
 
 
 def snapshot_changes(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now: dt.datetime) -> DataFrame:
-    """The staged change set (H2): rows of the new history that differ from
-    the old, tagged ``insert`` (a new version, deletion records included),
-    ``update`` (a version closed by a change) or ``delete`` (a version closed
-    because its key left the source)."""
-    new = snapshot(history, source, cfg, now)
-    n_scd, n_to = cfg.name("dbt_scd_id"), cfg.name("dbt_valid_to")
-    old = history.select(F.col(n_scd).alias("_old_scd"), F.col(n_to).alias("_old_to"))
-    present = source.select(*cfg.keys).groupBy(*cfg.keys).agg(F.lit(True).alias("_in_source"))
-    j = new.join(old, F.col(n_scd) == F.col("_old_scd"), "left").join(present, cfg.keys, "left")
-    tag = (F.when(F.col("_old_scd").isNull(), F.lit("insert"))
-           .when(is_distinct_from(F.col(n_to), F.col("_old_to")),
-                 F.when(F.col("_in_source").isNull(), F.lit("delete")).otherwise(F.lit("update"))))
-    return (j.withColumn("dbt_change_type", tag).filter(F.col("dbt_change_type").isNotNull())
-            .select(*new.columns, "dbt_change_type"))
+    """The staged change set (H2), straight out of the one join: new versions as
+    ``insert``, versions closed by a change as ``update``, by a hard delete as ``delete``."""
+    cfg.validate()
+    return _versions(history, source, cfg, now)[1].filter(F.col(CHANGE).isNotNull())
+
+
+def apply_snapshot(spark: SparkSession, path: str, source: DataFrame, cfg: SnapshotConfig, now: dt.datetime) -> None:
+    """Take a snapshot into the table at ``path`` (H1, H3).
+
+    Open versions are one table (``path/open``), closed ones another with a folder per
+    run (``path/closed/run=...``).  A run joins the open versions with the source once,
+    adds what it closes to its own folder, then swaps the open table.  Closed
+    versions of earlier runs are neither read nor written.  Repeating a run, broken
+    off or complete, adds only versions that its folder lacks.
+    """
+    cfg.validate()
+    base = path.rstrip("/")
+    if not W.path_exists(spark, f"{base}/open"):
+        W.replace_table(snapshot_initial(source, cfg, now), f"{base}/open")
+        return
+    _, versions = _versions(W.read_table(spark, f"{base}/open"), source, cfg, now)
+    staged = W.materialize(versions)
+    stays = F.col(CHANGE).isNull() | (F.col(CHANGE) == "insert")
+    closed, own = staged.filter(~stays).drop(CHANGE), f"{base}/closed/run={now:%Y%m%dT%H%M%S%f}"
+    if W.path_exists(spark, own):
+        scd = cfg.name("dbt_scd_id")
+        closed = closed.join(spark.read.parquet(own).select(scd), scd, "left_anti").select(*closed.columns)
+    closed.write.mode("append").parquet(own)
+    W.replace_table(staged.filter(stays).drop(CHANGE), f"{base}/open")
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The whole history of a table written by ``apply_snapshot``."""
+    base = path.rstrip("/")
+    current = W.read_table(spark, f"{base}/open")
+    if not W.path_exists(spark, f"{base}/closed"):
+        return current
+    closed = spark.read.option("mergeSchema", True).parquet(f"{base}/closed").drop("run")
+    return current.unionByName(closed, allowMissingColumns=True).select(*current.columns)

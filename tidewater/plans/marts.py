@@ -296,18 +296,15 @@ def fact_player_per_game(totals: DataFrame, keys: Sequence[str] = ("player_id",
                          averages: Sequence[tuple[str, str]] = PER_GAME_AVERAGES,
                          ratios: Sequence[tuple[str, tuple[str, str]]] = PER_GAME_RATIOS,
                          cents: Sequence[str] = (), avg_digits: int = 1, ratio_digits: int = 3,
-                         output_order: Sequence[str] | None = PER_GAME_ORDER, distinct: str = "split") -> DataFrame:
+                         output_order: Sequence[str] | None = PER_GAME_ORDER, distinct: str = "inline") -> DataFrame:
     """Per-game averages and shooting ratios per ``keys``.
 
-    ``distinct='split'`` (default): the null-as-zero sums are aggregated
-    straight to ``keys`` (map-side combine shrinks them to one row per key
-    and task), and the games are counted from a narrow ``(keys, game)``
-    projection (distinct, then count: a hot key is split across tasks by
-    game); the two key-level results are joined.  Only that narrow
-    projection is shuffled row by row.  ``distinct='inline'`` is the single
-    ``count(distinct) + sums`` aggregate, where every sum rides along the
-    ``(keys, game)`` shuffle.  Measures named in ``cents`` are two-decimal
-    values summed exactly as integer cents.
+    ``distinct='inline'`` (default): one scan, aggregated to (keys, game) and then
+    to keys, so a hot key is split across tasks by game.  ``distinct='split'``
+    reads the facts twice: sums go straight to ``keys``, games are counted from
+    a narrow ``(keys, game)`` projection, and the results are joined; it shuffles
+    fewer bytes where measures are wide and games have many rows.  Measures named
+    in ``cents`` are two-decimal values summed exactly as integer cents.
     """
     measures = list(dict.fromkeys([m for _, m in averages] + [x for _, (n, d) in ratios for x in (n, d)]))
     sums = []

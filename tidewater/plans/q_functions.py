@@ -51,12 +51,9 @@ def q_split_part_neg(t: Tables) -> DataFrame:
 @query("date_arith", """
 with d as (select distinct l_shipdate as d from lineitem)
 select d,
-       d + cast(1 as bigint) * interval 1 month as plus_month,
-       d + (cast(-1 as bigint) * 3) * interval 1 month as minus_quarter,
-       d + (cast(2 as bigint) * 7) * interval 1 day as plus_2_weeks,
-       d + cast(45 as bigint) * interval 1 day as plus_45_days,
-       d + cast(-1 as bigint) * interval 1 year as minus_year,
-       d + cast(5 as bigint) * interval 1 hour as plus_5_hours,
+       d + interval '1 month' as plus_month, d - interval '3 months' as minus_quarter,
+       d + interval '14 days' as plus_2_weeks, d + interval '45 days' as plus_45_days,
+       d - interval '1 year' as minus_year, d + interval '5 hours' as plus_5_hours,
        make_date(year(d), month(d), 1) as month_start,
        date_trunc('week', d) as week_start,
        date_trunc('quarter', d) as quarter_start
@@ -84,7 +81,7 @@ def q_date_arith(t: Tables) -> DataFrame:
 
 
 @query("dateadd_column", """
-select o_orderkey, o_orderdate + cast(o_custkey % 40 - 20 as bigint) * interval 1 month as shifted
+select o_orderkey, o_orderdate + to_months(cast(o_custkey % 40 - 20 as integer)) as shifted
 from orders
 """)
 def q_dateadd_column(t: Tables) -> DataFrame:
@@ -101,18 +98,19 @@ with p as (
     select distinct o.o_orderdate as a, l.l_shipdate as b
     from lineitem l join orders o on l.l_orderkey = o.o_orderkey
 )
+, w as (
+    select a, b, cast(floor(date_diff('day', date '1970-01-04', a) / 7.0) as bigint) as wa,
+           cast(floor(date_diff('day', date '1970-01-04', b) / 7.0) as bigint) as wb, dayofweek(a) = dayofweek(b) as same_day
+    from p
+)
 select a, b,
        date_diff('year', a, b) as d_year, date_diff('quarter', a, b) as d_quarter,
        date_diff('month', a, b) as d_month,
-       (date_diff('day', a, b) // 7 + case when date_part('dow', a) <= date_part('dow', b)
-            then case when a <= b then 0 else -1 end
-            else case when a <= b then 1 else 0 end end) as d_week,
+       wb - wa - case when b < a and same_day then 1 else 0 end as d_week,
        date_diff('day', a, b) as d_day,
-       (date_diff('day', b, a) // 7 + case when date_part('dow', b) <= date_part('dow', a)
-            then case when b <= a then 0 else -1 end
-            else case when b <= a then 1 else 0 end end) as d_week_back,
+       wa - wb - case when a < b and same_day then 1 else 0 end as d_week_back,
        date_diff('month', b, a) as d_month_back
-from p
+from w
 """)
 def q_date_diff_parts(t: Tables) -> DataFrame:
     """F16: boundary-counting datediff for year..day, both directions."""
@@ -234,17 +232,16 @@ def q_round_half(t: Tables) -> DataFrame:
 
 
 @query("api_date", """
-with v as (select o_orderkey, case when o_orderstatus = 'P' then 'TBD' else strftime(o_orderdate, '%m/%d/%Y') end
-           as raw from orders)
-select o_orderkey, raw, coalesce(strftime(try_strptime(raw, '%m/%d/%Y'), '%Y-%m-%d'), raw) as game_date
-from v
+select o_orderkey, case when o_orderstatus = 'P' then 'TBD' else strftime(o_orderdate, '%m/%d/%Y') end as api_date,
+       strftime(o_orderdate, '%m/%d/%Y') as from_date
+from orders
 """)
 def q_api_date(t: Tables) -> DataFrame:
-    """API date text ``MM/DD/YYYY`` to ISO; unparseable text kept."""
+    """dates and ISO date text as the API's ``MM/DD/YYYY``; other text kept."""
     o = t.orders
-    raw = F.when(F.col("o_orderstatus") == "P", F.lit("TBD")).otherwise(F.date_format("o_orderdate", "MM/dd/yyyy"))
-    v = o.select("o_orderkey", raw.alias("raw"))
-    return v.select("o_orderkey", "raw", X.api_date("raw").alias("game_date"))
+    raw = F.when(F.col("o_orderstatus") == "P", F.lit("TBD")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    v = o.select("o_orderkey", raw.alias("raw"), F.to_date("o_orderdate").alias("d"))
+    return v.select("o_orderkey", X.api_date("raw").alias("api_date"), X.api_date("d").alias("from_date"))
 
 
 @query("bool_text_cast", """

@@ -106,6 +106,16 @@ def q_page_links(t: Tables) -> DataFrame:
     return P.page_links(t.pages)
 
 
+@query("page_all_ids", r"""
+with links as (""" + _LINKS_SQL + r""")
+select page_id, link_no, regexp_extract(href, '^/([A-Z][^/.,]*)', 1) as id from links
+where regexp_extract(href, '^/([A-Z][^/.,]*)', 1) <> ''
+""")
+def q_page_all_ids(t: Tables) -> DataFrame:
+    """S10, schedule variant: every id with its position, repeats included."""
+    return P.all_ids(P.page_links(t.pages), r"^/([A-Z][^/.,]*)")
+
+
 @query("page_first_ids", r"""
 with links as (""" + _LINKS_SQL + r"""),
 ids as (select page_id, link_no, regexp_extract(href, '^/([A-Z][^/.,]*)', 1) as id from links)
@@ -144,56 +154,6 @@ def q_page_list_rows(t: Tables) -> DataFrame:
         "page_id", "block_no", "row_no", F.get(F.col("cells"), 0).alias("item"))
 
 
-@query("page_teams", r"""
-with links as (""" + _LINKS_SQL + r""")
-select page_id, text as college,
-       coalesce(nullif(regexp_extract(href, '^/([A-Z][a-z]+)$', 1), ''),
-                nullif(regexp_extract(href, '^/([a-z]+)', 1), '')) as team_id,
-       href as link
-from links
-""")
-def q_page_teams(t: Tables) -> DataFrame:
-    """Team rows from each page's first table, or from its links when
-    the page has no table rows (the case for every driver page)."""
-    blocks = P.page_blocks(t.pages)
-    return P.teams_from_pages(t.pages, blocks, r"^/([A-Z][a-z]+)$", r"^/([a-z]+)")
-
-
-@query("page_rows_with_ids", r"""
-with l as (select page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) as items from pages),
-items as (
-    select page_id, cast(i - 1 as integer) as row_no,
-           nullif(regexp_extract(items[i], 'href="/([A-Z][a-z]+)"', 1), '') as id
-    from l, range(1, len(items) + 1) r(i)
-)
-select page_id, row_no, id from items
-""")
-def q_page_rows_with_ids(t: Tables) -> DataFrame:
-    """Each parsed row gets the id found in its link, matched on (page, position)."""
-    blocks = P.page_blocks(t.pages).filter(F.col("kind") == "list").select("page_id", "row_no")
-    links = P.page_links(t.pages).withColumn("link_no", F.col("link_no") - 1)
-    return P.attach_ids(blocks, links, r"^/([A-Z][a-z]+)$").select("page_id", "row_no", "id")
-
-
-@query("page_headings", r"""
-with h as (select page_id, trim(regexp_extract(html, '<h1>(.*?)</h1>', 1)) as heading from pages),
-r as (select page_id, heading,
-             case when instr(heading, '-') > 0 then trim(substr(heading, instr(heading, '-') + 1)) else trim(heading) end
-             as rest from h)
-select page_id, heading,
-       case when instr(heading, '-') > 0 then trim(split_part(heading, '-', 1)) end as game_date,
-       nullif(trim(regexp_extract(rest, '([\w\s\.\''\-\&]+)\s+(\d+)\s*,\s*([\w\s\.\''\-\&]+)\s+(\d+)', 1)), '') as away_team,
-       try_cast(nullif(trim(regexp_extract(rest, '([\w\s\.\''\-\&]+)\s+(\d+)\s*,\s*([\w\s\.\''\-\&]+)\s+(\d+)', 2)), '') as integer) as away_score,
-       nullif(trim(regexp_extract(rest, '([\w\s\.\''\-\&]+)\s+(\d+)\s*,\s*([\w\s\.\''\-\&]+)\s+(\d+)', 3)), '') as home_team,
-       try_cast(nullif(trim(regexp_extract(rest, '([\w\s\.\''\-\&]+)\s+(\d+)\s*,\s*([\w\s\.\''\-\&]+)\s+(\d+)', 4)), '') as integer) as home_score
-from r
-""")
-def q_page_headings(t: Tables) -> DataFrame:
-    """Date, teams and scores parsed from each page's heading text."""
-    h = t.pages.select("page_id", F.trim(F.regexp_extract("html", r"<h1>(.*?)</h1>", 1)).alias("heading"))
-    return P.parse_score_headings(h, "heading")
-
-
 # --------------------------------------------------------------------------
 # Box-score pages: lineitem encoded as HTML tables, then parsed back
 # --------------------------------------------------------------------------
@@ -202,95 +162,198 @@ ORDERS_PER_PAGE = 20
 
 
 def box_score_pages(t: Tables) -> DataFrame:
-    """One page per 20 consecutive orders.  Per order: a ``div.card`` with an
-    h3 heading and a stat table (header Player/MIN/PTS, one row per line, a
-    TOTALS row, a one-cell row), then a four-cell event table per line."""
+    """One page per 20 consecutive orders: second-level headings (one without a score, one
+    with), navigation links, then per order a ``div.card`` with an h3 title and a stat table
+    (header Player/MIN/PTS, one row per line, a TOTALS row, a one-cell row).  The first
+    table of each page is a play-by-play: spans in its head, four data cells per line, a
+    row of header cells, a three-cell row.  Attributes come in all quoting styles."""
     li = t.lineitem
     qty = F.col("l_quantity").cast("bigint").cast("string")
-    stat_row = F.concat(F.lit("<tr><td>S"), F.col("l_suppkey").cast("string"), F.lit("</td><td>"),
-                        F.col("l_linenumber").cast("string"), F.lit("</td><td>"), qty, F.lit("</td></tr>"))
-    event_row = F.concat(F.lit("<tr><td>"), F.col("l_returnflag"), F.lit("</td><td>"), F.col("l_linestatus"),
-                         F.lit("</td><td>"), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("</td><td>line "),
-                         F.col("l_linenumber").cast("string"), F.lit(" &amp; more</td></tr>"))
+    num = F.col("l_linenumber").cast("string")
+    stat_row = F.concat(F.lit("<tr><td>S"), F.col("l_suppkey").cast("string"), F.lit("</td><td>"), num, F.lit("</td><td>"), qty,
+                        F.lit("</td></tr>"))
+    event_row = F.concat(F.lit("<tr><td>"), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("</td><td>line "), num,
+                         F.lit(" &amp; more</td><td>"), F.col("l_returnflag"), F.lit("</td><td>"), F.col("l_linestatus"),
+                         F.lit("</td></tr>"))
     per_order = li.groupBy("l_orderkey").agg(
         F.array_join(F.collect_list(stat_row), "").alias("stats"),
         F.array_join(F.collect_list(event_row), "").alias("events"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("total"))
-    block = F.concat(
-        F.lit('<div class="card"><h3>Order '), F.col("l_orderkey").cast("string"),
-        F.lit("</h3><table><tr><th>Player</th><th>MIN</th><th>PTS</th></tr>"), F.col("stats"),
-        F.lit("<tr><td>TOTALS</td><td></td><td>"), F.col("total").cast("string"), F.lit("</td></tr>"),
-        F.lit("<tr><td>x</td></tr></table></div><table>"), F.col("events"), F.lit("</table>"))
+    key = F.col("l_orderkey").cast("string")
+    long_heading = F.concat(F.lit("<h2>"), F.repeat(F.lit("a heading too long for a name "), 5), F.lit("</h2>"))
+    card = F.concat(
+        F.lit("<h3>Order "), key, F.lit("</h3><div class='wide card'><div>"), F.when(F.col("l_orderkey") % 2 == 0, long_heading).otherwise(""),
+        F.lit("<table><tr><th>Player</th><th>MIN</th><th>PTS</th></tr>"), F.col("stats"),
+        F.lit("<tr><td>Totals</td><td></td><td>"), F.col("total").cast("string"),
+        F.lit("</td></tr><tr><td>x</td></tr></table><h3>Card "), key, F.lit("</h3></div></div>"))
+    sort = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", c))),
+                                              lambda x: x[c]), "")
     pages = (per_order.select(F.floor(F.col("l_orderkey") / ORDERS_PER_PAGE).alias("page_id"), "l_orderkey",
-                              block.alias("block"))
-             .groupBy("page_id")
-             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", "block"))),
-                                           lambda x: x["block"]), "").alias("body")))
+                              card.alias("card"), "events")
+             .groupBy("page_id").agg(sort("card").alias("cards"), sort("events").alias("events"),
+                                     F.min("l_orderkey").alias("first")))
+    first = F.col("first").cast("string")
+    top = F.concat(F.lit("<html><body><a href=/home>Home</a><h2>Box score</h2><h2>01/05/2026 - St. Away "), first,
+                   F.lit(", Home&#39;s &amp; Co 7</h2><h2>Later - Not This 1, One 2</h2><h4></h4><table><thead><tr><th><span>Home "), first,
+                   F.lit("</span></th><th><span>Away</span></th></tr></thead>"))
     return pages.select("page_id", F.lit("").alias("url"),
-                        F.concat(F.lit("<html><body>"), F.col("body"), F.lit("</body></html>")).alias("html"))
+                        F.concat(top, F.col("events"), F.lit("<tr><th>a</th><th>b</th><th>c</th><th>d</th></tr>"
+                                                             "<tr><td>1</td><td>2</td><td>3</td></tr></table>"),
+                                 F.col("cards"), F.lit("</body></html>")).alias("html"))
+
+
+_PAGE = f"cast(floor(l_orderkey / {ORDERS_PER_PAGE}) as bigint)"
 
 
 @query("page_box_scores", f"""
-select cast(floor(l_orderkey / {ORDERS_PER_PAGE}) as bigint) as page_id, 'Order ' || cast(l_orderkey as varchar) as team_name,
-       'S' || cast(l_suppkey as varchar) as player, cast(l_linenumber as varchar) as min,
-       cast(cast(l_quantity as bigint) as varchar) as pts
+select {_PAGE} as page_id, 'Order ' || l_orderkey as team_name, 'S' || l_suppkey as player,
+       cast(l_linenumber as double) as min, cast(cast(l_quantity as bigint) as double) as pts
 from lineitem
 """)
 def q_page_box_scores(t: Tables) -> DataFrame:
-    """S5 + S6: stat tables found by their header markers, total and short rows
-    skipped, the team from the nearest heading, cells keyed by header name."""
+    """S5 + S6 + S14: stat tables found by their header markers, total and short rows
+    skipped; the team is the nearest short heading (a long one stands before every other
+    table); cells are keyed by header name and coerced to numbers."""
     rows = P.box_score_rows(P.page_blocks(box_score_pages(t)))
-    return P.stat_columns(rows, ["player", "min", "pts"]).select("page_id", "team_name", "player", "min", "pts")
+    return P.stat_columns(rows, ["player", "min", "pts"], numbers=["min", "pts"]).select("page_id", "team_name", "player", "min", "pts")
 
 
 @query("page_stat_cards", f"""
-with o as (select l_orderkey, cast(sum(cast(l_quantity as bigint)) as varchar) as total from lineitem group by 1)
-select cast(floor(l_orderkey / {ORDERS_PER_PAGE}) as bigint) as page_id, 'Order ' || cast(l_orderkey as varchar) as team,
-       ['S' || cast(l_suppkey as varchar), cast(l_linenumber as varchar), cast(cast(l_quantity as bigint) as varchar)]
-       as cells
+select {_PAGE} as page_id, 'Card ' || l_orderkey as team,
+       ['S' || l_suppkey, cast(l_linenumber as varchar), cast(cast(l_quantity as bigint) as varchar)] as cells
 from lineitem
 union all
-select cast(floor(l_orderkey / {ORDERS_PER_PAGE}) as bigint), 'Order ' || cast(l_orderkey as varchar), ['TOTALS', '', total] from o
-union all
-select cast(floor(l_orderkey / {ORDERS_PER_PAGE}) as bigint), 'Order ' || cast(l_orderkey as varchar), ['x', '', ''] from o
+select distinct {_PAGE}, 'Card ' || l_orderkey, ['x'] from lineitem
 """)
 def q_page_stat_cards(t: Tables) -> DataFrame:
-    """Every row of tables inside ``div.card`` blocks, keyed by the card's
-    title, ragged rows padded to the table's width."""
-    rows = P.stat_card_rows(P.page_blocks(box_score_pages(t)))
-    return rows.select("page_id", "team", "cells")
+    """Rows of the first table inside each ``div.card``, keyed by the card's title
+    (which comes after the table here); total rows are skipped."""
+    return P.stat_card_rows(P.page_blocks(box_score_pages(t))).select("page_id", "team", "cells")
 
 
 @query("page_play_by_play", f"""
-select cast(floor(l_orderkey / {ORDERS_PER_PAGE}) as bigint) as page_id, l_returnflag as home, l_linestatus as away,
-       strftime(l_shipdate, '%Y-%m-%d') as time, 'line ' || cast(l_linenumber as varchar) || ' & more' as description
-from lineitem
+with firsts as (select {_PAGE} as page_id, min(l_orderkey) as first from lineitem group by 1)
+select f.page_id, 'Home ' || f.first as home_team, 'Away' as away_team, strftime(l_shipdate, '%Y-%m-%d') as time,
+       'line ' || l_linenumber || ' & more' as description
+from lineitem l join firsts f on {_PAGE} = f.page_id
 """)
 def q_page_play_by_play(t: Tables) -> DataFrame:
-    """Four-cell rows of every table (all tables, not only the first)."""
-    pbp = P.play_by_play_rows(P.page_blocks(box_score_pages(t)))
-    return pbp.select("page_id", "home", "away", "time", "description")
+    """Rows with four data cells of the first table; teams from its head's spans."""
+    return P.play_by_play_rows(P.page_blocks(box_score_pages(t))).drop("row_no")
+
+
+@query("page_headings", f"""
+select {_PAGE} as page_id, '01/05/2026' as game_date, 'St. Away' as away_team, cast(min(l_orderkey) as integer) as away_score,
+       'Home''s & Co' as home_team, 7 as home_score
+from lineitem group by 1
+""")
+def q_page_headings(t: Tables) -> DataFrame:
+    """The second-level headings are walked to the first one with a score."""
+    return P.game_info(P.page_blocks(box_score_pages(t)))
+
+
+@query("page_all_headings", r"""
+select page_id, len(regexp_extract_all(html, '<h2>')) as n from pages
+""")
+def q_page_all_headings(t: Tables) -> DataFrame:
+    """The second-level headings of every driver page (none of them has one)."""
+    return P.page_blocks(t.pages).filter(F.col("kind") == "page").select("page_id", F.size("cells").cast("long").alias("n"))
+
+
+def team_pages(t: Tables) -> DataFrame:
+    """Team list pages, one per nation.  Even nations list their suppliers in a table, whose
+    odd rows link to the team while others name the address in the second column; odd
+    nations have links only (quoted all ways, over two lines), a header table and other links."""
+    s = t.supplier
+    key, even = F.col("s_suppkey").cast("string"), F.col("s_nationkey") % 2 == 0
+    by_row = F.when(F.col("s_suppkey") % 2 == 1, F.concat(
+        F.lit('<tr><td><a\n class=x href="/team/'), key, F.lit('">'), F.col("s_name"), F.lit("</a></td><td><a href=/help>?</a></td></tr>"))) \
+        .otherwise(F.concat(F.lit("<tr><td>"), F.col("s_name"), F.lit("</td><td>/x?org_id="), key, F.lit("&amp;y=1</td></tr>")))
+    by_link = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("<a href='/team/"), key, F.lit("'>"))) \
+        .when(F.col("s_suppkey") % 3 == 1, F.concat(F.lit('<A HREF="/x?a=1&amp;org_id='), key, F.lit('">'))) \
+        .otherwise(F.concat(F.lit("<a href=/team/"), key, F.lit(">")))
+    link = F.concat(by_link, F.lit("Team\n  &quot;"), F.col("s_name"), F.lit("&quot; &eacute;</a><a href='/about'>no</a>"))
+    body = F.array_join(F.array_sort(F.collect_list(F.when(even, by_row).otherwise(link))), "")
+    page = F.when(even, F.concat(F.lit('<table><tr><th>Team</th><th>Info</th></tr>'), F.col("b"), F.lit("</table><a href='/team/0'>nav</a>"))) \
+        .otherwise(F.concat(F.lit("<table><tr><th>Team</th></tr></table>"), F.col("b")))
+    return (s.groupBy("s_nationkey").agg(body.alias("b"))
+            .select(F.col("s_nationkey").cast("long").alias("page_id"), F.lit("").alias("url"), page.alias("html"), "s_nationkey"))
+
+
+@query("page_teams", """
+select cast(s_nationkey as bigint) as page_id,
+       case when s_nationkey % 2 = 0 then s_name else 'Team "' || s_name || '" é' end as college,
+       cast(s_suppkey as varchar) as team_id,
+       case when s_nationkey % 2 = 0 then case when s_suppkey % 2 = 1 then '/team/' || s_suppkey else '/x?org_id=' || s_suppkey || '&y=1' end
+            when s_suppkey % 3 = 1 then '/x?a=1&org_id=' || s_suppkey else '/team/' || s_suppkey end as link
+from supplier
+""")
+def q_page_teams(t: Tables) -> DataFrame:
+    """Team rows from each page's first table, with the link of the row or its second
+    column; pages without table rows from their links to teams alone."""
+    return P.teams_from_pages(P.page_blocks(team_pages(t)))
+
+
+def scoreboard_pages(t: Tables) -> DataFrame:
+    """Scoreboards, one per order year: a navigation link to a contest, then a table with a
+    row per order; urgent orders have no link, others two (the second to another contest)."""
+    o = t.orders
+    key = F.col("o_orderkey").cast("string")
+    link = F.when(F.col("o_orderpriority") == "1-URGENT", "").otherwise(F.concat(
+        F.lit('<a href="/players/1">p</a><a href="/contests/'), key, F.lit('/box_score">b</a><a href="/contests/7">x</a>')))
+    row = F.concat(F.lit("<tr><td>"), key, F.lit("</td><td>"), link, F.lit("</td></tr>"))
+    return (o.groupBy(F.year("o_orderdate").cast("long").alias("page_id")).agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("b"))
+            .select("page_id", F.lit("").alias("url"),
+                    F.concat(F.lit('<a href="/contests/1">top</a><table><tr><th>No</th><th>Link</th></tr>'), F.col("b"), F.lit("</table>")).alias("html")))
+
+
+@query("page_rows_with_ids", """
+select cast(year(o_orderdate) as bigint) as page_id, cast(o_orderkey as varchar) as no,
+       case when o_orderpriority <> '1-URGENT' then cast(o_orderkey as varchar) end as contest_id,
+       '2026' as season, '1' as division, 'MBB' as sport_code
+from orders
+""")
+def q_page_rows_with_ids(t: Tables) -> DataFrame:
+    """S11 + S21: each row gets the id of the first matching link inside it (none without
+    one, whatever links stand elsewhere), and the season, division and sport asked for."""
+    rows = P.game_list(P.page_blocks(scoreboard_pages(t)), "2026", "1", "MBB")
+    return rows.select("page_id", F.get("cells", 0).alias("no"), "contest_id", "season", "division", "sport_code")
+
+
+def _broken_box_scores(t: Tables) -> DataFrame:
+    """Box-score pages of a batch in which some fetches came back empty (page number
+    divisible by 5) and some broken off inside a comment (by 7)."""
+    cut = F.concat(F.substring("html", 1, 60), F.lit("<!-- broken off"))
+    return box_score_pages(t).withColumn("html", F.when(F.col("page_id") % 5 == 0, F.lit("  "))
+                                         .when(F.col("page_id") % 7 == 0, cut).otherwise(F.col("html")))
+
+
+@query("page_batch_players", f"""
+select {_PAGE} as page_id, 'S' || l_suppkey as player, cast(cast(l_quantity as bigint) as double) as pts, '2026' as season
+from lineitem where {_PAGE} % 5 <> 0 and {_PAGE} % 7 <> 0
+""")
+def q_page_batch_players(t: Tables) -> DataFrame:
+    """The player rows of a batch with broken pages."""
+    got = P.load_box_scores(_broken_box_scores(t), "2026")["players"]
+    return P.stat_columns(got, ["player", "pts"], numbers=["pts"]).select("page_id", "player", "pts", "season")
+
+
+@query("page_batch_games", f"""
+select {_PAGE} as page_id, 'St. Away' as away_team, cast(min(l_orderkey) as integer) as away_score, '2026' as season
+from lineitem where {_PAGE} % 5 <> 0 and {_PAGE} % 7 <> 0 group by 1
+""")
+def q_page_batch_games(t: Tables) -> DataFrame:
+    """One game row per page that could be read, from the same parse."""
+    return P.load_box_scores(_broken_box_scores(t), "2026")["games"].select("page_id", "away_team", "away_score", "season")
 
 
 @query("page_quarantine", f"""
-with firsts as (
-    select floor(o_orderkey / {ORDERS_PER_PAGE}) as page_id, arg_min(o_orderstatus, o_orderkey) as first_status
-    from orders where o_orderkey in (select l_orderkey from lineitem) group by 1
-)
-select cast(page_id as bigint) as page_id, 'empty page' as error from firsts where first_status = 'P'
+select distinct {_PAGE} as page_id, case when {_PAGE} % 5 = 0 then 'empty page' else 'page ends inside a comment' end as error
+from lineitem where {_PAGE} % 5 = 0 or {_PAGE} % 7 = 0
 """)
 def q_page_quarantine(t: Tables) -> DataFrame:
-    """A page batch where some fetches came back empty (pages whose first
-    order is still pending): those go to a quarantine, the rest are parsed."""
-    pages = box_score_pages(t)
-    first = (t.orders.join(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct(), "o_orderkey")
-             .groupBy(F.floor(F.col("o_orderkey") / ORDERS_PER_PAGE).alias("page_id"))
-             .agg(F.min_by("o_orderstatus", "o_orderkey").alias("first_status")))
-    blanked = (pages.join(first, "page_id", "left")
-               .select("page_id", "url", F.when(F.col("first_status") == "P", F.lit("")).otherwise(F.col("html"))
-                       .alias("html")))
-    _, bad = P.parse_with_quarantine(blanked)
-    return bad.select(F.col("page_id").cast("bigint").alias("page_id"), "error")
+    """The pages of the batch that gave nothing, with the reason."""
+    return P.load_box_scores(_broken_box_scores(t), "2026")["quarantine"]
 
 
 @query("game_ids_fallback", """

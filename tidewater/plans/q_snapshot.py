@@ -7,12 +7,16 @@ nation-7 customers re-added under new keys (custkey + 100000).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.snapshot import SnapshotConfig, snapshot, snapshot_changes, snapshot_initial
+from tidewater.operators.snapshot import (
+    SnapshotConfig, apply_snapshot, read_snapshot, snapshot, snapshot_changes, snapshot_initial,
+)
 from tidewater.plans.registry import query
+from tidewater.session import scratch_path
 from tidewater.sources.tables import Tables
 
 T1 = dt.datetime(2024, 1, 1)
@@ -61,81 +65,51 @@ def _md5(*parts: str) -> str:
     return "md5(" + " || '|' || ".join(f"coalesce(cast({p} as varchar), '')" for p in parts) + ")"
 
 
-def snapshot_sql(strategy: str, hard_deletes: str, check_cols=("c_acctbal", "c_mktsegment")) -> str:
-    """The oracle: the staging-table formulation (insertions / updates /
-    deletes, then close by scd id and insert), two runs."""
-    nr = hard_deletes == "new_record"
-    src_cols = list(COLS) + (["updated_at"] if strategy == "timestamp" else [])
-    if strategy == "timestamp":
-        src1 = f"(select *, {T1_SQL} as updated_at from v1)"
-        src2 = (f"(select *, case when c_nationkey = 3 or c_custkey >= 100000 then {T2_SQL} else {T1_SQL} end "
-                f"as updated_at from v2)")
-        upd1, upd2 = "updated_at", "s.updated_at"
-        changed = "(snap.dbt_valid_from < s.updated_at)"
-    else:
-        src1, src2 = "v1", "v2"
-        upd1, upd2 = T1_SQL, T2_SQL
-        changed = "(" + " or ".join(
-            f"snap.{c} != s.{c} or ((snap.{c} is null) and not (s.{c} is null)) "
-            f"or ((not snap.{c} is null) and (s.{c} is null))" for c in check_cols) + ")"
-    if nr:
-        changed = f"({changed} or snap.dbt_is_deleted = 'True')"
-    cols = ", ".join(src_cols)
-    s_cols = ", ".join(f"s.{c}" for c in src_cols)
-    h_cols = ", ".join(f"h.{c}" for c in src_cols)
-    isdel_init = ", 'False' as dbt_is_deleted" if nr else ""
-    isdel_ins = ", 'False' as dbt_is_deleted" if nr else ""
-    sql = f"""
+def snapshot_sql(strategy: str, hard_deletes: str, check_cols=("c_acctbal", "c_mktsegment"), tagged: bool = False,
+                 own_time: bool = False, key=("c_custkey",), marker: str = "null",
+                 names=("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")) -> str:
+    """Two runs by the rule: both versions of the source meet once per key.
+
+    A key of the first version has a history row from the first run; it ends when the
+    second version changed it (at the new row's time) or lacks it (at the run's time,
+    unless deletes are ignored).  A key of the second version that is new or changed has
+    a row from the second run.  With ``new_record`` a key that is gone also has a
+    deletion record.  ``tagged`` gives the change set of the second run instead.
+    """
+    timed = strategy == "timestamp" or own_time
+    cols = [*COLS, "updated_at"] if timed else list(COLS)
+    first = f"select *, {T1_SQL} as updated_at from v1" if timed else "select * from v1"
+    later = (f"select *, case when c_nationkey = 3 or c_custkey >= 100000 then {T2_SQL} else {T1_SQL} end as updated_at from v2"
+             if timed else "select * from v2")
+    begun, renewed = ("old_updated_at", "new_updated_at") if timed else (T1_SQL, T2_SQL)
+    differs = (f"{begun} < {renewed}" if strategy == "timestamp"
+               else " or ".join(f"old_{c} is distinct from new_{c}" for c in check_cols))
+    gone = "false" if hard_deletes == "ignore" else "gone"
+    marks = hard_deletes == "new_record"
+    scd, upd, since, until = names
+
+    def version(side: str, time: str, end: str, tag: str, scd_sql: str, deleted: str, where: str) -> str:
+        data = ", ".join(f"{side}_{c} as {c}" for c in cols)
+        flag = f", '{deleted}' as dbt_is_deleted" if marks else ""
+        change = f", {tag} as dbt_change_type" if tagged else ""
+        return (f"select {data}, {scd_sql} as {scd}, {time} as {upd}, {time} as {since}, cast({end} as timestamp) as {until}"
+                f"{flag}{change} from pairs where {where}")
+
+    pairs = ", ".join([f"a.{c} as old_{c}, b.{c} as new_{c}" for c in cols])
+    on = " and ".join(f"a.{c} = b.{c}" for c in key)
+    old_id = _md5(*[f"old_{c}" for c in key], begun)
+    ends = f"case when changed then {renewed} when {gone} then {T2_SQL} else {marker} end"
+    parts = [version("old", begun, ends, "case when changed then 'update' else 'delete' end", old_id, "False",
+                     f"not fresh and (changed or {gone})" if tagged else "not fresh"),
+             version("new", renewed, marker, "'insert'", _md5(*[f"new_{c}" for c in key], renewed), "False", "fresh or changed")]
+    if marks:
+        parts.append(version("old", T2_SQL, "null", "'insert'", _md5(old_id, T2_SQL), "True", "gone"))
+    return f"""
 with {_V_SQL},
-src1 as (select * from {src1}),
-src2 as (select * from {src2}),
-h as (
-    select {cols}, {_md5('c_custkey', upd1)} as dbt_scd_id, {upd1} as dbt_updated_at, {upd1} as dbt_valid_from,
-           cast(null as timestamp) as dbt_valid_to{isdel_init}
-    from src1
-),
-snap as (select * from h where dbt_valid_to is null),
-ins as (
-    select {s_cols}, {_md5('s.c_custkey', upd2)} as dbt_scd_id, {upd2} as dbt_updated_at,
-           {upd2} as dbt_valid_from, cast(null as timestamp) as dbt_valid_to{isdel_ins}
-    from src2 s left join snap on snap.c_custkey = s.c_custkey
-    where snap.c_custkey is null or (snap.c_custkey is not null and {changed})
-),
-upd as (
-    select snap.dbt_scd_id, {upd2} as dbt_valid_to
-    from src2 s join snap on snap.c_custkey = s.c_custkey where {changed}
-)"""
-    closers = "select * from upd"
-    if hard_deletes in ("invalidate", "new_record"):
-        not_deleted = " and not (snap.dbt_is_deleted = 'True' and snap.dbt_valid_to is null)" if nr else ""
-        sql += f""",
-del as (
-    select snap.dbt_scd_id, {T2_SQL} as dbt_valid_to
-    from snap left join src2 s on snap.c_custkey = s.c_custkey where s.c_custkey is null{not_deleted}
-)"""
-        closers += " union all select * from del"
-    if nr:
-        sql += f""",
-delrec as (
-    select {', '.join(f'snap.{c}' for c in src_cols)}, {_md5('snap.dbt_scd_id', T2_SQL)} as dbt_scd_id,
-           {T2_SQL} as dbt_updated_at, {T2_SQL} as dbt_valid_from, snap.dbt_valid_to, 'True' as dbt_is_deleted
-    from snap left join src2 s on snap.c_custkey = s.c_custkey
-    where s.c_custkey is null and not (snap.dbt_is_deleted = 'True' and snap.dbt_valid_to is null)
-)"""
-    isdel_sel = ", h.dbt_is_deleted" if nr else ""
-    isdel_i = ", dbt_is_deleted" if nr else ""
-    sql += f"""
-select {h_cols}, h.dbt_scd_id, h.dbt_updated_at, h.dbt_valid_from,
-       case when c.dbt_scd_id is not null and h.dbt_valid_to is null then c.dbt_valid_to else h.dbt_valid_to end
-       as dbt_valid_to{isdel_sel}
-from h left join ({closers}) c on c.dbt_scd_id = h.dbt_scd_id
-union all
-select {cols}, dbt_scd_id, dbt_updated_at, dbt_valid_from, dbt_valid_to{isdel_i} from ins
-"""
-    if nr:
-        sql += f"union all select {cols}, dbt_scd_id, dbt_updated_at, dbt_valid_from, dbt_valid_to, dbt_is_deleted " \
-               "from delrec\n"
-    return sql
+met as (select {pairs}, b.{key[0]} is null as gone, a.{key[0]} is null as fresh
+        from ({first}) a full join ({later}) b on {on}),
+pairs as (select *, not gone and not fresh and ({differs}) as changed from met)
+""" + "\nunion all\n".join(parts)
 
 
 INITIAL_SQL = f"""
@@ -192,19 +166,26 @@ def q_snapshot_check_all(t: Tables) -> DataFrame:
     return _run(t, SnapshotConfig("c_custkey", "check", check_cols="all", hard_deletes="invalidate"))
 
 
-@query("snapshot_changes", f"""
-with new_h as ({snapshot_sql("check", "invalidate")}),
-old_h as ({INITIAL_SQL}),
-src_keys as (
-    select c_custkey from customer where c_mktsegment <> 'MACHINERY'
-    union all select c_custkey + 100000 from customer where c_nationkey = 7
-)
-select n.*, case when o.dbt_scd_id is null then 'insert'
-                 when n.c_custkey not in (select c_custkey from src_keys) then 'delete'
-                 else 'update' end as dbt_change_type
-from new_h n left join old_h o on n.dbt_scd_id = o.dbt_scd_id
-where o.dbt_scd_id is null or n.dbt_valid_to is distinct from o.dbt_valid_to
-""")
+@query("snapshot_check_own_time", snapshot_sql("check", "ignore", own_time=True))
+def q_snapshot_check_own_time(t: Tables) -> DataFrame:
+    """H5 with ``updated_at``: versions carry the row's own time, not the run's."""
+    return _run(t, SnapshotConfig("c_custkey", "check", check_cols=["c_acctbal", "c_mktsegment"], updated_at="updated_at"),
+                timestamp=True)
+
+
+@query("snapshot_on_disk", snapshot_sql("check", "invalidate"))
+def q_snapshot_on_disk(t: Tables) -> DataFrame:
+    """H1 + H3 persisted: two runs into a table that keeps open and closed versions
+    apart; the second run is repeated, as after a break, and changes nothing more."""
+    cfg = SnapshotConfig("c_custkey", "check", check_cols=["c_acctbal", "c_mktsegment"], hard_deletes="invalidate")
+    path = scratch_path(t.spark, f"tidewater-q/snapshot-{uuid.uuid4().hex[:10]}")
+    apply_snapshot(t.spark, path, v1(t), cfg, T1)
+    for _ in range(2):
+        apply_snapshot(t.spark, path, v2(t), cfg, T2)
+    return read_snapshot(t.spark, path)
+
+
+@query("snapshot_changes", snapshot_sql("check", "invalidate", tagged=True))
 def q_snapshot_changes(t: Tables) -> DataFrame:
     """H2: the staged change set of a snapshot run (new versions as inserts,
     versions closed by a change as updates, by a hard delete as deletes)."""
@@ -217,44 +198,8 @@ RENAMED = {"dbt_scd_id": "scd_id", "dbt_updated_at": "row_updated_at", "dbt_vali
            "dbt_valid_to": "valid_to"}
 
 
-def _h9_sql() -> str:
-    """Oracle for a composite key (nation, customer), renamed meta columns and an
-    open-row marker literal instead of NULL (check strategy, invalidate)."""
-    cols = ", ".join(COLS)
-    s_cols = ", ".join(f"s.{c}" for c in COLS)
-    on = "snap.c_nationkey = s.c_nationkey and snap.c_custkey = s.c_custkey"
-    changed = "(" + " or ".join(
-        f"snap.{c} != s.{c} or ((snap.{c} is null) and not (s.{c} is null)) "
-        f"or ((not snap.{c} is null) and (s.{c} is null))" for c in ("c_acctbal", "c_mktsegment")) + ")"
-    return f"""
-with {_V_SQL},
-h as (
-    select {cols}, {_md5('c_nationkey', 'c_custkey', T1_SQL)} as scd_id, {T1_SQL} as row_updated_at,
-           {T1_SQL} as valid_from, {CURRENT_SQL} as valid_to
-    from v1
-),
-snap as (select * from h where valid_to = {CURRENT_SQL} or valid_to is null),
-ins as (
-    select {s_cols}, {_md5('s.c_nationkey', 's.c_custkey', T2_SQL)} as scd_id, {T2_SQL} as row_updated_at,
-           {T2_SQL} as valid_from, {CURRENT_SQL} as valid_to
-    from v2 s left join snap on {on}
-    where snap.c_custkey is null or (snap.c_custkey is not null and {changed})
-),
-closers as (
-    select snap.scd_id, {T2_SQL} as new_to from v2 s join snap on {on} where {changed}
-    union all
-    select snap.scd_id, {T2_SQL} from snap left join v2 s on {on} where s.c_custkey is null
-)
-select h.c_custkey, h.c_name, h.c_nationkey, h.c_acctbal, h.c_mktsegment, h.scd_id, h.row_updated_at, h.valid_from,
-       case when c.scd_id is not null and (h.valid_to = {CURRENT_SQL} or h.valid_to is null) then c.new_to
-            else h.valid_to end as valid_to
-from h left join closers c on c.scd_id = h.scd_id
-union all
-select {cols}, scd_id, row_updated_at, valid_from, valid_to from ins
-"""
-
-
-@query("snapshot_composite_key", _h9_sql())
+@query("snapshot_composite_key", snapshot_sql("check", "invalidate", key=("c_nationkey", "c_custkey"), marker=CURRENT_SQL,
+                                               names=tuple(RENAMED.values())))
 def q_snapshot_composite_key(t: Tables) -> DataFrame:
     """H8 + H9: composite unique key, renamed meta columns, and open rows marked
     by a far-future literal instead of NULL."""

@@ -2,12 +2,12 @@
 
 Input is a DataFrame ``pages(page_id, url, html)``.  Parsing markup needs
 Python (a small tokenizer of our own over one regular expression; no
-third-party parser), so ``page_blocks`` runs once per page inside
-``mapInPandas`` with small Arrow batches and emits
-narrow rows ``(page_id, kind, block_no, heading, card, row_no, cells)``; the
-``html`` column is dropped right there.  Everything after that (filters,
-header matching, ids, joins, first-seen dedupe) is plain DataFrame work.
-Link and id extraction never needs the parser: it is JVM-side regex.
+third-party parser), so ``page_blocks`` parses each page once inside
+``mapInPandas`` and drops the ``html`` there.  Every row that it emits carries
+what the operators need: a table row has its table's header, width and length,
+the headings before it, the card around it and the links inside it; a link row
+its address and text; a page row all second-level headings.  So the operators
+are filters and expressions over one parse, without joins.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.sources.resultsets import snake_case_col
+from tidewater.sources.resultsets import NON_WORD
 
 # The parser runs in Python workers: ship this module's code with the task
 # (pickled by value), so executors need no installed copy of the package.
@@ -31,16 +31,25 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
-    T.StructField("kind", T.StringType()),        # 'table' | 'list'
+    T.StructField("kind", T.StringType()),        # table | list | link | page | error
     T.StructField("block_no", T.IntegerType()),   # 0-based per page and kind, in document order
-    T.StructField("heading", T.StringType()),     # nearest preceding h2/h3/h4 text (< 80 chars)
-    T.StructField("card", T.StringType()),        # h3 of the enclosing div.card, if any
-    T.StructField("row_no", T.IntegerType()),     # 0-based; row 0 of a table is its header row
+    T.StructField("headings", T.ArrayType(T.StringType())),  # h2-h4 before the block, then before each part around it
+    T.StructField("card", T.StringType()),        # title of the div.card around it ('' without one), null outside cards
+    T.StructField("card_block", T.IntegerType()),  # number of the table within its card
+    T.StructField("row_no", T.IntegerType()),     # 0-based; row 0 of a table is its header; links count from 1
     T.StructField("cells", T.ArrayType(T.StringType())),
+    T.StructField("data_cells", T.ArrayType(T.StringType())),  # td cells only
+    T.StructField("header", T.ArrayType(T.StringType())),      # cells of row 0
+    T.StructField("n_cols", T.IntegerType()),     # widest row after the header
+    T.StructField("n_rows", T.IntegerType()),     # rows of the table; of the first table on page and link rows
+    T.StructField("spans", T.ArrayType(T.StringType())),       # spans of the page's first table head
+    T.StructField("links", T.ArrayType(T.StringType())),       # addresses in the row
 ])
 
-_HEADINGS = {"h2", "h3", "h4"}
-_VOID = {"br", "img", "meta", "link", "input", "hr", "col", "area", "base", "wbr", "source", "embed"}
+_HEADINGS = ("h2", "h3", "h4")
+_VOID = frozenset(("br", "img", "meta", "link", "input", "hr", "col", "area", "base", "wbr", "source", "embed"))
+# containers whose start is remembered, to find headings before the parts around a table
+_PARTS = frozenset(("div", "section", "article", "main", "aside", "body", "form", "header", "footer", "fieldset", "center"))
 
 
 def _clean(text: str) -> str:
@@ -48,288 +57,317 @@ def _clean(text: str) -> str:
 
 
 # One pass over the markup: comments, declarations, tags (name + raw attributes), text.
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*)>|([^<]+)|<", re.S)
+_TOKEN = re.compile(r"<!--.*?-->|<!--|<![^>]*>|<\?[^>]*>"
+                    r"|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+                    r"|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*+)>|([^<]+)|<", re.S)
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style")}
-_CLASS_ATTR = re.compile(r"""class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 
 
-class _BlockParser:
-    """Collects table rows and list items with their heading context.
+def _attribute(attrs: str, name: str) -> str | None:
+    """The value of an attribute, decoded (None without it)."""
+    for m in _ATTRIBUTE.finditer(attrs):
+        if m[1].lower() == name:
+            return _html.unescape(next(g for g in m.groups()[1:] if g is not None))
+    return None
 
-    A small tokenizer (one regular expression) drives the state machine:
-    only the tags that shape blocks matter, text is entity-decoded only when
-    it contains ``&``, and script/style bodies are skipped to their end tag.
-    """
+
+class PageError(ValueError):
+    """The page cannot be read to its end."""
+
+
+class _Page:
+    """Reads one page's markup into tables, lists, links and headings."""
 
     def __init__(self):
-        self.blocks: list[tuple] = []
-        self.counters = {"table": 0, "list": 0}
-        self.tables: list[dict] = []          # open tables (innermost last)
+        self.tables: list[dict] = []
         self.lists: list[dict] = []
-        self.cell: list[str] | None = None    # text parts of the open cell / item
-        self.heading_parts: list[str] | None = None
-        self.heading_tag: str | None = None
+        self.links: list[dict] = []
+        self.second: list[str] = []             # texts of the h2 headings
+        self.spans: list[str] = []              # of the first table head
+        self.heads = 0                          # table heads seen
+        self.in_head = False
+        self.open_tables: list[dict] = []
+        self.open_lists: list[dict] = []
+        self.parts: list[dict] = []             # open containers
+        self.cell: dict | None = None           # open cell or item
+        self.link: dict | None = None
+        self.heading: tuple[str, list[str]] | None = None
+        self.span: list[str] | None = None
         self.last_heading = ""
-        self.divs: list[dict] = []            # open divs: {'card': bool, 'title': str|None}
-        self.skip = 0                         # inside script/style
-
-    # -- helpers ---------------------------------------------------------
-    def _card(self) -> str | None:
-        for d in reversed(self.divs):
-            if d["card"]:
-                return d["title"]
-        return None
-
-    def _close_cell(self):
-        if self.cell is not None:
-            text = _clean("".join(self.cell))
-            if self.tables and self.tables[-1]["row"] is not None:
-                self.tables[-1]["row"].append(text)
-            elif self.lists:
-                self.lists[-1]["items"].append(text)
-            self.cell = None
 
-    def _close_row(self):
-        if self.tables and self.tables[-1]["row"] is not None:
-            self._close_cell()
-            t = self.tables[-1]
-            t["rows"].append(t["row"])
-            t["row"] = None
-
-    # -- tokenizer -------------------------------------------------------
-    def feed(self, markup: str) -> None:
-        pos, n = 0, len(markup)
-        find = _TOKEN.match
-        while pos < n:
-            m = find(markup, pos)
-            end = m.end()
-            name = m.group(2)
-            if name is not None:
-                tag = name.lower()
-                if m.group(1):
-                    self.handle_endtag(tag)
-                elif tag in ("script", "style"):
-                    close = _RAW_END[tag].search(markup, end)
-                    end = n if close is None else close.end()
-                else:
-                    attrs = m.group(3)
-                    cls = _CLASS_ATTR.search(attrs) if tag == "div" and attrs else None
-                    self.handle_starttag(tag, [("class", next(g for g in cls.groups() if g is not None))]
-                                         if cls else [])
-            elif m.group(4) is not None:
-                text = m.group(4)
-                self.handle_data(_html.unescape(text) if "&" in text else text)
-            elif m.group(0) == "<":
-                self.handle_data("<")
-            pos = end
-
-    def close(self) -> None:
-        pass
-
-    # -- events ----------------------------------------------------------
-    def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style"):
-            self.skip += 1
-            return
-        if tag in _VOID:
-            return
-        if tag == "div":
-            classes = (dict(attrs).get("class") or "").split()
-            self.divs.append({"card": "card" in classes, "title": None})
+    def read(self, markup: str) -> None:
+        at, end = 0, len(markup)
+        while at < end:
+            m = _TOKEN.match(markup, at)
+            at = m.end()
+            tag = m[2] or m[5]
+            if tag is not None:
+                tag = tag.lower()
+                if m[1] or m[4]:
+                    self.close(tag)
+                elif tag in _RAW_END:
+                    stop = _RAW_END[tag].search(markup, at)
+                    at = end if stop is None else stop.end()
+                elif tag not in _VOID:
+                    self.start(tag, m[3] or m[6] or "")
+            elif m[7] is not None:
+                self.text(_html.unescape(m[7]) if "&" in m[7] else m[7])
+            elif m[0] == "<":
+                self.text("<")
+            elif m[0] == "<!--":
+                raise PageError("page ends inside a comment")
+        for part in reversed(self.parts):
+            part["open"] = False
+        self.close_cell()
+        for t in self.open_tables:
+            self.close_row(t)
+
+    # -- where a block stands --------------------------------------------
+    def place(self) -> dict:
+        before = dict.fromkeys(h for h in [self.last_heading, *[p["before"] for p in reversed(self.parts)]] if h)
+        return {"headings": list(before), "card": next((p for p in reversed(self.parts) if p["card"]), None)}
+
+    def start(self, tag: str, attrs: str) -> None:
+        if tag in _PARTS:
+            classes = (_attribute(attrs, "class") or "").split() if attrs else []
+            self.parts.append({"tag": tag, "card": tag == "div" and "card" in classes, "title": None, "tables": 0,
+                               "before": self.last_heading, "open": True})
         elif tag in _HEADINGS:
-            self.heading_tag, self.heading_parts = tag, []
+            self.heading = (tag, [])
         elif tag == "table":
-            self.tables.append({"rows": [], "row": None, "heading": self.last_heading, "card": self._card(),
-                                "no": self.counters["table"]})
-            self.counters["table"] += 1
-        elif tag == "tr" and self.tables:
-            self._close_row()
-            self.tables[-1]["row"] = []
-        elif tag in ("td", "th") and self.tables:
-            self._close_cell()
-            if self.tables[-1]["row"] is None:
-                self.tables[-1]["row"] = []
-            self.cell = []
+            t = {"rows": [], "row": None, **self.place()}
+            t["card_block"] = t["card"]["tables"] if t["card"] else None
+            if t["card"]:
+                t["card"]["tables"] += 1
+            self.tables.append(t)
+            self.open_tables.append(t)
+        elif tag == "thead":
+            self.heads += 1
+            self.in_head = self.heads == 1
+        elif tag == "span" and self.in_head:
+            self.span = []
+        elif tag == "tr" and self.open_tables:
+            self.close_row(self.open_tables[-1])
+            self.open_tables[-1]["row"] = {"cells": [], "data": [], "links": []}
+        elif tag in ("td", "th") and self.open_tables:
+            self.close_cell()
+            t = self.open_tables[-1]
+            if t["row"] is None:
+                t["row"] = {"cells": [], "data": [], "links": []}
+            self.cell = {"text": [], "row": t["row"], "data": tag == "td"}
         elif tag in ("ul", "ol"):
-            self.lists.append({"items": [], "heading": self.last_heading, "card": self._card(),
-                               "no": self.counters["list"]})
-            self.counters["list"] += 1
-        elif tag == "li" and self.lists and not (self.tables and self.tables[-1]["row"] is not None):
-            self._close_cell()
-            self.cell = []
-
-    def handle_endtag(self, tag):
-        if tag in ("script", "style"):
-            self.skip = max(0, self.skip - 1)
-            return
-        if tag == "div" and self.divs:
-            self.divs.pop()
-        elif tag in _HEADINGS and self.heading_tag == tag:
-            text = _clean("".join(self.heading_parts or []))
-            if text and len(text) < 80:
+            one = {"items": [], **self.place()}
+            self.lists.append(one)
+            self.open_lists.append(one)
+        elif tag == "li" and self.open_lists and not (self.open_tables and self.open_tables[-1]["row"] is not None):
+            self.close_cell()
+            item = {"cells": [], "data": [], "links": []}
+            self.open_lists[-1]["items"].append(item)
+            self.cell = {"text": [], "row": item, "data": False}
+        elif tag == "a":
+            href = _attribute(attrs, "href")
+            self.link = None
+            if href is not None:
+                self.link = {"href": href, "text": []}
+                self.links.append(self.link)
+                row = self.cell["row"] if self.cell else (self.open_tables[-1]["row"] if self.open_tables else None)
+                if row is not None:
+                    row["links"].append(href)
+
+    def close(self, tag: str) -> None:
+        if tag in _PARTS:
+            for k in range(len(self.parts) - 1, -1, -1):
+                if self.parts[k]["tag"] == tag:
+                    del self.parts[k:]
+                    break
+        elif self.heading and self.heading[0] == tag:
+            text = _clean("".join(self.heading[1]))
+            self.heading = None
+            if text:
                 self.last_heading = text
-            if tag == "h3":
-                for d in reversed(self.divs):
-                    if d["card"] and d["title"] is None:
-                        d["title"] = text
-                        break
-            self.heading_tag, self.heading_parts = None, None
-        elif tag in ("td", "th"):
-            self._close_cell()
-        elif tag == "tr":
-            self._close_row()
-        elif tag == "table" and self.tables:
-            self._close_row()
-            t = self.tables.pop()
-            for i, r in enumerate(t["rows"]):
-                self.blocks.append(("table", t["no"], t["heading"], t["card"], i, r))
-        elif tag == "li":
-            self._close_cell()
-        elif tag in ("ul", "ol") and self.lists:
-            self._close_cell()
-            lst = self.lists.pop()
-            for i, item in enumerate(lst["items"]):
-                self.blocks.append(("list", lst["no"], lst["heading"], lst["card"], i, [item]))
-
-    def handle_data(self, data):
-        if self.skip:
-            return
-        if self.heading_parts is not None:
-            self.heading_parts.append(data)
+            if tag == "h2":
+                self.second.append(text)
+            elif tag == "h3":
+                card = next((p for p in reversed(self.parts) if p["card"]), None)
+                if card is not None and card["title"] is None:
+                    card["title"] = text
+        elif tag in ("td", "th", "li"):
+            self.close_cell()
+        elif tag == "tr" and self.open_tables:
+            self.close_row(self.open_tables[-1])
+        elif tag == "thead":
+            self.in_head = False
+        elif tag == "span" and self.span is not None:
+            self.spans.append(_clean("".join(self.span)))
+            self.span = None
+        elif tag == "table" and self.open_tables:
+            self.close_row(self.open_tables.pop())
+        elif tag in ("ul", "ol") and self.open_lists:
+            self.close_cell()
+            self.open_lists.pop()
+        elif tag == "a":
+            self.link = None
+
+    def text(self, data: str) -> None:
+        for held in (self.heading and self.heading[1], self.cell and self.cell["text"], self.link and self.link["text"], self.span):
+            if held is not None:
+                held.append(data)
+
+    def close_cell(self) -> None:
         if self.cell is not None:
-            self.cell.append(data)
-
-    def finish(self) -> list[tuple]:
-        # unclosed markup: flush whatever is still open
-        while self.tables:
-            self.handle_endtag("table")
-        while self.lists:
-            self.handle_endtag("ul")
-        return self.blocks
-
-
-def parse_blocks(markup: str | None) -> list[tuple]:
-    """(kind, block_no, heading, card, row_no, cells) for one page; malformed
-    markup yields what could be read, never an exception."""
-    if not markup:
-        return []
-    p = _BlockParser()
+            text = _clean("".join(self.cell["text"]))
+            self.cell["row"]["cells"].append(text)
+            if self.cell["data"]:
+                self.cell["row"]["data"].append(text)
+            self.cell = None
+
+    def close_row(self, table: dict) -> None:
+        if table["row"] is not None:
+            self.close_cell()
+            table["rows"].append(table["row"])
+            table["row"] = None
+
+    # -- what was read ----------------------------------------------------
+    def rows(self) -> list[tuple]:
+        first = len(self.tables[0]["rows"]) if self.tables else 0
+        card = lambda b: None if b["card"] is None else (b["card"]["title"] or "")
+        out: list[tuple] = [("page", 0, [], None, None, 0, self.second, [], [], 0, first, self.spans, [])]
+        for no, t in enumerate(self.tables):
+            header = t["rows"][0]["cells"] if t["rows"] else []
+            wide = max((len(r["cells"]) for r in t["rows"][1:]), default=0)
+            out += [("table", no, t["headings"], card(t), t["card_block"], i, r["cells"], r["data"], header, wide, len(t["rows"]),
+                     self.spans, r["links"]) for i, r in enumerate(t["rows"])]
+        for no, b in enumerate(self.lists):
+            out += [("list", no, b["headings"], card(b), None, i, r["cells"], [], [], 1, len(b["items"]), [], r["links"])
+                    for i, r in enumerate(b["items"])]
+        out += [("link", 0, [], None, None, i + 1, [_clean("".join(x["text"]))], [], [], 1, first, [], [x["href"]])
+                for i, x in enumerate(self.links)]
+        return out
+
+
+def parse_page(markup: str | None) -> list[tuple]:
+    """Rows of one page (``BLOCK_SCHEMA`` without the id); a page that cannot be read
+    to its end gives one ``error`` row with the reason and nothing else."""
+    page = _Page()
     try:
-        p.feed(markup)
-        p.close()
-    except Exception:  # noqa: BLE001 - keep partial results of broken pages
-        pass
-    return sorted(p.finish(), key=lambda b: (b[0], b[1], b[4]))
+        page.read(markup or "")
+    except PageError as e:
+        return [("error", 0, [], None, None, 0, [str(e)], [], [], 0, 0, [], [])]
+    return page.rows()
 
 
 def _blocks_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cols = [f.name for f in BLOCK_SCHEMA.fields]
     for pdf in batches:
-        out = []
-        for pid, markup in zip(pdf["page_id"], pdf["html"]):
-            if pd.isna(pid):
-                continue
-            for kind, no, heading, card, row_no, cells in parse_blocks(markup):
-                out.append((int(pid), kind, int(no), heading or None, card, int(row_no), list(cells)))
-        yield pd.DataFrame(out, columns=cols)
-
-
-def page_blocks(pages: DataFrame, batch_rows: int = 256) -> DataFrame:
-    """Every table row and list item of every page (html dropped here)."""
-    spark = pages.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+        for lo in range(0, len(pdf), 256):             # bounds the rows held at a time
+            part = pdf.iloc[lo:lo + 256]
+            out = [(None if pd.isna(pid) else int(pid), *row) for pid, markup in zip(part["page_id"], part["html"])
+                   for row in parse_page(markup)]
+            got = pd.DataFrame(out, columns=cols)
+            for c in ("page_id", "card_block"):
+                got[c] = got[c].astype("Int64")
+            yield got
+
+
+def page_blocks(pages: DataFrame) -> DataFrame:
+    """Every table row, list item, link and page of a batch (html dropped here)."""
     return pages.select(F.col("page_id").cast("long"), "html").mapInPandas(_blocks_batches, BLOCK_SCHEMA)
 
 
 def table_rows(blocks: DataFrame, first_table_only: bool = False) -> DataFrame:
     """S5 table shape: header cells of row 0 beside each later row, ragged rows
     padded with '' to the widest row, extra names ``col_i`` (per table)."""
-    t = blocks.filter(F.col("kind") == "table")
+    t = blocks.filter((F.col("kind") == "table") & (F.col("row_no") > 0))
     if first_table_only:
         t = t.filter(F.col("block_no") == 0)
-    key = ["page_id", "block_no"]
-    hdr = t.filter(F.col("row_no") == 0).select(*key, F.col("cells").alias("header"))
-    body = t.filter(F.col("row_no") > 0)
-    width = body.groupBy(*key).agg(F.max(F.size("cells")).alias("ncols"))
-    j = body.join(hdr, key, "left").join(width, key)
-    # positions 0..ncols-1 (empty when no row has a cell: sequence(0, -1) would count down)
-    idx = F.when(F.col("ncols") > 0, F.sequence(F.lit(0), F.col("ncols") - 1)).otherwise(F.array().cast("array<int>"))
+    # positions 0..n_cols-1 (empty when no row has a cell: sequence(0, -1) would count down)
+    idx = F.when(F.col("n_cols") > 0, F.sequence(F.lit(0), F.col("n_cols") - 1)).otherwise(F.array().cast("array<int>"))
     padded = F.transform(idx, lambda i: F.coalesce(F.get(F.col("cells"), i), F.lit("")))
     names = F.transform(idx, lambda i: F.coalesce(F.get(F.col("header"), i), F.concat(F.lit("col_"), i.cast("string"))))
-    return j.select(*key, "heading", "card", "row_no", names.alias("header"), padded.alias("cells"))
+    return t.select("page_id", "block_no", F.get("headings", 0).alias("heading"), "card", "row_no", names.alias("header"),
+                    padded.alias("cells"), "links")
 
 
 # --------------------------------------------------------------------------
 # S6 / S7 / S8 row filters over parsed tables
 # --------------------------------------------------------------------------
 
-# Header cells that mark a box-score table, and first cells of total rows.
+# Header cells that mark a box-score table, first cells of total rows,
+# and the length from which on a heading is no team name.
 BOX_HEADER_MARKERS = ("MIN", "PTS", "REB", "FG", "FGM", "FGA")
 TOTAL_ROW_MARKERS = ("TOTAL", "TOTALS", "TEAM")
+TEAM_NAME_LIMIT = 80
+
+
+def _is_total(cells: Column) -> Column:
+    return F.upper(F.coalesce(F.get(cells, 0), F.lit(""))).isin(*TOTAL_ROW_MARKERS)
 
 
 def box_score_rows(blocks: DataFrame) -> DataFrame:
     """Rows of tables whose header has a stat marker; rows with fewer than
-    two cells and total rows are skipped; the team is the nearest heading."""
-    t = blocks.filter(F.col("kind") == "table")
-    key = ["page_id", "block_no"]
-    hdr = t.filter(F.col("row_no") == 0).select(*key, F.col("cells").alias("header"))
-    n_rows = t.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    two cells and total rows are skipped; the team is the nearest heading that is
+    short enough for a name (before the table, else before a part around it)."""
     markers = F.array(*[F.lit(m) for m in BOX_HEADER_MARKERS])
-    good = hdr.join(n_rows, key).filter((F.col("_n") >= 2) &
-                                        F.arrays_overlap(F.transform("header", lambda h: F.upper(h)), markers))
-    rows = t.filter(F.col("row_no") > 0).join(good.select(*key, "header"), key)
-    first = F.upper(F.coalesce(F.get(F.col("cells"), 0), F.lit("")))
-    keep = (F.size("cells") >= 2) & ~first.isin(*TOTAL_ROW_MARKERS)
-    return rows.filter(keep).select(*key, F.coalesce(F.col("heading"), F.lit("")).alias("team_name"),
-                                    "row_no", "header", "cells")
+    t = blocks.filter((F.col("kind") == "table") & (F.col("row_no") > 0)
+                      & F.arrays_overlap(F.transform("header", lambda h: F.upper(h)), markers))
+    named = F.filter("headings", lambda h: F.length(h) < TEAM_NAME_LIMIT)
+    return (t.filter((F.size("cells") >= 2) & ~_is_total(F.col("cells")))
+            .select("page_id", "block_no", F.coalesce(F.get(named, 0), F.lit("")).alias("team_name"), "row_no",
+                    header_keys(F.col("header"), name_empty=False).alias("header"), "cells"))
+
+
+def header_keys(header: Column, name_empty: bool = True) -> Column:
+    """Keys of header cells: non-word characters become spaces, spaces ``_``, lower case; a
+    cell without a word character is ``col_i``, an empty one too or (``name_empty=False``) null."""
+    def key(h, i):
+        k = F.lower(F.replace(F.trim(F.regexp_replace(h, NON_WORD, " ")), F.lit(" "), F.lit("_")))
+        named = F.when(k == "", F.concat(F.lit("col_"), i.cast("string"))).otherwise(k)
+        return named if name_empty else F.when(h != "", named)
+
+    return F.transform(header, key)
 
 
 def stat_card_rows(blocks: DataFrame) -> DataFrame:
-    """Table rows inside ``div.card`` blocks, keyed by the card's h3 title."""
-    return table_rows(blocks).filter(F.col("card").isNotNull()).withColumnRenamed("card", "team")
+    """Rows of the first table in each ``div.card``, keyed by the card's h3 title;
+    total rows are skipped, cells beyond the header are not kept."""
+    t = blocks.filter((F.col("kind") == "table") & (F.col("row_no") > 0) & (F.col("card_block") == 0))
+    return (t.filter(~_is_total(F.col("cells")))
+            .select("page_id", "block_no", "row_no", F.col("card").alias("team"),
+                    F.slice(header_keys(F.col("header")), F.lit(1), F.size("cells")).alias("header"),
+                    F.slice("cells", F.lit(1), F.size("header")).alias("cells")))
 
 
 def play_by_play_rows(blocks: DataFrame) -> DataFrame:
-    """Four-cell rows of every table -> home, away, time, description."""
-    t = blocks.filter((F.col("kind") == "table") & (F.size("cells") == 4))
-    return t.select("page_id", "block_no", "row_no",
-                    *[F.get(F.col("cells"), i).alias(n) for i, n in enumerate(["home", "away", "time", "description"])])
-
-
-def stat_columns(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Header-keyed cells as typed-by-text columns (S6/S7 output shape):
-    one column per normalised header name, value taken by header position."""
-    norm = F.transform("header", lambda h: snake_case_col(h))
-    pos = {n: F.array_position(norm, F.lit(n)) for n in names}
-    cols = [F.when(pos[n] > 0, F.get(F.col("cells"), (pos[n] - 1).cast("int"))).alias(n) for n in names]
+    """Rows of the page's first table with four data cells: time, description; the home
+    and away team come from the spans of the page's first table head."""
+    t = blocks.filter((F.col("kind") == "table") & (F.col("block_no") == 0) & (F.size("data_cells") == 4))
+    return t.select("page_id", "row_no", F.get("spans", 0).alias("home_team"), F.get("spans", 1).alias("away_team"),
+                    F.get("data_cells", 0).alias("time"), F.get("data_cells", 1).alias("description"))
+
+
+def stat_columns(rows: DataFrame, names: Sequence[str], numbers: Sequence[str] = ()) -> DataFrame:
+    """Header-keyed cells as columns (S6/S7 output shape), the value by header position.
+    Columns named in ``numbers`` are coerced (S14): numeric text as double, other text null."""
+    at = {n: F.array_position("header", F.lit(n)) for n in names}
+    cols = []
+    for n in names:
+        v = F.when(at[n] > 0, F.get(F.col("cells"), (at[n] - 1).cast("int")))
+        cols.append((F.trim(v).try_cast("double") if n in numbers else v).alias(n))
     return rows.select(*[c for c in rows.columns if c not in ("header", "cells")], *cols)
 
 
 # --------------------------------------------------------------------------
-# S9-S13 links and ids (JVM regex, no parser)
+# S9-S13 links and ids
 # --------------------------------------------------------------------------
 
-# Fixed pattern: an anchor with a double-quoted href and its inner markup.
-LINK_PATTERN = r'<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
-
-
-def unescape_entities(c: Column) -> Column:
-    """Decode the five XML entities (the common ones in link text)."""
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
-
 
-def page_links(pages: DataFrame, href_pattern: str | None = None) -> DataFrame:
-    """``(page_id, link_no, href, text)`` for every anchor (1-based
-    ``link_no`` in document order), optionally only hrefs matching a regex."""
-    # one pass of the pattern over the page; groups are then taken from each short match
-    matches = F.regexp_extract_all(F.col("html"), F.lit(LINK_PATTERN), 0)
-    z = pages.select("page_id", F.posexplode(matches).alias("i", "m"))
-    href = F.regexp_extract(F.col("m"), LINK_PATTERN, 1)
-    text = F.trim(unescape_entities(F.regexp_replace(F.regexp_extract(F.col("m"), LINK_PATTERN, 2), "<[^>]*>", "")))
-    out = z.select("page_id", (F.col("i") + 1).alias("link_no"), href.alias("href"), text.alias("text"))
+def page_links(pages: DataFrame, href_pattern: str | None = None, blocks: DataFrame | None = None) -> DataFrame:
+    """``(page_id, link_no, href, text)`` for every anchor with an address (1-based
+    ``link_no`` in document order), optionally only addresses in which a regex is found."""
+    found = (blocks if blocks is not None else page_blocks(pages)).filter(F.col("kind") == "link")
+    out = found.select("page_id", F.col("row_no").alias("link_no"), F.get("links", 0).alias("href"),
+                       F.get("cells", 0).alias("text"))
     return out.filter(F.col("href").rlike(href_pattern)) if href_pattern else out
 
 
@@ -337,8 +375,12 @@ def first_seen_ids(links: DataFrame, pattern: str, group: Sequence[str] = ("page
                    order: str = "link_no") -> DataFrame:
     """Unique ids captured by ``pattern`` from hrefs, with the position
     where each was first seen (an aggregate: hot pages combine map-side)."""
-    ids = links.select(*group, order, F.regexp_extract("href", pattern, 1).alias("id")).filter(F.col("id") != "")
-    return ids.groupBy(*group, "id").agg(F.min(order).alias("first_seen"))
+    return all_ids(links, pattern, group, order).groupBy(*group, "id").agg(F.min(order).alias("first_seen"))
+
+
+def all_ids(links: DataFrame, pattern: str, group: Sequence[str] = ("page_id",), order: str = "link_no") -> DataFrame:
+    """S10, schedule variant: every captured id with its position, repeats included."""
+    return links.select(*group, order, F.regexp_extract("href", pattern, 1).alias("id")).filter(F.col("id") != "")
 
 
 def id_from_url(url: Column, primary: str, fallback: str) -> Column:
@@ -350,29 +392,44 @@ def id_from_url(url: Column, primary: str, fallback: str) -> Column:
 
 # Fixed pattern: "Away 70, Home 65" after the date in "date - Away 70, Home 65" headings.
 SCORE_PATTERN = r"([\w\s\.\'\-\&]+)\s+(\d+)\s*,\s*([\w\s\.\'\-\&]+)\s+(\d+)"
-# Fixed patterns: a team id in a URL, and its fallback.
+# Fixed patterns: a team id in a URL, its fallback, addresses of teams, and a contest's id.
 TEAM_ID_PATTERN = r"org_id=(\d+)"
 TEAM_ID_FALLBACK = r"/team/(\d+)"
+TEAM_LINK_PATTERN = r"org_id=\d+|/team/\d+"
+CONTEST_ID_PATTERN = r"/contests/(\d+)(?:/|$|\?)"
+CONTEST_BOX_PATTERN = r"/contests/(\d+)/box_score"
+
+
+def _score_fields(text: Column) -> dict[str, Column]:
+    dash = F.instr(text, "-")
+    rest = F.when(dash > 0, F.trim(F.substr(text, dash + 1))).otherwise(F.trim(text))
+    part = lambda i: F.nullif(F.trim(F.regexp_extract(rest, SCORE_PATTERN, i)), F.lit(""))
+    return {"game_date": F.when(dash > 0, F.trim(F.substring_index(text, "-", 1))), "away_team": part(1),
+            "away_score": part(2).try_cast("int"), "home_team": part(3), "home_score": part(4).try_cast("int")}
 
 
 def parse_score_headings(df: DataFrame, col: str = "heading") -> DataFrame:
     """S12 over a column of heading text."""
-    t = F.col(col)
-    has_dash = F.instr(t, "-") > 0
-    rest = F.when(has_dash, F.trim(F.substring(t, F.instr(t, "-") + 1, 100000))).otherwise(F.trim(t))
-    d = df.withColumn("_rest", rest)
-    m = lambda i: F.nullif(F.trim(F.regexp_extract("_rest", SCORE_PATTERN, i)), F.lit(""))
-    return d.select(*df.columns,
-                   F.when(has_dash, F.trim(F.substring_index(t, "-", 1))).alias("game_date"),
-                   m(1).alias("away_team"), m(2).try_cast("int").alias("away_score"),
-                   m(3).alias("home_team"), m(4).try_cast("int").alias("home_score"))
+    return df.select(*df.columns, *[c.alias(n) for n, c in _score_fields(F.col(col)).items()])
+
 
+def game_info(blocks: DataFrame) -> DataFrame:
+    """S12 per page: the second-level headings are walked until one holds a score; the date
+    is that of the last heading with a dash up to there.  Pages without a score keep the date."""
+    read = blocks.filter(F.col("kind") == "page").select(
+        "page_id", F.transform("cells", lambda h: F.struct(*[c.alias(n) for n, c in _score_fields(h).items()])).alias("h"))
+    scored = F.transform("h", lambda x: x["away_team"].isNotNull())
+    m = read.withColumn("m", F.coalesce(F.nullif(F.array_position(scored, True), F.lit(0)), F.size("h")).cast("int"))
+    dates = F.filter(F.transform(F.slice("h", F.lit(1), F.col("m")), lambda x: x["game_date"]), lambda d: d.isNotNull())
+    hit = F.get("h", F.col("m") - 1)
+    return m.select("page_id", F.get(dates, F.size(dates) - 1).alias("game_date"),
+                    *[hit[n].alias(n) for n in ("away_team", "away_score", "home_team", "home_score")])
 
-def attach_ids(rows: DataFrame, links: DataFrame, pattern: str) -> DataFrame:
-    """The id found in a row's link, matched on (page, row position)."""
-    ids = links.select("page_id", F.col("link_no").alias("row_no"),
-                       F.nullif(F.regexp_extract("href", pattern, 1), F.lit("")).alias("id"))
-    return rows.join(ids, ["page_id", "row_no"], "left")
+
+def attach_ids(rows: DataFrame, pattern: str) -> DataFrame:
+    """Per row the id of the first link inside it that matches (null without one)."""
+    ids = F.filter(F.transform("links", lambda h: F.regexp_extract(h, pattern, 1)), lambda i: i != "")
+    return rows.withColumn("id", F.get(ids, 0))
 
 
 # --------------------------------------------------------------------------
@@ -380,27 +437,54 @@ def attach_ids(rows: DataFrame, links: DataFrame, pattern: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def teams_from_pages(pages: DataFrame, blocks: DataFrame, id_pattern: str = TEAM_ID_PATTERN,
-                     id_fallback: str = TEAM_ID_FALLBACK) -> DataFrame:
-    """``(page_id, college, team_id, link)`` from the first table's rows;
-    pages without table rows fall back to their links."""
-    rows = table_rows(blocks, first_table_only=True)
-    from_rows = rows.select("page_id", F.get(F.col("cells"), 0).alias("college"), F.lit(None).cast("string")
-                            .alias("link"))
-    with_rows = from_rows.select("page_id").distinct()
-    links = page_links(pages).join(with_rows, "page_id", "left_anti")
-    from_links = links.select("page_id", F.col("text").alias("college"), F.col("href").alias("link"))
-    both = from_rows.unionByName(from_links)
-    return both.select("page_id", "college", id_from_url(F.col("link"), id_pattern, id_fallback).alias("team_id"),
-                       "link")
+def teams_from_pages(blocks: DataFrame, id_pattern: str = TEAM_ID_PATTERN, id_fallback: str = TEAM_ID_FALLBACK,
+                     link_pattern: str = TEAM_LINK_PATTERN) -> DataFrame:
+    """``(page_id, college, team_id, link)`` from the rows of each page's first table;
+    pages whose first table has none fall back to their links to teams.
+
+    The college is the column ``team_name``, else the first; the link is the column
+    ``team_href``, else the row's first link to a team, else the second column.
+    """
+    in_table = (F.col("kind") == "table") & (F.col("block_no") == 0) & (F.col("row_no") > 0)
+    in_links = (F.col("kind") == "link") & (F.col("n_rows") < 2) & F.get("links", 0).rlike(link_pattern)
+    cell = lambda i: F.get(F.col("cells"), i)
+    column = lambda n: cell((F.array_position("header", F.lit(n)) - 1).cast("int"))
+    to_team = F.get(F.filter("links", lambda h: h.rlike(link_pattern)), 0)
+    second = F.when(F.col("n_cols") > 1, F.coalesce(cell(F.lit(1)), F.lit(""))).otherwise(F.lit(""))
+    college = F.when(F.array_contains("header", "team_name"), column("team_name")).otherwise(cell(F.lit(0)))
+    link = F.when(F.array_contains("header", "team_href"), column("team_href")).otherwise(F.coalesce(to_team, second))
+    both = blocks.filter(in_table | in_links)
+    is_link = F.col("kind") == "link"
+    got = both.select("page_id", F.when(is_link, cell(F.lit(0))).otherwise(college).alias("college"),
+                      F.when(is_link, F.get("links", 0)).otherwise(link).alias("link"))
+    return got.select("page_id", "college", id_from_url(F.col("link"), id_pattern, id_fallback).alias("team_id"), "link")
+
+
+def load_box_scores(pages: DataFrame, season: str) -> dict[str, DataFrame]:
+    """A batch of box-score pages as two tables and a quarantine, out of one parse.
+
+    ``players``: rows (see ``box_score_rows``) with the season; ``games``: game info per
+    page; ``quarantine``: pages that are empty or cannot be read, with the reason.  The
+    parse is written to the shared folder once, all three read it.
+    """
+    from tidewater.operators.writers import materialize
+
+    blocks = materialize(page_blocks(pages))
+    empty = pages.filter(F.trim(F.coalesce(F.col("html"), F.lit(""))) == "").select("page_id", F.lit("empty page").alias("error"))
+    failed = blocks.filter(F.col("kind") == "error").select("page_id", F.get("cells", 0).alias("error"))
+    season_col = F.lit(season).alias("season")
+    games = game_info(blocks).join(empty.select("page_id"), "page_id", "left_anti")
+    return {"players": box_score_rows(blocks).select("*", season_col), "games": games.select("*", season_col),
+            "quarantine": empty.unionByName(failed)}
 
 
-def parse_with_quarantine(pages: DataFrame, batch_rows: int = 256) -> tuple[DataFrame, DataFrame]:
-    """Blocks of pages that parse, and a quarantine of pages that yield
-    nothing parseable (empty or missing markup) for a later retry."""
-    blocks = page_blocks(pages, batch_rows)
-    bad = pages.filter(F.col("html").isNull() | (F.trim(F.col("html")) == "")).select("page_id", "url")
-    return blocks, bad.withColumn("error", F.lit("empty page"))
+def game_list(blocks: DataFrame, season: str, division: str, sport_code: str,
+              pattern: str = CONTEST_ID_PATTERN) -> DataFrame:
+    """The rows of a scoreboard page's first table with their contest id and the
+    season, division and sport that were asked for."""
+    rows = attach_ids(table_rows(blocks, first_table_only=True), pattern).withColumnRenamed("id", "contest_id")
+    return rows.select("page_id", "row_no", "header", "cells", "contest_id", F.lit(season).alias("season"),
+                       F.lit(division).alias("division"), F.lit(sport_code).alias("sport_code"))
 
 
 def game_ids_with_fallback(primary: DataFrame, fallback: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -408,4 +492,5 @@ def game_ids_with_fallback(primary: DataFrame, fallback: DataFrame, key: Sequenc
     take the fallback's unique ids (all team pages)."""
     have = primary.select(*key).distinct()
     fb = fallback.join(have, list(key), "left_anti")
-    return primary.unionByName(fb, allowMissingColumns=True).dropDuplicates([*key, "id"])
+    cols = [*key, "id"]
+    return primary.select(*cols).unionByName(fb.select(*cols)).distinct()
