@@ -8,7 +8,8 @@ built-in aggregates (partial aggregation keeps working).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -39,3 +40,30 @@ def weighted_average(value: Column | str, weight: Column | str) -> Column:
     w = F.col(weight) if isinstance(weight, str) else weight
     return F.sum(v * w) / F.nullif(F.sum(w).cast("double"), F.lit(0.0))
 
+
+
+_AGGREGATES: dict[str, Callable[..., Column]] = {}
+
+
+def create_aggregate_function(name: str, args: Sequence[str], body: str, replace: bool = True) -> Callable[..., Column]:
+    """A user's aggregate as a macro: ``body`` is SQL over the argument names, made of
+    built-in aggregates.  Returns the function; ``aggregate(name)`` finds it again.
+    Arguments are columns, column names or SQL text."""
+    if not re.fullmatch(r"[A-Za-z_]\w*", name) or not all(re.fullmatch(r"[A-Za-z_]\w*", a) for a in args):
+        raise ValueError("names of functions and arguments are identifiers")
+    if name in _AGGREGATES and not replace:
+        raise ValueError(f"aggregate {name!r} exists")
+
+    def call(*values: str) -> Column:
+        if len(values) != len(args):
+            raise TypeError(f"{name} takes {len(args)} arguments, got {len(values)}")
+        by_name = {a: f"({v})" for a, v in zip(args, values)}
+        return F.expr(re.sub(r"[A-Za-z_]\w*", lambda m: by_name.get(m[0], m[0]), body))
+
+    _AGGREGATES[name] = call
+    return call
+
+
+def aggregate(name: str) -> Callable[..., Column]:
+    """A registered aggregate by name."""
+    return _AGGREGATES[name]

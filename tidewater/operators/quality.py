@@ -189,31 +189,39 @@ def freshness(df: DataFrame, loaded_at: str, now: dt.datetime, warn_after: dt.ti
                       status.alias("status"))
 
 
-def column_profile(df: DataFrame, table_name: str = "table", exact_distinct: bool = True) -> DataFrame:
+def column_profile(df: DataFrame, table_name: str = "table", exact_distinct: bool = False) -> DataFrame:
     """One row per column: ``table_name, column_name, data_type, n_rows, n_nulls,
     n_distinct, min_value, max_value`` (text), from one aggregate pass.
 
-    ``exact_distinct=False`` uses HyperLogLog (``approx_count_distinct``),
-    the scalable choice for very wide tables.
+    Distinct counts are sketches (``approx_count_distinct``).  With ``exact_distinct``
+    a second pass turns each row into (column, value) pairs, keeps each pair once per
+    task and then once, and counts them: one shuffle of distinct values, whatever the
+    number of columns.
     """
     aggs = [F.count(F.lit(1)).alias("__rows")]
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        dist = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
+    fields = df.schema.fields
+    for i, f in enumerate(fields):
+        c = F.col(f"`{f.name}`")
         orderable = not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
-        aggs += [F.count_if(c.isNull()).alias(f"{f.name}__nulls"), dist.alias(f"{f.name}__distinct"),
-                 (F.min(c).cast("string") if orderable else F.lit(None).cast("string")).alias(f"{f.name}__min"),
-                 (F.max(c).cast("string") if orderable else F.lit(None).cast("string")).alias(f"{f.name}__max")]
-    one = df.agg(*aggs)
+        aggs += [F.count_if(c.isNull()).alias(f"__nulls{i}"),
+                 (F.min(c).cast("string") if orderable else F.lit(None).cast("string")).alias(f"__min{i}"),
+                 (F.max(c).cast("string") if orderable else F.lit(None).cast("string")).alias(f"__max{i}")]
+        if not exact_distinct:
+            aggs.append(F.approx_count_distinct(c).alias(f"__distinct{i}"))
     rows = F.explode(F.array(*[F.struct(
         F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-        F.col(f"{f.name}__nulls").cast("bigint").alias("n_nulls"),
-        F.col(f"{f.name}__distinct").cast("bigint").alias("n_distinct"),
-        F.col(f"{f.name}__min").alias("min_value"), F.col(f"{f.name}__max").alias("max_value"),
-    ) for f in df.schema.fields]))
-    return one.select(F.lit(table_name).alias("table_name"), F.col("__rows").cast("bigint").alias("n_rows"),
-                      rows.alias("r")).select("table_name", "r.column_name", "r.data_type", "n_rows",
-                                              "r.n_nulls", "r.n_distinct", "r.min_value", "r.max_value")
+        F.col(f"__nulls{i}").cast("bigint").alias("n_nulls"),
+        (F.lit(0) if exact_distinct else F.col(f"__distinct{i}")).cast("bigint").alias("n_distinct"),
+        F.col(f"__min{i}").alias("min_value"), F.col(f"__max{i}").alias("max_value"),
+    ) for i, f in enumerate(fields)]))
+    one = df.agg(*aggs).select(F.col("__rows").cast("bigint").alias("n_rows"), rows.alias("r")).select("n_rows", "r.*")
+    if exact_distinct:
+        pairs = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").cast("string").alias("v")) for f in fields])
+        values = df.select(F.explode(pairs).alias("p")).select("p.*").where("v is not null").distinct()
+        counted = values.groupBy("column_name").agg(F.count("*").alias("_d"))
+        one = one.join(counted, "column_name", "left").withColumn("n_distinct", F.coalesce("_d", F.lit(0)).cast("bigint"))
+    return one.select(F.lit(table_name).alias("table_name"), "column_name", "data_type", "n_rows", "n_nulls", "n_distinct",
+                      "min_value", "max_value")
 
 
 def fixture_frame(spark, rows: Sequence[dict], schema: T.StructType | str) -> DataFrame:

@@ -87,18 +87,20 @@ _GAME_COLS = ("game_id", "game_date", "game_status_id", "game_status_text", "hom
               "visitor_team_id", "arena_name", "season", "season_type")
 
 
+def _game_columns(arena: Column) -> list:
+    """The game dimension's columns with their sources, by name."""
+    sources = {"game_date": "game_date_est", "arena_name": arena}
+    return [(c, sources.get(c, c)) for c in _GAME_COLS]
+
+
 def stg_schedule(schedule: DataFrame) -> DataFrame:
-    m = [(c, c) for c in _GAME_COLS]
-    m[1] = ("game_date", "game_date_est")
-    m[6] = ("arena_name", F.coalesce(F.col("arena_name"), F.lit("")))
+    m = _game_columns(F.coalesce(F.col("arena_name"), F.lit("")))
     return _project(schedule.filter(F.col("game_id").isNotNull()), m)
 
 
 def stg_box_summaries(box_summaries: DataFrame) -> DataFrame:
     """Box summaries carry no arena: the column is the constant ``''``."""
-    m = [(c, c) for c in _GAME_COLS]
-    m[1] = ("game_date", "game_date_est")
-    m[6] = ("arena_name", F.lit(""))
+    m = _game_columns(F.lit(""))
     return _project(box_summaries.filter(F.col("game_id").isNotNull()), m)
 
 
@@ -255,6 +257,8 @@ def fact_standings(games: DataFrame, conference: DataFrame | Mapping[str, str] |
         return ranked.join(leaders, on=cond, how="inner").select(*out_cols)
     if rank != "histogram":
         raise ValueError(f"unknown rank strategy {rank!r}")
+    # one exchange on the record serves the histogram, the join back and the tie window
+    keyed = keyed.repartition(*kcols, "wins", "losses")
     hist = keyed.groupBy(*kcols, "wins", "losses").agg(F.count(F.lit(1)).alias("_n"))
     order = Window.partitionBy(*kcols).orderBy(F.col("wins").desc(), F.col("losses").asc())
     hist = hist.select(

@@ -52,8 +52,18 @@ def event_payloads(t: Tables) -> DataFrame:
 def q_resultset_rows(t: Tables) -> DataFrame:
     """S2 + S3: decode every payload shape (named set with fallback), normalise
     header names, cast text cells; the result equals the source table."""
+    rows, _ = R.decode_payloads(event_payloads(t), name="Events", columns=list(EVENT_TYPES))
+    return R.cells_to_table(rows, list(EVENT_TYPES), EVENT_TYPES)
+
+
+@query("resultset_all_columns", """
+select cast(event_id as varchar) as event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, cast(user_id as varchar) as user_id,
+       event_type from events
+""")
+def q_resultset_all_columns(t: Tables) -> DataFrame:
+    """S2 + S3 with the output columns taken from the payloads' own headers (as text)."""
     rows, _ = R.decode_payloads(event_payloads(t), name="Events")
-    return R.rows_to_table(rows, columns=list(EVENT_TYPES), types=EVENT_TYPES)
+    return R.rows_to_table(rows).select("event_id", "ts", "user_id", "event_type")
 
 
 @query("resultset_quarantine", f"""

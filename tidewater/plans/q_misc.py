@@ -334,6 +334,19 @@ def q_agg_function(t: Tables) -> DataFrame:
     return li.groupBy("l_returnflag").agg(Y.weighted_average("l_quantity", "l_linenumber").alias("wavg_qty"))
 
 
+@query("agg_function_user", """
+select l_shipmode_like as line_kind, max(l_quantity) - min(l_quantity) as spread, cast(sum(l_linenumber) as double) / count(*) as mean_no
+from (select *, l_returnflag || l_linestatus as l_shipmode_like from lineitem) group by 1
+""")
+def q_agg_function_user(t: Tables) -> DataFrame:
+    """Two aggregates that a user registers from SQL text, called by name."""
+    Y.create_aggregate_function("spread", ["x"], "max(x) - min(x)")
+    Y.create_aggregate_function("mean_of", ["x"], "cast(sum(x) as double) / count(x)")
+    li = t.lineitem.withColumn("line_kind", F.concat("l_returnflag", "l_linestatus"))
+    return li.groupBy("line_kind").agg(Y.aggregate("spread")("l_quantity").alias("spread"),
+                                       Y.aggregate("mean_of")("l_linenumber").alias("mean_no"))
+
+
 @query("full_replace", """
 select c_custkey, c_name, c_mktsegment from customer where c_mktsegment <> 'MACHINERY'
 """)

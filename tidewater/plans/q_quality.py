@@ -172,7 +172,7 @@ COLUMN_PROFILE_SQL = "\nunion all\n".join(
 @query("column_profile", COLUMN_PROFILE_SQL)
 def q_column_profile(t: Tables) -> DataFrame:
     """Per-column type, rows, nulls, distinct, min, max in one pass."""
-    return Q.column_profile(t.customer, "customer")
+    return Q.column_profile(t.customer, "customer", exact_distinct=True)
 
 
 @query("schema_probe", """
@@ -204,3 +204,15 @@ def q_dq_store_failures(t: Tables) -> DataFrame:
     key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
     stored = Q.store_failures(Q.unique(li, key), scratch_path(t.spark, f"tidewater-q/audit-{uuid.uuid4().hex[:10]}"))
     return Q.verdict(stored, warn_if="> 100", error_if="> 20000")
+
+
+@query("tagged_union", """
+select c_nationkey as nationkey, cast(count(*) as bigint) as n, 'actual' as actual_or_expected from customer group by 1
+union all
+select s_nationkey, cast(count(*) as bigint), 'expected' from supplier group by 1
+""")
+def q_tagged_union(t: Tables) -> DataFrame:
+    """The tagged union of an actual and an expected aggregate itself."""
+    a = t.customer.groupBy(F.col("c_nationkey").alias("nationkey")).agg(F.count("*").alias("n"))
+    e = t.supplier.groupBy(F.col("s_nationkey").alias("nationkey")).agg(F.count("*").alias("n"))
+    return Q.actual_vs_expected(a, e, ["nationkey", "n"])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.exprs import equals, season_label
-from tidewater.operators import reshape
+from tidewater.operators import joins, reshape
 from tidewater.plans.registry import query
 from tidewater.sources.tables import Tables
 
@@ -343,43 +343,56 @@ def q_count_distinct_having(t: Tables) -> DataFrame:
 
 
 @query("collect_set_per_year", """
-select cast(year(o_orderdate) as varchar) as season,
-       array_to_string(list_sort(list_distinct(array_agg(o_orderpriority))), ',') as priorities
-from orders group by 1
+select distinct cast(year(o_orderdate) as varchar) as season, o_custkey as member from orders
 """)
 def q_collect_set_per_year(t: Tables) -> DataFrame:
-    """Set union of values per year (bounded by distinct values, combined map-side)."""
+    """The union of members per year, one row per member: an aggregate that is
+    combined map-side, so no task holds a year's whole set."""
     o = t.orders
-    return o.groupBy(F.year("o_orderdate").cast("string").alias("season")).agg(
-        F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ",").alias("priorities"))
+    return o.select(F.year("o_orderdate").cast("string").alias("season"), F.col("o_custkey").alias("member")).distinct()
 
 
 @query("dates_in_range", """
-with b as (select cast(min(o_orderdate) as date) as s from orders where year(o_orderdate) = 1998)
-select strftime(d, '%Y%m%d') as date_str
-from b, generate_series(b.s, b.s + interval 40 day, interval 1 day) g(d)
+with b as (select cast(min(o_orderdate) as date) as s, cast(max(o_orderdate) as date) as e from orders)
+select strftime(d, '%Y%m%d') as day from b, generate_series(cast(b.s as timestamp), cast(b.e as timestamp), interval 1 day) g(d)
 """)
 def q_dates_in_range(t: Tables) -> DataFrame:
-    """U8: inclusive formatted dates from the first 1998 order date, 40 days on."""
-    first = t.orders.filter(F.year("o_orderdate") == 1998).agg(F.to_date(F.min("o_orderdate")).alias("s")).first()["s"]
-    return reshape.dates_in_range(t.spark, first, first + dt.timedelta(days=40))
+    """U8: inclusive formatted dates from the first to the last order date."""
+    ends = t.orders.agg(F.to_date(F.min("o_orderdate")).alias("s"), F.to_date(F.max("o_orderdate")).alias("e")).first()
+    return reshape.dates_in_range(t.spark, ends["s"], ends["e"]).toDF("day")
 
 
 @query("sort_nulls_last", """
-select o_orderkey, nullif(o_orderpriority, '1-URGENT') as priority from orders
-order by priority desc, o_orderkey asc limit 20
+select o_orderkey, nullif(o_orderpriority, '1-URGENT') as priority,
+       row_number() over (order by nullif(o_orderpriority, '1-URGENT') desc nulls last, o_orderkey asc) as position
+from orders
 """)
 def q_sort_nulls_last(t: Tables) -> DataFrame:
-    """Multi-key sort with NULLs last in both directions, as a top-k report."""
+    """Multi-key sort with NULLs last in both directions; every row with its place,
+    range-partitioned, so no task sorts the table."""
     o = t.orders.select("o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("1-URGENT")).alias("priority"))
-    return reshape.top_k(o, reshape.order_nulls_last([("priority", "desc"), "o_orderkey"]), 20)
+    return reshape.row_number_within(o, [], reshape.order_nulls_last([("priority", "desc"), "o_orderkey"]), "position")
 
 
 @query("sort_nulls_last_asc", """
-select o_orderkey, nullif(o_orderpriority, '5-LOW') as priority from orders
-order by priority asc, o_orderkey desc limit 20
+select o_orderkey, nullif(o_orderpriority, '5-LOW') as priority,
+       row_number() over (order by nullif(o_orderpriority, '5-LOW') asc nulls last, o_orderkey desc) as position
+from orders
 """)
 def q_sort_nulls_last_asc(t: Tables) -> DataFrame:
     """W4 ascending: Spark would put the NULLs first; the warehouse puts them last."""
     o = t.orders.select("o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("priority"))
-    return reshape.top_k(o, reshape.order_nulls_last(["priority", ("o_orderkey", "desc")]), 20)
+    return reshape.row_number_within(o, [], reshape.order_nulls_last(["priority", ("o_orderkey", "desc")]), "position")
+
+
+# Fixed values of the stand-in: order states by letter.
+ORDER_STATES = {"F": "filled", "O": "open"}
+
+
+@query("literal_map_join", """
+select o_orderkey, o_orderstatus, state from orders join (values ('F', 'filled'), ('O', 'open')) m(s, state) on o_orderstatus = s
+""")
+def q_literal_map_join(t: Tables) -> DataFrame:
+    """An inner join with a literal map; rows whose key the map lacks drop out."""
+    o = t.orders.select("o_orderkey", "o_orderstatus")
+    return joins.join_small_literal(o, t.spark, ORDER_STATES, "o_orderstatus", "state").select("o_orderkey", "o_orderstatus", "state")

@@ -5,8 +5,8 @@ three shapes (``resultSets`` list, ``resultSets`` object, ``resultSet``
 object; anything else has no rows).  ``from_json`` decodes all three with
 cells read as text, malformed payloads are split off into a quarantine, and
 ``explode`` turns rows into records keyed by normalised header names.
-Everything runs JVM-side; only the (few, distinct) header lists are looked
-at on the driver to fix the output columns.
+Everything runs JVM-side; only the names of the output columns reach the
+driver, and only when the caller does not give them.
 """
 
 from __future__ import annotations
@@ -43,10 +43,8 @@ def snake_case_col(c: Column) -> Column:
     return F.when(s == "", F.lit("unknown")).otherwise(s)
 
 
-def normalize_names_col(headers: Column) -> Column:
-    """S3 as a column expression over an array of header names."""
-    base = F.transform(headers, lambda h: snake_case_col(h))
-
+def _numbered_names(base: Column) -> Column:
+    """Repeated names get ``_1``, ``_2``, ... in order."""
     def dedupe(x, i):
         seen = F.size(F.filter(F.slice(base, 1, i), lambda y: y == x))
         return F.when(seen == 0, x).otherwise(F.concat(x, F.lit("_"), seen.cast("string")))
@@ -54,11 +52,20 @@ def normalize_names_col(headers: Column) -> Column:
     return F.transform(base, dedupe)
 
 
+def normalize_names_col(headers: Column) -> Column:
+    """S3 as a column expression over an array of header names."""
+    return _numbered_names(F.transform(headers, lambda h: snake_case_col(h)))
+
+
 def decode_payloads(payloads: DataFrame, payload_col: str = "payload", id_col: str = "payload_id",
-                    name: str | None = None, index: int = 0, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+                    name: str | None = None, index: int = 0, strict: bool = False,
+                    columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """S2 + S22: ``(rows, quarantine)``.
 
-    ``rows``: ``(payload_id, row_no, headers, cells)`` of the chosen result
+    With ``columns``, ``rows`` is ``(payload_id, row_no, cells)`` with the cells in
+    that order: where each column stands is found once per payload, before its rows
+    are exploded, and no header travels with a row.  Without, it is
+    ``(payload_id, headers, names, row_no, cells)`` of the chosen result
     set of each payload (by ``name``, else position ``index``; a missing
     name falls back to ``index`` unless ``strict``).  ``quarantine``: the
     payloads that are not valid JSON objects, with the raw text.
@@ -84,46 +91,49 @@ def decode_payloads(payloads: DataFrame, payload_col: str = "payload", id_col: s
     good = p.filter(valid).select("payload_id", chosen.alias("rs"))
     # names are normalised once per payload, before the rows are exploded
     good = good.select("payload_id", F.col("rs.headers").alias("headers"), F.col("rs.rowSet").alias("_rowset"))
-    good = good.withColumn("names", normalize_names_col(F.col("headers")))
-    rows = good.select("payload_id", "headers", "names",
-                       F.posexplode(F.coalesce(F.col("_rowset"), F.array().cast("array<array<string>>")))
-                       .alias("row_no", "cells"))
-    return rows, quarantine
+    good = good.withColumn("_base", F.transform("headers", lambda h: snake_case_col(h)))
+    good = good.withColumn("names", _numbered_names(F.col("_base")))
+    rowset = F.coalesce(F.col("_rowset"), F.array().cast("array<array<string>>"))
+    if columns is None:
+        return good.select("payload_id", "headers", "names", F.posexplode(rowset).alias("row_no", "cells")), quarantine
+    at = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: F.array_position("names", c).cast("int"))
+    each = good.select("payload_id", at.alias("_at"), F.posexplode(rowset).alias("row_no", "_cells"))
+    cells = F.transform("_at", lambda p: F.when(p > 0, F.get(F.col("_cells"), p - 1)))
+    return each.select("payload_id", "row_no", cells.alias("cells")), quarantine
 
 
-MAX_HEADER_VARIANTS = 10_000
+def cells_to_table(rows: DataFrame, columns: Sequence[str], types: Mapping[str, str] | None = None,
+                   keep_ids: bool = False) -> DataFrame:
+    """Rows of ``decode_payloads(..., columns=columns)`` as one column each, cast with ``try_cast``."""
+    types = dict(types or {})
+    out = [F.get("cells", i) for i in range(len(columns))]
+    out = [(v.try_cast(types[c]) if c in types else v).alias(c) for c, v in zip(columns, out)]
+    return rows.select(*(["payload_id", "row_no"] if keep_ids else []), *out)
 
 
-def header_sets(rows: DataFrame, max_variants: int = MAX_HEADER_VARIANTS) -> list[list[str]]:
-    """Distinct normalised header lists, used only when the caller gives no columns.
+def header_names(rows: DataFrame) -> list[str]:
+    """The union of all header names, by first position and then name.
 
-    The distinct is an aggregate (map-side combined) and what reaches the
-    driver is one short list per endpoint variant, never row data.  More
-    variants than ``max_variants`` is an error (pass ``columns`` instead):
-    the driver never receives an unbounded set.
+    An aggregate over single names (combined map-side): what reaches the driver is one
+    row per output column, however many payloads and header lists there are.
     """
     names = F.col("names") if "names" in rows.columns else normalize_names_col(F.col("headers"))
-    found = rows.select(names.alias("names")).distinct().limit(max_variants + 1).collect()
-    if len(found) > max_variants:
-        raise ValueError(f"more than {max_variants} distinct header lists; pass the output columns explicitly")
-    return [list(r["names"] or []) for r in found]
+    found = (rows.select(F.posexplode(names).alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"))
+             .orderBy("at", "name").collect())
+    return [r["name"] for r in found]
 
 
 def rows_to_table(rows: DataFrame, columns: Sequence[str] | None = None,
                   types: Mapping[str, str] | None = None, keep_ids: bool = False) -> DataFrame:
     """Records with one column per normalised header.
 
-    ``columns`` fixes the output columns (default: the union of the distinct
-    header lists, in order of first appearance); a payload without a column
-    gives NULL there.  ``types`` casts text cells with ``try_cast``.
+    ``columns`` fixes the output columns (default: the union of all header
+    names, see ``header_names``); a payload without a column gives NULL there.
+    ``types`` casts text cells with ``try_cast``.  Where the columns are known
+    beforehand, ``decode_payloads(columns=...)`` and ``cells_to_table`` are cheaper.
     """
     if columns is None:
-        names: list[str] = []
-        for hs in header_sets(rows):
-            for n in hs:
-                if n not in names:
-                    names.append(n)
-        columns = names
+        columns = header_names(rows)
     # A cell is found by the position of its normalised header name (names
     # were normalised once per payload); a column missing from a payload's
     # headers, or a short row, gives NULL.
