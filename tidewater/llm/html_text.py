@@ -23,6 +23,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tidewater.llm.common import map_slices
+
 # fixed values: element names and the words that name boilerplate parts
 RAW = ("script", "style", "title", "textarea", "template", "iframe", "noscript", "svg", "math", "object")
 BREAKS = ("address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir",
@@ -244,11 +246,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", page: s
     read = pages.select(pages[id_col].alias("page_id"), pages[url].alias("url"), pages[page].alias("_html"))
     kind = read.schema["page_id"].dataType.simpleString()
 
-    def run(frames):
-        for frame in frames:
-            text = [main_text(h, tree) for h in frame["_html"]]
-            yield pd.DataFrame({"page_id": frame["page_id"], "url": frame["url"], "text": text,
-                                "n_chars": [len(t) for t in text]})
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        text = [main_text(h, tree) for h in frame["_html"]]
+        return pd.DataFrame({"page_id": frame["page_id"], "url": frame["url"], "text": text, "n_chars": [len(t) for t in text]})
 
-    out = read.mapInPandas(run, f"page_id {kind}, url string, text string, n_chars long")
+    out = map_slices(read, lambda: one, f"page_id {kind}, url string, text string, n_chars long")
     return out.withColumnsRenamed({"page_id": id_col, "url": url})

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewater.llm.common import components, lower_ascii, materialize, paired_blocks, runs, words_of
+from tidewater.llm.common import components, lower_word, materialize, mix64, paired_blocks, runs, words_of
 
 N = 5                      # words in an n-gram
 T_NUM, T_DEN = 75, 100     # Jaccard threshold as a fraction
@@ -64,13 +64,6 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x2
                  0x85EBCA77C2B2AE63], dtype=np.uint64)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A fixed bijection on 64-bit words that spreads all bits (the splitmix finaliser)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def gram_set(words: np.ndarray) -> np.ndarray:
     """Sorted distinct n-gram hashes (int64) of one text's word hashes."""
     w = words.astype(np.int64).view(np.uint64)
@@ -79,17 +72,16 @@ def gram_set(words: np.ndarray) -> np.ndarray:
     k = min(N, len(w))
     total = np.full(len(w) - k + 1, k, np.uint64)
     for i in range(k):
-        total += _mix(w[i:len(w) - k + 1 + i]) * _ODD[i]
-    return np.unique(_mix(total).view(np.int64))
+        total += mix64(w[i:len(w) - k + 1 + i]) * _ODD[i]
+    return np.unique(mix64(total).view(np.int64))
 
 
 def _word_hashes(docs: DataFrame, id_col: str, text: str, narrow: bool = False) -> DataFrame:
     """(id, h): the hashes of a text's words; ``narrow`` ones have 31 bits, still 155 for five words."""
-    words = words_of(lower_ascii(docs[text]))
-    own = lambda x: F.xxhash64(x)
+    own = lambda x: F.xxhash64(lower_word(x))
     if narrow:
-        own = lambda x: F.xxhash64(x).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-    return docs.select(docs[id_col].cast("long").alias("id"), words.alias("w")).select("id", F.transform("w", own).alias("h"))
+        own = lambda x: F.xxhash64(lower_word(x)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    return docs.select(docs[id_col].cast("long").alias("id"), words_of(docs[text]).alias("w")).select("id", F.transform("w", own).alias("h"))
 
 
 def _sets(batch: pa.RecordBatch):

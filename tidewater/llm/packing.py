@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import materialize, numbered
+from tidewater.llm.common import map_slices, materialize, numbered
 
 CAPACITY = 1024
 END_ID = 2
@@ -74,9 +74,10 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str = "doc_id",
            text: str = "text") -> DataFrame:
     """One row per piece of each document; the ids themselves stay in the task, their checksum is kept."""
-    def run(frames):
+    def make():
         encode = encoder(vocabulary)
-        for frame in frames:
+
+        def one(frame: pd.DataFrame) -> pd.DataFrame:
             out = []
             for who, t in zip(frame["doc_id"], frame["t"]):
                 ids = np.append(encode(t), np.uint32(END_ID)).astype("<u4")
@@ -84,10 +85,12 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: s
                     out.append((who, k, start, length, zlib.crc32(ids[start:start + length].tobytes())))
             got = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             got["doc_id"] = pd.array(got["doc_id"], dtype="Int64")
-            yield got
+            return got
+
+        return one
 
-    return (docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("t"))
-            .mapInPandas(run, PIECES))
+    read = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("t"))
+    return map_slices(read, make, PIECES)
 
 
 def patterns(left: np.ndarray, capacity: int) -> list[tuple[int, ...]]:

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidewater.llm.common import map_slices
+
 # fixed values of the base measures and the line rules
 MIN_WORDS = 10                 # fewer words: base fails
 REPEAT_PERCENT = 20            # more repeated words than this share: base fails
@@ -137,12 +139,11 @@ def clean_lines(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("
     read = docs.select(*[docs[c] for c in kept_cols], docs[text].alias("_judged"))
     schema = T.StructType([read.schema[c] for c in kept_cols] + wanted)
 
-    def run(frames):
-        for frame in frames:
-            rows = [judge(t) for t in frame["_judged"]]
-            out = {c: frame[c] for c in kept_cols}
-            for f, at in zip(wanted, place):
-                out[f.name] = [r[at] for r in rows]
-            yield pd.DataFrame(out, columns=schema.fieldNames())
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        rows = [judge(t) for t in frame["_judged"]]
+        out = {c: frame[c] for c in kept_cols}
+        for f, at in zip(wanted, place):
+            out[f.name] = [r[at] for r in rows]
+        return pd.DataFrame(out, columns=schema.fieldNames())
 
-    return read.mapInPandas(run, schema)
+    return map_slices(read, lambda: one, schema)

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import materialize
+from tidewater.llm.common import map_slices, materialize
 
 SAMPLE = 3000            # labelled documents of either side, at most
 FOLDS = 5
@@ -147,14 +147,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     ids = [s.orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for s in sides]
     chosen = ids[0].unionByName(ids[1])
 
-    def run(frames):
-        for frame in frames:
-            yield pd.DataFrame({"id": frame["id"], "toxic": frame["toxic"].astype("int64"),
-                                "bag": [sorted(words(t)) for t in frame["t"]]})
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"id": frame["id"], "toxic": frame["toxic"], "bag": [sorted(words(t)) for t in frame["t"]]})
 
     read = docs.select(docs[id_col].cast("long").alias("id"), docs[text].alias("t"))
-    bags = materialize(read.join(F.broadcast(chosen), "id")            # at most 2 * SAMPLE ids
-                       .mapInPandas(run, "id long, toxic long, bag array<string>").dropDuplicates(["id"]), "toxicity-bags")
+    picked = read.join(F.broadcast(chosen), "id").select("id", F.col("toxic").cast("long").alias("toxic"), "t")   # at most 2 * SAMPLE ids
+    bags = materialize(map_slices(picked, lambda: one, "id long, toxic long, bag array<string>").dropDuplicates(["id"]),
+                       "toxicity-bags")
     vocabulary = choose_vocabulary(bags)
     known = F.array(*[F.lit(w) for w in [*vocabulary, *[x for _, ws in KINDS for x in ws]]])
     got = bags.select("id", "toxic", F.array_intersect("bag", known).alias("hits")).orderBy("id").toPandas()
@@ -171,11 +170,10 @@ def predict(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: st
     read = docs.select(docs[id_col].alias("doc_id"), docs[text].alias("t"))
     kind = read.schema["doc_id"].dataType.simpleString()
 
-    def run(frames):
-        for frame in frames:
-            p = np.array([score(words(t), place, chain) for t in frame["t"]]).reshape(len(frame), len(names))
-            yield pd.DataFrame({"doc_id": frame["doc_id"], **{n: p[:, k].round(6) for k, n in enumerate(names)},
-                                "toxic": p[:, -1] >= CUT})
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        p = np.array([score(words(t), place, chain) for t in frame["t"]]).reshape(len(frame), len(names))
+        return pd.DataFrame({"doc_id": frame["doc_id"], **{n: p[:, k].round(6) for k, n in enumerate(names)},
+                             "toxic": p[:, -1] >= CUT})
 
-    out = read.mapInPandas(run, f"doc_id {kind}, " + ", ".join(f"{n} double" for n in names) + ", toxic boolean")
+    out = map_slices(read, lambda: one, f"doc_id {kind}, " + ", ".join(f"{n} double" for n in names) + ", toxic boolean")
     return out.withColumnRenamed("doc_id", id_col)
