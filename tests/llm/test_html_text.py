@@ -54,3 +54,28 @@ def test_operator(spark):
     got = h.extract(df).collect()
     assert sorted((r.page_id or 0, r.url or "", r.n_chars) for r in got) == sorted((i or 0, u or "", len(h.main_text(p, TREE))) for i, u, p, _ in rows)
     assert all(r.n_chars == len(r.text) for r in got) and h.extract(df.limit(0)).count() == 0
+
+
+LONG = "A sentence of the page that is long enough to be read as text of its own by any reader. " * 4
+
+
+@pytest.mark.parametrize("part", ['<div class="sidebar-content"><p>Side text here</p></div>', '<div class="footer-main">Some words</div>',
+                                  '<aside class="entry"><p>Side text here</p></aside>'])
+def test_boilerplate_is_no_main_part(part):
+    assert h.main_text(f"<body><div><p>{LONG}</p><p>{LONG}</p></div>{part}</body>", TREE) == "\n".join([LONG.strip()] * 2)
+
+
+@pytest.mark.parametrize("name", ["page has-sidebar", "with-comments", "no-ads", "sticky-header-layout", "sidebar"])
+def test_wrapper_names_leave_the_article(name):
+    assert h.main_text(f'<div class="{name}"><nav>Menu here</nav><article><h1>Title</h1><p>{LONG}</p></article></div>', TREE) == f"Title\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("name", ["page has-sidebar", "with-comments", "no-ads", "sticky-header-layout"])
+def test_wrapper_names_leave_plain_pages(name):
+    assert h.main_text(f'<div class="{name}"><p>{LONG}</p></div>', TREE) == LONG.strip()
+
+
+def test_articles_inside_boilerplate_stay_out():
+    page = (f'<article><p>{LONG}</p><div id="comments"><article><p>{LONG} one</p></article></div></article><nav><div><article>x</article></div></nav>'
+            f'<div id="comments"><article class="comment-body"><p>{LONG} two</p></article></div><aside><article><p>{LONG} three</p></article></aside>')
+    assert h.main_text(page, TREE) == LONG.strip()

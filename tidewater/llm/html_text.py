@@ -45,6 +45,9 @@ BOILER_NAMES = ("ad", "ads", "advert", "adverts", "advertisement", "advertising"
                 "widgets", "toolbar", "pagination", "pager", "copyright", "legal", "disclaimer", "skip", "hidden",
                 "toc", "form", "contentinfo", "complementary", "search-form", "outbrain", "taboola")
 MAIN_NAMES = ("article", "content", "post", "entry", "story", "main", "article-body", "post-body")
+# names that tell how a page is laid out, not what the part is: by their first piece or their last
+STATES = ("has", "have", "with", "without", "no", "not", "is", "hide", "show")
+LAYOUTS = ("layout", "page", "enabled", "disabled", "visible", "on", "off")
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
                   r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<!--|<[!?/][^>]*+>")
@@ -52,6 +55,7 @@ _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+
 _UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _PIECES = re.compile(r"[^a-z0-9]+")
 _BOILER, _MAIN = frozenset(BOILER_NAMES), frozenset(MAIN_NAMES)
+_STATES, _LAYOUTS = frozenset(STATES), frozenset(LAYOUTS)
 _RAW, _BREAK, _SPACE, _NEST = frozenset(RAW), frozenset(BREAKS), frozenset(SPACES), frozenset(NESTED)
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 
@@ -61,14 +65,16 @@ def _names(attributes: str) -> set[str]:
     for m in _NAMED.finditer(attributes):
         for name in (m[1] or m[2] or m[3] or "").lower().split():
             found.add(name)
-            found.update(_PIECES.split(name))
+            pieces = _PIECES.split(name)
+            if pieces[0] not in _STATES and pieces[-1] not in _LAYOUTS:
+                found.update(pieces)
     return found
 
 
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     """Text blocks of a page: (text, words, words in links, inside main part, inside boilerplate)."""
     out: list[tuple[str, int, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []      # open containers: tag, main, boilerplate
+    stack: list[tuple[str, bool, bool, bool]] = []      # open containers: tag, main, boilerplate, this by an element
     parts: list[tuple[str, bool]] = []            # text of the block so far: piece, inside a link
     link = False
 
@@ -78,7 +84,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             text = " ".join("".join(p for p, _ in parts).split())
             if text:
                 linked = sum(len(p.split()) for p, inside in parts if inside)
-                _, main, boiler = stack[-1] if stack else ("", False, False)
+                _, main, boiler, _ = stack[-1] if stack else ("", False, False, False)
                 n = len(text.split(" "))
                 out.append((text, n, min(linked, n), main, boiler))
             parts.clear()
@@ -124,19 +130,22 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         if tag in MAIN_TAGS:                      # an article does not stand in a menu or header: those were not closed
             while stack and stack[-1][0] in ("nav", "header", "menu", "ul", "ol"):
                 stack.pop()
-        _, main, boiler = stack[-1] if stack else ("", False, False)
+        _, main, boiler, firm = stack[-1] if stack else ("", False, False, False)
         if tag in MAIN_TAGS:
+            # a wrapper's name does not make the page's article boilerplate; comments may be articles of their own
+            if not main and _names(attributes).isdisjoint(_BOILER):
+                boiler = firm
             main = True
         elif tag in BOILER_TAGS and not (tag == "header" and main):
-            boiler = True
+            boiler = firm = True
         elif tag != "body" and attributes:
             names = _names(attributes)
             boiler = boiler or not names.isdisjoint(_BOILER)
             main = main or not names.isdisjoint(_MAIN)
         if attributes and tag != "body" and _UNSEEN.search(attributes):
-            boiler = True
+            boiler = firm = True
         if not attributes.endswith("/"):
-            stack.append((tag, main, boiler))
+            stack.append((tag, main, boiler, firm))
     flush()
     return out
 
@@ -228,7 +237,7 @@ def main_text(page: str | None, tree) -> str:
     found = blocks(page or "")
     size = [b[1] for b in found]
     share = [100 * b[2] / b[1] for b in found]
-    has_main = any(b[3] for b in found)
+    has_main = any(b[3] and not b[4] for b in found)
     kept = []
     for i, (text, _, _, main, boiler) in enumerate(found):
         before, after = (i - 1, i + 1)
