@@ -65,3 +65,35 @@ def test_column_votes_equal_plain_votes(spark, forest):
     f = F.array(*s.features(F.col("token"), F.col("value"), F.col("before")))
     for r in rows.select("probability", f.alias("f")).collect():
         assert r.probability == pytest.approx(round(sum(vote(t, r.f) for t in forest) / len(forest), 6))
+
+
+AKIA, PATHS = "AKIA" + HEX[:16].upper(), "https://api.example.com/v1/data"
+LAYOUTS = [
+    ('see {"aws_secret_key":"%s"} there', [AKIA]), ('{"client_id":"0123456789abcdef0123456789abcdef","client_secret":"%s"}', [HEX]),
+    ('{"token":"%s","password":"hunter2xyzq"}', [HEX, "hunter2xyzq"]), (PATHS + "?access_token=%s", [HEX]), (PATHS + "?id=7&access_token=%s&x=1", [HEX]),
+    ('SECRET_KEY_2="%s"', [AKIA]), ('os.environ["API_SECRET_KEY"]="%s"', [HEX]), ("so password=%s it is", ["hunter2xyzq"]),
+    ('so password="%s" it is', ["hunter2xyzq"]), ('password = "%s"', ["P@ssw0rd!2"]), ("password: %s and more", ["hunter2xyzq"]),
+    ('{"password": "%s"}', ["hunter2xyzq"]), ('token = "%s"', ["kQzRvWnTbXjLmPdGhYcSfKwZ"]), ("api_key=%s,", ["kQzRvWnTbXjLmPdGhYcSfKwZ"]),
+    ("%s:%s", [AKIA, HEX]),
+]
+
+
+def test_every_run_and_value_of_a_word_is_judged(spark, forest):
+    docs = spark.createDataFrame([(i, t % tuple(v[:t.count("%s")])) for i, (t, v) in enumerate(LAYOUTS)], "doc_id long, text string")
+    found = {}
+    for r in s.findings(docs, forest=forest).collect():
+        found.setdefault(r.doc_id, []).append((r.value, r.is_secret))
+    missing = [t for i, (t, v) in enumerate(LAYOUTS) if not set(v) <= {x for x, _ in found.get(i, [])}]
+    assert not missing
+    secret = {i: sorted(x for x, yes in found[i] if yes) for i in found}
+    wrong = [(t, v, found[i]) for i, (t, v) in enumerate(LAYOUTS) if not set(v[:1] if t == "%s:%s" else v) <= set(secret[i])]
+    assert not wrong
+    clean = {r.doc_id: r.text for r in s.redact(docs, forest=forest).collect()}
+    assert all(x not in clean[i] for i in secret for x in secret[i])
+
+
+def test_long_words_and_addresses_are_no_secrets(spark, forest):
+    plain = ["an internationalization question", "see https://www.example.com/some/where/page.html?id=12345678", "password: required by the form",
+             "the AbstractServiceRequestFactoryManager class", "a well-known/unknown-authors list", "access: unlimited for everyone"]
+    docs = spark.createDataFrame(list(enumerate(plain)), "doc_id long, text string")
+    assert [(r.token, r.probability) for r in s.findings(docs, forest=forest).where("is_secret").collect()] == []

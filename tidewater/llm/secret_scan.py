@@ -1,7 +1,8 @@
 """Secret scan with a random forest against false positives (operator 2).
 
-DataFrame functions only.  Candidates are long mixed runs and quoted values
-after an assignment.  Each gets features: its length, character transitions and
+DataFrame functions only.  Candidates are all long runs of a word, all its values
+after a name that asks for a secret (``name=``, ``"name":``, ``["name"]=``), and
+values that stand, quoted or after such a name, behind an assignment.  Each gets features: its length, character transitions and
 shares, dictionary coverage, path look, and the words around it.  A random
 forest trained on labelled findings removes the false positives; its trees are
 read once and become one column expression, so scanning is a single narrow pass
@@ -12,7 +13,7 @@ rules (below): credentials in their usual places, and look-alikes (digests,
 commits, identifiers, card numbers, placeholders, paths, words).
 
 Defined results: null, empty and blank texts have no findings.  A value found
-several times gives one finding per word that holds it.  Repeated rows give
+several times gives one finding per word that holds it; a word may hold several.  Repeated rows give
 repeated findings.  A null id is carried through.  ``findings`` reads the id and
 the text only; ``redact`` replaces the text (and ``n_chars`` if there) and keeps
 all other columns as they are.
@@ -35,8 +36,12 @@ CUT = 0.5                # share of trees that must call a candidate a secret
 MARK = "[SECRET]"
 
 # fixed patterns
-_RUN = r"[A-Za-z0-9_+/\-]"
-LONG_RUN = rf"(?<!{_RUN})(?=[A-Za-z_+/\-]*+[0-9]){_RUN}{{16}}"
+_NAME = r"""([A-Za-z_][A-Za-z0-9_.\-]{1,79})["'\])]{0,3}[=:]{1,2}"""
+_LOOSE = r"""[^"'&,;<>(){}\[\]|?=:]"""
+HEAD = rf"^{_NAME}"
+NAMED = rf"""{_NAME}(?:["'][^"']{{8,}}["']?|{_LOOSE}{{8,}}={{0,2}})"""
+LONG_RUN = r"[A-Za-z0-9][A-Za-z0-9_+/\-.]{15,}={0,2}"
+BARE = rf"""(?:base64,)?["']?{LONG_RUN}["']?"""
 QUOTED = r"""^[\"'][^\"']{8,}"""
 ASSIGNED = r"[=:]$"
 VALUE = r"""[A-Za-z0-9_+/\-.]{8,}={0,2}"""
@@ -52,24 +57,50 @@ ISSUED = "^(AKIA|ASIA|ghp_|gho_|glpat-|sk_live_|sk-|xox[abprs]-|AIza|eyJ|npm_|py
 
 
 def _value(token: Column) -> Column:
-    """The value inside a word: without a leading ``name=`` and without quotes or marks around it."""
-    return F.regexp_extract(F.regexp_extract(token, r"^(?:[A-Za-z_.\-]{2,40}[=:])?[^A-Za-z0-9]*(.*)$", 1), VALUE, 0)
+    """The value inside a word or a part of it: without a leading ``name=`` and without quotes or marks around it."""
+    rest = F.regexp_replace(token, rf"""^[^A-Za-z0-9_"']*(?:{_NAME})?(?://)?""", "")
+    quoted = F.regexp_extract(rest, r"""^["']+([^"']{8,})""", 1)
+    run = F.regexp_extract(F.regexp_replace(rest, "^[^A-Za-z0-9]+", ""), VALUE, 0)
+    loose = F.regexp_extract(rest, rf"^{_LOOSE}{{7,}}[A-Za-z0-9]={{0,2}}", 0)
+    return (F.when(quoted != "", quoted).when(token.rlike(HEAD) & (loose != ""), loose)
+            .when(run != "", run).otherwise(loose))
+
+
+def _asks(name: Column) -> Column:
+    return F.lower(name).rlike(ASKING)
+
+
+def _parts(word: Column, previous: Column, before: Column) -> Column:
+    """Array of structs (token, value): the candidates inside a word, whose ``previous`` word and words ``before`` are given."""
+    shape = lambda t: F.struct(t.alias("token"), _value(t).alias("value"))
+    long_run = lambda v: v.rlike(LONG_RUN)
+    named = F.filter(F.transform(F.regexp_extract_all(word, F.lit(NAMED), F.lit(0)), shape),
+                     lambda c: _asks(F.regexp_extract(c["token"], HEAD, 1)) | long_run(c["value"]))
+    after = F.coalesce(previous.rlike(ASSIGNED), F.lit(False)) & (word.rlike(QUOTED) | _asks(before)) & ~word.rlike(NAMED)
+    whole = F.when(after, F.array(shape(word))).otherwise(F.filter(F.array(shape(word)), lambda c: F.lit(False)))
+    known = F.concat(named, whole)
+    bare = F.filter(F.transform(F.regexp_extract_all(word, F.lit(BARE), F.lit(0)),
+                                lambda t: F.struct(t.alias("token"), F.regexp_extract(F.regexp_replace(t, "^base64,", ""), LONG_RUN, 0).alias("value"))),
+                    lambda b: ~F.exists(known, lambda c: F.contains(c["value"], b["value"]) | (
+                        F.startswith(c["token"], b["value"]) & ~b["value"].rlike("[0-9]"))))
+    return F.array_distinct(F.concat(known, bare))
 
 
 def _candidate_column(words: Column) -> Column:
-    """Array of structs (word, token, value, before): the candidate words of a text, in order."""
+    """Array of structs (word, token, value, before): the candidates of a text, in order."""
     at = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
 
     def wanted(i):
         w = F.get(words, i)
-        return w.rlike(LONG_RUN) | (w.rlike(QUOTED) & F.coalesce(F.get(words, i - 1).rlike(ASSIGNED), F.lit(False)))
+        return w.rlike(LONG_RUN) | w.rlike(NAMED) | (F.coalesce(F.get(words, i - 1).rlike(ASSIGNED), F.lit(False)) & (F.length(w) >= 8))
 
-    def shape(i):
-        w = F.get(words, i)
-        return F.struct(i.alias("word"), w.alias("token"), _value(w).alias("value"),
-                        F.lower(F.concat_ws(" ", F.get(words, i - 3), F.get(words, i - 2), F.get(words, i - 1))).alias("before"))
+    def inside(i):
+        before = F.lower(F.concat_ws(" ", F.get(words, i - 3), F.get(words, i - 2), F.get(words, i - 1)))
+        near = F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1))
+        return F.transform(_parts(F.get(words, i), F.get(words, i - 1), near), lambda c: F.struct(
+            i.alias("word"), c["token"].alias("token"), c["value"].alias("value"), before.alias("before")))
 
-    return F.filter(F.transform(F.filter(at, wanted), shape), lambda c: F.length(c["value"]) >= 8)
+    return F.filter(F.flatten(F.transform(F.filter(at, wanted), inside)), lambda c: F.length(c["value"]) >= 8)
 
 
 def features(token: Column, value: Column, before: Column) -> list[Column]:
@@ -78,7 +109,7 @@ def features(token: Column, value: Column, before: Column) -> list[Column]:
     low = F.lower(value)
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     changes = F.regexp_count(value, F.lit("(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])"))
-    own = F.lower(F.regexp_extract(token, r"^([A-Za-z_.\-]{2,40})[=:]", 1))
+    own = F.lower(F.regexp_extract(token, HEAD, 1))
     near = F.concat_ws(" ", before, own)
     return [
         n,
@@ -92,7 +123,7 @@ def features(token: Column, value: Column, before: Column) -> list[Column]:
         flag(token.rlike(r"[/\\][A-Za-z0-9_.\-]+[/\\]|://|\.[a-z]{2,4}$")),
         flag(near.rlike(ASKING)),
         flag(near.rlike(HARMLESS)),
-        flag(before.rlike(ASSIGNED) | token.rlike(r"^[A-Za-z_.\-]{2,40}[=:]")),
+        flag(before.rlike(ASSIGNED) | token.rlike(HEAD)),
         flag(token.rlike("[\"']")),
         flag(value.rlike(ISSUED)),
         flag(value.rlike(r"(.)\1{3}")),
@@ -113,6 +144,11 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
                         (F.pmod(F.hash(i), F.lit(10)) + 1).cast("int"))
     quoted = lambda v: F.concat(F.lit('"'), v, F.lit('"'), tail)
     said = lambda *w: F.concat_ws(" ", word("p", 6), *[F.lit(x) for x in w])
+    short = F.concat(word("a", 6), F.substring(digits, 1, 1), word("b", 4))
+    odd = F.concat(F.initcap(word("a", 4)), F.lit("@"), word("b", 3), F.substring(digits, 1, 1), F.lit("!"), F.substring(digits, 2, 1))
+    letters = F.translate(F.substring(b64, 1, 24), "0123456789+/", "abcdefghijkl")
+    issued = F.concat(F.lit("AKIA"), F.upper(F.substring(h40, 1, 16)))
+    named = lambda name, v: F.concat(F.lit(name), v, F.lit('"' if name.endswith('"') else ""))
     kinds = [
         # credentials
         (said("token", "="), quoted(h40), 1), (said("TOKEN", "="), F.upper(quoted(h40)), 1),
@@ -123,7 +159,19 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         (said("access", "key"), F.concat(F.lit("sk_live_"), F.substring(b64, 1, 24)), 1),
         (said("token", "="), F.concat(F.lit('"'), h40, F.lit('"')), 1), (said("private", "token:"), F.concat(h40, tail), 1),
         (said("apikey", "="), F.concat(F.substring(b64, 1, 32), tail), 1),
+        (prose, named("password=", short), 1), (prose, named('db_password="', short), 1), (said("password:"), short, 1),
+        (said("password", "="), quoted(odd), 1), (prose, named("password=", odd), 1), (prose, named('SECRET_KEY_2="', issued), 1),
+        (prose, named('API_SECRET_KEY"]="', h40), 1), (prose, named('client_secret":"', h40), 1),
+        (prose, named('aws_secret_key":"', issued), 1), (prose, named("access_token=", b64), 1),
+        (said("token", "="), quoted(letters), 1), (prose, named("secret_key=", letters), 1),
         # look-alikes
+        (said("password:"), word("a", 10), 0), (prose, named("password=", word("a", 9)), 0), (prose, named('client_id":"', h32), 0),
+        (prose, F.concat_ws("_", word("a", 7), word("b", 6), word("c", 5)), 0), (prose, named("commit=", h40), 0),
+        (prose, F.concat(*[F.initcap(word(k, 6)) for k in "abc"]), 0), (prose, word("a", 20), 0),
+        (prose, F.upper(F.concat_ws("_", word("a", 6), F.lit("KEY"), F.substring(digits, 1, 1), word("b", 8))), 0),
+        (prose, F.concat(F.lit("https://api.example.com/v1/"), word("u", 8)), 0), (prose, F.concat(F.lit("base64,"), b64), 0),
+        (prose, F.concat_ws("-", word("a", 8), word("b", 6), word("c", 7)), 0), (prose, F.concat(word("a", 9), F.lit("/"), word("b", 9)), 0),
+        (prose, named('password="', F.concat(F.lit("changeme_"), word("a", 4))), 0), (said("token:"), F.concat_ws("_", word("a", 6), word("b", 6)), 0),
         (said("commit"), h40, 0), (said("md5", "checksum"), h32, 0), (said("sha256", "digest:"), h64, 0),
         (prose, F.concat_ws("-", F.substring(h32, 1, 8), F.substring(h32, 9, 4), F.substring(h32, 13, 4), F.substring(h32, 17, 12)), 0),
         (prose, F.concat(digits, tail), 0), (said("card", "number"), digits, 0),
@@ -198,7 +246,9 @@ def _scored(words: Column, forest: list) -> Column:
 
 def _holds_candidate(text: Column) -> Column:
     """Whether a text can hold a candidate at all; most texts are left alone after this one look."""
-    return F.coalesce(text.rlike(LONG_RUN) | text.rlike(r"""[=:][\x20\x09-\x0D]+[\"'][^\"']{8}"""), F.lit(False))
+    return F.coalesce(text.rlike(LONG_RUN) | text.rlike(rf"""[=:][\x20\x09-\x0D]+[\"'][^\"']{{8}}""")
+                      | text.rlike(rf"""(?i)(?:{ASKING})[^\x20\x09-\x0D=:]{{0,80}}[=:]""")
+                      | text.rlike(rf"""(?i)(?:{ASKING})[^\x20\x09-\x0D]*[\x20\x09-\x0D]+[=:]"""), F.lit(False))
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text: str = "text", forest: list | None = None) -> DataFrame:
