@@ -52,3 +52,14 @@ def test_operator_edges(spark):
     assert carried.columns == [*docs.columns, "_q_kept"] and carried.count() == len(rows)
     assert q.clean_lines(docs.limit(0)).count() == 0
     assert isinstance(q.clean_lines(docs).schema["kept"].dataType, T.BooleanType)
+
+
+def test_a_phrase_does_not_fail_a_long_line():
+    words = [f"{a}{b}" for a in ("river", "stone", "cloud", "field", "house") for b in ("side", "work", "land", "mark", "ward", "line")]
+    body = " ".join(f"The {a} lies {i} steps from the {b}." for i, (a, b) in enumerate(zip(words, reversed(words))))
+    for phrase in ("click here", "terms of service", "Privacy Policy", "released under the"):
+        text = f"{body} To read the {phrase} is up to you. {body.upper().lower().replace('steps', 'miles')}"
+        got = q.judge(text)
+        assert got[6] and got[8:10] == (0, 0) and got[-1] == text
+    assert all(q.line_fails(x, x.split(), len(x.replace(" ", ""))) for x in (
+        "click here", "Please click here to go on with the next of all our many pages", "Read our privacy policy and the terms of use"))

@@ -36,6 +36,7 @@ SEPARATOR_PERCENT = 20         # separator words per word in a line
 EXCLAIM_PERCENT = 10           # exclamation marks per word character in a line
 CAPITAL_PERCENT = 70           # ASCII capitals per ASCII letter in a line of 20 letters or more
 STUTTER_PERCENT = 40           # words equal to the word before them in a line
+BOILER_PERCENT = 10            # word characters of boilerplate phrases per word character in a line
 LOST_PERCENT = 50              # more removed word characters than this share: rejected
 BOILERPLATE = ("licensed under", "all rights reserved", "public license", "terms of service", "terms of use",
                "privacy policy", "cookie policy", "enable javascript", "click here", "subscribe to our newsletter",
@@ -92,7 +93,8 @@ def line_fails(line: str, words: list[str], chars: int) -> bool:
         letters = capitals + len(line) - len(_SMALL.sub("", line))
         if letters >= 20 and 100 * capitals > CAPITAL_PERCENT * letters:
             return True
-    return _BOILER.search(line) is not None
+    phrases = _BOILER.findall(line)
+    return bool(phrases) and 100 * sum(len(p) - p.count(" ") for p in phrases) >= BOILER_PERCENT * chars
 
 
 def judge(text: str | None) -> tuple:
