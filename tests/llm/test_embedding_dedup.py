@@ -81,3 +81,19 @@ def test_estimates_are_unbiased_and_bounded():
     cos, width = e.estimate(o[:50], r[:50], bits, r, f, x[:50] @ centre, x @ centre, centre @ centre)
     error = cos - x[:50] @ x.T
     assert abs(error.mean()) < 0.003 and (np.abs(error) <= width).mean() > 0.999
+
+
+def test_double_vectors_and_labels_as_they_are(spark):
+    """Doubles are not rounded to floats; labels that are text or fractions keep their groups."""
+    tiny = [1.0, 1e-9, 0.0, 0.0]
+    rows = [(1, [1.0, 0.0, 0.0, 0.0], "a"), (2, tiny, "a"), (3, tiny, "a"), (4, tiny, "b"), (5, tiny, None)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near(spark, rows, "string", 1.0 - 1e-15)}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (0, 5)}
+    halves = [(1, tiny, 0.25), (2, tiny, 0.75), (3, tiny, 0.75)]
+    assert {r.vec_id: r.component_id for r in near(spark, halves, "double", 0.93)} == {1: 1, 2: 2, 3: 2}
+    a, b = [1e-60, 0.0], [0.0, 1e-60]                    # zero as floats
+    assert {r.vec_id: r.component_id for r in near(spark, [(1, a, "x"), (2, a, "x"), (3, b, "x")], "string", 0.93)} == {1: 1, 2: 1, 3: 3}
+
+
+def near(spark, rows, label, threshold):
+    return e.near_duplicates(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {label}"), threshold).collect()

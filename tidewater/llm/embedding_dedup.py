@@ -86,7 +86,9 @@ def estimate(o_q, r_q, bits, r, factor, dots_q, dots, centre_sq):
     return cos, SIGMAS * scale * spread[None, :] + 1e-5
 
 
-_INDEXED = ("id long, label long, weight long, home int, cells array<int>, vec array<float>, "
+def _indexed(raw: DataFrame) -> str:
+    kind = {f.name: f.dataType.simpleString() for f in raw.schema.fields}
+    return (f"id long, label {kind['label']}, weight long, home int, cells array<int>, vec {kind['vec']}, "
             "code binary, r double, factor double")
 
 
@@ -178,8 +180,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
                     vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per vector: ``id_col``, n_links, component_id, kept."""
     spark = vectors.sparkSession
-    raw = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vec_col].cast("array<float>").alias("vec"),
-                         vectors[label_col].cast("long").alias("label"))
+    single = vectors.schema[vec_col].dataType.simpleString() == "array<float>"
+    raw = vectors.select(vectors[id_col].cast("long").alias("id"),
+                         vectors[vec_col].cast("array<float>" if single else "array<double>").alias("vec"),
+                         vectors[label_col].alias("label"))
     finite = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     fit_for = (F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("vec").isNotNull()
                & F.coalesce(finite, F.lit(False)) & F.exists("vec", lambda v: v != 0))
@@ -200,7 +204,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         fitted[int(dim)] = (fit_cells(x, cells), x.mean(axis=0))
     models = spark.sparkContext.broadcast(fitted)     # MAX_CELLS centroids per length at most
-    index = materialize(classes.select("id", "label", "weight", "vec").mapInPandas(_index(models), _INDEXED)
+    index = materialize(classes.select("id", "label", "weight", "vec").mapInPandas(_index(models), _indexed(raw))
                         .withColumn("dim", F.size("vec")), "embedding-index")
 
     listed = index.withColumn("cell", F.explode("cells"))
