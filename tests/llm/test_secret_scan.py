@@ -97,3 +97,12 @@ def test_long_words_and_addresses_are_no_secrets(spark, forest):
              "the AbstractServiceRequestFactoryManager class", "a well-known/unknown-authors list", "access: unlimited for everyone"]
     docs = spark.createDataFrame(list(enumerate(plain)), "doc_id long, text string")
     assert [(r.token, r.probability) for r in s.findings(docs, forest=forest).where("is_secret").collect()] == []
+
+
+def test_findings_that_did_not_train(spark, forest):
+    rows = s.labelled_findings(spark, s.FINDINGS, start=s.FINDINGS).withColumn("value", s._value(F.col("token")))
+    f = s.features(F.col("token"), F.col("value"), F.col("before"))
+    got = rows.select("label", F.array(*f).alias("f")).collect()
+    hit = [(sum(vote(t, r.f) for t in forest) / len(forest) >= s.CUT) == (r.label > 0) for r in got]
+    print("accuracy", len(hit), sum(hit) / len(hit))
+    assert len(hit) == s.FINDINGS and sum(hit) / len(hit) > 0.97

@@ -132,7 +132,7 @@ def features(token: Column, value: Column, before: Column) -> list[Column]:
     ]
 
 
-def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
+def labelled_findings(spark: SparkSession, n: int = FINDINGS, start: int = 0) -> DataFrame:
     """Columns token, value-bearing context ``before``, and label (1: a credential), made from rules."""
     i = F.col("id").cast("string")
     h40, h32, h64 = F.sha1(i), F.md5(i), F.sha2(i, 256)
@@ -189,7 +189,7 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     ]
     at = F.col("id") % len(kinds)
     pick = lambda k: F.coalesce(*[F.when(at == j, kind[k] if k < 2 else F.lit(float(kind[2]))) for j, kind in enumerate(kinds)])
-    return spark.range(n).select(F.lower(pick(0)).alias("before"), pick(1).alias("token"), pick(2).alias("label"))
+    return spark.range(start, start + n).select(F.lower(pick(0)).alias("before"), pick(1).alias("token"), pick(2).alias("label"))
 
 
 def train(spark: SparkSession) -> list:
