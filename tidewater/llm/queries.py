@@ -120,3 +120,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.lm_scoring import score
 
     return score(_read(spark, sf_dir, "documents"))
+
+
+@_query("op11_token_counts")
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    from tidewater.llm.token_counts import count_tokens
+
+    return count_tokens(_read(spark, sf_dir, "documents"))
