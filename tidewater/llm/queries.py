@@ -128,3 +128,11 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.token_counts import count_tokens
 
     return count_tokens(_read(spark, sf_dir, "documents"))
+
+
+@_query("op13_merkle_manifest", sql.MANIFEST)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and the root with the tampered rows folded in, of every document."""
+    from tidewater.llm.manifest import tamper_check
+
+    return tamper_check(_read(spark, sf_dir, "documents"))

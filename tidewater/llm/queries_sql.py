@@ -87,3 +87,60 @@ from d join r using (source, lang, topic), s{m.SCALE_STEPS}
 
 
 MIXING = _mixing()
+
+# op13: digests of all fields, runs of eight per language and level, every leaf folded upwards run by run.
+# crc32 of a decimal number: its bytes are taken in one after the other, eight shifts each.
+MANIFEST = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    text, coalesce(xor(list_reduce(
+      flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END,
+      4294967295::BIGINT), 4294967295) % 3 = 0, false) AS changed
+  FROM documents),
+leaves AS (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '0' ELSE '1' || lang END AS grp,
+    sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN changed THEN sha256(head || coalesce(strlen(text) || ':'
+      || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS other
+  FROM fields),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY grp) AS n FROM leaves),
+tree AS (
+  SELECT grp, 0 AS lvl, pos, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT grp, lvl + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 7) // 8
+  FROM tree WHERE n > 1 GROUP BY grp, lvl, pos // 8),
+subroots AS (
+  SELECT grp, h AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+crown AS (
+  SELECT 0 AS lvl, pos, subroot AS h, n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 7) // 8
+  FROM crown WHERE n > 1 GROUP BY lvl, pos // 8),
+runs AS (
+  SELECT grp, lvl, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM tree WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT NULL, lvl, pos // 8, list(h ORDER BY pos) FROM crown WHERE n > 1 GROUP BY ALL),
+low AS (
+  SELECT doc_id, grp, leaf, pos AS place, 0 AS lvl, pos, coalesce(other, leaf) AS h, '' AS proof FROM placed
+  UNION ALL
+  SELECT doc_id, grp, leaf, place, low.lvl + 1, pos // 8,
+    sha256(array_to_string(hs[1:pos % 8], '') || h || array_to_string(hs[pos % 8 + 2:], '')),
+    proof || array_to_string(hs[1:pos % 8], '') || array_to_string(hs[pos % 8 + 2:], '')
+  FROM low JOIN runs USING (grp, lvl) WHERE run = pos // 8),
+high AS (
+  SELECT doc_id, grp, leaf, place, subroot, 0 AS lvl, s.pos, h, proof
+  FROM (SELECT * FROM low QUALIFY lvl = max(lvl) OVER (PARTITION BY grp, place)) JOIN subroots s USING (grp)
+  UNION ALL
+  SELECT doc_id, high.grp, leaf, place, subroot, high.lvl + 1, pos // 8,
+    sha256(array_to_string(hs[1:pos % 8], '') || h || array_to_string(hs[pos % 8 + 2:], '')),
+    proof || array_to_string(hs[1:pos % 8], '') || array_to_string(hs[pos % 8 + 2:], '')
+  FROM high JOIN runs ON runs.grp IS NULL AND runs.lvl = high.lvl AND run = pos // 8)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM (SELECT * FROM high QUALIFY lvl = max(lvl) OVER (PARTITION BY grp, place)),
+  (SELECT h AS root FROM crown WHERE n = 1)
+"""
