@@ -28,21 +28,26 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), offsets
 
 
+def next_cut(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, lo: int, size: int) -> int:
+    """The first place from ``lo + size`` on that is a text's end or a separator."""
+    hi, end = lo + size, int(offsets[-1])
+    if hi >= end:
+        return end
+    nearest = int(offsets[np.searchsorted(offsets, hi)])     # the end of the text at hi
+    while hi < nearest:
+        found = np.flatnonzero(separators[data[hi:min(hi + 65_536, nearest)]])
+        if len(found):
+            return hi + int(found[0])
+        hi = min(hi + 65_536, nearest)
+    return hi
+
+
 def chunks(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, size: int):
     """Byte ranges of about ``size`` that together cover the column; each ends at a text's end or before a
     separator, so no word is cut.  Only a word longer than ``size`` makes a longer range."""
     lo, end = int(offsets[0]), int(offsets[-1])
     while lo < end:
-        hi = lo + size
-        if hi < end:
-            nearest = int(offsets[np.searchsorted(offsets, hi)])     # the end of the text at hi
-            while hi < nearest:
-                found = np.flatnonzero(separators[data[hi:min(hi + 65_536, nearest)]])
-                if len(found):
-                    hi += int(found[0])
-                    break
-                hi = min(hi + 65_536, nearest)
-        hi = min(hi, end)
+        hi = next_cut(data, offsets, separators, lo, size)
         yield lo, hi
         lo = hi
 

@@ -39,9 +39,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidewater.llm.common import lower_ascii, materialize
+from tidewater.llm.common import in_order, lower_ascii, materialize
 
 ARITY = 8
 DEPTH = 4                # levels that one task group builds: blocks of 8^4 nodes
@@ -67,19 +66,6 @@ def group_key(group: Column) -> Column:
     return F.coalesce(F.concat(F.lit("1"), group.cast("string")), F.lit("0"))
 
 
-def in_order(nodes: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """``nodes`` (group, ...) with ``place``: from 0 in each group, by ``order``, nulls first."""
-    keys = [F.asc("group"), *[F.asc_nulls_first(c) for c in order]]
-    run = materialize(
-        nodes.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        .withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()), name)
-    counts = run.groupBy("group", "_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
-    before = Window.partitionBy("group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("group", "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
-    return (run.join(starts, ["group", "_part"])
-            .withColumn("place", (F.col("_start") + F.col("_row")).cast("long")).drop("_part", "_row", "_start"))
-
-
 # -- one block of nodes, in a task -----------------------------------------
 
 

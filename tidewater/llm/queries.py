@@ -136,3 +136,11 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.manifest import tamper_check
 
     return tamper_check(_read(spark, sf_dir, "documents"))
+
+
+@_query("op12_collocations", sql.COLLOCATIONS)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two and three words of every language."""
+    from tidewater.llm.collocations import collocations
+
+    return collocations(_read(spark, sf_dir, "documents"))

@@ -144,3 +144,34 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_r
 FROM (SELECT * FROM high QUALIFY lvl = max(lvl) OVER (PARTITION BY grp, place)),
   (SELECT h AS root FROM crown WHERE n = 1)
 """
+
+# op12: all phrases of one to three words listed and counted, cuts looked up, longer candidates compared.
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+grams AS (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z FROM places),
+one AS (SELECT lang, x, count(*) AS f FROM grams GROUP BY ALL),
+two AS (SELECT lang, x, y, count(*) AS f FROM grams WHERE y IS NOT NULL GROUP BY ALL),
+three AS (SELECT lang, x, y, z, count(*) AS f FROM grams WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+  SELECT lang, x || ' ' || y AS phrase, t.f AS a, 1 AS k, l.f AS l, r.f AS r
+  FROM two t JOIN one l USING (lang, x) JOIN (SELECT lang, x AS y, f FROM one) r USING (lang, y)
+  WHERE t.f >= 10 AND NOT EXISTS (SELECT 1 FROM three e WHERE e.lang = t.lang AND 100 * e.f >= 50 * t.f
+    AND ((e.x = t.x AND e.y = t.y) OR (e.y = t.x AND e.z = t.y)))
+  UNION ALL
+  SELECT t.lang, concat_ws(' ', t.x, t.y, t.z), t.f, 1, l.f, r.f FROM three t
+  JOIN one l ON l.lang = t.lang AND l.x = t.x JOIN two r ON r.lang = t.lang AND r.x = t.y AND r.y = t.z
+  UNION ALL
+  SELECT t.lang, concat_ws(' ', t.x, t.y, t.z), t.f, 2, l.f, r.f FROM three t
+  JOIN two l ON l.lang = t.lang AND l.x = t.x AND l.y = t.y JOIN one r ON r.lang = t.lang AND r.x = t.z),
+scored AS (
+  SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang) USING (lang) WHERE rank <= 2000
+"""
