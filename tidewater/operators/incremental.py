@@ -40,6 +40,14 @@ def align_to(df: DataFrame, schema: T.StructType, warn=None) -> DataFrame:
     return df.select(*cols)
 
 
+def without_extra(df: DataFrame, schema: T.StructType, warn=None) -> DataFrame:
+    """``df`` without columns that the schema lacks (reported through ``warn``)."""
+    extra = [c for c in df.columns if c not in {f.name for f in schema.fields}]
+    if extra and warn is not None:
+        warn(f"columns not in the target are left out ({len(extra)}): {', '.join(extra)}")
+    return df.drop(*extra)
+
+
 @dataclass
 class SchemaDiff:
     added: list[T.StructField] = field(default_factory=list)      # in source, not in target
@@ -212,8 +220,9 @@ def key_range_split(target: DataFrame, source: DataFrame, key: str) -> tuple[Dat
 
 
 def append(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Insert all source rows (aligned to the target's columns)."""
-    return target.unionByName(align_to(source, target.schema))
+    """Insert all source rows (aligned to the target's columns, types widened where a value would be cut)."""
+    target, src = reconcile(target, source)
+    return target.unionByName(src)
 
 
 def delete_insert(target: DataFrame, source: DataFrame, unique_key: str | Sequence[str] | None,
@@ -227,7 +236,7 @@ def delete_insert(target: DataFrame, source: DataFrame, unique_key: str | Sequen
     the source's key range take part in it.
     """
     keys = key_list(unique_key)
-    src = align_to(source, target.schema)
+    target, src = reconcile(target, source)
     if not keys:
         return target.unionByName(src)
     if prune_by_key_range:
@@ -250,7 +259,7 @@ def insert_overwrite(target: DataFrame, source: DataFrame, partition_by: Sequenc
     (dynamic overwrite); with ``predicates`` target rows matching all of them
     are deleted; with neither the whole target is replaced.
     """
-    src = align_to(source, target.schema)
+    target, src = reconcile(target, source)
     if partition_by:
         parts = source.select(*partition_by).groupBy(*partition_by).agg(F.lit(True).alias("_p"))
         kept = target.join(parts, on=list(partition_by), how="left_anti").select(*target.columns)
@@ -272,19 +281,21 @@ def microbatch(target: DataFrame, source: DataFrame, event_time: str | None, sta
         raise ValueError("microbatch replaces whole time slices; a unique key has no meaning here")
     if start is None or end is None:
         raise ValueError("microbatch needs both batch bounds (start inclusive, end exclusive)")
+    target, source = reconcile(target, source)
     in_batch = in_slice(event_time, start, end)
     delete = in_batch & all_of(predicates)
     kept = target.filter(~F.coalesce(delete, F.lit(False)))
-    return kept.unionByName(align_to(source.filter(in_batch), target.schema))
+    return kept.unionByName(source.filter(in_batch))
 
 
 def microbatches(target: DataFrame, source: DataFrame, event_time: str, bounds: Sequence[tuple]) -> DataFrame:
     """Many ``[start, end)`` batches in one plan (one job, not one per batch)."""
+    target, source = reconcile(target, source)
     cond = F.lit(False)
     for s, e in bounds:
         cond = cond | in_slice(event_time, s, e)
     kept = target.filter(~F.coalesce(cond, F.lit(False)))
-    return kept.unionByName(align_to(source.filter(cond), target.schema))
+    return kept.unionByName(source.filter(cond))
 
 
 def partition_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str] = ("season", "season_type"),
@@ -297,7 +308,7 @@ def partition_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence
     """
     if target is None:
         return source
-    src = align_to(source, target.schema, warn=warn)
+    target, src = reconcile(target, without_extra(source, target.schema, warn))
     present = [k for k in keys if k in target.columns]
     if not present:
         if mode != "append":

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.exprs import is_distinct_from, surrogate_key
+from tidewater.operators import commits as C
 from tidewater.operators import writers as W
 
 
@@ -229,32 +230,38 @@ def apply_snapshot(spark: SparkSession, path: str, source: DataFrame, cfg: Snaps
     """Take a snapshot into the table at ``path`` (H1, H3).
 
     Open versions are one table (``path/open``), closed ones another with a folder per
-    run (``path/closed/run=...``).  A run joins the open versions with the source once,
-    adds what it closes to its own folder, then swaps the open table.  Closed
-    versions of earlier runs are neither read nor written.  Repeating a run, broken
-    off or complete, adds only versions that its folder lacks.
+    run (``path/closed/run=...``).  A run joins the open versions with the source once
+    and writes the new open table and its closed versions; one commit puts both in place.
+    Closed versions of earlier runs are neither read nor written.  A run that was broken
+    off has happened or has not; repeating one adds nothing.
     """
     cfg.validate()
-    base = path.rstrip("/")
-    if not W.path_exists(spark, f"{base}/open"):
-        W.replace_table(snapshot_initial(source, cfg, now), f"{base}/open")
-        return
-    _, versions = _versions(W.read_table(spark, f"{base}/open"), source, cfg, now)
-    staged = W.materialize(versions)
-    stays = F.col(CHANGE).isNull() | (F.col(CHANGE) == "insert")
-    closed, own = staged.filter(~stays).drop(CHANGE), f"{base}/closed/run={now:%Y%m%dT%H%M%S%f}"
-    if W.path_exists(spark, own):
-        scd = cfg.name("dbt_scd_id")
-        closed = closed.join(spark.read.parquet(own).select(scd), scd, "left_anti").select(*closed.columns)
-    closed.write.mode("append").parquet(own)
-    W.replace_table(staged.filter(stays).drop(CHANGE), f"{base}/open")
+    first = not C.table_exists(spark, path)
+    commit = C.Commit(spark, path)
+    if first:
+        current, closed = snapshot_initial(source, cfg, now), None
+    else:
+        _, versions = _versions(W.read_table(spark, f"{commit.root}/open"), source, cfg, now)
+        staged = W.materialize(versions)
+        stays = F.col(CHANGE).isNull() | (F.col(CHANGE) == "insert")
+        current, closed = staged.filter(stays).drop(CHANGE), staged.filter(~stays).drop(CHANGE)
+        commit.remove("open")
+    current.write.parquet(f"{commit.staging}/open")
+    C.write_text(spark, f"{commit.staging}/open/{W.SCHEMA_FILE}", W.schema_text(current.schema))
+    commit.put("open")
+    if closed is not None:
+        closed.write.parquet(f"{commit.staging}/closed")
+        commit.put("closed", f"closed/run={now:%Y%m%dT%H%M%S%f}-{commit.id}")
+    commit.run()
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The whole history of a table written by ``apply_snapshot``."""
     base = path.rstrip("/")
+    C.table_exists(spark, base)
     current = W.read_table(spark, f"{base}/open")
-    if not W.path_exists(spark, f"{base}/closed"):
+    if not C.exists(spark, f"{base}/closed"):
         return current
-    closed = spark.read.option("mergeSchema", True).parquet(f"{base}/closed").drop("run")
+    # folders are only folders: their names are no column, so a data column may have any name
+    closed = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(f"{base}/closed")
     return current.unionByName(closed, allowMissingColumns=True).select(*current.columns)

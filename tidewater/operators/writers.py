@@ -1,11 +1,11 @@
 """Safe writers for the pure strategies (I1, I2, I4-I14 persistence, I16).
 
-Parquet paths cannot be rewritten while they are read, so a new state is written
-to a staging path next to the table and then swapped in:
+Parquet files cannot be rewritten while they are read, so new files are written to a
+staging folder next to the table and become part of it by one commit (``commits``):
 
 * ``replace_table``: the whole table.
-* ``replace_partitions``: an explicit list of partitions; one that has no rows in
-  the new state is removed, all others keep their files.
+* ``replace_files``: an explicit list of files, in whatever partitions they are; all
+  others stay as they are.  A run first finds the files that hold rows it can change.
 
 A table's schema is stored beside its files (``_table_schema.json``, which Spark's
 readers skip), so partition columns keep their types and a table without rows
@@ -17,39 +17,31 @@ the same rows, also after the loss of an executor.
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.operators import commits as C
 from tidewater.operators import incremental as I
 from tidewater.session import checkpoint_dir
 
+POINT_KEYS = 64      # so many different keys of an increment are looked up one by one
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
+@dataclass(frozen=True)
+class Written:
+    """Data files that a run replaced and added, and whether it was skipped as applied before."""
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+    removed: int = 0
+    added: int = 0
+    skipped: bool = False
 
 
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    if not fs.rename(s, d):
-        raise OSError(f"could not move {src} to {dst}")
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return C.exists(spark, path)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -61,30 +53,22 @@ def materialize(df: DataFrame) -> DataFrame:
 SCHEMA_FILE = "_table_schema.json"
 
 
-def _store_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(schema.json(), "utf-8"))
-    finally:
-        out.close()
+def schema_text(schema: T.StructType) -> str:
+    return _nullable(schema).json()
 
 
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The schema a table was written with (None for files of other writers)."""
-    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
-    if not fs.exists(p):
-        return None
-    content = fs.open(p)
-    try:
-        text = spark.sparkContext._jvm.java.util.Scanner(content, "UTF-8").useDelimiter("\\A").next()
-    finally:
-        content.close()
-    return T.StructType.fromJson(json.loads(text))
+    text = C.read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    return None if text is None else T.StructType.fromJson(json.loads(text))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table written here, with the column types and order it was written with."""
+    """A table written here, with the column types and order it was written with.
+
+    A commit to it that was broken off is finished first.
+    """
+    C.table_exists(spark, path)
     schema = stored_schema(spark, path)
     if schema is None:
         return spark.read.parquet(path)
@@ -95,103 +79,119 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
+def _write(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
+           options: Mapping[str, str] | None = None, keys: Sequence[str] = ()) -> None:
+    """Files of ``df``; parquet files get a Bloom filter for each of ``keys``, so single keys are found without reading."""
+    w = df.write.mode("overwrite").format(fmt)
+    if fmt == "parquet":
+        for k in keys:
+            w = w.option(f"parquet.bloom.filter.enabled#{k}", "true")
+        if keys:
+            w = w.option("parquet.bloom.filter.adaptive.enabled", "true")
+    w = w.options(**dict(options or {}))
+    (w.partitionBy(*partition_by) if partition_by else w).save(path)
+
+
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
-                  options: Mapping[str, str] | None = None) -> None:
-    """Write ``df`` as the new content of ``path`` via a staging path and a swap.
+                  options: Mapping[str, str] | None = None, keys: Sequence[str] = (),
+                  batch: tuple[str, int] | None = None) -> Written:
+    """Write ``df`` as the new content of ``path`` and swap it in by one commit.
 
-    Safe when ``df`` reads ``path`` itself: the data are fully written to the
-    staging path before the old files are removed.
+    Safe when ``df`` reads ``path`` itself: the data are fully written to staging before
+    the old files leave.  ``batch`` is noted as applied with the same commit.
     """
     spark = df.sparkSession
-    staging = f"{path.rstrip('/')}.__staging_{uuid.uuid4().hex[:12]}"
-    w = df.write.mode("overwrite").format(fmt).options(**dict(options or {}))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(staging)
-    _store_schema(spark, staging, _nullable(df.schema))
-    backup = f"{path.rstrip('/')}.__old_{uuid.uuid4().hex[:12]}"
-    had_old = path_exists(spark, path)
-    if had_old:
-        _rename(spark, path, backup)
-    _rename(spark, staging, path)
+    commit = C.Commit(spark, path)
+    had_old = C.exists(spark, commit.root)
+    known = C.with_batch(C.applied(spark, commit.root) if had_old else {}, batch)
+    _write(df, commit.staging, partition_by, fmt, options, keys)
+    C.write_text(spark, f"{commit.staging}/{SCHEMA_FILE}", schema_text(df.schema))
+    if known:
+        C.write_text(spark, f"{commit.staging}/{C.APPLIED_FILE}", json.dumps(known))
+    out = Written(len(C.data_files(spark, commit.root)), len(C.data_files(spark, commit.staging)))
     if had_old:
-        _delete(spark, backup)
+        commit.remove()
+    commit.put()
+    commit.run()
+    return out
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
-    """Replace only the partitions present in ``df`` (dynamic overwrite, said for this write alone)."""
-    (df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).save(path))
+def replace_files(new: DataFrame | None, path: str, gone: Sequence[str], partition_by: Sequence[str] = (),
+                  keys: Sequence[str] = (), batch: tuple[str, int] | None = None, spark: SparkSession | None = None) -> Written:
+    """Take the files ``gone`` (relative paths) out of the table and put the rows of ``new`` in, by one commit.
 
+    Partitions are only folders here: one that loses its last file has no rows left.
+    """
+    spark = spark or new.sparkSession
+    commit = C.Commit(spark, path)
+    if new is not None:
+        _write(new, commit.staging, partition_by, keys=keys)
+    come = C.data_files(spark, commit.staging)
+    C.swap_files(commit, gone, come)
+    if batch is not None:
+        commit.put_text(C.APPLIED_FILE, json.dumps(C.with_batch(C.applied(spark, commit.root), batch)))
+    commit.run()
+    return Written(len(gone), len(come))
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> Written:
+    """Replace only the partitions present in ``df``, all of them by one commit.
+
+    The files that leave are those in the folders that the new files go to: the table's
+    rows are not read.
+    """
+    spark = df.sparkSession
+    commit = C.Commit(spark, path)
+    _write(df, commit.staging, partition_by)
+    come = C.data_files(spark, commit.staging)
+    folders = {f.rpartition("/")[0] for f in come}
+    gone = [f for f in C.data_files(spark, commit.root) if f.rpartition("/")[0] in folders]
+    C.swap_files(commit, gone, come)
+    commit.run()
+    return Written(len(gone), len(come))
 
-def _data_dirs(spark: SparkSession, path: str) -> set[str]:
-    """Folders below ``path`` that hold data files, relative to it."""
-    fs, root = _fs(spark, path)
-    base = fs.makeQualified(root).toString().rstrip("/")
-    found, files = set(), fs.listFiles(root, True)
-    while files.hasNext():
-        f = files.next().getPath()
-        if not f.getName().startswith(("_", ".")):
-            found.add(f.getParent().toString()[len(base):].lstrip("/"))
-    return found
 
+FILE = "_file_path"
 
-def replace_partitions(new: DataFrame, path: str, partition_by: Sequence[str], old: DataFrame) -> None:
-    """Swap the partitions that hold the rows ``old`` (read from ``path``) for the rows ``new``.
 
-    ``new`` is fully written before a file moves; a partition of ``old`` that has no
-    row in ``new`` is removed, partitions outside both keep their files.  Each
-    partition is swapped by renaming its folder; the old ones are deleted last.
-    """
-    spark = new.sparkSession
-    path = path.rstrip("/")
-    fs, root = _fs(spark, path)
+def files_of(rows: DataFrame, path: str) -> list[str]:
+    """The files (relative to ``path``) in ``rows``' column ``FILE``; one name per file reaches the driver."""
+    spark = rows.sparkSession
+    fs, root = C.fs_of(spark, path.rstrip("/"))
     base = fs.makeQualified(root).toString().rstrip("/")
-    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    uri = spark.sparkContext._jvm.java.net.URI
-    folders = old.select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("d")).distinct().collect()
-    gone = {fs.makeQualified(to_path(uri(r.d))).toString()[len(base):].lstrip("/") for r in folders}
-    staging, backup = (f"{path}.__{kind}_{uuid.uuid4().hex[:12]}" for kind in ("staging", "old"))
-    new.write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
-    come = _data_dirs(spark, staging)
-    for d in sorted(gone):
-        _rename_into(spark, f"{path}/{d}", f"{backup}/{d}")
-    for d in sorted(come):
-        _rename_into(spark, f"{staging}/{d}", f"{path}/{d}")
-    _delete(spark, staging)
-    _delete(spark, backup)
-
-
-def _rename_into(spark: SparkSession, src: str, dst: str) -> None:
-    fs, d = _fs(spark, dst)
-    fs.mkdirs(d.getParent())
-    _rename(spark, src, dst)
+    to_path, uri = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jvm.java.net.URI
+    found = rows.select(FILE).distinct().collect()
+    return sorted(fs.makeQualified(to_path(uri(r[0]))).toString()[len(base):].lstrip("/") for r in found)
 
 
 def upsert_partitions(spark: SparkSession, source: DataFrame, path: str,
                       keys: Sequence[str] = ("season", "season_type"), mode: str = "upsert",
-                      full_replace: bool = False, warn=None) -> None:
+                      full_replace: bool = False, warn=None) -> Written:
     """Create on first load; later loads replace the source's
     partitions and keep the others; an empty source is a no-op.
 
     The source is aligned to the existing table's columns (new ones dropped
-    with a warning, missing ones NULL) before the partitions are replaced.
+    with a warning, missing ones NULL) before the partitions are replaced.  Where a
+    column of the source is of a wider type, the table is rewritten with that type:
+    no value is cut.
     """
     if source.isEmpty():
-        return
+        return Written()
     present = [k for k in keys if k in source.columns]
-    if full_replace or not path_exists(spark, path):
-        replace_table(source, path, partition_by=present)
-        return
+    if full_replace or not C.table_exists(spark, path):
+        return replace_table(source, path, partition_by=present)
     target = read_table(spark, path)
-    aligned = I.align_to(source, target.schema, warn=warn)
     part_keys = [k for k in keys if k in target.columns]
+    if not part_keys and mode != "append":
+        raise ValueError("target has no partition key column; pass mode='append' to append")
+    wide, aligned = I.reconcile(target, I.without_extra(source, target.schema, warn))
+    if _nullable(wide.schema) != _nullable(target.schema):
+        source = materialize(aligned)
+        new = I.partition_upsert(wide, source, part_keys, mode) if part_keys else wide.unionByName(source)
+        return replace_table(new, path, partition_by=part_keys)
     if not part_keys:
-        if mode != "append":
-            raise ValueError("target has no partition key column; pass mode='append' to append")
-        aligned.write.mode("append").parquet(path)
-        return
-    overwrite_partitions(aligned, path, part_keys)
+        return replace_files(aligned, path, [])
+    return overwrite_partitions(aligned, path, part_keys)
 
 
 def write_table_set(spark: SparkSession, tables: Mapping[str, DataFrame], base: str,
@@ -206,79 +206,85 @@ def write_table_set(spark: SparkSession, tables: Mapping[str, DataFrame], base:
 
 def apply_incremental(spark: SparkSession, path: str, source: DataFrame, strategy: str = "delete+insert",
                       unique_key=None, partition_by: Sequence[str] = (), full_refresh: bool = False,
-                      on_schema_change_mode: str = "ignore", **opts) -> None:
-    """Run a strategy against the table at ``path`` and persist the new state.
-
-    The source is fixed first.  With ``partition_by`` only the partitions that
-    the run can change are read, recomputed and swapped: the source's own, those
-    that hold the source's keys (a key that moves leaves its old partition), and
-    those of a microbatch's slice or of delete predicates.  Runs that can change
-    any partition (by-source clauses, a full refresh, a changed schema) rewrite
-    the table.
+                      on_schema_change_mode: str = "ignore", batch: tuple[str, int] | None = None, **opts) -> Written:
+    """Run a strategy against the table at ``path`` and persist the new state by one commit.
+
+    The source is fixed first.  Only the files that hold rows which the run can change are
+    read whole, recomputed and replaced: those with the source's keys (wherever a key
+    moves to), of the source's partitions for an overwrite, of a microbatch's slice or of
+    delete predicates.  Runs that can change any row (by-source clauses, a full refresh,
+    a changed schema) rewrite the table.  ``batch`` (stream, number) is noted with the
+    commit, and a batch that was noted before is skipped.
     """
+    parts, keys = list(partition_by), list(opts.get("using") or ()) or I.key_list(unique_key)
+    there = C.table_exists(spark, path)
+    if there and C.is_applied(C.applied(spark, path), batch):
+        return Written(skipped=True)
     source = materialize(source)
-    parts = list(partition_by)
-    if full_refresh or not path_exists(spark, path):
-        replace_table(source, path, partition_by=parts)
-        return
+    if full_refresh or not there:
+        return replace_table(source, path, partition_by=parts, keys=keys, batch=batch)
     target = read_table(spark, path)
     if strategy == "insert_overwrite" and not opts.get("predicates"):
         opts.setdefault("partition_by", parts)
     schema = I.reconcile(target, source, on_schema_change_mode)[0].schema
     kept = _nullable(schema) == _nullable(target.schema)
     if strategy == "append" and kept:
-        w = I.align_to(source, target.schema).write.mode("append")
-        (w.partitionBy(*parts) if parts else w).parquet(path)
-        return
-    touched = touched_values(target, source, parts, strategy, unique_key, opts) if parts and kept else None
-    if touched is None:
-        replace_table(I.incremental(target, source, strategy, unique_key, on_schema_change_mode, **opts), path,
-                      partition_by=parts)
-        return
-    scoped = target.filter(in_partitions(parts, touched))
+        return replace_files(I.align_to(source, target.schema), path, [], parts, keys, batch)
+    rows = touched_rows(target, source, strategy, unique_key, opts) if kept else None
+    if rows is None:
+        return replace_table(I.incremental(target, source, strategy, unique_key, on_schema_change_mode, **opts), path,
+                             partition_by=parts, keys=keys, batch=batch)
+    gone = files_of(rows, path)
+    scoped = target.where(F.col("_metadata.file_path").isin(_file_paths(spark, path, gone)))    # the scan lists no others
     new = I.incremental(scoped, source, strategy, unique_key, on_schema_change_mode, **opts)
-    replace_partitions(new, path, parts, scoped)
+    return replace_files(new, path, gone, parts, keys, batch)
+
+
+def _file_paths(spark: SparkSession, path: str, found: Sequence[str]) -> list[str]:
+    """Relative file names as scans name them."""
+    fs, root = C.fs_of(spark, path.rstrip("/"))
+    base, to_path = fs.makeQualified(root).toString().rstrip("/"), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [to_path(f"{base}/{f}").toUri().toString() for f in found]
 
 
-def touched_values(target: DataFrame, source: DataFrame, partition_by: Sequence[str], strategy: str,
-                   unique_key=None, opts: Mapping | None = None) -> list[tuple] | None:
-    """Values of the partitions a run can change, or None when it can change any.
+def touched_rows(target: DataFrame, source: DataFrame, strategy: str, unique_key=None,
+                 opts: Mapping | None = None) -> DataFrame | None:
+    """Rows of the target that a run can change, with their file (``FILE``), or None when it can change any.
 
-    The target is read for its key, event-time or predicate columns and its
-    partition columns only.  What reaches the driver is one row per partition.
+    A scan for them reads the columns of the key, the event time or the predicates only.  A
+    few different keys are pushed into the scan as single values, for which row groups are
+    skipped by their Bloom filters; more of them are joined.
     """
-    opts, parts = dict(opts or {}), list(partition_by)
+    opts = dict(opts or {})
     keys = list(opts.get("using") or ()) or I.key_list(unique_key)
     if any(c.kind == "not_matched_by_source" for c in opts.get("clauses") or ()):
         return None
-    if strategy == "insert_overwrite" and not opts.get("partition_by") and not opts.get("predicates"):
-        return None
-    found = source.select(*parts)
+    target = target.withColumn(FILE, F.col("_metadata.file_path"))
     if strategy == "microbatch":
-        found = found.limit(0)       # the slice alone decides
-        slice_of = I.in_slice(opts.get("event_time"), opts.get("start"), opts.get("end"))
-        found = found.unionByName(source.filter(slice_of).select(*parts)).unionByName(target.filter(slice_of).select(*parts))
-    elif strategy == "insert_overwrite" and opts.get("predicates"):
-        found = found.unionByName(target.filter(I.all_of(opts["predicates"])).select(*parts))
-    elif strategy != "insert_overwrite" and keys:
-        held = target.join(source.select(*keys).distinct(), keys, "left_semi")
-        found = found.unionByName(held.select(*parts))
-    return [tuple(r) for r in found.distinct().collect()]
-
-
-def in_partitions(partition_by: Sequence[str], values: Sequence[tuple]) -> Column:
-    """Predicate on partition columns for a list of partitions; the scan prunes by it."""
-    if len(partition_by) == 1:
-        c = F.col(partition_by[0])
-        out = c.isin(*[v for (v,) in values if v is not None]) if any(v is not None for (v,) in values) else F.lit(False)
-        return out | c.isNull() if any(v is None for (v,) in values) else out
-    out = F.lit(False)
-    for value in values:
-        one = F.lit(True)
-        for c, v in zip(partition_by, value):
-            one = one & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
-        out = out | one
-    return out
+        return target.where(I.in_slice(opts.get("event_time"), opts.get("start"), opts.get("end")))
+    if strategy == "insert_overwrite":
+        if opts.get("predicates") and not opts.get("partition_by"):
+            return target.where(I.all_of(opts["predicates"]))
+        if not opts.get("partition_by"):
+            return None
+        keys = list(opts["partition_by"])
+    if not keys:
+        return target.where(F.lit(False))
+    found = source.select(*keys).distinct()
+    few = found.limit(POINT_KEYS + 1).collect()
+    if len(few) <= POINT_KEYS:
+        target = target.where(any_of([F.col(f"`{keys[0]}`") == F.lit(v) for v in {r[0] for r in few} if v is not None]))
+        if len(keys) == 1:
+            return target
+    return target.join(found, keys, "left_semi")
+
+
+def any_of(conditions: Sequence[Column]) -> Column:
+    """Their disjunction as a balanced tree."""
+    if len(conditions) <= 1:
+        return conditions[0] if conditions else F.lit(False)
+    half = len(conditions) // 2
+    return any_of(conditions[:half]) | any_of(conditions[half:])
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:

@@ -1,10 +1,10 @@
 """A stream feeding the incremental strategies through ``foreachBatch``.
 
-Each micro-batch is applied with the same pure strategy as a batch load, to the
-partitions it can change (its own, and those that hold its keys).  The stream's
-checkpoint makes reruns resume after the last committed batch; a repeated batch
-is harmless because delete+insert and merge on a unique key leave the same rows,
-also for keys that moved to another partition.
+Each micro-batch is applied with the same pure strategy as a batch load, to the files
+that hold rows it can change.  The stream's checkpoint makes reruns resume after the
+last committed batch.  The number of a batch is noted in the table by the commit that
+applies it, so a batch that Spark hands over again (the stream stopped between the
+table's commit and its own) is skipped, under every strategy: no row twice, none lost.
 """
 
 from __future__ import annotations
@@ -20,19 +20,26 @@ from tidewater.operators.writers import apply_incremental
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, target_path: str,
                   checkpoint_location: str, unique_key: str | Sequence[str], strategy: str = "delete+insert",
                   partition_by: Sequence[str] = (), derive: dict | None = None,
-                  path_glob: str | None = None, max_files_per_trigger: int = 1) -> None:
-    """Run the stream to the end of the data available now, upserting each batch."""
+                  path_glob: str | None = None, max_files_per_trigger: int = 1, stream: str | None = None,
+                  **opts) -> None:
+    """Run the stream to the end of the data available now, upserting each batch.
+
+    ``stream`` names the stream in the table's record of applied batches; by default it is
+    the id that the stream's checkpoint holds, so a new checkpoint is a new stream.
+    """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
-    stream = reader.parquet(source_dir)
+    rows = reader.parquet(source_dir)
     if derive:
-        stream = stream.withColumns(derive)
+        rows = rows.withColumns(derive)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        apply_incremental(batch.sparkSession, target_path, batch, strategy, unique_key, partition_by)
+        session = batch.sparkSession
+        name = stream or session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        apply_incremental(session, target_path, batch, strategy, unique_key, partition_by, batch=(name, epoch_id), **opts)
 
-    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
+    q = (rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
