@@ -40,9 +40,9 @@ from tidewater.llm.common import in_order, materialize
 
 MIN_COUNT = 10
 TOP = 2000
-CHUNK = 8 << 20              # bytes of one language that are counted as one run
-HELD = 4 * CHUNK             # bytes of all languages that a task gathers before the largest is counted
-RANGE_WINDOWS = 1_500_000    # windows of a range, all runs together, before equal ones are added up
+CHUNK = 4 << 20              # bytes of one language that are counted as one run
+HELD = 3 * CHUNK             # bytes of all languages that a task gathers before the largest is counted
+RANGE_WINDOWS = 700_000      # windows of a range, all runs together, before equal ones are added up
 MAX_RANGES = 1_000_000
 SAMPLE_TEXTS = 4000          # texts that the cuts are taken from, or a thousandth of all if that is more
 PER_CUT = 64                 # sampled windows for each cut
