@@ -56,6 +56,11 @@ class SnapshotConfig:
 META = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 
 
+def clock(spark: SparkSession) -> dt.datetime:
+    """The session's time now (F18), one value for a whole run: the default time of a snapshot."""
+    return spark.range(1).select(F.current_timestamp().cast("timestamp_ntz").alias("t")).first().t
+
+
 def _now(now: dt.datetime) -> Column:
     return F.lit(now).cast("timestamp_ntz")
 
@@ -226,8 +231,9 @@ def snapshot_changes(history: DataFrame, source: DataFrame, cfg: SnapshotConfig,
     return _versions(history, source, cfg, now)[1].filter(F.col(CHANGE).isNotNull())
 
 
-def apply_snapshot(spark: SparkSession, path: str, source: DataFrame, cfg: SnapshotConfig, now: dt.datetime) -> None:
-    """Take a snapshot into the table at ``path`` (H1, H3).
+def apply_snapshot(spark: SparkSession, path: str, source: DataFrame, cfg: SnapshotConfig,
+                   now: dt.datetime | None = None) -> None:
+    """Take a snapshot into the table at ``path`` (H1, H3), by default at the session's time.
 
     Open versions are one table (``path/open``), closed ones another with a folder per
     run (``path/closed/run=...``).  A run joins the open versions with the source once
@@ -236,6 +242,7 @@ def apply_snapshot(spark: SparkSession, path: str, source: DataFrame, cfg: Snaps
     off has happened or has not; repeating one adds nothing.
     """
     cfg.validate()
+    now = now or clock(spark)
     first = not C.table_exists(spark, path)
     commit = C.Commit(spark, path)
     if first:
@@ -246,15 +253,20 @@ def apply_snapshot(spark: SparkSession, path: str, source: DataFrame, cfg: Snaps
         stays = F.col(CHANGE).isNull() | (F.col(CHANGE) == "insert")
         current, closed = staged.filter(stays).drop(CHANGE), staged.filter(~stays).drop(CHANGE)
         commit.remove("open")
-    current.write.parquet(f"{commit.staging}/open")
-    C.write_text(spark, f"{commit.staging}/open/{W.SCHEMA_FILE}", W.schema_text(current.schema))
-    commit.put("open")
+    write_open(commit, current)
     if closed is not None:
         closed.write.parquet(f"{commit.staging}/closed")
         commit.put("closed", f"closed/run={now:%Y%m%dT%H%M%S%f}-{commit.id}")
     commit.run()
 
 
+def write_open(commit: C.Commit, current: DataFrame) -> None:
+    """The open versions of a snapshot, staged."""
+    current.write.parquet(f"{commit.staging}/open")
+    C.write_text(commit.spark, f"{commit.staging}/open/{W.SCHEMA_FILE}", W.schema_text(current.schema))
+    commit.put("open")
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The whole history of a table written by ``apply_snapshot``."""
     base = path.rstrip("/")

@@ -348,7 +348,9 @@ def play_by_play_rows(blocks: DataFrame) -> DataFrame:
 
 def stat_columns(rows: DataFrame, names: Sequence[str], numbers: Sequence[str] = ()) -> DataFrame:
     """Header-keyed cells as columns (S6/S7 output shape), the value by header position.
-    Columns named in ``numbers`` are coerced (S14): numeric text as double, other text null."""
+
+    Cells stay text.  Only columns named in ``numbers`` are made double, text that is no
+    number null; ``typed_cells`` gives columns the type that loses no cell (S14)."""
     at = {n: F.array_position("header", F.lit(n)) for n in names}
     cols = []
     for n in names:
@@ -357,6 +359,24 @@ def stat_columns(rows: DataFrame, names: Sequence[str], numbers: Sequence[str] =
     return rows.select(*[c for c in rows.columns if c not in ("header", "cells")], *cols)
 
 
+def cell_kind(cell: Column) -> Column:
+    """1 for whole numbers, 2 for numbers with a point, 3 for any other text, null for no cell."""
+    return (F.when(cell.rlike(r"^\s*[+-]?\d{1,18}\s*$"), 1)
+            .when(cell.rlike(r"^\s*[+-]?(\d+\.\d*|\.\d+)([eE][+-]?\d+)?\s*$"), 2)
+            .when(cell.isNotNull(), 3))
+
+
+def typed_cells(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Text columns in the type that holds all their cells: bigint for whole numbers, double once one has a
+    point, and unchanged text as soon as one cell is no number (``32:10``, ``-``, an empty one).
+
+    The kinds come from one aggregate over the rows (a map-side maximum per column).
+    """
+    kinds = rows.agg(*[F.max(cell_kind(F.col(f"`{n}`"))).alias(n) for n in names]).first().asDict()
+    as_type = {1: "bigint", 2: "double"}
+    return rows.withColumns({n: F.trim(F.col(f"`{n}`")).cast(as_type[k]) for n, k in kinds.items() if k in as_type})
+
+
 # --------------------------------------------------------------------------
 # S9-S13 links and ids
 # --------------------------------------------------------------------------
