@@ -38,3 +38,44 @@ def test_edges(spark):
     kept = m.draw(odd)
     assert kept.columns == odd.columns and kept.count() <= 5
     assert m.mix(odd.limit(0)).count() == 0 and m.draw(odd.limit(0)).count() == 0
+
+
+def test_words_are_counted_and_topics_are_patterns(spark):
+    texts = {"\n\n\n": (0, "prose"), "\t\t": (0, "prose"), "a\tb\tc": (3, "prose"), "  a   b ": (2, "prose"), "call +49 (30) now": (4, "contact"),
+             "at @ home": (3, "prose"), "me x1@mail.org": (2, "contact"), "LICENSED UNDER x": (3, "licence"), "a | b": (3, "prose"),
+             "a | b | c": (5, "table"), "x ### y": (3, "markup"), "": (0, "prose")}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: (r.n, r.topic) for r in df.select("t", m.tokens_of(df.t).alias("n"), m.topic_of(df.t).alias("topic")).collect()}
+    assert got == texts
+
+
+def test_sql_has_the_same_rules(spark, tmp_path):
+    import duckdb
+
+    from tidewater.llm import queries_sql
+    rows = [(i, t, f"s{i // 12 % 4}", ["en", None, "de"][i // 48]) for i, t in enumerate(
+        ["a\tb\tc", "\n\n", None, "", "call +49 (30) 1", "LICENSED UNDER x", "me x1@mail.org", "a @ b", "p | q", "p | q | r", "x $$$ y", "plain words here"] * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    want = sorted(con.sql(queries_sql.MIXING).fetchall())
+    assert sorted(map(tuple, m.mix(docs).collect())) == want
+
+
+def test_raking_ends_at_the_targets(spark):
+    cells = spark.createDataFrame([(f"s{i % 3}", f"l{i // 3 % 3}", f"t{i // 9}", 10 + i * i % 7) for i in range(18)],
+                                  "source string, lang string, topic string, tokens long")
+    goals = {d: m.targets(cells, d, None) for d in m.DIMENSIONS}
+    raked = m.rake(cells, goals)
+    assert max(m.deviations(raked, goals).values()) <= m.TOLERANCE
+    # targets that no weights meet (one cell holds both names): it ends, and says so
+    two = spark.createDataFrame([("a", "x", "t", 5), ("b", "y", "t", 5)], "source string, lang string, topic string, tokens long")
+    apart = {"source": m.targets(two, "source", {"a": 0.9}), "lang": m.targets(two, "lang", {"x": 0.2})}
+    assert max(m.deviations(m.rake(two, apart, rounds=3), apart).values()) > 0.1
+
+
+def test_clashing_names(spark):
+    odd = docs(spark).limit(40).selectExpr("*", "'q' as _source", "1 as _mix_topic", "2 as _mix__cell_lang", "3 as _tokens")
+    kept = m.draw(odd)
+    assert kept.columns == odd.columns and {r._source for r in kept.collect()} <= {"q"}

@@ -63,3 +63,21 @@ def test_a_phrase_does_not_fail_a_long_line():
         assert got[6] and got[8:10] == (0, 0) and got[-1] == text
     assert all(q.line_fails(x, x.split(), len(x.replace(" ", ""))) for x in (
         "click here", "Please click here to go on with the next of all our many pages", "Read our privacy policy and the terms of use"))
+
+
+def test_sql_takes_a_phrase_by_its_share_of_the_line(spark, tmp_path):
+    import duckdb
+
+    from tidewater.llm import queries_sql
+    from tidewater.llm.quality_rules import clean_lines
+    lines = [" ".join(f"word{i}x" for i in range(n)) + " Click HERE" for n in (1, 5, 10, 11, 12, 13, 14, 20, 540)]
+    rows = [(i, line) for i, line in enumerate(lines)] + [(50 + i, line + "\n" + "fine words of a line that is kept " + str(i)) for i, line in enumerate(lines)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    rel = con.sql(queries_sql.QUALITY_RULES)
+    got = clean_lines(docs, results=tuple(c for c in rel.columns if c != "doc_id")).select(*rel.columns).collect()
+    want = sorted(rel.fetchall())
+    assert sorted(map(tuple, got)) == want
+    assert {r[rel.columns.index("lost_chars")] > 0 for r in want} == {True, False}

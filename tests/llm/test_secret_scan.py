@@ -106,3 +106,22 @@ def test_findings_that_did_not_train(spark, forest):
     hit = [(sum(vote(t, r.f) for t in forest) / len(forest) >= s.CUT) == (r.label > 0) for r in got]
     print("accuracy", len(hit), sum(hit) / len(hit))
     assert len(hit) == s.FINDINGS and sum(hit) / len(hit) > 0.97
+
+
+def test_no_tail_of_a_longer_secret_is_left(spark):
+    h = "a94a8fe5ccb19ba61c4c0873d391e987982fbbd3"
+    text = f'token = "{h}" and secret_key = "{h}ab12cd34ef56ab78" end'
+    docs = spark.createDataFrame([(1, text, "w", 7)], "doc_id long, text string, _scan_words string, _scan_found int")
+    got = s.redact(docs).first()
+    assert got.text == 'token = "[SECRET]" and secret_key = "[SECRET]" end'
+    assert (got._scan_words, got._scan_found) == ("w", 7)
+
+
+def test_credentials_in_addresses(spark):
+    texts = {"use postgres://admin:S3cr3tPassw0rd9@host/db now": "use postgres://admin:[SECRET]@host/db now",
+             "see https://docs.example.com/guide:intro and http://host:8080/x@y": None,
+             "set amqp://user:your_password@localhost first": None}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in s.redact(docs).collect()}
+    for i, (t, want) in enumerate(texts.items()):
+        assert got[i] == (want or t)

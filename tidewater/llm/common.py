@@ -60,6 +60,13 @@ def map_slices(df: DataFrame, make, schema: str | T.StructType) -> DataFrame:
     return df.mapInArrow(run, result)
 
 
+def free_prefix(columns: Sequence[str], wanted: str) -> str:
+    """``wanted``, longer by underscores until no column's name begins with it (names differ by more than case)."""
+    while any(c.lower().startswith(wanted.lower()) for c in columns):
+        wanted += "_"
+    return wanted
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A fixed bijection on unsigned 64-bit words that spreads all bits (the splitmix finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -10,8 +10,11 @@ number from a digest of its id lies below its probability.
 
 Only one narrow pass reads texts; raking works on the cells, one row per
 combination, however many documents a source has.  A hot source is pre-aggregated
-in the map tasks, and its rows meet the small cell table.  A text's tokens are
-counted as its spaces and line ends plus one.
+in the map tasks, and its rows meet the small cell table.  A text's tokens are its
+words.  A dimension's sums are aggregates that are joined back to the cells, so
+millions of cells of one language are no one task's.  Raking goes on until every sum
+is within ``TOLERANCE`` of its target, or until a round brings hardly anything because
+no weights of the cells there are meet all targets; ``deviations`` says what is left.
 
 Targets: per dimension either shares given by name (names that are missing get
 the remaining share in proportion to their tokens; if nothing remains, as little
@@ -20,47 +23,48 @@ as ``FLOOR`` of their own share), or tempered shares, tokens ** alpha.
 Defined results: null sources, languages and texts count as ''; an empty or blank
 text has no tokens, weight 1 and the probability of its cell; an empty table gives
 an empty result; repeated rows with one id are drawn together.  ``mix`` reads four
-columns; ``draw`` keeps the columns of the table as they are.
+columns; ``draw`` keeps the columns of the table as they are, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidewater.llm.common import materialize
+from tidewater.llm.common import free_prefix, materialize, words_of
 
 DIMENSIONS = ("source", "lang", "topic")
 ALPHA = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 FRACTION = 0.6            # of all tokens, expected in the sample
-ROUNDS = 12               # of raking over all dimensions
-ROUNDS_AT_ONCE = 4        # planned together before the cells are written
+TOLERANCE = 1e-9          # largest difference of a raked share from its target
+STALLED = 0.99            # a round that leaves more than this part of the difference is the last
+MAX_ROUNDS = 40           # of raking over all dimensions
 SCALE_STEPS = 12          # of calibrating the scale
 FLOOR = 1e-6
 
-# the default topics, tried in this order: fixed marks, one of which a text holds
-TOPICS = (("licence", ("Licensed under", "Public License")),
-          ("contact", ("@", "+1 (")),
-          ("table", (" | ",)),
-          ("markup", ("###", "$$$", "%%%", "&&&")))
+# the default topics, fixed patterns tried in this order, each with marks one of which a match holds
+TOPICS = (("licence", ("licensed under", "public license"), None),
+          ("contact", ("@",), r"[a-z0-9.]+@[a-z0-9]+[.][a-z]+"),
+          ("contact", ("+",), r"[+][0-9]+ [(][0-9]+[)]"),
+          ("table", (" | ",), r"[^ ]+ [|] [^ ]+ [|] [^ ]+"),
+          ("markup", ("###", "$$$", "%%%", "&&&"), None))
 OTHER_TOPIC = "prose"
 
 
 def topic_of(text: Column) -> Column:
+    """The first topic whose pattern is in the text; patterns run only where a mark is.  Licences in any case."""
     out = F.lit(OTHER_TOPIC)
-    for name, marks in reversed(TOPICS):
+    for name, marks, pattern in reversed(TOPICS):
+        where = F.lower(text) if name == "licence" else text
         holds = F.lit(False)
         for mark in marks:
-            holds = holds | F.contains(text, F.lit(mark))
-        out = F.when(holds, name).otherwise(out)
+            holds = holds | F.contains(where, F.lit(mark))
+        out = F.when(holds & text.rlike(pattern) if pattern else holds, name).otherwise(out)
     return out
 
 
 def tokens_of(text: Column) -> Column:
-    """Spaces and line ends plus one; 0 for a text without a word."""
-    breaks = F.length(text) - F.length(F.replace(F.replace(text, F.lit(" "), F.lit("")), F.lit("\n"), F.lit("")))
-    return F.when(F.length(F.trim(text)) > 0, breaks + 1).otherwise(0).cast("long")
+    return F.size(words_of(text)).cast("long")
 
 
 def uniform(id_col: Column) -> Column:
@@ -69,11 +73,12 @@ def uniform(id_col: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def _described(docs: DataFrame, text: str) -> DataFrame:
+def _described(docs: DataFrame, text: str, prefix: str) -> DataFrame:
+    """``docs`` with source, lang, topic and tokens under names that begin with ``prefix``."""
     t = F.coalesce(docs[text], F.lit(""))
-    return (docs.withColumn("_source", F.coalesce(docs["source"].cast("string"), F.lit("")))
-            .withColumn("_lang", F.coalesce(docs["lang"].cast("string"), F.lit("")))
-            .withColumn("_topic", topic_of(t)).withColumn("_tokens", tokens_of(t)))
+    return docs.select("*", F.coalesce(docs["source"].cast("string"), F.lit("")).alias(f"{prefix}source"),
+                       F.coalesce(docs["lang"].cast("string"), F.lit("")).alias(f"{prefix}lang"),
+                       topic_of(t).alias(f"{prefix}topic"), tokens_of(t).alias(f"{prefix}tokens"))
 
 
 def targets(cells: DataFrame, dim: str, shares: dict[str, float] | None) -> DataFrame:
@@ -91,20 +96,30 @@ def targets(cells: DataFrame, dim: str, shares: dict[str, float] | None) -> Data
     return per.select("name", (F.col("u") / F.lit(total)).alias("target"))
 
 
-def rake(cells: DataFrame, goals: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` (dimensions, tokens) with ``w``: shares that meet the goals of every dimension in turn."""
-    cur = cells.withColumn("w", F.col("tokens").cast("double"))
+def deviations(cells: DataFrame, goals: dict[str, DataFrame]) -> dict[str, float]:
+    """Per dimension the largest difference of a share (sum of ``w``) from its target."""
+    out = None
     for dim, goal in goals.items():
-        cur = cur.join(goal.select(F.col("name").alias(dim), F.col("target").alias(f"goal_{dim}")), dim)
-    cur = cur.select(*cells.columns, "w", *[f"goal_{d}" for d in goals])
-    for k in range(rounds):
-        for dim in goals:
-            s = F.sum("w").over(Window.partitionBy(dim))
-            cur = cur.withColumn("s", s).withColumn(
-                "w", F.when(F.col("s") > 0, F.col("w") * (F.col(f"goal_{dim}") / F.col("s"))).otherwise(0.0)).drop("s")
-        if k % ROUNDS_AT_ONCE == ROUNDS_AT_ONCE - 1 or k == rounds - 1:
-            cur = materialize(cur, "mixing-raked")
-    return cur.select(*cells.columns, "w")
+        sums = cells.groupBy(F.col(dim).alias("name")).agg(F.sum("w").alias("s")).join(goal, "name")
+        one = sums.agg(F.max(F.abs(F.col("s") - F.col("target"))).alias("d")).select(F.lit(dim).alias("dim"), "d")
+        out = one if out is None else out.unionByName(one)
+    return {r.dim: r.d or 0.0 for r in out.collect()}
+
+
+def rake(cells: DataFrame, goals: dict[str, DataFrame], tolerance: float = TOLERANCE, rounds: int = MAX_ROUNDS) -> DataFrame:
+    """``cells`` (dimensions, tokens) with ``w``: shares that meet the goals of every dimension in turn."""
+    cur, before = cells.withColumn("w", F.col("tokens").cast("double")), float("inf")
+    for _ in range(rounds):
+        for dim, goal in goals.items():
+            sums = cur.groupBy(F.col(dim).alias("name")).agg(F.sum("w").alias("s")).join(goal, "name")
+            factor = sums.select(F.col("name").alias(dim), F.when(F.col("s") > 0, F.col("target") / F.col("s")).otherwise(0.0).alias("factor"))
+            cur = cur.join(factor, dim).select(*cells.columns, (F.col("w") * F.col("factor")).alias("w"))
+        cur = materialize(cur, "mixing-raked")
+        now = max(deviations(cur, goals).values(), default=0.0)
+        if now <= tolerance or now > STALLED * before:
+            break
+        before = now
+    return cur
 
 
 def cell_probabilities(cells: DataFrame, fraction: float, shares: dict[str, dict[str, float]] | None) -> DataFrame:
@@ -129,32 +144,35 @@ def cell_probabilities(cells: DataFrame, fraction: float, shares: dict[str, dict
     return weighed.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * F.lit(scale)))
 
 
-def _cells(described: DataFrame) -> DataFrame:
-    return materialize(described.groupBy(*[F.col(f"_{d}").alias(d) for d in DIMENSIONS])
-                       .agg(F.sum("_tokens").alias("tokens")), "mixing-counts")
+def _cells(described: DataFrame, prefix: str) -> DataFrame:
+    return materialize(described.groupBy(*[F.col(f"{prefix}{d}").alias(d) for d in DIMENSIONS])
+                       .agg(F.sum(f"{prefix}tokens").alias("tokens")), "mixing-counts")
 
 
-def _with_probability(described: DataFrame, cells: DataFrame) -> DataFrame:
-    c = cells.select(*[F.col(d).alias(f"_c_{d}") for d in DIMENSIONS], F.round("weight", 6).alias("_weight"),
-                     F.round("probability", 6).alias("_probability"))
-    on = [F.col(f"_{d}") == F.col(f"_c_{d}") for d in DIMENSIONS]
-    return described.join(c, on).drop(*[f"_c_{d}" for d in DIMENSIONS])
+def _with_probability(described: DataFrame, cells: DataFrame, prefix: str) -> DataFrame:
+    c = cells.select(*[F.col(d).alias(f"{prefix}cell_{d}") for d in DIMENSIONS], F.round("weight", 6).alias(f"{prefix}weight"),
+                     F.round("probability", 6).alias(f"{prefix}probability"))
+    on = [F.col(f"{prefix}{d}") == F.col(f"{prefix}cell_{d}") for d in DIMENSIONS]
+    return described.join(c, on)
 
 
 def mix(docs: DataFrame, fraction: float = FRACTION, shares: dict | None = None, id_col: str = "doc_id",
         text: str = "text") -> DataFrame:
     """One row per document: id, source, lang, topic, tokens, weight, probability, sampled."""
-    described = _described(docs.select(docs[id_col].alias("_id"), docs[text].alias("_text"), "source", "lang"), "_text")
-    narrow = materialize(described.select("_id", *[f"_{d}" for d in DIMENSIONS], "_tokens"), "mixing-docs")
-    both = _with_probability(narrow, cell_probabilities(_cells(narrow), fraction, shares))
-    return both.select(F.col("_id").alias(id_col), *[F.col(f"_{d}").alias(d) for d in DIMENSIONS],
-                       F.col("_tokens").alias("tokens"), F.col("_weight").alias("weight"),
-                       F.col("_probability").alias("probability"), (uniform(F.col("_id")) < F.col("_probability")).alias("sampled"))
+    p = "_mix_"
+    described = _described(docs.select(docs[id_col].alias("id"), docs[text].alias("text"), "source", "lang"), "text", p)
+    narrow = materialize(described.select("id", *[f"{p}{d}" for d in DIMENSIONS], f"{p}tokens"), "mixing-docs")
+    both = _with_probability(narrow, cell_probabilities(_cells(narrow, p), fraction, shares), p)
+    return both.select(F.col("id").alias(id_col), *[F.col(f"{p}{d}").alias(d) for d in DIMENSIONS],
+                       F.col(f"{p}tokens").alias("tokens"), F.col(f"{p}weight").alias("weight"),
+                       F.col(f"{p}probability").alias("probability"),
+                       (uniform(F.col("id")) < F.col(f"{p}probability")).alias("sampled"))
 
 
 def draw(docs: DataFrame, fraction: float = FRACTION, shares: dict | None = None, id_col: str = "doc_id",
          text: str = "text") -> DataFrame:
     """The sampled rows of ``docs``, with its columns."""
-    described = _described(docs, text)
-    both = _with_probability(described, cell_probabilities(_cells(described), fraction, shares))
-    return both.where(uniform(F.col(id_col)) < F.col("_probability")).select(*docs.columns)
+    p = free_prefix(docs.columns, "_mix_")
+    described = _described(docs, text, p)
+    both = _with_probability(described, cell_probabilities(_cells(described, p), fraction, shares), p)
+    return both.where(uniform(F.col(id_col)) < F.col(f"{p}probability")).select(*docs.columns)

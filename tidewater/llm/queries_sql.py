@@ -16,12 +16,13 @@ judged as (
     len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) as stutter,
     length(regexp_replace(line, '[^A-Z]', '', 'g')) as caps,
     length(regexp_replace(line, '[^A-Za-z]', '', 'g')) as letters,
-    regexp_matches(line, '(?i){"|".join(qr.BOILERPLATE)}') as boiler
+    coalesce(list_sum(list_transform(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '{"|".join(qr.BOILERPLATE)}'), lambda x: length(replace(x, ' ', '')))), 0) as boiler
   from lines where len(w) > 0),
 verdicts as (
   select *, again or 100 * symbols > {qr.SYMBOL_PERCENT} * chars or 100 * bangs > {qr.EXCLAIM_PERCENT} * chars
       or 100 * seps >= {qr.SEPARATOR_PERCENT} * n or 100 * stutter > {qr.STUTTER_PERCENT} * n
-      or (letters >= 20 and 100 * caps > {qr.CAPITAL_PERCENT} * letters) or boiler as fails
+      or (letters >= 20 and 100 * caps > {qr.CAPITAL_PERCENT} * letters) or (boiler > 0 and 100 * boiler >= {qr.BOILER_PERCENT} * chars) as fails
   from judged),
 per_doc as (
   select doc_id, sum(n) as n_words, sum(chars) as word_chars, count(*) filter (where again) as n_dup_lines,
@@ -52,26 +53,37 @@ from measures
 
 
 def _mixing() -> str:
-    """Raking unrolled: one CTE per dimension and round, then the scale's steps."""
+    """Raking unrolled: one CTE per dimension and round, each round only if the one before has not met the targets,
+    then the scale's steps."""
     from tidewater.llm import mixing as m
 
-    topic = " ".join(f"when {' or '.join(f'contains(t, {chr(39)}{x}{chr(39)})' for x in marks)} then '{name}'" for name, marks in m.TOPICS)
-    ctes = [f"""d as (
+    def holds(name, marks, pattern):
+        if pattern:
+            return f"regexp_matches(t, '{pattern}')"
+        return " or ".join(f"contains({'lower(t)' if name == 'licence' else 't'}, '{x}')" for x in marks)
+
+    topic = " ".join(f"when {holds(*rule)} then '{rule[0]}'" for rule in m.TOPICS)
+    ctes = [rf"""d as (
   select doc_id, coalesce(source, '') as source, coalesce(lang, '') as lang,
-    case {topic} else '{m.OTHER_TOPIC}' end as topic,
-    case when length(trim(t, ' ')) > 0 then length(t) - length(replace(replace(t, ' ', ''), chr(10), '')) + 1 else 0 end as tokens
+    case {topic} else '{m.OTHER_TOPIC}' end as topic, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) as tokens
   from (select doc_id, source, lang, coalesce(text, '') as t from documents))""",
             "c0 as (select source, lang, topic, sum(tokens)::double as tokens, sum(tokens)::double as w from d group by all)"]
     for dim in m.DIMENSIONS:
         ctes.append(f"g_{dim} as (select {dim} as name, u / sum(u) over () as target from "
                     f"(select {dim}, pow(sum(tokens), {m.ALPHA[dim]}) as u from c0 group by 1))")
     k = 0
-    for _ in range(m.ROUNDS):
+    for j in range(m.MAX_ROUNDS):
+        off = " union all ".join(f"select max(abs(s - target)) as o from (select {dim} as name, sum(w) as s from c{k} group by 1) "
+                                 f"join g_{dim} using (name)" for dim in m.DIMENSIONS)
+        last = "select true as goes, 'inf'::double as off" if j == 0 else f"select * from o{j - 1}"
+        goes = "true" if j == 0 else f"last.goes and max(o) > {m.TOLERANCE!r} and max(o) <= {m.STALLED} * any_value(last.off)"
+        off_now = "'inf'::double" if j == 0 else "max(o)"
+        ctes.append(f"o{j} as materialized (select {goes} as goes, {off_now} as off from ({off}), ({last}) last group by last.goes)")
         for dim in m.DIMENSIONS:
             k += 1
-            ctes.append(f"c{k} as materialized (select c.source, c.lang, c.topic, c.tokens, case when c.s > 0 then c.w * "
-                        f"(g.target / c.s) else 0 end as w from (select *, sum(w) over (partition by {dim}) as s "
-                        f"from c{k - 1}) c join g_{dim} g on g.name = c.{dim})")
+            ctes.append(f"c{k} as materialized (select c.source, c.lang, c.topic, c.tokens, case when not o.goes then c.w "
+                        f"when c.s > 0 then c.w * (g.target / c.s) else 0 end as w from (select *, sum(w) over (partition by {dim}) "
+                        f"as s from c{k - 1}) c join g_{dim} g on g.name = c.{dim}, o{j} o)")
     ctes.append(f"r as materialized (select *, case when tokens > 0 then w * (select sum(tokens) from c0) / tokens else 1 end as weight from c{k})")
     ctes.append(f"s0 as materialized (select {m.FRACTION}::double as s)")
     for j in range(1, m.SCALE_STEPS + 1):

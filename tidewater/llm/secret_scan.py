@@ -2,7 +2,9 @@
 
 DataFrame functions only.  Candidates are all long runs of a word, all its values
 after a name that asks for a secret (``name=``, ``"name":``, ``["name"]=``), and
-values that stand, quoted or after such a name, behind an assignment.  Each gets features: its length, character transitions and
+values that stand, quoted or after such a name, behind an assignment, and the password
+in the ``user:password@`` of an address.  A candidate is part of one word: pass phrases
+of several words are not found, and a name counts with its last 80 characters.  Each gets features: its length, character transitions and
 shares, dictionary coverage, path look, and the words around it.  A random
 forest trained on labelled findings removes the false positives; its trees are
 read once and become one column expression, so scanning is a single narrow pass
@@ -28,7 +30,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import words_of
+from tidewater.llm.common import free_prefix, words_of
 
 FINDINGS = 5600          # rows of the labelled table
 TREES, DEPTH, SEED = 25, 6, 11
@@ -41,6 +43,7 @@ _LOOSE = r"""[^"'&,;<>(){}\[\]|?=:]"""
 HEAD = rf"^{_NAME}"
 NAMED = rf"""{_NAME}(?:["'][^"']{{8,}}["']?|{_LOOSE}{{8,}}={{0,2}})"""
 LONG_RUN = r"[A-Za-z0-9][A-Za-z0-9_+/\-.]{15,}={0,2}"
+ADDRESS = r"://[^\s/@:\"'<>]*:[^\s/@\"'<>]{8,}@"        # user:password@ of an address
 BARE = rf"""(?:base64,)?["']?{LONG_RUN}["']?"""
 QUOTED = r"""^[\"'][^\"']{8,}"""
 ASSIGNED = r"[=:]$"
@@ -62,7 +65,8 @@ def _value(token: Column) -> Column:
     quoted = F.regexp_extract(rest, r"""^["']+([^"']{8,})""", 1)
     run = F.regexp_extract(F.regexp_replace(rest, "^[^A-Za-z0-9]+", ""), VALUE, 0)
     loose = F.regexp_extract(rest, rf"^{_LOOSE}{{7,}}[A-Za-z0-9]={{0,2}}", 0)
-    return (F.when(quoted != "", quoted).when(token.rlike(HEAD) & (loose != ""), loose)
+    inside = F.regexp_extract(token, r"^://[^/@:]*:([^/@]{8,})@$", 1)
+    return (F.when(inside != "", inside).when(quoted != "", quoted).when(token.rlike(HEAD) & (loose != ""), loose)
             .when(run != "", run).otherwise(loose))
 
 
@@ -78,7 +82,8 @@ def _parts(word: Column, previous: Column, before: Column) -> Column:
                      lambda c: _asks(F.regexp_extract(c["token"], HEAD, 1)) | long_run(c["value"]))
     after = F.coalesce(previous.rlike(ASSIGNED), F.lit(False)) & (word.rlike(QUOTED) | _asks(before)) & ~word.rlike(NAMED)
     whole = F.when(after, F.array(shape(word))).otherwise(F.filter(F.array(shape(word)), lambda c: F.lit(False)))
-    known = F.concat(named, whole)
+    address = F.transform(F.regexp_extract_all(word, F.lit(ADDRESS), F.lit(0)), shape)
+    known = F.concat(address, named, whole)
     bare = F.filter(F.transform(F.regexp_extract_all(word, F.lit(BARE), F.lit(0)),
                                 lambda t: F.struct(t.alias("token"), F.regexp_extract(F.regexp_replace(t, "^base64,", ""), LONG_RUN, 0).alias("value"))),
                     lambda b: ~F.exists(known, lambda c: F.contains(c["value"], b["value"]) | (
@@ -92,7 +97,7 @@ def _candidate_column(words: Column) -> Column:
 
     def wanted(i):
         w = F.get(words, i)
-        return w.rlike(LONG_RUN) | w.rlike(NAMED) | (F.coalesce(F.get(words, i - 1).rlike(ASSIGNED), F.lit(False)) & (F.length(w) >= 8))
+        return w.rlike(LONG_RUN) | w.rlike(NAMED) | w.rlike(ADDRESS) | (F.coalesce(F.get(words, i - 1).rlike(ASSIGNED), F.lit(False)) & (F.length(w) >= 8))
 
     def inside(i):
         before = F.lower(F.concat_ws(" ", F.get(words, i - 3), F.get(words, i - 2), F.get(words, i - 1)))
@@ -129,6 +134,7 @@ def features(token: Column, value: Column, before: Column) -> list[Column]:
         flag(value.rlike(r"(.)\1{3}")),
         flag(value.rlike("^[0-9]+$")),
         F.regexp_count(value, F.lit(r"[_\-./]")).cast("double") / n,
+        flag(token.rlike("^://")),
     ]
 
 
@@ -164,7 +170,12 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS, start: int = 0) ->
         (prose, named('API_SECRET_KEY"]="', h40), 1), (prose, named('client_secret":"', h40), 1),
         (prose, named('aws_secret_key":"', issued), 1), (prose, named("access_token=", b64), 1),
         (said("token", "="), quoted(letters), 1), (prose, named("secret_key=", letters), 1),
+        (prose, F.concat(F.lit("://"), word("u", 5), F.lit(":"), short, F.lit("@")), 1),
+        (prose, F.concat(F.lit("://"), word("u", 5), F.lit(":"), F.substring(b64, 1, 14), F.lit("@")), 1),
+        (said("url", "="), F.concat(F.lit("://"), word("u", 5), F.lit(":"), odd, F.lit("1@")), 1),
         # look-alikes
+        (prose, F.concat(F.lit("://"), word("u", 5), F.lit(":password@")), 0), (prose, F.lit("://user:your_password@"), 0),
+        (prose, F.concat(F.lit("://"), word("u", 5), F.lit(":changeme_"), word("a", 3), F.lit("@")), 0),
         (said("password:"), word("a", 10), 0), (prose, named("password=", word("a", 9)), 0), (prose, named('client_id":"', h32), 0),
         (prose, F.concat_ws("_", word("a", 7), word("b", 6), word("c", 5)), 0), (prose, named("commit=", h40), 0),
         (prose, F.concat(*[F.initcap(word(k, 6)) for k in "abc"]), 0), (prose, word("a", 20), 0),
@@ -246,7 +257,7 @@ def _scored(words: Column, forest: list) -> Column:
 
 def _holds_candidate(text: Column) -> Column:
     """Whether a text can hold a candidate at all; most texts are left alone after this one look."""
-    return F.coalesce(text.rlike(LONG_RUN) | text.rlike(rf"""[=:][\x20\x09-\x0D]+[\"'][^\"']{{8}}""")
+    return F.coalesce(text.rlike(LONG_RUN) | (F.contains(text, F.lit("://")) & text.rlike(ADDRESS)) | text.rlike(rf"""[=:][\x20\x09-\x0D]+[\"'][^\"']{{8}}""")
                       | text.rlike(rf"""(?i)(?:{ASKING})[^\x20\x09-\x0D=:]{{0,80}}[=:]""")
                       | text.rlike(rf"""(?i)(?:{ASKING})[^\x20\x09-\x0D]*[\x20\x09-\x0D]+[=:]"""), F.lit(False))
 
@@ -264,12 +275,15 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text: str = "text", forest
 def redact(docs: DataFrame, text: str = "text", forest: list | None = None) -> DataFrame:
     """``docs`` with every value that the forest calls a secret replaced by MARK in its text."""
     forest = forest or train(docs.sparkSession)
-    words, cands = "_scan_words", "_scan_found"
+    prefix = free_prefix(docs.columns, "_scan_")
+    words, cands = f"{prefix}words", f"{prefix}found"
     looked = docs.withColumn(words, F.when(_holds_candidate(docs[text]), words_of(docs[text])))
     scored = looked.withColumn(cands, F.when(F.col(words).isNotNull(), F.array_distinct(F.transform(
         F.filter(_scored(F.col(words), forest), lambda c: c["probability"] >= CUT),
         lambda c: c["value"])))).drop(words)
+    # longest first: a value that is part of another one must not hide it
+    ordered = F.reverse(F.array_sort(F.transform(cands, lambda v: F.struct(F.length(v).alias("n"), v.alias("v")))))
     clean = F.when(F.size(F.coalesce(F.col(cands), F.array().cast("array<string>"))) > 0,
-                   F.aggregate(cands, F.col(text), lambda t, v: F.replace(t, v, F.lit(MARK)))).otherwise(F.col(text))
+                   F.aggregate(ordered, F.col(text), lambda t, c: F.replace(t, c["v"], F.lit(MARK)))).otherwise(F.col(text))
     out = scored.withColumn(text, clean).drop(cands)
     return out.withColumn("n_chars", F.length(text).cast("long")) if "n_chars" in docs.columns else out
