@@ -224,6 +224,63 @@ def column_profile(df: DataFrame, table_name: str = "table", exact_distinct: boo
                       "min_value", "max_value")
 
 
+# --------------------------------------------------------------------------
+# Profiles that add up
+# --------------------------------------------------------------------------
+
+HLL_BITS = 14            # distinct counts within about 1 %
+_NUMBERS = (T.NumericType,)
+
+
+def _orderable(f: T.StructField) -> bool:
+    return not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType))
+
+
+def profile_state(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """One row per partition that profiles can be made of: row and null counts, bounds, and mergeable sketches of
+    every other column's distinct values (HLL) and, for numbers, of its distribution (KLL).
+
+    Stored beside a table, partition by partition (``upsert_partitions``), the profile of
+    the whole costs a new partition's own scan only.
+    """
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for f in df.schema.fields:
+        if f.name in partition_by:
+            continue
+        c = F.col(f"`{f.name}`")
+        aggs += [F.count_if(c.isNull()).alias(f"{f.name}__nulls"),
+                 F.hll_sketch_agg(c.cast("string"), HLL_BITS).alias(f"{f.name}__hll")]
+        if _orderable(f):
+            aggs += [F.min(c).alias(f"{f.name}__min"), F.max(c).alias(f"{f.name}__max")]
+        if isinstance(f.dataType, _NUMBERS):
+            aggs.append(F.kll_sketch_agg_double(c.cast("double")).alias(f"{f.name}__kll"))
+    return df.groupBy(*partition_by).agg(*aggs)
+
+
+def merged_profile(states: DataFrame, table_name: str = "table") -> DataFrame:
+    """The profile of all partitions whose states are given: ``column_profile``'s columns and ``median``."""
+    names = [c.removesuffix("__nulls") for c in states.columns if c.endswith("__nulls")]
+    have, aggs, cells = set(states.columns), [F.sum("n_rows").alias("n_rows")], []
+    for i, n in enumerate(names):
+        aggs += [F.sum(f"`{n}__nulls`").alias(f"nulls{i}"), F.hll_sketch_estimate(F.hll_union_agg(f"`{n}__hll`")).alias(f"distinct{i}")]
+        bounds = f"{n}__min" in have
+        if bounds:
+            aggs += [F.min(f"`{n}__min`").alias(f"min{i}"), F.max(f"`{n}__max`").alias(f"max{i}")]
+        if f"{n}__kll" in have:
+            aggs.append(F.kll_merge_agg_double(f"`{n}__kll`").alias(f"kll{i}"))
+        text = lambda c, there: F.col(c).cast("string") if there else F.lit(None).cast("string")
+        median = F.when(F.col(f"n_rows") > F.col(f"nulls{i}"), F.kll_sketch_get_quantile_double(f"kll{i}", F.lit(0.5))) \
+            if f"{n}__kll" in have else F.lit(None)
+        kind = states.schema[f"{n}__min"].dataType.simpleString() if bounds else None
+        cells.append(F.struct(F.lit(n).alias("column_name"), F.lit(kind).cast("string").alias("data_type"),
+                              F.col(f"nulls{i}").cast("long").alias("n_nulls"), F.col(f"distinct{i}").cast("long").alias("n_distinct"),
+                              text(f"min{i}", bounds).alias("min_value"), text(f"max{i}", bounds).alias("max_value"),
+                              median.cast("double").alias("median")))
+    one = states.agg(*aggs).select(F.col("n_rows").cast("long").alias("n_rows"), F.explode(F.array(*cells)).alias("c"))
+    return one.select(F.lit(table_name).alias("table_name"), "c.column_name", "c.data_type", "n_rows", "c.n_nulls", "c.n_distinct",
+                      "c.min_value", "c.max_value", "c.median")
+
+
 def fixture_frame(spark, rows: Sequence[dict], schema: T.StructType | str) -> DataFrame:
     """Unit-test fixture rows (dicts) as a typed frame.
 

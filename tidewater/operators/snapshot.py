@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.exprs import is_distinct_from, surrogate_key
 from tidewater.operators import commits as C
 from tidewater.operators import writers as W
+from tidewater.operators.joins import full_join
 
 
 @dataclass
@@ -149,11 +150,7 @@ def _versions(history: DataFrame, source: DataFrame, cfg: SnapshotConfig, now: d
 
     h = open_rows.select(*[F.col(c).alias(f"h_{c}") for c in open_rows.columns], F.lit(True).alias("_h"))
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_s"))
-    cond = None
-    for k in keys:
-        c = F.col(f"h_{k}") == F.col(f"s_{k}")
-        cond = c if cond is None else cond & c
-    j = h.join(s, on=cond, how="full")
+    j = full_join(h, s, [(f"h_{k}", f"s_{k}") for k in keys])
     h_here = F.coalesce(F.col("_h"), F.lit(False))
     s_here = F.coalesce(F.col("_s"), F.lit(False))
 

@@ -294,6 +294,72 @@ def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Seque
     return target.join(touched, list(partition_by), "left_semi").select(*target.columns)
 
 
+class ChecksFailed(ValueError):
+    """Rows fail checks of a load that refuses them; ``failures`` counts them by check."""
+
+    def __init__(self, failures: Mapping[str, int]):
+        self.failures = dict(failures)
+        super().__init__("checks failed: " + ", ".join(f"{n}: {c} rows" for n, c in self.failures.items()))
+
+
+FAILED = "failed_checks"
+
+
+def checked_load(df: DataFrame, path: str, checks: Mapping[str, str | Column], contract: T.StructType | None = None,
+                 quarantine: str | None = None, partition_by: Sequence[str] = (), append: bool = False) -> dict[str, int]:
+    """T1-T8, T11 while writing: load ``df`` into the table at ``path`` and check every row in the same scan.
+
+    ``checks`` name predicates that must hold for a row (an unknown one does not); ``contract`` is the
+    schema that the load must have, looked at before anything runs.  The checks are counted by the
+    job that writes the files (``Dataset.observe``).  Without ``quarantine`` a single failing row
+    refuses the load: nothing is committed and the table stays as it was.  With it the rows
+    that fail go to the table there, with the names of their checks in ``FAILED``, and
+    the others are loaded.  Returns the failing rows by check.
+    """
+    from pyspark.sql import Observation
+
+    from tidewater.operators.quality import check_contract
+    spark = df.sparkSession
+    if contract is not None:
+        errors = check_contract(df, contract)
+        if errors:
+            raise ValueError("contract not met: " + "; ".join(errors))
+    if {FAILED, "_passed"} & set(df.columns):
+        raise ValueError(f"columns {FAILED} and _passed are reserved for the checks")
+    held = {n: F.coalesce(F.expr(c) if isinstance(c, str) else c, F.lit(False)) for n, c in checks.items()}
+    seen = Observation(f"checks-{C.uuid.uuid4().hex[:8]}")
+    names = list(held)
+    watched = df.observe(seen, F.count(F.lit(1)).alias("_rows"), *[F.count_if(~held[n]).alias(f"c{i}") for i, n in enumerate(names)])
+    failed = F.filter(F.array(*[F.when(~held[n], F.lit(n)) for n in names]), lambda x: x.isNotNull())
+    commit = C.Commit(spark, path)
+    there = C.exists(spark, commit.root)
+    staged = watched.withColumn(FAILED, failed).withColumn("_passed", F.size(FAILED) == 0)
+    _write(staged, commit.staging, ["_passed", *partition_by])
+    counts = seen.get
+    failures = {n: counts[f"c{i}"] for i, n in enumerate(names) if counts[f"c{i}"]}
+    if failures and quarantine is None:
+        C.delete(spark, commit.staging)
+        raise ChecksFailed(failures)
+    bad = [f for f in C.data_files(spark, commit.staging) if f.startswith("_passed=false/")]
+    good = [f for f in C.data_files(spark, commit.staging) if f.startswith("_passed=true/")]
+    if bad:
+        aside = C.Commit(spark, quarantine)
+        for f in bad:
+            commit.steps.append((f"{commit.staging}/{f}", f"{aside.root}/{f.split('/', 1)[1]}"))
+        if not C.exists(spark, f"{aside.root}/{SCHEMA_FILE}"):
+            commit.steps.append((f"{commit.staging}/_quarantine_schema", f"{aside.root}/{SCHEMA_FILE}"))
+            C.write_text(spark, f"{commit.staging}/_quarantine_schema", schema_text(staged.drop("_passed").schema))
+    if there and not append:
+        commit.remove()
+    for f in good:
+        commit.put(f, f.split("/", 1)[1])
+    if not there or not append:
+        C.write_text(spark, f"{commit.staging}/{SCHEMA_FILE}", schema_text(df.schema))
+        commit.put(SCHEMA_FILE)
+    commit.run()
+    return failures
+
+
 def materialize_as(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
     """A model as a lazy temp view, or a table rebuilt then swapped in."""
     if kind == "view":

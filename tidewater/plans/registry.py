@@ -35,7 +35,7 @@ def query(name: str, sql: str | None):
 def registered() -> dict[str, Registered]:
     # importing the modules fills the registry
     from tidewater.plans import (  # noqa: F401
-        q_marts, q_relational, q_functions, q_quality, q_incremental, q_snapshot, q_ingest, q_misc, q_commits,
+        q_marts, q_relational, q_functions, q_quality, q_incremental, q_snapshot, q_ingest, q_misc, q_commits, q_scale,
     )
     return dict(_REGISTRY)
 
