@@ -97,3 +97,14 @@ def test_double_vectors_and_labels_as_they_are(spark):
 
 def near(spark, rows, label, threshold):
     return e.near_duplicates(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {label}"), threshold).collect()
+
+
+def test_huge_and_tiny_vectors_link_like_ordinary_ones(spark):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal(8)
+    rows = [(i, [float(v) for v in base * s * (1 + 0.01 * i)], 1) for i, s in enumerate((1.0, 1.0, 1e200, -1e200, 1e-200, 3e-200))]
+    rows += [(10, [1e308] * 8, 2), (11, [1e-310] * 8, 2), (12, [5e-324] + [0.0] * 7, 3)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in e.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert {got[i] for i in (0, 1, 2, 4, 5)} == {(4, 0)} and got[3] == (0, 3)
+    assert got[10] == got[11] == (1, 10) and got[12] == (0, 12)

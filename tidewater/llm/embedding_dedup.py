@@ -53,6 +53,14 @@ def rotation(dim: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def unit_rows(vectors: list) -> np.ndarray:
+    """Vectors over their norms, in double precision.  They are scaled by a power of two first, which is exact, so
+    neither huge nor tiny components over- or underflow in the squares."""
+    x = np.stack(vectors).astype(np.float64)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def fit_cells(sample: np.ndarray, cells: int) -> np.ndarray:
     """Unit centroids by spherical k-means on unit vectors."""
     rng = np.random.default_rng(SEED)
@@ -97,8 +105,7 @@ def _index(models):
         for frame in frames:
             dims = frame["vec"].map(len)
             for dim, part in frame.groupby(dims):
-                x = np.stack(part["vec"].to_list()).astype(np.float64)
-                u = x / np.linalg.norm(x, axis=1, keepdims=True)
+                u = unit_rows(part["vec"].to_list())
                 at, centre = models.value.get(dim, (np.eye(1, dim), np.zeros(dim)))
                 cos = u @ at.T
                 _, bits, r, factor = encode(u, centre, rotation(dim))
@@ -114,10 +121,7 @@ def _index(models):
 def _compare(q: pd.DataFrame, m: pd.DataFrame, centre: np.ndarray, threshold: float) -> np.ndarray:
     """Boolean matrix: which (query, member) pairs link."""
     dim = len(q["vec"].iloc[0])
-    x = np.stack(q["vec"].to_list()).astype(np.float64)
-    y = np.stack(m["vec"].to_list()).astype(np.float64)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    x, y = unit_rows(q["vec"].to_list()), unit_rows(m["vec"].to_list())
     o, _, r_q, _ = encode(x, centre, rotation(dim))
     bits = np.unpackbits(np.stack([np.frombuffer(c, np.uint8) for c in m["code"]]), axis=1, count=dim)
     cos, width = estimate(o, r_q, bits, m["r"].to_numpy(), m["factor"].to_numpy(), x @ centre, y @ centre,
@@ -200,8 +204,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
               .limit(SAMPLE).toPandas()["vec"])
     fitted = {}
     for dim, part in sample.groupby(sample.map(len)):
-        x = np.stack(part.to_list()).astype(np.float64)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x = unit_rows(part.to_list())
         fitted[int(dim)] = (fit_cells(x, cells), x.mean(axis=0))
     models = spark.sparkContext.broadcast(fitted)     # MAX_CELLS centroids per length at most
     index = materialize(classes.select("id", "label", "weight", "vec").mapInPandas(_index(models), _indexed(raw))
