@@ -79,3 +79,87 @@ def test_articles_inside_boilerplate_stay_out():
     page = (f'<article><p>{LONG}</p><div id="comments"><article><p>{LONG} one</p></article></div></article><nav><div><article>x</article></div></nav>'
             f'<div id="comments"><article class="comment-body"><p>{LONG} two</p></article></div><aside><article><p>{LONG} three</p></article></aside>')
     assert h.main_text(page, TREE) == LONG.strip()
+
+
+SENTENCE = "A sentence of the article that says something about its subject. "
+
+
+@pytest.mark.parametrize("inside, want", [
+    ('<p>{s}</p><p><a href="x">One linked paragraph of it</a></p><p>{s}</p>', "{s}\nOne linked paragraph of it\n{s}"),
+    ('<ul><li>{s}</li><li><a href="x">A linked item</a></li><li>{s}</li></ul>', "{s}\nA linked item\n{s}"),
+    ('<p>{s}</p><ul><li><a href=1>Tag one</a></li><li><a href=2>Tag two</a></li><li><a href=3>Tag three</a></li></ul>', "{s}"),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>", "so x=1 holds"), ("<p>{s}</p><noscript><p>{s}</p></noscript>", "{s}\n{s}"),
+    ("<p>press <button>Start</button> to begin</p>", "press Start to begin"), ("<p>{s}</p><button>Subscribe</button>", "{s}"),
+    *[(f'<section class="{n}"><h2>Part</h2><p>{{s}}</p></section>', "Part\n{s}") for n in
+      ("legal-background", "discussion-of-results", "form-of-government", "social-history", "hidden-gems", "entry-header")],
+    *[(f'<p>{{s}}</p><section class="{n}"><p>{{s}} more</p></section>', "{s}") for n in
+      ("comment-list", "related-posts", "cookie-notice", "ad-728x90", "newsletter_signup", "social-share-buttons", "comments", "widget-12")],
+])
+def test_parts_of_an_article(inside, want):
+    page = f"<body><nav><a href=x>Home</a></nav><article>{inside.replace('{s}', SENTENCE)}</article></body>"
+    assert h.main_text(page, TREE) == want.replace("{s}", SENTENCE.strip())
+
+
+def test_only_the_first_article_is_free_of_marks():
+    page = f'<div id="thread"><article><p>{LONG}</p></article><article><p>{LONG} a reply</p></article></div>'
+    assert h.main_text(page, TREE) == LONG.strip()
+    other = f'<article><p>{LONG}</p></article><div id="thread"><article><p>{LONG} a reply</p></article></div>'
+    assert h.main_text(other, TREE) == LONG.strip()
+
+
+def test_given_pages_against_a_plain_reader():
+    """The driver's pages mark every part by its element or the name ``ad``: a tree walk with ``html.parser`` reads them."""
+    from html.parser import HTMLParser
+
+    import pyarrow.parquet as pq
+
+    class Reader(HTMLParser):
+        void = {"br", "img", "input", "hr", "meta", "link", "wbr"}
+        out = {"nav", "header", "footer", "aside", "form", "script", "style"}
+        inline = {"a", "b", "i", "em", "strong", "span", "code", "u", "small"}
+
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.open, self.texts, self.now = [], [], []
+
+        def flush(self):
+            text = " ".join("".join(self.now).split())
+            self.texts += [text] if text else []
+            self.now = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag in self.void:
+                self.now.append(" ")
+                return
+            if tag not in self.inline:
+                self.flush()
+                if tag in ("p", "li"):
+                    self.close(tag)
+                self.open.append((tag, tag in self.out or dict(attrs).get("class") == "ad"))
+
+        def close(self, tag):
+            for k in range(len(self.open) - 1, -1, -1):
+                if self.open[k][0] == tag:
+                    del self.open[k:]
+                    return
+                if tag in ("p", "li") and self.open[k][0] not in ("p", "li"):
+                    return
+
+        def handle_endtag(self, tag):
+            if tag not in self.inline and tag not in self.void:
+                self.flush()
+                self.close(tag)
+
+        def handle_data(self, data):
+            tags = [t for t, _ in self.open]
+            if "article" in tags and not any(gone for t, gone in self.open[tags.index("article"):]):
+                self.now.append(data)
+
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist()
+    same = 0
+    for page in pages:
+        r = Reader()
+        r.feed(page)
+        r.flush()
+        same += "\n".join(r.texts) == h.main_text(page, TREE)
+    assert same >= 0.95 * len(pages)          # the rest: menus and articles that are not closed

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from tidewater.llm.common import map_slices
 
 # fixed values: element names and the words that name boilerplate parts
-RAW = ("script", "style", "title", "textarea", "template", "iframe", "noscript", "svg", "math", "object")
+RAW = ("script", "style", "title", "textarea", "template", "iframe", "svg")
 BREAKS = ("address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir",
           "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
           "head", "header", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "optgroup", "option", "p", "pre",
@@ -43,32 +43,45 @@ BOILER_NAMES = ("ad", "ads", "advert", "adverts", "advertisement", "advertising"
                 "login", "search", "share", "sharing", "social", "related", "recommended", "recommendations", "comment",
                 "comments", "commentlist", "reply", "replies", "respond", "disqus", "discussion", "feedback", "widget",
                 "widgets", "toolbar", "pagination", "pager", "copyright", "legal", "disclaimer", "skip", "hidden",
-                "toc", "form", "contentinfo", "complementary", "search-form", "outbrain", "taboola")
+                "toc", "form", "contentinfo", "complementary", "search-form", "outbrain", "taboola", "thread", "threads")
+# pieces that stand beside such a word in a name without changing what the part is: comment-list, related-posts
+PARTS = ("list", "box", "block", "wrap", "wrapper", "container", "inner", "outer", "area", "section", "bar", "strip", "link",
+         "links", "item", "items", "button", "buttons", "icon", "icons", "body", "posts", "articles", "stories", "post", "article",
+         "entry", "content", "text", "left", "right", "top", "bottom", "site", "main", "primary", "secondary", "global", "mobile",
+         "desktop", "slot", "unit", "law", "info", "message", "panel", "group", "row", "column", "col", "id", "user", "reader",
+         "my", "the", "page", "media", "dialog", "title", "heading", "thread", "results")
 MAIN_NAMES = ("article", "content", "post", "entry", "story", "main", "article-body", "post-body")
-# names that tell how a page is laid out, not what the part is: by their first piece or their last
-STATES = ("has", "have", "with", "without", "no", "not", "is", "hide", "show")
-LAYOUTS = ("layout", "page", "enabled", "disabled", "visible", "on", "off")
-
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
                   r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<!--|<[!?/][^>]*+>")
 _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _PIECES = re.compile(r"[^a-z0-9]+")
 _BOILER, _MAIN = frozenset(BOILER_NAMES), frozenset(MAIN_NAMES)
-_STATES, _LAYOUTS = frozenset(STATES), frozenset(LAYOUTS)
+_PART = frozenset(PARTS)
 _RAW, _BREAK, _SPACE, _NEST = frozenset(RAW), frozenset(BREAKS), frozenset(SPACES), frozenset(NESTED)
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 
 
-def _names(attributes: str) -> set[str]:
-    found = set()
-    for m in _NAMED.finditer(attributes):
-        for name in (m[1] or m[2] or m[3] or "").lower().split():
-            found.add(name)
-            pieces = _PIECES.split(name)
-            if pieces[0] not in _STATES and pieces[-1] not in _LAYOUTS:
-                found.update(pieces)
-    return found
+def _names(attributes: str) -> list[str]:
+    return [name for m in _NAMED.finditer(attributes) for name in (m[1] or m[2] or m[3] or "").lower().split()]
+
+
+def _marks_boiler(names: list[str], main: bool) -> bool:
+    """Does a name say boilerplate: by itself, or as a compound of such a word and nothing but parts of a page?
+
+    ``comment-list`` and ``cookie-notice`` do; ``legal-background``, ``social-history`` and ``has-sidebar`` do not.
+    An article's own header is no boilerplate.
+    """
+    for name in names:
+        pieces = [x for x in _PIECES.split(name) if x and not x[0].isdigit()]
+        words = [x for x in pieces if x in _BOILER and not (main and x == "header")]
+        if words and (len(pieces) == 1 or all(x in _BOILER or x in _PART for x in pieces)):
+            return True
+    return False
+
+
+def _marks_main(names: list[str]) -> bool:
+    return any(name in _MAIN or not _MAIN.isdisjoint(_PIECES.split(name)) for name in names)
 
 
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
@@ -76,7 +89,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     out: list[tuple[str, int, int, bool, bool]] = []
     stack: list[tuple[str, bool, bool, bool]] = []      # open containers: tag, main, boilerplate, this by an element
     parts: list[tuple[str, bool]] = []            # text of the block so far: piece, inside a link
-    link = False
+    link, articles = False, 0
 
     def flush():
         nonlocal link
@@ -116,6 +129,9 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             continue
         if tag in _SPACE:
             parts.append((" ", link))
+        if tag == "button" and parts and not attributes.endswith("/") and (closing or stack and stack[-1][1] and not stack[-1][2]):
+            parts.append((" ", link))             # a button in a sentence of the article
+            continue
         if tag in _BREAK or tag in _NEST:
             flush()
             link = False
@@ -132,16 +148,18 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                 stack.pop()
         _, main, boiler, firm = stack[-1] if stack else ("", False, False, False)
         if tag in MAIN_TAGS:
-            # a wrapper's name does not make the page's article boilerplate; comments may be articles of their own
-            if not main and _names(attributes).isdisjoint(_BOILER):
+            # a wrapper's name does not make the page's first article boilerplate; later ones may be comments
+            articles += 1
+            marked = _marks_boiler(_names(attributes), main)
+            if not main and not marked and articles == 1:
                 boiler = firm
-            main = True
+            boiler, main = boiler or marked, True
         elif tag in BOILER_TAGS and not (tag == "header" and main):
             boiler = firm = True
         elif tag != "body" and attributes:
             names = _names(attributes)
-            boiler = boiler or not names.isdisjoint(_BOILER)
-            main = main or not names.isdisjoint(_MAIN)
+            boiler = boiler or _marks_boiler(names, main)
+            main = main or _marks_main(names)
         if attributes and tag != "body" and _UNSEEN.search(attributes):
             boiler = firm = True
         if not attributes.endswith("/"):
@@ -179,6 +197,7 @@ LABELLED = (
     (80, 0, 3, 100, 60, 0, 0, 0, 0, 1), (45, 4, 80, 0, 90, 0, 0, 0, 0, 1), (150, 10, 7, 0, 6, 100, 0, 0, 0, 1),
     (25, 0, 50, 0, 40, 0, 0, 0, 0, 1), (16, 0, 9, 0, 70, 0, 0, 0, 0, 1), (12, 0, 60, 0, 3, 0, 0, 0, 0, 1),
     (6, 0, 70, 0, 85, 0, 0, 0, 0, 1), (3, 0, 45, 0, 50, 0, 0, 0, 0, 1), (9, 0, 30, 0, 40, 5, 0, 0, 0, 1),
+    (3, 0, 2, 100, 80, 0, 0, 0, 0, 1), (70, 0, 2, 0, 1, 0, 0, 0, 0, 1), (90, 0, 3, 0, 0, 0, 0, 0, 0, 1),
     (7, 0, 2, 100, 60, 0, 0, 0, 0, 1), (1, 0, 40, 0, 38, 0, 0, 0, 0, 1), (20, 0, 0, 0, 0, 0, 0, 0, 0, 1),
     (2, 100, 0, 0, 3, 100, 0, 0, 0, 0), (4, 100, 3, 100, 60, 0, 0, 0, 0, 0), (12, 90, 80, 0, 9, 100, 0, 0, 0, 0),
     (30, 70, 6, 100, 8, 100, 0, 0, 0, 0), (3, 0, 2, 100, 2, 100, 0, 0, 0, 0), (5, 0, 4, 0, 3, 100, 0, 0, 0, 0),
@@ -216,14 +235,24 @@ def classify(tree, row) -> bool:
     return tree >= 0.5
 
 
+LISTED = 50      # percent of a neighbour's words in links that make it part of a list of links
+
+
 def examples() -> np.ndarray:
-    """The labelled table with the neighbours of marked blocks varied."""
+    """The labelled table with the neighbours of marked blocks varied.
+
+    In an article a block of links is main text where it stands in running text, between blocks that are
+    no links; a neighbour full of links makes it part of a list.
+    """
     rows = []
     for r in LABELLED:
         marked = r[6] or r[7]
         for before in NEIGHBOURS if marked else (r[2:4],):
             for after in NEIGHBOURS if marked else (r[4:6],):
-                rows += [(*r[:2], *before, *after, *r[6:])] * (1 if marked else 20)
+                label = r[9]
+                if r[6] and not r[7] and r[1] >= 80:
+                    label = int(before[1] < LISTED and after[1] < LISTED)
+                rows += [(*r[:2], *before, *after, *r[6:9], label)] * (1 if marked else 20)
     return np.array(rows, float)
 
 
