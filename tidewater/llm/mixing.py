@@ -107,19 +107,25 @@ def deviations(cells: DataFrame, goals: dict[str, DataFrame]) -> dict[str, float
 
 
 def rake(cells: DataFrame, goals: dict[str, DataFrame], tolerance: float = TOLERANCE, rounds: int = MAX_ROUNDS) -> DataFrame:
-    """``cells`` (dimensions, tokens) with ``w``: shares that meet the goals of every dimension in turn."""
+    """``cells`` (dimensions, tokens) with ``w``: shares that meet the goals of every dimension in turn.
+
+    A cell carries the largest difference that its names' sums had from their targets in the
+    round, so one look at the written cells tells whether to go on.
+    """
     cur, before = cells.withColumn("w", F.col("tokens").cast("double")), float("inf")
     for _ in range(rounds):
+        cur = cur.select(*cells.columns, "w", F.lit(0.0).alias("off"))
         for dim, goal in goals.items():
             sums = cur.groupBy(F.col(dim).alias("name")).agg(F.sum("w").alias("s")).join(goal, "name")
-            factor = sums.select(F.col("name").alias(dim), F.when(F.col("s") > 0, F.col("target") / F.col("s")).otherwise(0.0).alias("factor"))
-            cur = cur.join(factor, dim).select(*cells.columns, (F.col("w") * F.col("factor")).alias("w"))
+            factor = sums.select(F.col("name").alias(dim), F.when(F.col("s") > 0, F.col("target") / F.col("s")).otherwise(0.0).alias("factor"),
+                                 F.abs(F.col("s") - F.col("target")).alias("e"))
+            cur = cur.join(factor, dim).select(*cells.columns, (F.col("w") * F.col("factor")).alias("w"), F.greatest("off", "e").alias("off"))
         cur = materialize(cur, "mixing-raked")
-        now = max(deviations(cur, goals).values(), default=0.0)
+        now = cur.agg(F.max("off").alias("o")).first().o or 0.0
         if now <= tolerance or now > STALLED * before:
             break
         before = now
-    return cur
+    return cur.select(*cells.columns, "w")
 
 
 def cell_probabilities(cells: DataFrame, fraction: float, shares: dict[str, dict[str, float]] | None) -> DataFrame:

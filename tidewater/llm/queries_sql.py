@@ -72,18 +72,17 @@ def _mixing() -> str:
         ctes.append(f"g_{dim} as (select {dim} as name, u / sum(u) over () as target from "
                     f"(select {dim}, pow(sum(tokens), {m.ALPHA[dim]}) as u from c0 group by 1))")
     k = 0
+    ctes.append("o0 as (select true as goes, 'inf'::double as off)")
     for j in range(m.MAX_ROUNDS):
-        off = " union all ".join(f"select max(abs(s - target)) as o from (select {dim} as name, sum(w) as s from c{k} group by 1) "
-                                 f"join g_{dim} using (name)" for dim in m.DIMENSIONS)
-        last = "select true as goes, 'inf'::double as off" if j == 0 else f"select * from o{j - 1}"
-        goes = "true" if j == 0 else f"last.goes and max(o) > {m.TOLERANCE!r} and max(o) <= {m.STALLED} * any_value(last.off)"
-        off_now = "'inf'::double" if j == 0 else "max(o)"
-        ctes.append(f"o{j} as materialized (select {goes} as goes, {off_now} as off from ({off}), ({last}) last group by last.goes)")
+        first = k + 1
         for dim in m.DIMENSIONS:
             k += 1
             ctes.append(f"c{k} as materialized (select c.source, c.lang, c.topic, c.tokens, case when not o.goes then c.w "
-                        f"when c.s > 0 then c.w * (g.target / c.s) else 0 end as w from (select *, sum(w) over (partition by {dim}) "
-                        f"as s from c{k - 1}) c join g_{dim} g on g.name = c.{dim}, o{j} o)")
+                        f"when c.s > 0 then c.w * (g.target / c.s) else 0 end as w, abs(c.s - g.target) as e from (select *, "
+                        f"sum(w) over (partition by {dim}) as s from c{k - 1}) c join g_{dim} g on g.name = c.{dim}, o{j} o)")
+        seen = " union all ".join(f"select max(e) as e from c{i}" for i in range(first, k + 1))
+        ctes.append(f"o{j + 1} as materialized (select any_value(o.goes) and max(e) > {m.TOLERANCE!r} and max(e) <= {m.STALLED} * "
+                    f"any_value(o.off) as goes, max(e) as off from ({seen}), o{j} o)")
     ctes.append(f"r as materialized (select *, case when tokens > 0 then w * (select sum(tokens) from c0) / tokens else 1 end as weight from c{k})")
     ctes.append(f"s0 as materialized (select {m.FRACTION}::double as s)")
     for j in range(1, m.SCALE_STEPS + 1):
