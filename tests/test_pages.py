@@ -164,3 +164,28 @@ def test_empty_rows_and_null_page_id(spark):
     assert rows(b.filter("kind in ('table', 'list')").select("kind", "page_id")) == [("list", None), ("table", 1), ("table", 1)]
     got = P.table_rows(b).collect()
     assert [(r["header"], r["cells"]) for r in got] == [([], [])]
+
+
+def test_large_pages_are_read_in_pieces(spark, monkeypatch):
+    """A page cut at every few bytes gives the rows of the page read at once, and no task holds its rows."""
+    page = BOX.replace("Plain", "Plain &eacute; é <!-- no --> x") + "<table><tr><td>wide</td><td a='>'>b</td></tr></table><a href=/z>open &amp;"
+    one = rows(P.page_blocks(_pages(spark, [(1, "u", page), (None, "u", ""), (2, "u", page + "<!-- broken")])))
+    held = []
+    monkeypatch.setattr(P, "PIECE", 11)
+    drain = P._Page.drain
+    monkeypatch.setattr(P._Page, "drain", lambda self, *a: (held.append(len(self.fresh)), drain(self, *a))[1])
+    pieces = P._read_pieces(P.KINDS, P.to_arrow_schema(P.BLOCK_SCHEMA))
+    data, n = page.encode(), -(-len(page.encode()) // 11)
+    batch = P.pa.RecordBatch.from_pydict({"page_id": [1] * 2 * n, "n": [n] * 2 * n, "i": list(range(2 * n)),
+                                          "piece": [data[k * 11:k * 11 + 11] for k in [*range(n), *range(n)]]})
+    got = [r for b in pieces(iter([batch])) for r in b.to_pylist()]
+    assert len(got) == len([r for r in one if r[0] == 1]) and len(held) == 2 * n and max(held) <= 2
+    monkeypatch.undo()
+    monkeypatch.setattr(P, "PIECE", 11)
+    assert rows(P.page_blocks(_pages(spark, [(1, "u", page), (None, "u", ""), (2, "u", page + "<!-- broken")]))) == one
+
+
+def test_only_the_kinds_asked_for(spark):
+    pages = _pages(spark, [(1, "u", BOX), (2, "u", "  "), (3, "u", "<!-- cut")])
+    assert rows(P.page_blocks(pages, ["page"])) == rows(P.page_blocks(pages).filter("kind = 'page'"))
+    assert rows(P.page_blocks(pages, ["empty", "error"]).select("page_id", "kind")) == [(2, "empty"), (3, "error")]

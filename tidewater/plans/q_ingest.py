@@ -224,7 +224,7 @@ def q_page_box_scores(t: Tables) -> DataFrame:
     """S5 + S6 + S14: stat tables found by their header markers, total and short rows
     skipped; the team is the nearest short heading (a long one stands before every other
     table); cells are keyed by header name and coerced to numbers."""
-    rows = P.box_score_rows(P.page_blocks(box_score_pages(t)))
+    rows = P.box_score_rows(P.page_blocks(box_score_pages(t), kinds=("table",)))
     return P.stat_columns(rows, ["player", "min", "pts"], numbers=["min", "pts"]).select("page_id", "team_name", "player", "min", "pts")
 
 
@@ -238,7 +238,7 @@ select distinct {_PAGE}, 'Card ' || l_orderkey, ['x'] from lineitem
 def q_page_stat_cards(t: Tables) -> DataFrame:
     """Rows of the first table inside each ``div.card``, keyed by the card's title
     (which comes after the table here); total rows are skipped."""
-    return P.stat_card_rows(P.page_blocks(box_score_pages(t))).select("page_id", "team", "cells")
+    return P.stat_card_rows(P.page_blocks(box_score_pages(t), kinds=("table",))).select("page_id", "team", "cells")
 
 
 @query("page_play_by_play", f"""
@@ -249,7 +249,7 @@ from lineitem l join firsts f on {_PAGE} = f.page_id
 """)
 def q_page_play_by_play(t: Tables) -> DataFrame:
     """Rows with four data cells of the first table; teams from its head's spans."""
-    return P.play_by_play_rows(P.page_blocks(box_score_pages(t))).drop("row_no")
+    return P.play_by_play_rows(P.page_blocks(box_score_pages(t), kinds=("table",))).drop("row_no")
 
 
 @query("page_headings", f"""
@@ -259,7 +259,7 @@ from lineitem group by 1
 """)
 def q_page_headings(t: Tables) -> DataFrame:
     """The second-level headings are walked to the first one with a score."""
-    return P.game_info(P.page_blocks(box_score_pages(t)))
+    return P.game_info(P.page_blocks(box_score_pages(t), kinds=("page",)))
 
 
 @query("page_all_headings", r"""
@@ -267,7 +267,7 @@ select page_id, len(regexp_extract_all(html, '<h2>')) as n from pages
 """)
 def q_page_all_headings(t: Tables) -> DataFrame:
     """The second-level headings of every driver page (none of them has one)."""
-    return P.page_blocks(t.pages).filter(F.col("kind") == "page").select("page_id", F.size("cells").cast("long").alias("n"))
+    return P.page_blocks(t.pages, kinds=("page",)).filter(F.col("kind") == "page").select("page_id", F.size("cells").cast("long").alias("n"))
 
 
 def team_pages(t: Tables) -> DataFrame:
@@ -312,7 +312,12 @@ def scoreboard_pages(t: Tables) -> DataFrame:
     link = F.when(F.col("o_orderpriority") == "1-URGENT", "").otherwise(F.concat(
         F.lit('<a href="/players/1">p</a><a href="/contests/'), key, F.lit('/box_score">b</a><a href="/contests/7">x</a>')))
     row = F.concat(F.lit("<tr><td>"), key, F.lit("</td><td>"), link, F.lit("</td></tr>"))
-    return (o.groupBy(F.year("o_orderdate").cast("long").alias("page_id")).agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("b"))
+    # in order by ranges: a page is put together from the texts of its ranges, not from its rows
+    rows = (o.select(F.year("o_orderdate").cast("long").alias("page_id"), row.alias("row")).repartitionByRange("page_id", "row")
+            .withColumn("part", F.spark_partition_id()))
+    parts = rows.groupBy("page_id", "part").agg(F.array_join(F.array_sort(F.collect_list("row")), "").alias("text"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "text"))), lambda x: x["text"]), "")
+    return (parts.groupBy("page_id").agg(body.alias("b"))
             .select("page_id", F.lit("").alias("url"),
                     F.concat(F.lit('<a href="/contests/1">top</a><table><tr><th>No</th><th>Link</th></tr>'), F.col("b"), F.lit("</table>")).alias("html")))
 
@@ -326,7 +331,7 @@ from orders
 def q_page_rows_with_ids(t: Tables) -> DataFrame:
     """S11 + S21: each row gets the id of the first matching link inside it (none without
     one, whatever links stand elsewhere), and the season, division and sport asked for."""
-    rows = P.game_list(P.page_blocks(scoreboard_pages(t)), "2026", "1", "MBB")
+    rows = P.game_list(P.page_blocks(scoreboard_pages(t), kinds=("table",)), "2026", "1", "MBB")
     return rows.select("page_id", F.get("cells", 0).alias("no"), "contest_id", "season", "division", "sport_code")
 
 

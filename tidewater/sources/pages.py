@@ -3,7 +3,7 @@
 Input is a DataFrame ``pages(page_id, url, html)``.  Parsing markup needs
 Python (a small tokenizer of our own over one regular expression; no
 third-party parser), so ``page_blocks`` parses each page once inside
-``mapInPandas`` and drops the ``html`` there.  Every row that it emits carries
+``mapInArrow``, piece by piece, and drops the ``html`` there.  Every row that it emits carries
 what the operators need: a table row has its table's header, width and length,
 the headings before it, the card around it and the links inside it; a link row
 its address and text; a page row all second-level headings.  So the operators
@@ -12,17 +12,22 @@ are filters and expressions over one parse, without joins.
 
 from __future__ import annotations
 
+import codecs
 import html as _html
 import re
 import sys
+import uuid
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidewater.session import scratch_path
 from tidewater.sources.resultsets import NON_WORD
 
 # The parser runs in Python workers: ship this module's code with the task
@@ -31,7 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
-    T.StructField("kind", T.StringType()),        # table | list | link | page | error
+    T.StructField("kind", T.StringType()),        # table | list | link | page | error | empty
     T.StructField("block_no", T.IntegerType()),   # 0-based per page and kind, in document order
     T.StructField("headings", T.ArrayType(T.StringType())),  # h2-h4 before the block, then before each part around it
     T.StructField("card", T.StringType()),        # title of the div.card around it ('' without one), null outside cards
@@ -60,6 +65,10 @@ def _clean(text: str) -> str:
 _TOKEN = re.compile(r"<!--.*?-->|<!--|<![^>]*>|<\?[^>]*>"
                     r"|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
                     r"|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*+)>|([^<]+)|<", re.S)
+# A whole table row, or one cell, that holds text only: the same tags as above, taken at once.
+_PLAIN_ATTRS = r"(?:\s(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)?"
+_PLAIN_CELL = re.compile(rf"<t([dh]){_PLAIN_ATTRS}>([^<]*+)</t[dh]>")
+_PLAIN = re.compile(rf"(<tr{_PLAIN_ATTRS}>\s*+(?:<t[dh]{_PLAIN_ATTRS}>[^<]*+</t[dh]>\s*+)*+</tr>)|<t[dh]{_PLAIN_ATTRS}>[^<]*+</t[dh]>")
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style")}
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 
@@ -77,12 +86,11 @@ class PageError(ValueError):
 
 
 class _Page:
-    """Reads one page's markup into tables, lists, links and headings."""
+    """Reads one page's markup, piece by piece, into tables, lists, links and headings."""
 
     def __init__(self):
         self.tables: list[dict] = []
         self.lists: list[dict] = []
-        self.links: list[dict] = []
         self.second: list[str] = []             # texts of the h2 headings
         self.spans: list[str] = []              # of the first table head
         self.heads = 0                          # table heads seen
@@ -91,23 +99,42 @@ class _Page:
         self.open_lists: list[dict] = []
         self.parts: list[dict] = []             # open containers
         self.cell: dict | None = None           # open cell or item
-        self.link: dict | None = None
+        self.link: tuple[str, list[str]] | None = None
         self.heading: tuple[str, list[str]] | None = None
         self.span: list[str] | None = None
         self.last_heading = ""
-
-    def read(self, markup: str) -> None:
+        self.rest = ""                          # markup whose token may go on in the next piece
+        self.links: list[tuple] = []            # links read since the last ``drain``
+        self.n_links = 0                        # links drained
+        self.fresh: dict[int, tuple] = {}       # blocks with rows since the last ``drain``
+
+    def feed(self, piece: str, last: bool = True) -> None:
+        """Read on; what a later piece could change (a token at the end, something unclosed) waits for it."""
+        markup = self.rest + piece
         at, end = 0, len(markup)
+        token, plain = _TOKEN.match, _PLAIN.match
         while at < end:
-            m = _TOKEN.match(markup, at)
-            at = m.end()
-            tag = m[2] or m[5]
+            if self.open_tables and markup.startswith("<t", at) and self.plain_place():
+                m = plain(markup, at)
+                if m is not None:
+                    self.plain_cells(_PLAIN_CELL.findall(markup, at, m.end()), m[1] is not None)
+                    at = m.end()
+                    continue
+            m = token(markup, at)
+            tag = m[2]
+            if not last and (m.end() == end or (tag is None and m[7] is None and (m[5] or m[0] in ("<", "<!--")))):
+                break
+            start, at = at, m.end()
+            tag = tag or m[5]
             if tag is not None:
                 tag = tag.lower()
                 if m[1] or m[4]:
                     self.close(tag)
                 elif tag in _RAW_END:
                     stop = _RAW_END[tag].search(markup, at)
+                    if stop is None and not last:
+                        at = start
+                        break
                     at = end if stop is None else stop.end()
                 elif tag not in _VOID:
                     self.start(tag, m[3] or m[6] or "")
@@ -117,26 +144,47 @@ class _Page:
                 self.text("<")
             elif m[0] == "<!--":
                 raise PageError("page ends inside a comment")
-        for part in reversed(self.parts):
-            part["open"] = False
-        self.close_cell()
-        for t in self.open_tables:
-            self.close_row(t)
+        self.rest = markup[at:]
+        if last:
+            self.close_cell()
+            for t in self.open_tables:
+                self.close_row(t)
+            self.link = None
 
     # -- where a block stands --------------------------------------------
     def place(self) -> dict:
         before = dict.fromkeys(h for h in [self.last_heading, *[p["before"] for p in reversed(self.parts)]] if h)
         return {"headings": list(before), "card": next((p for p in reversed(self.parts) if p["card"]), None)}
 
+    def plain_place(self) -> bool:
+        """In a table, with nothing open that the text of a cell would also go to."""
+        return self.cell is None and self.link is None and self.heading is None and self.span is None
+
+    def plain_cells(self, found: list[tuple[str, str]], whole_row: bool) -> None:
+        """Cells that hold text only, of a whole row or one of a row."""
+        t = self.open_tables[-1]
+        if whole_row:
+            self.close_row(t)
+        if t["row"] is None:
+            t["row"] = ([], [], [])
+        cells, data, _ = t["row"]
+        for kind, text in found:
+            text = " ".join((_html.unescape(text) if "&" in text else text).split())
+            cells.append(text)
+            if kind == "d":
+                data.append(text)
+        if whole_row:
+            self.close_row(t)
+
     def start(self, tag: str, attrs: str) -> None:
         if tag in _PARTS:
             classes = (_attribute(attrs, "class") or "").split() if attrs else []
             self.parts.append({"tag": tag, "card": tag == "div" and "card" in classes, "title": None, "tables": 0,
-                               "before": self.last_heading, "open": True})
+                               "before": self.last_heading})
         elif tag in _HEADINGS:
             self.heading = (tag, [])
         elif tag == "table":
-            t = {"rows": [], "row": None, **self.place()}
+            t = {"no": len(self.tables), "rows": [], "row": None, "header": [], "wide": 0, "n": 0, **self.place()}
             t["card_block"] = t["card"]["tables"] if t["card"] else None
             if t["card"]:
                 t["card"]["tables"] += 1
@@ -149,31 +197,34 @@ class _Page:
             self.span = []
         elif tag == "tr" and self.open_tables:
             self.close_row(self.open_tables[-1])
-            self.open_tables[-1]["row"] = {"cells": [], "data": [], "links": []}
+            self.open_tables[-1]["row"] = ([], [], [])
         elif tag in ("td", "th") and self.open_tables:
             self.close_cell()
             t = self.open_tables[-1]
             if t["row"] is None:
-                t["row"] = {"cells": [], "data": [], "links": []}
+                t["row"] = ([], [], [])
             self.cell = {"text": [], "row": t["row"], "data": tag == "td"}
         elif tag in ("ul", "ol"):
-            one = {"items": [], **self.place()}
+            one = {"no": len(self.lists), "rows": [], "n": 0, **self.place()}
             self.lists.append(one)
             self.open_lists.append(one)
         elif tag == "li" and self.open_lists and not (self.open_tables and self.open_tables[-1]["row"] is not None):
             self.close_cell()
-            item = {"cells": [], "data": [], "links": []}
-            self.open_lists[-1]["items"].append(item)
+            item = ([], [], [])
+            one = self.open_lists[-1]
+            one["rows"].append(item)
+            one["n"] += 1
+            self.fresh[id(one)] = ("list", one)
             self.cell = {"text": [], "row": item, "data": False}
         elif tag == "a":
             href = _attribute(attrs, "href")
             self.link = None
             if href is not None:
-                self.link = {"href": href, "text": []}
+                self.link = (href, [])
                 self.links.append(self.link)
                 row = self.cell["row"] if self.cell else (self.open_tables[-1]["row"] if self.open_tables else None)
                 if row is not None:
-                    row["links"].append(href)
+                    row[2].append(href)
 
     def close(self, tag: str) -> None:
         if tag in _PARTS:
@@ -210,69 +261,179 @@ class _Page:
             self.link = None
 
     def text(self, data: str) -> None:
-        for held in (self.heading and self.heading[1], self.cell and self.cell["text"], self.link and self.link["text"], self.span):
-            if held is not None:
-                held.append(data)
+        if self.heading is not None:
+            self.heading[1].append(data)
+        if self.cell is not None:
+            self.cell["text"].append(data)
+        if self.link is not None:
+            self.link[1].append(data)
+        if self.span is not None:
+            self.span.append(data)
 
     def close_cell(self) -> None:
         if self.cell is not None:
             text = _clean("".join(self.cell["text"]))
-            self.cell["row"]["cells"].append(text)
+            self.cell["row"][0].append(text)
             if self.cell["data"]:
-                self.cell["row"]["data"].append(text)
+                self.cell["row"][1].append(text)
             self.cell = None
 
     def close_row(self, table: dict) -> None:
         if table["row"] is not None:
             self.close_cell()
-            table["rows"].append(table["row"])
-            table["row"] = None
+            row, table["row"] = table["row"], None
+            table["rows"].append(row)
+            if table["n"] == 0:
+                table["header"] = row[0]
+            elif len(row[0]) > table["wide"]:
+                table["wide"] = len(row[0])
+            table["n"] += 1
+            self.fresh[id(table)] = ("table", table)
 
     # -- what was read ----------------------------------------------------
-    def rows(self) -> list[tuple]:
-        first = len(self.tables[0]["rows"]) if self.tables else 0
-        card = lambda b: None if b["card"] is None else (b["card"]["title"] or "")
-        out: list[tuple] = [("page", 0, [], None, None, 0, self.second, [], [], 0, first, self.spans, [])]
-        for no, t in enumerate(self.tables):
-            header = t["rows"][0]["cells"] if t["rows"] else []
-            wide = max((len(r["cells"]) for r in t["rows"][1:]), default=0)
-            out += [("table", no, t["headings"], card(t), t["card_block"], i, r["cells"], r["data"], header, wide, len(t["rows"]),
-                     self.spans, r["links"]) for i, r in enumerate(t["rows"])]
-        for no, b in enumerate(self.lists):
-            out += [("list", no, b["headings"], card(b), None, i, r["cells"], [], [], 1, len(b["items"]), [], r["links"])
-                    for i, r in enumerate(b["items"])]
-        out += [("link", 0, [], None, None, i + 1, [_clean("".join(x["text"]))], [], [], 1, first, [], [x["href"]])
-                for i, x in enumerate(self.links)]
-        return out
-
-
-def parse_page(markup: str | None) -> list[tuple]:
-    """Rows of one page (``BLOCK_SCHEMA`` without the id); a page that cannot be read
-    to its end gives one ``error`` row with the reason and nothing else."""
-    page = _Page()
-    try:
-        page.read(markup or "")
-    except PageError as e:
-        return [("error", 0, [], None, None, 0, [str(e)], [], [], 0, 0, [], [])]
-    return page.rows()
-
-
-def _blocks_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = [f.name for f in BLOCK_SCHEMA.fields]
-    for pdf in batches:
-        for lo in range(0, len(pdf), 256):             # bounds the rows held at a time
-            part = pdf.iloc[lo:lo + 256]
-            out = [(None if pd.isna(pid) else int(pid), *row) for pid, markup in zip(part["page_id"], part["html"])
-                   for row in parse_page(markup)]
-            got = pd.DataFrame(out, columns=cols)
-            for c in ("page_id", "card_block"):
-                got[c] = got[c].astype("Int64")
-            yield got
-
-
-def page_blocks(pages: DataFrame) -> DataFrame:
-    """Every table row, list item, link and page of a batch (html dropped here)."""
-    return pages.select(F.col("page_id").cast("long"), "html").mapInPandas(_blocks_batches, BLOCK_SCHEMA)
+    def drain(self, whole: _Page, page_id: int | None, out: _Rows | None) -> None:
+        """Hand the rows read since the last call to ``out`` (None: nobody) and forget them.
+
+        ``whole`` has read the page to its end (it may be this one): it knows the length
+        and width of tables, the titles of cards and the spans."""
+        first = whole.tables[0]["n"] if whole.tables else 0
+        done, self.fresh = self.fresh, {}
+        for kind, b in done.values():
+            rows, b["rows"] = b["rows"], []
+            begin = b["n"] - len(rows)
+            if kind == "list" and self.cell is not None and self.cell["row"] is rows[-1]:
+                b["rows"] = [rows.pop()]               # the open item
+                self.fresh[id(b)] = (kind, b)
+            if out is None or kind not in out.kinds or not rows:
+                continue
+            card = (whole.tables if kind == "table" else whole.lists)[b["no"]]["card"]
+            title = None if card is None else (card["title"] or "")
+            if kind == "table":
+                out.add(page_id, kind, b["no"], b["headings"], title, b["card_block"], begin, rows, b["header"],
+                        whole.tables[b["no"]]["wide"], whole.tables[b["no"]]["n"], whole.spans)
+            else:
+                out.add(page_id, kind, b["no"], b["headings"], title, None, begin, rows, [], 1, whole.lists[b["no"]]["n"], [])
+        links, self.links = self.links, []
+        if self.link is not None:
+            links.pop()
+            self.links = [self.link]                   # the open one
+        if out is not None and "link" in out.kinds and links:
+            out.add(page_id, "link", 0, [], None, None, self.n_links + 1, [([_clean("".join(t))], [], [h]) for h, t in links],
+                    [], 1, first, [])
+        self.n_links += len(links)
+
+    def about(self, page_id: int | None, out: _Rows) -> None:
+        if "page" in out.kinds:
+            out.add(page_id, "page", 0, [], None, None, 0, [(self.second, [], [])], [], 0,
+                    self.tables[0]["n"] if self.tables else 0, self.spans)
+
+
+class _Rows:
+    """Rows of ``BLOCK_SCHEMA``, column by column, of the kinds that are asked for."""
+
+    LISTS = ("headings", "cells", "data_cells", "header", "spans", "links")
+
+    def __init__(self, kinds: Sequence[str], schema: pa.Schema):
+        self.kinds, self.schema = frozenset(kinds), schema
+        self.clear()
+
+    def clear(self) -> None:
+        self.columns: dict[str, list] = {name: [] for name in self.schema.names}
+        self.flat: dict[str, list] = {name: [] for name in self.LISTS}
+        self.held = 0
+
+    def add(self, page_id, kind, block_no, headings, card, card_block, begin, rows, header, n_cols, n_rows, spans) -> None:
+        """Rows of one block from row ``begin`` on; each is (cells, data cells, links)."""
+        n, to, flat = len(rows), self.columns, self.flat
+        for name, value in (("page_id", page_id), ("kind", kind), ("block_no", block_no), ("card", card), ("card_block", card_block),
+                            ("n_cols", n_cols), ("n_rows", n_rows)):
+            to[name] += [value] * n
+        to["row_no"] += range(begin, begin + n)
+        for name, values in (("headings", headings), ("header", header), ("spans", spans)):
+            to[name] += [len(values)] * n
+            flat[name] += values * n
+        for name, k in (("cells", 0), ("data_cells", 1), ("links", 2)):
+            size, values = to[name], flat[name]
+            for row in rows:
+                size.append(len(row[k]))
+                values += row[k]
+        self.held += n
+
+    def batch(self) -> pa.RecordBatch:
+        arrays = []
+        for field in self.schema:
+            values = self.columns[field.name]
+            if field.name in self.flat:
+                offsets = np.zeros(len(values) + 1, np.int32)
+                np.cumsum(values, out=offsets[1:])
+                arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.flat[field.name], pa.string()), type=field.type))
+            else:
+                arrays.append(pa.array(values, field.type))
+        self.clear()
+        return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
+
+
+#: Kinds of rows; ``empty`` ones stand beside the others of pages without any markup but spaces.
+KINDS = ("table", "list", "link", "page", "error")
+PIECE = 4 << 20          # bytes of a page that are read at a time
+HELD = 20_000            # rows after which a task hands on what it has
+
+
+def _read_pieces(kinds: Sequence[str], schema: pa.Schema):
+    """Rows of pages that come in pieces.  A page of one piece is read once; the pieces of a larger one come
+    twice, first to learn what its rows say about the whole, then to make them, so no page is held."""
+
+    def failed(out, page_id, e):
+        if "error" in out.kinds:
+            out.add(page_id, "error", 0, [], None, None, 0, [([str(e)], [], [])], [], 0, 0, [])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = _Rows(kinds, schema)
+        for batch in batches:
+            columns = [batch.column(name) for name in ("page_id", "n", "i", "piece")]
+            for k in range(batch.num_rows):
+                page_id, n, i, piece = (c[k].as_py() for c in columns)
+                if i == 0:
+                    page, whole, blank, error = _Page(), None, True, None
+                    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+                elif i == n:
+                    page, whole = _Page(), page
+                    decoder.reset()
+                blank = blank and not piece.strip(b" ")
+                last = i % n == n - 1
+                if error is None:
+                    try:
+                        page.feed(decoder.decode(piece, last), last)
+                    except PageError as e:
+                        error = e
+                        failed(out, page_id, e)
+                    else:
+                        if n == 1:
+                            page.drain(page, page_id, out)
+                        else:
+                            page.drain(whole or page, page_id, out if whole else None)
+                        if i == n - 1:
+                            page.about(page_id, out)
+                if i == n - 1 and blank and "empty" in out.kinds:
+                    out.add(page_id, "empty", 0, [], None, None, 0, [([], [], [])], [], 0, 0, [])
+                if out.held >= HELD:
+                    yield out.batch()
+        yield out.batch()
+
+    return run
+
+
+def page_blocks(pages: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
+    """Every table row, list item, link and page of a batch (html dropped here), or the ``kinds`` of them asked for.
+
+    A page that cannot be read to its end gives one ``error`` row with the reason and nothing else.
+    """
+    read = pages.select(F.col("page_id").cast("long"), F.coalesce("html", F.lit("")).cast("binary").alias("html"))
+    read = read.withColumn("n", F.greatest(F.lit(1), F.ceil(F.octet_length("html") / PIECE)).cast("int"))
+    # the pieces of a page stay together, in order: nothing here moves rows between tasks
+    each = read.select("page_id", "n", "html", F.explode(F.sequence(F.lit(0), F.when(F.col("n") > 1, 2 * F.col("n") - 1).otherwise(0))).alias("i"))
+    pieces = each.select("page_id", "n", "i", F.substring("html", (F.col("i") % F.col("n")) * PIECE + 1, F.lit(PIECE)).alias("piece"))
+    return pieces.mapInArrow(_read_pieces(kinds, to_arrow_schema(BLOCK_SCHEMA)), BLOCK_SCHEMA)
 
 
 def table_rows(blocks: DataFrame, first_table_only: bool = False) -> DataFrame:
@@ -304,15 +465,18 @@ def _is_total(cells: Column) -> Column:
     return F.upper(F.coalesce(F.get(cells, 0), F.lit(""))).isin(*TOTAL_ROW_MARKERS)
 
 
+def _is_box_row() -> Column:
+    markers = F.array(*[F.lit(m) for m in BOX_HEADER_MARKERS])
+    return ((F.col("kind") == "table") & (F.col("row_no") > 0) & F.arrays_overlap(F.transform("header", lambda h: F.upper(h)), markers)
+            & (F.size("cells") >= 2) & ~_is_total(F.col("cells")))
+
+
 def box_score_rows(blocks: DataFrame) -> DataFrame:
     """Rows of tables whose header has a stat marker; rows with fewer than
     two cells and total rows are skipped; the team is the nearest heading that is
     short enough for a name (before the table, else before a part around it)."""
-    markers = F.array(*[F.lit(m) for m in BOX_HEADER_MARKERS])
-    t = blocks.filter((F.col("kind") == "table") & (F.col("row_no") > 0)
-                      & F.arrays_overlap(F.transform("header", lambda h: F.upper(h)), markers))
     named = F.filter("headings", lambda h: F.length(h) < TEAM_NAME_LIMIT)
-    return (t.filter((F.size("cells") >= 2) & ~_is_total(F.col("cells")))
+    return (blocks.filter(_is_box_row())
             .select("page_id", "block_no", F.coalesce(F.get(named, 0), F.lit("")).alias("team_name"), "row_no",
                     header_keys(F.col("header"), name_empty=False).alias("header"), "cells"))
 
