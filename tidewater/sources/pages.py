@@ -587,7 +587,11 @@ CONTEST_BOX_PATTERN = r"/contests/(\d+)/box_score"
 def _score_fields(text: Column) -> dict[str, Column]:
     dash = F.instr(text, "-")
     rest = F.when(dash > 0, F.trim(F.substr(text, dash + 1))).otherwise(F.trim(text))
-    part = lambda i: F.nullif(F.trim(F.regexp_extract(rest, SCORE_PATTERN, i)), F.lit(""))
+    # The first match begins where a run of name characters does, so no other place need be tried, and
+    # a heading without a number before a comma holds none: the work grows with the heading, not its square.
+    named = r"(?<![\w\s\.\'\-\&])" + SCORE_PATTERN
+    scored = rest.rlike(r"\d\s*,")
+    part = lambda i: F.when(scored, F.nullif(F.trim(F.regexp_extract(rest, named, i)), F.lit("")))
     return {"game_date": F.when(dash > 0, F.trim(F.substring_index(text, "-", 1))), "away_team": part(1),
             "away_score": part(2).try_cast("int"), "home_team": part(3), "home_score": part(4).try_cast("int")}
 
