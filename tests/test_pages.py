@@ -199,3 +199,18 @@ def test_headings_cost_in_proportion_to_their_length(spark):
     began = time.time()
     got = P.game_info(P.page_blocks(pages, ["page"])).first()
     assert tuple(got) == (1, "5 May", "A. B", 7, "C's", 9) and time.time() - began < 20
+
+
+def test_a_batch_is_made_and_parsed_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def make(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    pages = _pages(spark, [(1, "u", BOX), (2, "u", " "), (3, "u", "<!-- cut"), (None, "u", None)]).mapInArrow(make, "page_id long, url string, html string")
+    got = P.load_box_scores(pages, "2026")
+    assert rows(got["quarantine"]) == [(2, "empty page"), (3, "page ends inside a comment"), (None, "empty page")]
+    assert sorted((r["page_id"] or 0) for r in got["games"].collect()) == [0, 1] and got["players"].count() == 2
+    assert made.value == 4

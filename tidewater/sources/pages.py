@@ -652,13 +652,17 @@ def load_box_scores(pages: DataFrame, season: str) -> dict[str, DataFrame]:
     """A batch of box-score pages as two tables and a quarantine, out of one parse.
 
     ``players``: rows (see ``box_score_rows``) with the season; ``games``: game info per
-    page; ``quarantine``: pages that are empty or cannot be read, with the reason.  The
-    parse is written to the shared folder once, all three read it.
+    page; ``quarantine``: pages that are empty or cannot be read, with the reason.  The pages
+    are made and parsed once; what the three tables are made of is written to the shared folder.
     """
-    from tidewater.operators.writers import materialize
-
-    blocks = materialize(page_blocks(pages))
-    empty = pages.filter(F.trim(F.coalesce(F.col("html"), F.lit(""))) == "").select("page_id", F.lit("empty page").alias("error"))
+    spark = pages.sparkSession
+    parsed = page_blocks(pages, kinds=("table", "page", "error", "empty"))
+    path = scratch_path(spark, f"tidewater-pages-{uuid.uuid4().hex}")
+    kept = parsed.filter((F.col("kind") != "table") | _is_box_row()).select(
+        "page_id", "kind", "block_no", "headings", "row_no", "cells", "header")
+    kept.write.parquet(path)
+    blocks = spark.read.schema(kept.schema).parquet(path)
+    empty = blocks.filter(F.col("kind") == "empty").select("page_id", F.lit("empty page").alias("error"))
     failed = blocks.filter(F.col("kind") == "error").select("page_id", F.get("cells", 0).alias("error"))
     season_col = F.lit(season).alias("season")
     games = game_info(blocks).join(empty.select("page_id"), "page_id", "left_anti")
