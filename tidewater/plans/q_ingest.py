@@ -177,7 +177,10 @@ def box_score_pages(t: Tables) -> DataFrame:
     (header Player/MIN/PTS, one row per line, a TOTALS row, a one-cell row).  The first
     table of each page is a play-by-play: spans in its head, four data cells per line, a
     row of header cells, a three-cell row.  Attributes come in all quoting styles."""
-    li = t.lineitem
+    page = F.floor(F.col("l_orderkey") / ORDERS_PER_PAGE).alias("page_id")
+    # one shuffle, of the plain columns: the lines of a page meet before they become text
+    li = t.lineitem.select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_returnflag", "l_linestatus", page) \
+        .repartition("page_id")
     qty = F.col("l_quantity").cast("bigint").cast("string")
     num = F.col("l_linenumber").cast("string")
     stat_row = F.concat(F.lit("<tr><td>S"), F.col("l_suppkey").cast("string"), F.lit("</td><td>"), num, F.lit("</td><td>"), qty,
@@ -185,7 +188,7 @@ def box_score_pages(t: Tables) -> DataFrame:
     event_row = F.concat(F.lit("<tr><td>"), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("</td><td>line "), num,
                          F.lit(" &amp; more</td><td>"), F.col("l_returnflag"), F.lit("</td><td>"), F.col("l_linestatus"),
                          F.lit("</td></tr>"))
-    per_order = li.groupBy("l_orderkey").agg(
+    per_order = li.groupBy("page_id", "l_orderkey").agg(
         F.array_join(F.collect_list(stat_row), "").alias("stats"),
         F.array_join(F.collect_list(event_row), "").alias("events"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("total"))
@@ -198,8 +201,7 @@ def box_score_pages(t: Tables) -> DataFrame:
         F.lit("</td></tr><tr><td>x</td></tr></table><h3>Card "), key, F.lit("</h3></div></div>"))
     sort = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", c))),
                                               lambda x: x[c]), "")
-    pages = (per_order.select(F.floor(F.col("l_orderkey") / ORDERS_PER_PAGE).alias("page_id"), "l_orderkey",
-                              card.alias("card"), "events")
+    pages = (per_order.select("page_id", "l_orderkey", card.alias("card"), "events")
              .groupBy("page_id").agg(sort("card").alias("cards"), sort("events").alias("events"),
                                      F.min("l_orderkey").alias("first")))
     first = F.col("first").cast("string")
