@@ -118,3 +118,15 @@ def test_checks_cost_no_second_scan(spark):
     df = spark.createDataFrame(DATA, "id bigint, name string, n int").mapInPandas(look, "id bigint, name string, n int")
     W.checked_load(df, fresh(spark, "once"), CHECKS, quarantine=fresh(spark, "once-aside"))
     assert seen.value == len(DATA)
+
+
+def test_percentiles_are_compared_without_collecting_the_values(spark):
+    from itertools import product
+    for column, value in product(([1], [1, 2], [1, 2, 2, 3, 10], list(range(21)), [5, None, 5, 7], [None], []), (None, 0.5, 1.0, 1.45, 1.5, 2.0, 9.0, 10.9, 11, 12)):
+        df = spark.createDataFrame([(x,) for x in column], "x long")
+        values = spark.createDataFrame([(None if value is None else float(value),)], "x double")
+        lo, hi = df.agg(F.percentile("x", F.lit(0.45)), F.percentile("x", F.lit(0.55))).first()
+        want = None if lo is None or value is None else lo <= value <= hi
+        assert Q.within_percentiles(df, values, 0.45, 0.55).first().x == want, (column, value)
+    plan = Q.within_percentiles(df, values, 0.45, 0.55)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile(" not in plan and "collect_list" not in plan

@@ -281,6 +281,34 @@ def merged_profile(states: DataFrame, table_name: str = "table") -> DataFrame:
                       "c.min_value", "c.max_value", "c.median")
 
 
+def within_percentiles(df: DataFrame, values: DataFrame, low: float, high: float) -> DataFrame:
+    """One row of booleans: whether each column's value in ``values`` (one row) lies between the exact percentiles ``low``
+    and ``high`` (interpolated, as ``percentile`` gives them) of the column of that name.  Null without a value.
+
+    Counts on both sides of the value and its neighbours decide that, so no task gets the column's values.
+    """
+    held = values.select(*[F.col(f"`{n}`").cast("double").alias(f"_v{i}") for i, n in enumerate(values.columns)])
+    aggs, out = [], []
+    for i, n in enumerate(values.columns):
+        x, v = F.col(f"`{n}`").cast("double"), F.col(f"_v{i}")
+        aggs += [F.max(v).alias(f"v{i}"), F.count(x).alias(f"n{i}"), F.count_if(x <= v).alias(f"le{i}"), F.count_if(x < v).alias(f"lt{i}"),
+                 F.max(F.when(x <= v, x)).alias(f"at_most{i}"), F.min(F.when(x > v, x)).alias(f"above{i}"),
+                 F.max(F.when(x < v, x)).alias(f"below{i}"), F.min(F.when(x >= v, x)).alias(f"at_least{i}")]
+
+        def place(q, before, after):
+            at = (F.col(f"n{i}") - 1) * F.lit(float(q))
+            down, up = F.floor(at), F.ceil(at)
+            return down, up, (up - at) * F.col(before) + (at - down) * F.col(after)
+
+        v = F.col(f"v{i}")
+        down, up, mid = place(low, f"at_most{i}", f"above{i}")
+        reaches = F.when(F.col(f"le{i}") > up, True).when(F.col(f"le{i}") <= down, False).otherwise(mid <= v)
+        down, up, mid = place(high, f"below{i}", f"at_least{i}")
+        stays = F.when(F.col(f"lt{i}") <= down, True).when(F.col(f"lt{i}") > up, False).otherwise(v <= mid)
+        out.append(F.when(v.isNotNull() & (F.col(f"n{i}") > 0), reaches & stays).alias(n))
+    return df.crossJoin(F.broadcast(held)).agg(*aggs).select(*out)
+
+
 def fixture_frame(spark, rows: Sequence[dict], schema: T.StructType | str) -> DataFrame:
     """Unit-test fixture rows (dicts) as a typed frame.
 
