@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -127,3 +128,25 @@ def test_scores_are_exact(spark):
     df = spark.createDataFrame(cases, "a long, l long, r long")
     s = [r.s for r in df.select(m.score(df.a, df.l, df.r).alias("s")).collect()]
     assert s == [1000000 * a * a // (l * r) for a, l, r in cases]
+
+
+def test_memory_of_a_run_and_of_a_merge():
+    """numpy's peak for a chunk's windows and for a range's merge, by byte of text and by window."""
+    import tracemalloc
+    rng = np.random.default_rng(5)
+    names = np.array([f"word{k}" for k in range(20_000)])
+    texts = pa.array([" ".join(rng.choice(names, 400)) for _ in range(1200)])
+    tracemalloc.start()
+    try:
+        words, packed, bits = next(m.windows(texts, m.CHUNK))
+        window_peak = tracemalloc.get_traced_memory()[1]
+        runs = m.run_rows("en", words, *m.counted(packed), bits, []) * 2
+        columns = list(zip(*runs))
+        table = pa.table([pa.array(c) for c in columns], names=[c.split()[0] for c in m.RUN.split(", ")])
+        here = tracemalloc.get_traced_memory()[0]
+        tracemalloc.reset_peak()
+        m.merge_runs(table, 10)
+        merge_peak = tracemalloc.get_traced_memory()[1] - here
+    finally:
+        tracemalloc.stop()
+    assert window_peak < 10 * m.CHUNK and merge_peak < 80 * 2 * len(packed)

@@ -96,10 +96,9 @@ def windows(texts: pa.Array, size: int = CHUNK):
         if bits is None:
             want //= 2
             continue
-        mark = ends_table[data[lo:hi]].astype(np.int32)
-        own = offsets[np.searchsorted(offsets, lo):np.searchsorted(offsets, hi)] - lo
-        np.add.at(mark, own, 1)
-        piece = np.cumsum(mark, dtype=np.int32)[starts - lo]
+        own = offsets[np.searchsorted(offsets, lo):np.searchsorted(offsets, hi)]
+        breaks = np.sort(np.concatenate([np.flatnonzero(ends_table[data[lo:hi]]) + lo, own]))
+        piece = np.searchsorted(breaks, starts, "right")
         second, third = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
         second[:-1] = np.where(piece[1:] == piece[:-1], number[1:], 0)
         third[:-2] = np.where(piece[2:] == piece[:-2], number[2:], 0)
@@ -182,7 +181,7 @@ def counted(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _numbers(column: pa.ChunkedArray) -> list[np.ndarray]:
-    return [np.frombuffer(v, "<u4").astype(np.int64) for v in column.to_pylist()]
+    return [np.frombuffer(v, "<u4") for v in column.to_pylist()]
 
 
 def merge_runs(table: pa.Table, min_count: int) -> pa.Table:
@@ -191,23 +190,30 @@ def merge_runs(table: pa.Table, min_count: int) -> pa.Table:
     Left out are counts below ``min_count`` that are complete.
     """
     lengths = _numbers(table.column("lengths"))
-    offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths), dtype=np.int64)])
     pool = b"".join(table.column("words").to_pylist())
     words, number = coded(pa.Array.from_buffers(
         pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(pool)]))
     base = np.cumsum([0, *[len(x) for x in lengths]])
+    number, none = number.astype(np.uint32), np.zeros(1, np.uint32)
     three = []
     for name in ("first", "second", "third"):
-        runs = [np.concatenate([[0], number[lo:hi]])[own] for lo, hi, own in zip(base, base[1:], _numbers(table.column(name)))]
+        runs = [np.concatenate([none, number[lo:hi]])[own] for lo, hi, own in zip(base, base[1:], _numbers(table.column(name)))]
         three.append(np.concatenate(runs))
     n = np.concatenate(_numbers(table.column("n")))
     bits = packing(len(words))
     if bits is not None:                     # runs are sorted already: a stable sort merges them
-        order = np.argsort((three[0] << 2 * bits) | (three[1] << bits) | three[2], kind="stable")
+        key = three[0].astype(np.int64)
+        for x in three[1:]:
+            key <<= bits
+            key |= x
+        order = np.argsort(key, kind="stable")
+        del key
     else:
         order = np.lexsort(three[::-1])
     a, b, c = (x[order] for x in three)
-    total = np.concatenate([[0], np.cumsum(n[order])])
+    total = np.concatenate([[0], np.cumsum(n[order], dtype=np.int64)])
+    del three, order, n
     rows = [(0, 0, 0, int(total[-1]))]
     change = np.ones(len(a) + 1, bool)       # does a new word, pair, triple begin here?
     found = []
