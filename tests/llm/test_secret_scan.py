@@ -125,3 +125,12 @@ def test_credentials_in_addresses(spark):
     got = {r.doc_id: r.text for r in s.redact(docs).collect()}
     for i, (t, want) in enumerate(texts.items()):
         assert got[i] == (want or t)
+
+
+def test_labelled_findings_compile(spark, capsys):
+    """The rules' plan is compiled as one method of legal size, not given up after a large attempt on the driver."""
+    import re
+
+    s.labelled_findings(spark, 60).explain("codegen")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(-?\d+)", capsys.readouterr().out)]
+    assert sizes and all(0 < x < 65_536 for x in sizes)
