@@ -306,3 +306,47 @@ def test_second_factor_uses_every_count(spark, monkeypatch):
 
 def test_later_windows_see_context():
     assert m.WINDOW - m.STRIDE >= 8 and m.CLASSES >= 144     # subwords before the first one that a later window scores
+
+
+def test_every_training_document_trains_the_model(spark, monkeypatch):
+    """The pass over all documents: counts around ids, and a model that fits what its start has not seen."""
+    kept = {}
+    classes, train, around = m.classes_of, m.train, m.neighbours
+    monkeypatch.setattr(m, "SAMPLE", 3)
+    monkeypatch.setattr(m, "STEPS", 5)
+    monkeypatch.setattr(m, "BATCH", 8)
+    monkeypatch.setattr(m, "PIECE", 700)
+    monkeypatch.setattr(m, "neighbours", lambda *a: kept.setdefault("around", around(*a)))
+    monkeypatch.setattr(m, "classes_of", lambda *a: kept.setdefault("klass", classes(*a)))
+
+    def start(*a):
+        kept["p"] = p = train(*a)
+        kept["start"] = dict(p)
+        return p
+
+    monkeypatch.setattr(m, "train", start)
+    rng = np.random.default_rng(2)
+    pairs = [(i, " ".join(f"{a} the {a}" for a in rng.choice(BANK[:8], 12))) for i in range(400)] + [(900, "bank " * 900), (901, None)]
+    m.score(spark.createDataFrame(pairs, "doc_id long, text string").repartition(2)).count()
+    learned = [t or "" for i, t in pairs if zlib.crc32(str(i).encode()) % 10]
+    ids, n, *_ = m.Words("byte_bpe_50k.tiktoken").stream(learned)
+    own = m.own_classes(np.bincount(ids, minlength=m.IDS).astype(float))
+    first = np.cumsum(n) - n
+    before = np.r_[m.END_ID, ids[:-1]]
+    before[first] = m.END_ID
+    codes, times = np.unique(m.neighbour_codes(own, before, ids), return_counts=True)
+    assert sorted(zip(*kept["around"])) == list(zip(codes, times))
+    klass = kept["klass"]
+    fit = [m.log10_scores(p, klass[ids], n).mean() for p in (kept["start"], kept["p"])]
+    assert fit[1] > fit[0] + 0.02
+
+
+def test_streams_are_whole_texts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(m, "PIECE", 10)
+    texts = [np.arange(k) for k in (1, 4, 30, 1, 1, 9, 2)]
+    batch = pa.RecordBatch.from_arrays([pa.array([x.astype("<u2").tobytes() for x in texts])], names=["ids"])
+    for lo in range(3):
+        got = [x for ids, n in m.streams_of([batch.slice(lo)]) for x in np.split(ids, np.cumsum(n)[:-1])]
+        assert [x.tolist() for x in got] == [x.tolist() for x in texts[lo:]]

@@ -15,8 +15,12 @@ The model gives log10 probabilities of a text's lower-cased words and its end:
   pair counts.  The first factor is a causal self-attention model:
   class and position embeddings, one masked head, a hidden layer, and a table of
   direct successor weights; it gives a set of ``PER`` classes, then a class of that set
-  (a softmax in two levels).  It is trained in numpy with Adam on at most ``SAMPLE``
-  training documents (smallest hashes of the id, whole texts).
+  (a softmax in two levels).  It is trained in numpy with Adam on all training
+  documents: a start from at most ``SAMPLE`` of them (smallest hashes of the id, whole
+  texts) on the driver, then one pass over every subword of every training document, in
+  tasks that go on from that start; the model is the mean of what the tasks end with, by
+  their numbers of subwords.  Classes come from counts of all training documents, of ids
+  and of the classes around them.  The mean depends a little on how the rows are dealt.
 * Scoring cuts each text into windows of ``WINDOW`` subwords that overlap; each
   window after the first scores its last ``STRIDE`` subwords, so every subword is
   scored once, with earlier ones as context.  Windows run in batches with one
@@ -53,8 +57,11 @@ CLASSES, GROUPS = 144, 32        # classes in all; of them groups of less freque
 SETS, PER = 12, 12               # sets of classes, classes of a set
 WINDOW, STRIDE = 32, 24
 WIDTH, HIDDEN = 16, 32
-SAMPLE = 2500                    # documents that the model is fitted on, at most
-STEPS, BATCH, RATE = 1200, 320, 8e-3
+SAMPLE = 2500                    # documents that the pass over all documents starts from, at most
+STEPS, BATCH, RATE = 1600, 320, 8e-3
+LATER = 2e-3                     # rate of the pass over all documents; it falls with the square root of the steps
+PIECE = 1 << 19                  # subwords that a task lays out as windows at a time, at least one document
+MEANS = 32                       # parts in which the tasks' models are summed before the driver sees them
 SEED = 5
 FREQUENT = 200_000               # words over 1 / FREQUENT of all tokens: their number has this bound
 BACKING = 5.0                    # weight of single ids against pairs
@@ -188,30 +195,43 @@ def grouped(x: np.ndarray, groups: int) -> np.ndarray:
     return group
 
 
-def classes_of(counts: np.ndarray, sample: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
-    """A class for every id: the most frequent have their own, others are grouped by the classes around them.
-
-    With ``starts`` no group holds ids of both kinds.  Classes are numbered by kind, then by
-    frequency, so a set of ``PER`` classes holds like ones.
-    """
-    starts = np.ones(IDS, bool) if starts is None else starts
+def own_classes(counts: np.ndarray) -> np.ndarray:
+    """The classes of the most frequent ids and of the end; -1 for all other ids."""
     order = np.argsort(-counts, kind="stable")
     own = CLASSES - GROUPS
     klass = np.full(IDS, -1)
     klass[order[:own]] = np.arange(own)
     if klass[END_ID] < 0:                                    # the end has a class of its own
         klass[order[own - 1]], klass[END_ID] = -1, own - 1
+    return klass
+
+
+def neighbour_codes(klass: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """For neighbours of which one has a class of its own: the other's id and that class, behind or (from
+    ``CLASSES - GROUPS`` on) ahead of it, as one number."""
+    own = CLASSES - GROUPS
+    behind, ahead = klass[before], klass[after]
+    seen, follow = (ahead < 0) & (behind >= 0), (behind < 0) & (ahead >= 0)
+    return np.r_[after[seen] * (2 * own) + behind[seen], before[follow] * (2 * own) + own + ahead[follow]]
+
+
+def classes_of(counts: np.ndarray, around, starts: np.ndarray | None = None) -> np.ndarray:
+    """A class for every id: the most frequent have their own, others are grouped by the classes around them.
+
+    ``around``: the neighbours' codes and their counts, or ids laid end to end.  With ``starts``
+    no group holds ids of both kinds.  Classes are numbered by kind, then by frequency, so a set
+    of ``PER`` classes holds like ones.
+    """
+    starts = np.ones(IDS, bool) if starts is None else starts
+    own = CLASSES - GROUPS
+    klass = own_classes(counts)
     rest = np.flatnonzero(klass < 0)
     row = np.full(IDS, -1)
     row[rest] = np.arange(len(rest))
-    before, after = sample[:-1], sample[1:]
-    use = (row[after] >= 0) & (klass[before] >= 0)
-    seen = np.zeros((len(rest), own), np.float32)
-    np.add.at(seen, (row[after[use]], klass[before[use]]), 1)
-    use = (row[before] >= 0) & (klass[after] >= 0)
-    ahead = np.zeros((len(rest), own), np.float32)
-    np.add.at(ahead, (row[before[use]], klass[after[use]]), 1)
-    both = np.concatenate([seen, ahead], axis=1)
+    codes, times = around if isinstance(around, tuple) else np.unique(
+        neighbour_codes(klass, around[:-1].astype(np.int64), around[1:].astype(np.int64)), return_counts=True)
+    both = np.zeros((len(rest), 2 * own), np.float32)
+    both[row[codes // (2 * own)], codes % (2 * own)] = times
     kinds = [k for k in (np.flatnonzero(starts[rest]), np.flatnonzero(~starts[rest])) if len(k)]
     mass = [(both[k].sum(axis=1) >= 4).sum() + 1 for k in kinds]
     first = GROUPS if len(kinds) == 1 else int(np.clip(round(GROUPS * mass[0] / sum(mass)), 2, GROUPS - 2))
@@ -229,12 +249,12 @@ def single_shares(counts: np.ndarray, klass: np.ndarray) -> np.ndarray:
     return (counts + SMOOTH) / np.bincount(klass, weights=counts + SMOOTH, minlength=CLASSES)[klass]
 
 
-def windows(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(n: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For texts of n subwords laid end to end: (text, first position within the text, whether it is the text's first)."""
-    per = 1 + np.maximum(0, -(-(n - WINDOW) // STRIDE))
+    per = 1 + np.maximum(0, -(-(n - WINDOW) // stride))
     text = np.repeat(np.arange(len(n)), per)
     k = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
-    return text, k * STRIDE, k == 0
+    return text, k * stride, k == 0
 
 
 _SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))     # what each place of a window may look at
@@ -320,9 +340,9 @@ def class_scores(t: dict, h: np.ndarray, before: np.ndarray, target: np.ndarray)
     return out
 
 
-def _laid_out(klass: np.ndarray, n: np.ndarray, end: int):
+def _laid_out(klass: np.ndarray, n: np.ndarray, end: int, stride: int = STRIDE):
     """Windows of inputs (classes, the end's before a text begins) and of target places (-1 behind the text)."""
-    text, first, is_first = windows(n)
+    text, first, is_first = windows(n, stride)
     begin = (np.cumsum(n) - n)[text] + first
     left = n[text] - first                                  # subwords from the window's start to the text's end
     steps = np.arange(WINDOW)
@@ -363,29 +383,46 @@ def untrained(end: int) -> dict:
             "Bs": np.zeros((CLASSES, SETS), np.float32), "end": end}
 
 
+def _less_chosen(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The softmax of each row, less 1 at its chosen place; overwrites the logits."""
+    np.minimum(logits, 80, out=logits)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    logits[np.arange(len(logits)), chosen] -= 1
+    return logits
+
+
+def _summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows that have the same place of ``n``."""
+    width = rows.shape[1]
+    places = (at * width)[:, None] + np.arange(width)
+    return np.bincount(places.reshape(-1), weights=rows.reshape(-1), minlength=n * width).reshape(n, width).astype(rows.dtype)
+
+
 def gradients(p: dict, xb: np.ndarray, tb: np.ndarray, klass: np.ndarray) -> dict:
     """Gradients of the mean of -ln p over the target places ``tb`` (-1: none) of windows ``xb``."""
     h, (e, q, k, v, s, total, z) = forward(p, xb, WINDOW)
     s /= total
-    use, before, rows = tb >= 0, xb.reshape(-1), np.arange(len(tb))
+    use, before = tb >= 0, xb.reshape(-1)
     c = klass[np.maximum(tb, 0)]
-    each = use[:, None] / max(1, use.sum())
-    sets = h @ p["Us"] + p["Bs"][before]
-    gs = np.exp(np.minimum(sets, 80))
-    gs /= gs.sum(axis=1, keepdims=True)
-    gs[rows, c // PER] -= 1
-    gs = (gs * each).astype(np.float32)
-    own = (h @ p["U"] + p["B"][before]).reshape(-1, SETS, PER)[rows, c // PER]
-    own = np.exp(np.minimum(own, 80))
-    own /= own.sum(axis=1, keepdims=True)
-    own[rows, c % PER] -= 1
-    g = np.zeros((len(tb), SETS, PER), np.float32)
-    g[rows, c // PER] = own * each
-    g = g.reshape(-1, CLASSES)
-    d = {"U": h.T @ g, "Us": h.T @ gs, "B": np.zeros_like(p["B"]), "Bs": np.zeros_like(p["Bs"])}
-    np.add.at(d["B"].reshape(-1, PER), before * SETS + c // PER, own.astype(np.float32) * each.astype(np.float32))
-    np.add.at(d["Bs"], before, gs)
-    dh = (g @ p["U"].T + gs @ p["Us"].T) * (h > 0)
+    each = (use / max(1, use.sum())).astype(h.dtype)[:, None]
+    in_set = c // PER
+    gs = _less_chosen(h @ p["Us"] + p["Bs"].take(before, axis=0), in_set) * each
+    d = {"Us": h.T @ gs, "Bs": _summed(before, gs, CLASSES), "U": np.zeros_like(p["U"])}
+    dh = gs @ p["Us"].T
+    order = np.argsort(in_set.astype(np.uint8), kind="stable")        # set by set: only its own classes are worked out
+    edges = np.searchsorted(in_set[order], np.arange(SETS + 1)).tolist()
+    hs, bs, places, each = h.take(order, axis=0), before[order], (c - in_set * PER)[order], each[order]
+    g, back = np.empty((len(tb), PER), h.dtype), np.empty_like(hs)
+    for k_set, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        if lo < hi:
+            cols = slice(k_set * PER, (k_set + 1) * PER)
+            own = _less_chosen(hs[lo:hi] @ p["U"][:, cols] + p["B"][:, cols].take(bs[lo:hi], axis=0), places[lo:hi])
+            own *= each[lo:hi]
+            g[lo:hi], d["U"][:, cols], back[lo:hi] = own, hs[lo:hi].T @ own, own @ p["U"][:, cols].T
+    d["B"] = _summed(bs * SETS + in_set[order], g, CLASSES * SETS).reshape(CLASSES, CLASSES)
+    dh[order] += back
+    dh *= h > 0
     d["W1"], d["b1"] = z.T @ dh, dh.sum(axis=0)
     dz = (dh @ p["W1"].T).reshape(len(xb), WINDOW, 2 * WIDTH)
     de, da = dz[..., :WIDTH].copy(), dz[..., WIDTH:]
@@ -397,8 +434,7 @@ def gradients(p: dict, xb: np.ndarray, tb: np.ndarray, klass: np.ndarray) -> dic
     for w, grad in (("Wq", dq), ("Wk", dk), ("Wv", dv)):
         d[w] = flat(e).T @ flat(grad)
         de += grad @ p[w].T
-    d["P"], d["E"] = de.sum(axis=0), np.zeros_like(p["E"])
-    np.add.at(d["E"], xb.reshape(-1), flat(de))
+    d["P"], d["E"] = de.sum(axis=0), _summed(before, flat(de), CLASSES)
     return d
 
 
@@ -416,20 +452,108 @@ def train(klass: np.ndarray, n: np.ndarray, end: int) -> dict:
     share = (pairs + 5 * share) / (pairs.sum(axis=1, keepdims=True) + 5)
     p["B"] = np.log(share).astype(np.float32)
     p["Bs"] = np.log(share.reshape(CLASSES, SETS, PER).sum(axis=2)).astype(np.float32)
-    names = [k for k in p if k != "end"]
-    m1, m2 = ({k: np.zeros_like(p[k]) for k in names} for _ in range(2))
+    adam = Adam(p)
     rng = np.random.default_rng(SEED)
     for step in range(1, STEPS + 1):
         pick = rng.integers(0, len(x), BATCH)
         d = gradients(p, x[pick], target[pick].reshape(-1), klass)
-        rate = RATE * min(1.0, step / 50) * (0.5 + 0.5 * math.cos(math.pi * step / STEPS))
-        for w in names:
-            m1[w] = 0.9 * m1[w] + 0.1 * d[w]
-            m2[w] = 0.99 * m2[w] + 0.01 * d[w] ** 2
-            p[w] = p[w] - (rate * m1[w] / (1 - 0.9 ** step) / (np.sqrt(m2[w] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
+        adam.step(d, RATE * min(1.0, step / 50) * (0.5 + 0.5 * math.cos(math.pi * step / STEPS)))
     return p
 
 
+class Adam:
+    def __init__(self, p: dict):
+        self.p, self.taken = p, 0
+        self.m1, self.m2 = ({k: np.zeros_like(p[k]) for k in weights(p)} for _ in range(2))
+
+    def step(self, d: dict, rate: float):
+        self.taken += 1
+        for w, m1 in self.m1.items():
+            self.m1[w] = m1 = 0.9 * m1 + 0.1 * d[w]
+            self.m2[w] = m2 = 0.99 * self.m2[w] + 0.01 * d[w] ** 2
+            self.p[w] = self.p[w] - (rate * m1 / (1 - 0.9 ** self.taken)
+                                     / (np.sqrt(m2 / (1 - 0.99 ** self.taken)) + 1e-8)).astype(np.float32)
+
+
+def weights(p: dict) -> list[str]:
+    return [k for k in p if k != "end"]
+
+
+def packed(p: dict) -> np.ndarray:
+    return np.concatenate([p[k].reshape(-1) for k in weights(p)])
+
+
+def train_on(adam: Adam, klass: np.ndarray, n: np.ndarray):
+    """Go on training on texts laid end to end; every subword is a target once."""
+    _, x, target = _laid_out(klass, n, adam.p["end"], WINDOW)
+    order = np.random.default_rng(SEED + adam.taken).permutation(len(x))
+    for lo in range(0, len(x), BATCH):
+        pick = order[lo:lo + BATCH]
+        d = gradients(adam.p, x[pick], target[pick].reshape(-1), klass)
+        step = adam.taken + 1
+        adam.step(d, LATER * len(pick) / BATCH * min(1.0, step / 50) / math.sqrt(1 + step / 400))
+
+
+def streams_of(batches):
+    """Pieces (ids, subwords per text) of whole texts out of batches with a text's ids (two bytes each, the end last)."""
+    for batch in batches:
+        data, offsets = column_bytes(batch.column(0))
+        ids, at = np.frombuffer(data, "<u2"), offsets // 2
+        lo = 0
+        while lo < len(batch):
+            hi = max(lo + 1, int(np.searchsorted(at, at[lo] + PIECE, "right")) - 1)
+            yield ids[at[lo]:at[hi]].astype(np.int64), np.diff(at[lo:hi + 1])
+            lo = hi
+
+
+def neighbours(streams: DataFrame, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, counts) of the neighbours in all texts; a task adds them up in one array, bounded by the vocabulary."""
+    def run(batches):
+        total = np.zeros(IDS * 2 * (CLASSES - GROUPS), np.int64)
+        for ids, _ in streams_of(batches):
+            np.add.at(total, neighbour_codes(klass, np.r_[END_ID, ids[:-1]], ids), 1)
+        codes = np.flatnonzero(total)
+        for lo in range(0, len(codes), 200_000):
+            own = codes[lo:lo + 200_000]
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(total[own])], names=["code", "c"])
+
+    found = (streams.mapInArrow(run, "code int, c long").groupBy("code").agg(F.sum("c").cast("float").alias("c")).toArrow())
+    return found.column("code").to_numpy().astype(np.int64), found.column("c").to_numpy()
+
+
+def train_on_all(streams: DataFrame, p: dict, klass: np.ndarray):
+    """Train ``p`` further, in place, on all texts: tasks go on from it, and their mean by subwords takes its place."""
+    start = streams.sparkSession.sparkContext.broadcast((p, klass))
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        own, klass = start.value
+        own, seen = {k: v if k == "end" else v.copy() for k, v in own.items()}, 0
+        adam = Adam(own)
+        for ids, n in streams_of(batches):
+            train_on(adam, klass.take(ids), n)
+            seen += len(ids)
+        if seen:
+            yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "seen": [seen],
+                                              "sums": [(packed(own).astype(np.float64) * seen).tobytes()]})
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("part")
+        total = np.zeros(len(packed(start.value[0])))
+        for v in frame["sums"]:
+            total += np.frombuffer(v)
+        return pd.DataFrame({"part": [int(frame["part"].iloc[0])], "seen": [int(frame["seen"].sum())], "sums": [total.tobytes()]})
+
+    schema = "part long, seen long, sums binary"
+    trained = materialize(streams.mapInArrow(run, schema), "lm-models")          # never trained twice
+    rows = sorted(trained.groupBy(F.col("part") % MEANS).applyInPandas(add, schema).collect())
+    if rows:
+        mean = sum(np.frombuffer(r.sums) for r in rows) / sum(r.seen for r in rows)
+        cuts = np.cumsum([p[k].size for k in weights(p)])[:-1]
+        p.update({k: v.reshape(p[k].shape).astype(np.float32) for k, v in zip(weights(p), np.split(mean, cuts))})
+
+
 def text_scores(model: dict, words: Words, texts: list[str]):
     """(words with the end, log10 probability, base of the frequent words, other words) of texts;
     the probability is without the second factor of the other words."""
@@ -457,19 +581,31 @@ def _spelled(words, encode) -> tuple[np.ndarray, np.ndarray]:
     return np.array([i for g in got for i in g], np.int64), np.array([len(g) for g in got], np.int64)
 
 
-def _shaped(vocabulary: str, klass: np.ndarray):
-    """A table (word, c) with the key of each word's class sequence and its ids."""
+def _with_ids(vocabulary: str):
+    """A table (word, c) with each word's ids."""
     def run(frames):
         encode = word_encoder(vocabulary)
         for frame in frames:
             if not len(frame):
                 continue
             ids, n = _spelled(frame["word"], encode)
-            yield pd.DataFrame({"word": frame["word"].to_numpy(), "c": frame["c"].to_numpy(), "shape": shapes_of(klass, ids, n),
+            yield pd.DataFrame({"word": frame["word"].to_numpy(), "c": frame["c"].to_numpy(),
                                 "ids": np.split(ids.astype(np.int32), np.cumsum(n)[:-1])})
     return run
 
 
+def _shaped(klass: np.ndarray):
+    """A table (word, c, ids) with the key of each word's class sequence in place of its ids."""
+    def run(frames):
+        for frame in frames:
+            if not len(frame):
+                continue
+            n = frame["ids"].map(len).to_numpy()
+            ids = np.concatenate(frame["ids"].to_list()).astype(np.int64)
+            yield pd.DataFrame({"word": frame["word"].to_numpy(), "c": frame["c"].to_numpy(), "shape": shapes_of(klass, ids, n)})
+    return run
+
+
 def _id_statistics(frames):
     """Sums over a table (c, ids) of words, by code: single ids (-1 - id) and pairs of neighbouring
     ids within words (before * IDS + id)."""
@@ -516,20 +652,24 @@ def _places(vocabulary: str, klass: np.ndarray, single: np.ndarray):
 class Counted:
     """What all training documents say of words, as Spark tables (the single ids, at most IDS, are an array)."""
 
-    def __init__(self, counts: DataFrame, ends: int, klass: np.ndarray, vocabulary: str):
-        self.vocabulary, self.klass = vocabulary, klass
-        words = materialize(counts.mapInPandas(_shaped(vocabulary, klass), "word string, c long, shape long, ids array<int>"),
-                            "lm-words")
-        found = materialize(words.select("c", "ids").mapInPandas(_id_statistics, "code long, c long")
-                            .groupBy("code").agg(F.sum("c").alias("c")), "lm-statistics")
-        one = found.where("code < 0").toPandas().astype("int64")
-        total = np.zeros(IDS)
-        total[-1 - one["code"]] = one["c"]
-        total[END_ID] += ends
-        self.single = single_shares(total, klass)
+    def __init__(self, counts: DataFrame, ends: int, vocabulary: str):
+        self.vocabulary = vocabulary
+        self.words = materialize(counts.mapInPandas(_with_ids(vocabulary), "word string, c long, ids array<int>"), "lm-words")
+        self.found = materialize(self.words.select("c", "ids").mapInPandas(_id_statistics, "code long, c long")
+                                 .groupBy("code").agg(F.sum("c").alias("c")), "lm-statistics")
+        one = self.found.where("code < 0").toPandas().astype("int64")
+        self.total = np.zeros(IDS)
+        self.total[-1 - one["code"]] = one["c"]
+        self.total[END_ID] += ends
+
+    def classify(self, klass: np.ndarray):
+        """Everything that depends on the classes of the ids."""
+        self.klass, found = klass, self.found
+        self.single = single_shares(self.total, klass)
         self.pairs = found.where("code >= 0").select("code", F.col("c").alias("pair"))
         self.follows = (found.where("code >= 0").mapInPandas(_by_class(klass), "follow long, c long")
                         .groupBy("follow").agg(F.sum("c").alias("followed")))
+        words = materialize(self.words.mapInPandas(_shaped(klass), "word string, c long, shape long"), "lm-shaped")
         self.shapes = materialize(words.groupBy("shape").agg(F.sum("c").alias("total"), F.count("*").alias("distinct")), "lm-shapes")
         # (word, c, inner): every word of the training documents with its share of its class sequence
         self.known = materialize(words.select("word", "c", "shape").join(self.shapes, "shape").select(
@@ -546,6 +686,30 @@ class Counted:
                 .select("word", F.lit(0).cast("long").alias("c"), (F.col("s") + F.log10(left)).alias("inner")))
 
 
+def _few(texts: list[str]):
+    """The texts in runs of about ``CHARS`` characters."""
+    size = np.cumsum([len(t) for t in texts])
+    cuts = [0, *(np.flatnonzero(np.diff(size // CHARS)) + 1).tolist(), len(texts)]
+    yield from (texts[a:b] for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
+def _id_streams(vocabulary: str):
+    """The ids of each text, two bytes each."""
+    def make():
+        words = Words(vocabulary)
+
+        def one(frame: pd.DataFrame) -> pd.DataFrame:
+            out = []
+            for texts in _few(frame["t"].to_list()):
+                ids, n, *_ = words.stream(texts)
+                out += [x.tobytes() for x in np.split(ids.astype("<u2"), np.cumsum(n)[:-1])]
+            return pd.DataFrame({"ids": out})
+
+        return one
+
+    return make
+
+
 _SCORED = "id long, held_out boolean, n_tokens long, score double, common_base double, others array<binary>"
 
 
@@ -571,21 +735,22 @@ def score(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", id_col: st
     ids, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if sample:
         ids, n, *_ = Words(vocabulary).stream(sample)
-    klass = classes_of(np.bincount(ids, minlength=IDS).astype(float), ids, starting_ids(vocabulary))
-    counted = Counted(counts, ends, klass, vocabulary)
+    counted = Counted(counts, ends, vocabulary)
+    streams = materialize(map_slices(learned.select("t"), _id_streams(vocabulary), "ids binary"), "lm-ids")
+    klass = classes_of(counted.total, neighbours(streams, own_classes(counted.total)), starting_ids(vocabulary))
+    counted.classify(klass)
+    p = train(klass[ids], n, int(klass[END_ID]))
+    train_on_all(streams, p, klass)
     frequent = counted.known.where(F.col("c") * FREQUENT > tokens)          # fewer than FREQUENT words
     model = spark.sparkContext.broadcast({
-        "p": train(klass[ids], n, int(klass[END_ID])), "klass": klass, "single": counted.single, "z": z,
+        "p": p, "klass": klass, "single": counted.single, "z": z,
         "frequent": {r.word.encode(): (r.c, r.inner) for r in frequent.collect()}})
 
     def make():
         words = Words(vocabulary, model.value)
 
         def one(frame: pd.DataFrame) -> pd.DataFrame:
-            texts = frame["t"].to_list()
-            size = np.cumsum([len(t) for t in texts])
-            cuts = [0, *(np.flatnonzero(np.diff(size // CHARS)) + 1).tolist(), len(texts)]
-            got = [text_scores(model.value, words, texts[a:b]) for a, b in zip(cuts, cuts[1:]) if b > a]
+            got = [text_scores(model.value, words, texts) for texts in _few(frame["t"].to_list())]
             return pd.DataFrame({"id": frame["id"], "held_out": frame["held_out"],
                                  **{name: np.concatenate([g[k] for g in got]) for k, name in
                                     enumerate(("n_tokens", "score", "common_base"))},
