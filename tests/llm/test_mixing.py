@@ -79,3 +79,18 @@ def test_clashing_names(spark):
     odd = docs(spark).limit(40).selectExpr("*", "'q' as _source", "1 as _mix_topic", "2 as _mix__cell_lang", "3 as _tokens")
     kept = m.draw(odd)
     assert kept.columns == odd.columns and {r._source for r in kept.collect()} <= {"q"}
+
+
+def test_few_cells_need_no_jobs_and_many_give_the_same(spark, monkeypatch):
+    cells = m._cells(m._described(docs(spark), "text", "_p_"), "_p_")
+    goals = {d: m.materialize(m.targets(cells, d, None), f"test-{d}") for d in m.DIMENSIONS}
+    rows = lambda df: {tuple(r[:3]): (r.tokens, r.w) for r in df.collect()}
+    written = []
+    monkeypatch.setattr(m, "materialize", lambda df, name, real=m.materialize: (written.append(name), real(df, name))[1])
+    few = rows(m.rake(cells, goals))
+    assert not written                     # a round used to write a table of joins
+    monkeypatch.setattr(m, "CELLS", 3)
+    many = rows(m.rake(cells, goals))
+    assert len(written) > 1 and few.keys() == many.keys() and len(few) > 3
+    for k, (tokens, w) in many.items():
+        assert few[k][0] == tokens and few[k][1] == pytest.approx(w, rel=1e-9)

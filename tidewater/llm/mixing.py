@@ -1,6 +1,6 @@
 """Mixing sources to target weights by raking (operator 3).
 
-DataFrame functions only.  Tokens are summed per cell (source, language, topic).
+DataFrame functions work on the rows.  Tokens are summed per cell (source, language, topic).
 Iterative proportional fitting scales the cells until their sums meet the target
 shares of every source, every language and every topic in turn.  A cell's raked
 weight over its own share gives its documents' sampling probability, calibrated
@@ -11,9 +11,10 @@ number from a digest of its id lies below its probability.
 Only one narrow pass reads texts; raking works on the cells, one row per
 combination, however many documents a source has.  A hot source is pre-aggregated
 in the map tasks, and its rows meet the small cell table.  A text's tokens are its
-words.  A dimension's sums are aggregates that are joined back to the cells, so
-millions of cells of one language are no one task's.  Raking goes on until every sum
-is within ``TOLERANCE`` of its target, or until a round brings hardly anything because
+words.  Up to ``CELLS`` cells are raked as arrays on the driver, which needs no jobs; more
+of them stay in Spark, where a dimension's sums are aggregates that are joined back to the
+cells, so millions of cells of one language are no one task's.  Both follow the same rounds.
+Raking goes on until every sum is within ``TOLERANCE`` of its target, or until a round brings hardly anything because
 no weights of the cells there are meet all targets; ``deviations`` says what is left.
 
 Targets: per dimension either shares given by name (names that are missing get
@@ -28,8 +29,11 @@ columns; ``draw`` keeps the columns of the table as they are, whatever their nam
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.llm.common import free_prefix, materialize, words_of
 
@@ -41,6 +45,7 @@ STALLED = 0.99            # a round that leaves more than this part of the diffe
 MAX_ROUNDS = 40           # of raking over all dimensions
 SCALE_STEPS = 12          # of calibrating the scale
 FLOOR = 1e-6
+CELLS = 20_000            # cells that are raked on the driver; the rounds of more of them are Spark's
 
 # the default topics, fixed patterns tried in this order, each with marks one of which a match holds
 TOPICS = (("licence", ("licensed under", "public license"), None),
@@ -106,12 +111,41 @@ def deviations(cells: DataFrame, goals: dict[str, DataFrame]) -> dict[str, float
     return {r.dim: r.d or 0.0 for r in out.collect()}
 
 
+def _goes_on(now: float, before: float, tolerance: float) -> bool:
+    return now > tolerance and now <= STALLED * before
+
+
+def _raked_few(table: pa.Table, goals: dict[str, DataFrame], tolerance: float, rounds: int) -> np.ndarray:
+    """What ``rake`` gives, of cells that fit an array."""
+    places, wanted = [], []
+    for dim, goal in goals.items():
+        names = table.column(dim).combine_chunks().dictionary_encode()
+        target = {r.name: r.target for r in goal.collect()}
+        places.append(names.indices.to_numpy())
+        wanted.append(np.array([target[name] for name in names.dictionary.to_pylist()]))
+    w, before = table.column("tokens").to_numpy().astype(np.float64), float("inf")
+    for _ in range(rounds if len(w) else 0):
+        now = 0.0
+        for place, target in zip(places, wanted):
+            sums = np.bincount(place, weights=w, minlength=len(target))
+            w = w * np.divide(target, sums, out=np.zeros(len(target)), where=sums > 0)[place]
+            now = max(now, float(np.abs(sums - target).max()))
+        if not _goes_on(now, before, tolerance):
+            break
+        before = now
+    return w
+
+
 def rake(cells: DataFrame, goals: dict[str, DataFrame], tolerance: float = TOLERANCE, rounds: int = MAX_ROUNDS) -> DataFrame:
     """``cells`` (dimensions, tokens) with ``w``: shares that meet the goals of every dimension in turn.
 
-    A cell carries the largest difference that its names' sums had from their targets in the
-    round, so one look at the written cells tells whether to go on.
+    In Spark a cell carries the largest difference that its names' sums had from their targets
+    in the round, so one look at the written cells tells whether to go on.
     """
+    table = cells.limit(CELLS + 1).toArrow()
+    if len(table) <= CELLS:
+        few = table.append_column("w", pa.array(_raked_few(table, goals, tolerance, rounds)))
+        return cells.sparkSession.createDataFrame(few, T.StructType([*cells.schema.fields, T.StructField("w", T.DoubleType())]))
     cur, before = cells.withColumn("w", F.col("tokens").cast("double")), float("inf")
     for _ in range(rounds):
         cur = cur.select(*cells.columns, "w", F.lit(0.0).alias("off"))
@@ -122,7 +156,7 @@ def rake(cells: DataFrame, goals: dict[str, DataFrame], tolerance: float = TOLER
             cur = cur.join(factor, dim).select(*cells.columns, (F.col("w") * F.col("factor")).alias("w"), F.greatest("off", "e").alias("off"))
         cur = materialize(cur, "mixing-raked")
         now = cur.agg(F.max("off").alias("o")).first().o or 0.0
-        if now <= tolerance or now > STALLED * before:
+        if not _goes_on(now, before, tolerance):
             break
         before = now
     return cur.select(*cells.columns, "w")
