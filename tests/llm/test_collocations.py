@@ -150,3 +150,11 @@ def test_memory_of_a_run_and_of_a_merge():
     finally:
         tracemalloc.stop()
     assert window_peak < 10 * m.CHUNK and merge_peak < 80 * 2 * len(packed)
+
+
+def test_a_large_batch_is_dealt_out_a_few_texts_at_a_time():
+    texts, langs = ["word " * 2000] * 4000, ["en", "de", "fr", "es"] * 1000       # 40 MB
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "lang": pa.array(langs)})
+    given = [own for _, own in m.by_language([batch])]
+    assert sum(len(own) for own in given) == 4000
+    assert max(own.nbytes for own in given) < 2 * m.CHUNK         # a language's texts of the whole batch came at once

@@ -40,9 +40,10 @@ from tidewater.llm.common import in_order, materialize
 
 MIN_COUNT = 10
 TOP = 2000
-CHUNK = 4 << 20              # bytes of one language that are counted as one run
+CHUNK = 2 << 20              # bytes of one language that are counted as one run
 HELD = 3 * CHUNK             # bytes of all languages that a task gathers before the largest is counted
-RANGE_WINDOWS = 700_000      # windows of a range, all runs together, before equal ones are added up
+TAKEN = 512                  # texts of a batch that a task deals out to their languages at a time
+RANGE_WINDOWS = 250_000      # windows of a range, all runs together, before equal ones are added up
 MAX_RANGES = 1_000_000
 SAMPLE_TEXTS = 4000          # texts that the cuts are taken from, or a thousandth of all if that is more
 PER_CUT = 64                 # sampled windows for each cut
@@ -108,7 +109,7 @@ def windows(texts: pa.Array, size: int = CHUNK):
 
 
 def by_language(batches):
-    """(language, texts) of about ``CHUNK`` bytes from a task's batches; holds ``HELD`` bytes at most plus a batch."""
+    """(language, texts) of about ``CHUNK`` bytes from a task's batches; holds ``HELD`` bytes at most plus ``TAKEN`` texts."""
     held: dict[str, list] = {}
     sizes: dict[str, int] = {}
 
@@ -116,7 +117,7 @@ def by_language(batches):
         del sizes[lang]
         return lang, pa.chunked_array(held.pop(lang), pa.large_binary()).combine_chunks()
 
-    for batch in batches:
+    for batch in (whole.slice(lo, TAKEN) for whole in batches for lo in range(0, whole.num_rows, TAKEN)):
         texts, langs = batch.column(0).cast(pa.large_binary()), batch.column(1).dictionary_encode()
         for k, lang in enumerate(langs.dictionary.to_pylist()):
             own = texts.filter(pc.equal(langs.indices, k))
