@@ -102,3 +102,31 @@ def test_block_links_accumulates_over_column_blocks(monkeypatch):
         got = [got[a] if u == got[b] else u for u in got]
     same = lambda p: [[p[x] == p[y] for y in range(len(p))] for x in range(len(p))]
     assert same(got) == same(up) and len(forest) < len(sets)
+
+
+def test_scan_counts_a_chunk_in_little_memory(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(j, "CHUNK", 1 << 19)
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(-(1 << 63), j._BOUND, 1 << 13)) for _ in range(62)]
+    sets += [sets[0], sets[0][:5]]                           # columns met two and three times, all others once
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets)), pa.int64()), pa.array([[0]] * len(sets), pa.list_(pa.int64()))], names=["id", "h"])
+    monkeypatch.setattr(j, "_sets", lambda batch: enumerate(sets))
+    list(j._scan([batch]))
+    tracemalloc.start()
+    try:
+        out = list(j._scan([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    got = {}
+    for b in out[1:]:
+        got |= dict(zip(b.column("slots")[0].as_py(), b.column("counts")[0].as_py()))
+    want = {}
+    for v in sets[0]:
+        want[int(v) & (j.SLOTS - 1)] = want.get(int(v) & (j.SLOTS - 1), 0) + 2 + int(v in sets[0][:5])
+    assert got == want
+    assert peak < 8 * j.SLOTS + 24 * j.CHUNK                 # the table, and less than three arrays of a chunk

@@ -72,3 +72,24 @@ def test_run_packs_what_the_stages_leave(spark, folder):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("stage", [cp.quality, cp.ngrams, cp.pack])
+def test_stages_hand_small_batches_to_python(spark, folder, stage):
+    rows = spark.conf.get(cp._BATCH)
+    try:
+        stage(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        many = spark.range(0, 4000, 1, 1).mapInArrow(lambda batches: batches, "id long")
+        sizes = many.mapInPandas(lambda frames: (f.head(1).assign(id=len(f)) for f in frames), "id long").collect()
+        assert sum(r.id for r in sizes) == 4000 and max(r.id for r in sizes) <= cp.BATCH_ROWS
+        spark.conf.set(cp._BATCH, 100)                  # smaller ones stay
+        cp._bound_batches(spark)
+        assert spark.conf.get(cp._BATCH) == "100"
+    finally:
+        spark.conf.set(cp._BATCH, rows)
+
+
+def test_run_puts_the_sessions_batches_back(spark, folder):
+    rows = spark.conf.get(cp._BATCH)
+    cp.run(spark, folder)
+    assert spark.conf.get(cp._BATCH) == rows

@@ -100,11 +100,13 @@ def _scan(batches):
     table, held, size = np.zeros(SLOTS, np.int64), [], 0
 
     def count():
-        values = np.sort(np.concatenate(held))
-        starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
-        times = np.diff(np.r_[starts, len(values)])
-        many = times > 1
-        np.add.at(table, values[starts[many]] & (SLOTS - 1), times[many])
+        values = np.concatenate(held)
+        held.clear()
+        values.sort()
+        again = np.zeros(len(values) + 1, np.int8)             # 1 where a value equals the one before it
+        again[1:-1] = values[1:] == values[:-1]
+        first, last = np.flatnonzero(np.diff(again)).reshape(-1, 2).T
+        np.add.at(table, values[first] & (SLOTS - 1), last - first + 1)
 
     for batch in batches:
         n, k1, k2 = [], [], []
@@ -116,7 +118,7 @@ def _scan(batches):
             size += len(first)
             if size >= CHUNK:
                 count()
-                held, size = [], 0
+                size = 0
         none = pa.nulls(len(n))
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
