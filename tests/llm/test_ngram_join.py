@@ -130,3 +130,56 @@ def test_scan_counts_a_chunk_in_little_memory(monkeypatch):
         want[int(v) & (j.SLOTS - 1)] = want.get(int(v) & (j.SLOTS - 1), 0) + 2 + int(v in sets[0][:5])
     assert got == want
     assert peak < 8 * j.SLOTS + 24 * j.CHUNK                 # the table, and less than three arrays of a chunk
+
+
+def short_texts_with_common_lines(seed=5):
+    """Short texts, two thirds of each its own and the rest one of a few lines, that overlap by chains; two near copies."""
+    rng = random.Random(seed)
+    lines = [[f"l{k}x{m}" for m in range(12)] for k in range(6)]
+    rows = []
+    for i in range(120):
+        own = [f"d{i}x{m}" for m in range(22)]
+        rows.append((i, " ".join(own[:11] + rng.choice(lines) + own[11:] + (rng.choice(lines) if i % 4 == 0 else []))))
+    return rows + [(500, rows[7][1] + " tail"), (501, rows[30][1] + " end")]
+
+
+def written(monkeypatch, counts):
+    """From now on ``counts`` gets the rows of each table that the join writes."""
+    keep = j.materialize
+
+    def count(df, name):
+        out = keep(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(j, "materialize", count)
+
+
+def test_common_lines_do_not_run_short_texts_together(spark, monkeypatch):
+    counts = {}
+    written(monkeypatch, counts)
+    rows = short_texts_with_common_lines()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r) for r in j.similarity_classes(docs).collect())
+    assert got == sorted(brute(rows))
+    assert sum(i != c for i, _, c in got) == 2
+    assert counts["ngram-cells"] == 4                        # the two pairs of near copies, nothing else is multiplied
+
+
+def test_fuller_counters_do_not_make_columns_hot():
+    assert j.hot_bits(0) == j.hot_bits(3 * j.SLOTS) == j.HOT
+    for mean in (37, 500, 10_000):
+        assert j.hot_bits(mean * j.SLOTS) > np.log2(4 * mean + 1)
+
+
+def test_whole_sets_are_handed_on_in_pieces(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(j, "PIECE", 10)
+    rng = np.random.default_rng(2)
+    words = [rng.integers(0, 1 << 31, n).astype(np.int32) for n in (3, 0, 40, 9, 7)]
+    batch = pa.RecordBatch.from_arrays([pa.array([4, 5, 6, 7, 8], pa.int64()), pa.array(words, pa.list_(pa.int32()))], names=["id", "h"])
+    out = list(j._whole([batch]))
+    assert len(out) > 1
+    got = [r for b in out for r in zip(b["gram"].to_pylist(), b["id"].to_pylist(), b["slack"].to_pylist())]
+    assert got == [(int(g), i, j.prefix_length(len(s)) - len(s)) for i, s in zip((4, 5, 6, 7, 8), map(j.gram_set, words)) for g in s]

@@ -11,11 +11,15 @@ overlap counts.  Only pairs that can reach the similarity are multiplied:
    ``SHARE`` of all hashes come first, by their exact document frequency; all other
    columns follow by hash; columns that a frequency sketch of fixed size calls hot
    (common passages) come last.  Only the first part is counted, in one shuffle; a
-   document whose first columns are all its own leaves here.
-3. Documents that share such a column are connected through the column's smallest
-   id (stars, never all pairs; a hot column is reduced to one row per task's chunk
-   before the shuffle); components of the stars are families, and every link lies
-   within one.
+   document whose first columns are all its own leaves here.  Documents that share
+   such a column are connected through the column's smallest id (stars, never all
+   pairs; a hot column is reduced to one row per task's chunk before the shuffle).
+3. What the stars hold is a small part of the corpus, but a part of the columns tells
+   little of a short document: one shared line is enough to stay, and such lines run
+   the stars together to one family that grows faster than the corpus.  So the same
+   bound is applied again among these documents, now with all their columns in the
+   order of their exact frequency.  The components of the stars that are left are
+   families, and every link lies within one.
 4. A family is cut into blocks by size band and hash.  Each pair of blocks whose
    bands allow the similarity is one small matrix product in one task: overlap
    counts accumulate over column blocks, and the block is given up as soon as
@@ -51,8 +55,10 @@ N = 5                      # words in an n-gram
 T_NUM, T_DEN = 75, 100     # Jaccard threshold as a fraction
 SHARE = 0.33               # of the hash range: columns that are ordered by exact frequency
 SLOTS = 1 << 20            # counters of the frequency sketch
-HOT = 7                    # bits of a count in the sketch from which on a column is hot
+HOT = 7                    # bits of a count in the sketch from which on a column is hot, at least
+CROWD = 8                  # a hot column's count is at least so many times the counters' mean
 CHUNK = 1 << 21            # n-grams that a task holds while it counts
+PIECE = 1 << 18            # rows that a task hands on at a time
 BLOCK = 384                # documents in a block of a family
 COLUMNS = 8192             # columns multiplied at a time
 BROADCAST_BYTES = 32 << 20  # rows of integers are broadcast up to this size, beyond it joined by a shuffle
@@ -135,13 +141,27 @@ def _scan(batches):
              pa.array([table[part]], pa.list_(pa.int64()))], names=["id", "n", "k1", "k2", "slots", "counts"])
 
 
-def _levels(scan: DataFrame) -> np.ndarray:
-    """The sketch as one byte per slot: the bit length of its count (at most SLOTS rows reach the driver)."""
+def _levels(scan: DataFrame) -> tuple[np.ndarray, int]:
+    """The sketch as one byte per slot: the bit length of its count (at most SLOTS rows reach the driver),
+    and the bits from which on a column is hot."""
     counted = (scan.where("slots is not null").select(F.explode(F.arrays_zip("slots", "counts")).alias("e"))
                .groupBy(F.col("e.slots").alias("slot")).agg(F.sum("e.counts").alias("c"))).toPandas()
-    levels = np.zeros(SLOTS, np.uint8)
-    levels[counted["slot"].to_numpy(np.int64)] = np.ceil(np.log2(counted["c"].to_numpy(np.float64) + 1))
-    return levels
+    levels, counts = np.zeros(SLOTS, np.uint8), counted["c"].to_numpy(np.float64)
+    levels[counted["slot"].to_numpy(np.int64)] = _bits(counts)
+    return levels, hot_bits(counts.sum())
+
+
+def _bits(counts):
+    return np.ceil(np.log2(counts + 1))
+
+
+def hot_bits(total: float) -> int:
+    """Bits of a hot column's count, where all counters sum up to ``total``.
+
+    Columns share counters, so with the corpus every counter grows; one that is merely
+    as full as the others says nothing about its columns.
+    """
+    return max(HOT, int(_bits(CROWD * total / SLOTS)))
 
 
 def prefix_length(n: int) -> int:
@@ -169,8 +189,8 @@ def _local_stars(grams: np.ndarray, who: np.ndarray) -> pa.RecordBatch:
                  np.r_[np.full(int(new.sum()), _ALWAYS), np.full(len(pairs), _EDGE)])
 
 
-def _index(levels):
-    """Columns of each document for the shuffle.
+def _index(levels, least: int):
+    """Columns of each document for the shuffle; those of ``least`` bits in the sketch are hot.
 
     ``slack`` of a column of the first part: how many columns the document needs
     beyond its first part (negative: how many it can do without).  A document that
@@ -187,7 +207,7 @@ def _index(levels):
                     continue
                 cut = np.searchsorted(s, _BOUND)
                 first, heat = s[:cut], level[s[:cut] & (SLOTS - 1)]
-                hot = heat >= HOT
+                hot = heat >= least
                 first, late = first[~hot], first[hot][np.argsort(heat[hot], kind="stable")]
                 slack = prefix_length(len(s)) - len(first)
                 out.append((first, ids[i], slack))
@@ -208,6 +228,41 @@ def _index(levels):
     return run
 
 
+def _whole(batches):
+    """All columns of each document, with ``slack`` as in _index; about PIECE rows at a time."""
+    for batch in batches:
+        ids = batch.column("id").to_numpy(zero_copy_only=False)
+        held, who, size = [], [], 0
+        for i, s in _sets(batch):
+            held.append(s)
+            who.append(ids[i])
+            size += len(s)
+            if size >= PIECE or i + 1 == len(ids):
+                n = np.array([len(s) for s in held])
+                slack = [prefix_length(k) - k for k in n.tolist()]
+                yield _rows(np.concatenate(held), np.repeat(who, n), np.repeat(slack, n))
+                held, who, size = [], [], 0
+
+
+def _first(counted: DataFrame) -> DataFrame:
+    """(gram, id): each document's shared columns (rows of _INDEX with ``df``) that lie in its prefix, rare ones first."""
+    mine = Window.partitionBy("id")
+    return (counted.withColumn("shared", F.count("*").over(mine))
+            .withColumn("rank", F.row_number().over(mine.orderBy("df", "gram")))
+            .where("rank <= slack + shared").select("gram", "id"))
+
+
+def _stars(first: DataFrame) -> DataFrame:
+    """(a, b): each document (b) of a column with the column's smallest id (a)."""
+    return (first.withColumn("low", F.min("id").over(Window.partitionBy("gram")))
+            .where("low <> id").select(F.col("low").alias("a"), F.col("id").alias("b")))
+
+
+def _small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df``, which is materialised, marked for a broadcast if its rows are few enough."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def block_links(ids: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """A spanning forest of the links among ``sets``: overlap counts by products of column blocks."""
     m = len(ids)
@@ -266,7 +321,8 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     hashes = _word_hashes(docs, id_col, text)
     scan = materialize(hashes.mapInArrow(_scan, _SCAN), "ngram-scan")
     facts = scan.where("slots is null").select("id", "n", "k1", "k2")
-    levels = spark.sparkContext.broadcast(_levels(scan))
+    sketch, least = _levels(scan)
+    levels = spark.sparkContext.broadcast(sketch)
 
     # classes of equal sets; the smallest id stands for each
     classes = materialize(facts.where("n > 0 and id is not null").groupBy("k1", "k2")
@@ -275,20 +331,15 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     copies = classes.where("copies > 1").select("k1", "k2", "rep")
     others = (facts.join(copies, ["k1", "k2"]).where("id <> rep").select("id", "rep"))
 
-    # candidate families through shared prefix columns
+    # candidates through shared prefix columns, of which the first part is counted
     edge = F.col("slack") == _EDGE
     same = Window.partitionBy("gram", "edge")
     met = materialize(
-        hashes.where("id is not null").mapInArrow(_index(levels), _INDEX).repartition("gram").withColumn("edge", edge)
+        hashes.where("id is not null").mapInArrow(_index(levels, least), _INDEX).repartition("gram").withColumn("edge", edge)
         .withColumn("df", F.count("*").over(same)).withColumn("low", F.min("id").over(same))
         .where("edge or df > 1"), "ngram-met")
     counted = met.where(F.col("slack") < _ALWAYS).where("not edge")
-    mine = Window.partitionBy("id")
-    first = (counted.withColumn("shared", F.count("*").over(mine))
-             .withColumn("rank", F.row_number().over(mine.orderBy("df", "gram")))
-             .where("rank <= slack + shared").select("gram", "id"))
-    column = Window.partitionBy("gram")
-    stars = (first.withColumn("low", F.min("id").over(column)).where("low <> id").select(F.col("low").alias("a"), F.col("id").alias("b"))
+    stars = (_stars(_first(counted))
              .unionByName(met.where(F.col("slack") == _ALWAYS).where("low <> id").select(F.col("low").alias("a"), F.col("id").alias("b")))
              .unionByName(met.where("edge").select(F.col("id").alias("a"), F.col("gram").alias("b"))).distinct())
     stars = materialize(stars, "ngram-stars")
@@ -297,7 +348,16 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     for side in ("a", "b"):
         stars = (stars.join(alias, stars[side] == alias.x, "left")
                  .withColumn(side, F.coalesce("r", side)).drop("x", "r"))
-    families = materialize(components(stars.where("a <> b"), "ngram-families"), "ngram-family")
+    met_ids = materialize(stars.where("a <> b").select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ngram-met-ids")
+
+    # families: the same bound among these documents, by all their columns
+    texts = (docs.select(docs[id_col].cast("long").alias("id"), docs[text].alias("t"))
+             .join(_small(met_ids, 32), "id", "left_semi"))
+    sets = materialize(_word_hashes(texts, "id", "t", narrow=True), "ngram-sets")
+    counted = (sets.mapInArrow(_whole, _INDEX)
+               .withColumn("df", F.count("*").over(Window.partitionBy("gram"))).where("df > 1"))
+    stars = materialize(_stars(_first(counted)).distinct(), "ngram-stars")
+    families = materialize(components(stars, "ngram-families"), "ngram-family")
 
     # block products within families
     reps = classes.select(F.col("rep").alias("id"), "n")
@@ -325,12 +385,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
                     F.col("block").alias("bj")))
     cells = within.unionByName(up).unionByName(down)
     keys = ["family", "ci", "bi", "cj", "bj"]
-    cells = materialize(cells, "ngram-cells")
-    ids = placed.select("id").distinct()
-    if cells.count() * 64 <= BROADCAST_BYTES:          # six integers a row
-        cells, ids = F.broadcast(cells), F.broadcast(ids)
-    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text].alias("t")).join(ids, "id", "left_semi")
-    sets = _word_hashes(texts, "id", "t", narrow=True)
+    cells = _small(materialize(cells, "ngram-cells"), 64)          # six integers a row
     links = (sets.join(cells, "id").select("id", *keys, "h").repartition(*keys).sortWithinPartitions(*keys)
              .mapInPandas(_products, "a long, b long"))
     joined = components(links, "ngram-links")
