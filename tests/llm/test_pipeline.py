@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as cp
-from test_ngram_join import brute as classes
+from test_ngram_join import brute as classes, short_texts_with_common_lines, written
 from tidewater.llm import mixing, packing, quality_rules, secret_scan
 
 HEX = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
@@ -93,3 +93,15 @@ def test_run_puts_the_sessions_batches_back(spark, folder):
     rows = spark.conf.get(cp._BATCH)
     cp.run(spark, folder)
     assert spark.conf.get(cp._BATCH) == rows
+
+
+def test_common_lines_do_not_run_short_texts_together(spark, folder, monkeypatch):
+    counts, rows = {}, spark.conf.get(cp._BATCH)
+    written(monkeypatch, counts)
+    texts = short_texts_with_common_lines()
+    try:
+        left = cp.ngrams(spark, spark.createDataFrame([(i, t, "en", "s0", len(t), "extra") for i, t in texts], SCHEMA), folder)
+        assert {r.doc_id for r in left.collect()} == {i for i, _ in texts} - {500, 501}
+    finally:
+        spark.conf.set(cp._BATCH, rows)
+    assert counts["ngram-cells"] == 4
